@@ -36,10 +36,16 @@ LOT_TYPES = ["SH_A_STOCK", "SZ_A_STOCK", "BJ_A_STOCK", "SH_FUND", "SZ_FUND"]
 
 
 def starts_with_any(value: Column, heads: Iterable[str]) -> Column:
-    test = F.lit(False)
-    for head in heads:
-        test = test | value.startswith(head)
-    return test
+    """One pattern test, so ``value`` is evaluated once."""
+    return value.rlike("^(?:" + "|".join(heads) + ")")
+
+
+def _by_head(market: Column, code: Column, table: dict[str, list[str]]) -> Column:
+    """Look '<market><first two digits>' up in a small fixed table (one literal map, so
+    the generated code stays short)."""
+    pairs = [F.lit(x) for name, heads in table.items() for head in heads for x in (head, name)]
+    key = F.concat(market.cast("string"), F.substring(code, 1, 2))
+    return F.try_element_at(F.create_map(*pairs), key)
 
 
 def _clean(symbol) -> Column:
@@ -122,49 +128,64 @@ def action_code(value) -> Column:
     return F.when(text.rlike("^[0-9]+$") & (F.length(text) < 6), F.lpad(text, 6, "0")).otherwise(text)
 
 
+# Directory class by market digit and first two digits of the code.
+_CLASS_HEADS = {
+    "a_stock": ["000", "030", "160", "168"],
+    "b_stock": ["020", "190"],
+    "index": ["039", "100", "188", "199"],
+    "etf": ["151", "156"],
+    "bond": [
+        "010", "011", "012", "013", "014",
+        "101", "102", "110", "111", "112", "113", "114", "115", "116", "117", "118", "119", "120",
+    ],
+    "fund": ["015", "016", "018", "150", "152", "158"],
+}
+_ETF_RANGES = ["0159", "1588", "1589"]
+
+# Fine type by market digit and first two digits of the code.
+_TYPE_HEADS = {
+    "SZ_A_STOCK": ["000", "030"],
+    "SZ_B_STOCK": ["020"],
+    "SZ_INDEX": ["039"],
+    "SZ_FUND": ["015", "016", "018"],
+    "SZ_BOND": ["010", "011", "012", "013", "014"],
+    "SH_A_STOCK": ["160", "168"],
+    "SH_B_STOCK": ["190"],
+    "SH_INDEX": ["100", "188", "199"],
+    "SH_FUND": ["150", "151", "152", "156", "158"],
+    "SH_BOND": ["101", "110", "111", "112", "113", "114", "120"],
+}
+
+
+def _padded(code: Column) -> Column:
+    text = F.trim(code.cast("string"))
+    return F.when(text.rlike("^[0-9]{1,5}$"), F.lpad(text, 6, "0")).otherwise(text)
+
+
 def classify_security(market, code, name) -> Column:
-    """One of the seven directory classes.  A name holding ETF outranks bond/fund ranges."""
-    market = as_column(market)
-    text = F.trim(as_column(code).cast("string"))
-    code = F.when(text.rlike("^[0-9]{1,5}$"), F.lpad(text, 6, "0")).otherwise(text)
-    etf_name = F.coalesce(F.upper(as_column(name)), F.lit("")).contains("ETF")
-    shenzhen = (
-        F.when(starts_with_any(code, ["00", "30"]), "a_stock")
-        .when(code.startswith("20"), "b_stock")
-        .when(code.startswith("39"), "index")
-        .when(code.startswith("159") | etf_name, "etf")
-        .when(starts_with_any(code, ["10", "11", "12", "13", "14"]), "bond")
-        .when(starts_with_any(code, ["15", "16", "18"]), "fund")
-        .otherwise("other")
+    """One of the seven directory classes.  A name holding ETF outranks bond/fund ranges,
+    but not stock and index ranges."""
+    market, code = as_column(market), _padded(as_column(code))
+    base = _by_head(market, code, _CLASS_HEADS)
+    etf = (
+        F.coalesce(base == "etf", F.lit(False))
+        | F.concat(market.cast("string"), F.substring(code, 1, 3)).isin(_ETF_RANGES)
+        | F.coalesce(F.upper(as_column(name)), F.lit("")).contains("ETF")
     )
-    shanghai = (
-        F.when(starts_with_any(code, ["60", "68"]), "a_stock")
-        .when(code.startswith("90"), "b_stock")
-        .when(starts_with_any(code, ["00", "88", "99"]), "index")
-        .when(starts_with_any(code, ["51", "56", "588", "589"]) | etf_name, "etf")
-        .when(starts_with_any(code, ["01", "02", *map(str, range(10, 21))]), "bond")
-        .when(starts_with_any(code, ["50", "51", "52", "56", "58"]), "fund")
-        .otherwise("other")
+    return (
+        F.when(market == BJ, F.when(code.startswith("89"), "index").otherwise("a_stock"))
+        .when(~market.isin(SZ, SH), F.lit(None))
+        .when(base.isin("a_stock", "b_stock", "index"), base)
+        .when(etf, "etf")
+        .when(market.isNotNull(), F.coalesce(base, F.lit("other")))
     )
-    beijing = F.when(code.startswith("89"), "index").otherwise("a_stock")
-    return F.when(market == SZ, shenzhen).when(market == SH, shanghai).when(market == BJ, beijing)
 
 
 def security_type(market, code) -> Column:
     """Fine type such as SH_A_STOCK; NULL where no rule applies."""
     market, code = as_column(market), as_column(code).cast("string")
-    head = F.substring(code, 1, 2)
     return (
-        F.when((market == SZ) & head.isin("00", "30"), "SZ_A_STOCK")
-        .when((market == SZ) & (head == "20"), "SZ_B_STOCK")
-        .when((market == SZ) & (head == "39"), "SZ_INDEX")
-        .when((market == SZ) & head.isin("15", "16", "18"), "SZ_FUND")
-        .when((market == SZ) & head.isin("10", "11", "12", "13", "14"), "SZ_BOND")
-        .when((market == SH) & head.isin("60", "68"), "SH_A_STOCK")
-        .when((market == SH) & (head == "90"), "SH_B_STOCK")
-        .when((market == SH) & head.isin("00", "88", "99"), "SH_INDEX")
-        .when((market == SH) & head.isin("50", "51", "52", "56", "58"), "SH_FUND")
-        .when((market == SH) & head.isin("01", "10", "11", "12", "13", "14", "20"), "SH_BOND")
+        F.when(market.isin(SZ, SH), _by_head(market, code, _TYPE_HEADS))
         .when((market == BJ) & code.rlike("^89[0-9]{4}$"), "BJ_INDEX")
         .when((market == BJ) & code.rlike("^(920[0-9]{3}|[48][0-9]{5})$"), "BJ_A_STOCK")
     )
@@ -173,13 +194,14 @@ def security_type(market, code) -> Column:
 def category_and_board(market, code, name) -> tuple[Column, Column]:
     market, code = as_column(market), as_column(code)
     kind = classify_security(market, code, name)
-    category = F.when(kind == "a_stock", "a_share").when(kind == "b_stock", "b_share").otherwise(kind)
-    board = F.when(
-        kind == "a_stock",
-        F.when(market == BJ, "北交所")
-        .when((market == SZ) & starts_with_any(code, ["300", "301"]), "创业板")
-        .when((market == SH) & starts_with_any(code, ["688", "689"]), "科创板")
-        .otherwise("主板"),
+    category = F.regexp_replace(kind, "^([ab])_stock$", "$1_share")
+    padded = _padded(code)
+    board = (
+        F.when((market == BJ) & ~padded.startswith("89"), "北交所")
+        .when((market == SZ) & padded.rlike("^30[01]"), "创业板")
+        .when((market == SH) & padded.rlike("^68[89]"), "科创板")
+        .when((market == SZ) & padded.rlike("^(?:00|30)"), "主板")
+        .when((market == SH) & padded.rlike("^6[08]"), "主板")
     )
     return category, board
 

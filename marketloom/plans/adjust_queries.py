@@ -122,11 +122,12 @@ def adjust_hfq(spark, sf_dir):
 
 _PRECLOSE = """prev as (select *, lag(close) over (partition by code order by date) as pc,
                         lag(date) over (partition by code order by date) as pd from v_bars)"""
-_FOLD = """folded as (select p.*, list_reduce(list_prepend({'p': coalesce(pc, 0)::double, 'm': 1::double, 'c': 0::double},
-        list({'p': 0::double, 'm': s.m::double, 'c': s.c::double} order by s.date, s.seq) filter (where s.m is not null)),
-        lambda x, y: {'p': (x.p - y.c) / y.m, 'm': 1::double, 'c': 0::double}) as f
+_GATHER = """gathered as (select p.code, p.date, pc,
+        list({'p': 0::double, 'm': s.m::double, 'c': s.c::double} order by s.date, s.seq) filter (where s.m is not null) as steps
     from prev p left join v_steps s on s.code = p.code and s.date > p.pd and s.date <= p.date
-    group by all)"""
+    group by p.code, p.date, pc)"""
+_FOLD = """folded as (select *, list_reduce(list_prepend({'p': coalesce(pc, 0)::double, 'm': 1::double, 'c': 0::double}, steps),
+        lambda x, y: {'p': (x.p - y.c) / y.m, 'm': 1::double, 'c': 0::double}) as f from gathered)"""
 
 
 @query(
@@ -135,6 +136,7 @@ _FOLD = """folded as (select p.*, list_reduce(list_prepend({'p': coalesce(pc, 0)
         "v_bars v_steps",
         """select code, date::varchar as date, case when pc is not null then round((f.p)::decimal(28, 10), 6)::double end as preclose from folded""",
         _PRECLOSE,
+        _GATHER,
         _FOLD,
     ),
 )
@@ -149,21 +151,20 @@ def preclose(spark, sf_dir):
         "v_qfq v_bars v_steps",
         """select q.code, q.date::varchar as date, round((q.open * mul + add)::decimal(28, 10), 2)::double as open,
        round((q.close * mul + add)::decimal(28, 10), 2)::double as close,
-       case when pc is not null then round((round((f.p)::decimal(28, 10), 6)::double * mul + add)::decimal(28, 10), 1)::double end as preclose,
+       case when pc is not null then round((f.p * mul + add)::decimal(28, 10), 2)::double end as preclose,
        round((mul)::decimal(28, 10), 9)::double as adj, q.volume
 from v_qfq q join folded using (code, date)
 where round((q.open * mul + add)::decimal(28, 10), 2) <> 0""",
         _PRECLOSE,
+        _GATHER,
         _FOLD,
     ),
 )
 def adjust_bars(spark, sf_dir):
-    """Everything together; preclose is shown to one decimal since it is rounded twice."""
     bars, actions = t.bars(spark, sf_dir), t.actions(spark, sf_dir)
     out = adjust.adjust_bars(bars, actions, "qfq")
-    shown = half_up(F.col("preclose"), 1)
     return out.select(
-        "code", t.text("date").alias("date"), "open", "close", shown.alias("preclose"), half_up("adj", 9).alias("adj"), "volume"
+        "code", t.text("date").alias("date"), "open", "close", "preclose", half_up("adj", 9).alias("adj"), "volume"
     )
 
 
