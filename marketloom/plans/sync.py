@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,13 +62,16 @@ def sync(
     covered = store.coverage().select(*IDENTITY, "start", "end")
     ranges = planned_ranges(requested, covered, latest, overlap)
     rows = source if fallback is None else merge_fallback(source, fallback, key=KEY)
-    fetched = rows_in_ranges(rows, ranges, "month")
+    # One write of what was fetched; rows and coverage are both taken from it.
+    staged = f"{store.path}/staging/{uuid.uuid4().hex}"
+    rows_in_ranges(rows, ranges, "month").write.parquet(staged)
+    fetched = store.spark.read.parquet(staged)
     coverage = (
         fetched.select(*IDENTITY, F.col("range_start").alias("start"), F.col("range_end").alias("end"))
         .distinct()
         .withColumns({"source": F.lit(""), "is_approximate": F.lit(False)})
     )
-    store.upsert(fetched.drop("range_start", "range_end"), coverage=coverage)
+    store.upsert(fetched.drop("range_start", "range_end"), coverage=coverage, materialized=True)
     wanted = requested.select(*IDENTITY, F.col("start").alias("_lo"), F.col("end").alias("_hi"))
     return (
         store.bars()

@@ -1,7 +1,7 @@
 """Stored bars with their coverage, committed together.
 
 Plain Parquet folders, one per write and partition (market, frequency, adjustment,
-month).  A small JSON manifest names the live folder of each partition and the live
+period), where a period is a month of minute bars or a year of coarser ones.  A small JSON manifest names the live folder of each partition and the live
 coverage folder; replacing it by rename is the commit, so a failed write leaves the
 old table.  On a catalog with MERGE, ``DataFrame.mergeInto`` is the same upsert.
 """
@@ -24,7 +24,8 @@ from marketloom.schemas import COVERAGE, STORED_BARS
 
 IDENTITY = ["market", "code", "frequency", "adjustment"]
 KEY = [*IDENTITY, "ts"]
-_PARTITION = ["market", "frequency", "adjustment", "month"]
+_PARTITION = ["market", "frequency", "adjustment", "period"]
+_FINE = ["1m", "5m", "15m", "30m", "1h", "ex_1m"]
 
 
 class BarTable:
@@ -66,7 +67,7 @@ class BarTable:
         """Bars of some partition folders; identity values come from the folder names."""
         if not folders:
             return self.spark.createDataFrame([], STORED_BARS)
-        schema = T.StructType([*STORED_BARS.fields, *T.StructType.fromDDL("month STRING, version STRING").fields])
+        schema = T.StructType([*STORED_BARS.fields, *T.StructType.fromDDL("period STRING, version STRING").fields])
         reader = self.spark.read.option("basePath", f"{self.path}/data").schema(schema)
         return reader.parquet(*[f"{self.path}/data/{f}" for f in sorted(folders)]).select(*STORED_BARS.names)
 
@@ -84,15 +85,15 @@ class BarTable:
     def read_bars(self, identity: dict[str, str], start: str | None = None, end: str | None = None) -> DataFrame:
         """One series or many, both ends inclusive, in time order.
 
-        Folders of other partitions and months are never opened.
+        Folders of other partitions and periods are never opened.
         """
         def wanted(name: str) -> bool:
-            market, frequency, adjustment, month = name.split("|")
+            market, frequency, adjustment, period = name.split("|")
             fixed = {"market": market, "frequency": frequency, "adjustment": adjustment}
             return (
                 all(identity.get(k, v) == v for k, v in fixed.items())
-                and (start is None or month >= start[:7])
-                and (end is None or month <= end[:7])
+                and (start is None or period >= start[: len(period)])
+                and (end is None or period <= end[: len(period)])
             )
 
         folders = [folder for name, folder in self._manifest()["partitions"].items() if wanted(name)]
@@ -113,6 +114,7 @@ class BarTable:
         replace_from: str | None = None,
         coverage: DataFrame | None = None,
         seq: str | None = None,
+        materialized: bool = False,
         timezone: str = "Asia/Shanghai",
     ) -> None:
         """Insert or update bars; rows and coverage become visible together.
@@ -120,13 +122,16 @@ class BarTable:
         Without ``replace_from`` a row replaces the stored one of its key (the highest
         ``seq`` among repeats).  With it, the stored tail (``ts`` >= it) of the given
         series is removed and repeats in the input are an error.  Empty input changes
-        nothing.  Only the partitions and months concerned are rewritten.
+        nothing.  Only the partitions concerned are rewritten.  ``materialized`` says
+        that ``bars`` already reads from files and need not be written down first.
         """
         extra = [seq] if seq else []
-        # The input may be costly and is needed several times: write it once.
-        staged_path = f"{self.path}/staging/{uuid.uuid4().hex}"
-        _with_month(_normalize(bars, timezone, extra)).write.parquet(staged_path)
-        staged = self.spark.read.parquet(staged_path)
+        staged = _with_period(_normalize(bars, timezone, extra))
+        if not materialized:
+            # The input may be costly and is needed several times: write it once.
+            staged_path = f"{self.path}/staging/{uuid.uuid4().hex}"
+            staged.write.parquet(staged_path)
+            staged = self.spark.read.parquet(staged_path)
         names = _partition_names(staged)
         if not names:
             return
@@ -139,7 +144,7 @@ class BarTable:
             names |= {
                 n
                 for n in manifest["partitions"]
-                if n.rsplit("|", 1)[0] in heads and n.rsplit("|", 1)[1] >= replace_from[:7]
+                if n.rsplit("|", 1)[0] in heads and _reaches(n.rsplit("|", 1)[1], replace_from)
             }
         old = self._stored([manifest["partitions"][n] for n in names if n in manifest["partitions"]])
         if replace_from is not None:
@@ -150,18 +155,19 @@ class BarTable:
                 .where(F.col("_replaced").isNull() | ~tail)
                 .select(*STORED_BARS.names)
             )
-        merged = merge_bars(old, staged.drop("month"), key=KEY, seq=seq).select(*STORED_BARS.names)
+        merged = merge_bars(old, staged.drop("period"), key=KEY, seq=seq).select(*STORED_BARS.names)
         version = f"version={uuid.uuid4().hex}"
-        # Sorted inside each file, so code and time filters prune row groups.
+        # AQE sizes the files of each partition (large ones are split, however skewed);
+        # sorted inside each file, so code and time filters prune row groups.
         (
-            _with_month(merged)
-            .repartition(*_PARTITION, "code")
+            _with_period(merged)
+            .hint("rebalance", *_PARTITION)
             .sortWithinPartitions(*_PARTITION, "code", "ts")
             .write.partitionBy(*_PARTITION)
             .parquet(f"{self.path}/data/{version}")
         )
         # A partition emptied by ``replace_from`` has no folder and leaves the manifest.
-        kept = _partition_names(_with_month(staged.drop("month").unionByName(old, allowMissingColumns=True)))
+        kept = _partition_names(_with_period(staged.drop("period").unionByName(old, allowMissingColumns=True)))
         for name in names:
             manifest["partitions"].pop(name, None)
             if name in kept:
@@ -174,8 +180,13 @@ class BarTable:
         self._commit(manifest)
 
 
+def _reaches(period: str, time: str) -> bool:
+    """Whether a period has any time at or after ``time``."""
+    return period >= time[: len(period)]
+
+
 def _partition_names(bars: DataFrame) -> set[str]:
-    """Partitions present in bars with a month column: a short list by design."""
+    """Partitions present in bars with a period column: a short list by design."""
     rows = bars.select(*_PARTITION).distinct().collect()
     names = {"|".join(row) for row in rows}
     for name in names:
@@ -184,9 +195,9 @@ def _partition_names(bars: DataFrame) -> set[str]:
     return names
 
 
-def _with_month(bars: DataFrame) -> DataFrame:
-    """Partition columns beside the stored ones, so that each folder is complete."""
-    return bars.withColumn("month", F.date_format("ts", "yyyy-MM"))
+def _with_period(bars: DataFrame) -> DataFrame:
+    fine = F.col("frequency").isin(_FINE)
+    return bars.withColumn("period", F.date_format("ts", "yyyy-MM").substr(F.lit(1), F.when(fine, 7).otherwise(4)))
 
 
 def _normalize(bars: DataFrame, timezone: str, extra: Sequence[str]) -> DataFrame:

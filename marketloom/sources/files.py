@@ -1,7 +1,5 @@
 """Whole files as rows, their identity from the path, and text decoding."""
 
-from __future__ import annotations
-
 from collections.abc import Sequence
 
 import pandas as pd
@@ -76,19 +74,24 @@ def locate(files: DataFrame, symbols: DataFrame, subdir: str, suffixes: Sequence
     return wanted.join(best, "_want").drop("_want")
 
 
-@F.pandas_udf("string")
-def decode_text(content: pd.Series) -> pd.Series:
-    """UTF-8 (a leading mark dropped), else GB18030 with replacement."""
+def decode_text(content) -> Column:
+    """UTF-8 (a leading mark dropped), else GB18030 with replacement.
+
+    The function is nested so that workers get it by value and need no package.
+    """
+
+    def decode(contents: pd.Series) -> pd.Series:
+        def one(data):
+            if data is None:
+                return None
+            try:
+                return bytes(data).decode("utf-8-sig")
+            except UnicodeDecodeError:
+                return bytes(data).decode("gb18030", errors="replace")
 
-    def decode(data):
-        if data is None:
-            return None
-        try:
-            return bytes(data).decode("utf-8-sig")
-        except UnicodeDecodeError:
-            return bytes(data).decode("gb18030", errors="replace")
+        return contents.map(one)
 
-    return content.map(decode)
+    return F.pandas_udf(decode, "string")(content)
 
 
 def split_lines(text: Column) -> Column:

@@ -1,8 +1,7 @@
 """Smaller text sources: exported bars, factor payloads, company documents, checksums."""
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.numbers import finite_or_null
@@ -117,8 +116,12 @@ def verify_files(files: DataFrame, manifest: DataFrame, strict: bool = True) ->
     return joined.select(F.coalesce("filename", file_name(F.col("path"))).alias("filename"), "path", status.alias("status"))
 
 
-@F.pandas_udf("string")
-def _name_key(names):
-    import unicodedata
+def _name_key(names) -> Column:
+    """Composed (NFC), case-folded file name."""
+
+    def fold(values: pd.Series) -> pd.Series:
+        import unicodedata
+
+        return values.map(lambda n: None if n is None else unicodedata.normalize("NFC", n).casefold())
 
-    return names.map(lambda n: None if n is None else unicodedata.normalize("NFC", n).casefold())
+    return F.pandas_udf(fold, "string")(names)
