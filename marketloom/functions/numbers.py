@@ -53,9 +53,14 @@ def turnover_rate(volume_shares, float_equity) -> Column:
 
 
 def half_up(value, digits: int) -> Column:
-    """Decimal HALF_UP rounding of a double; the decimal step absorbs binary noise
-    (13.695 stored as 13.69499... rounds to 13.70)."""
-    return F.round(as_column(value).cast("decimal(28,10)"), digits).cast("double")
+    """HALF_UP (away from zero) rounding of a double.
+
+    A nudge of 1e-8 of the last place absorbs binary noise (13.695 stored as
+    13.69499... rounds to 13.70); all in double arithmetic, inside codegen.
+    """
+    value = as_column(value).cast("double")
+    unit = float(10**digits)
+    return F.signum(value) * (F.floor(F.abs(value) * unit + (0.5 + 1e-8)) / unit)
 
 
 def percent(part, whole, digits: int = 2) -> Column:

@@ -225,9 +225,14 @@ def volume_multiplier(market, code, strict: bool = False) -> Column:
     """Shares per tick volume unit: 100 for the types where that is confirmed.
 
     Others are rejected: an error in strict mode, NULL otherwise (such ticks then
-    count as excluded).
+    count as excluded).  Runs on every tick, so it is one set test rather than a
+    lookup of the type.
     """
-    known = F.coalesce(security_type(market, code).isin(LOT_TYPES), F.lit(False))
+    market, code = as_column(market), as_column(code).cast("string")
+    heads = [head for name in LOT_TYPES for head in _TYPE_HEADS.get(name, [])]
+    beijing = (market == BJ) & (security_type(market, code) == "BJ_A_STOCK")
+    listed = F.concat(market.cast("string"), F.substring(code, 1, 2)).isin(heads)
+    known = F.coalesce(listed | beijing, F.lit(False))
     if strict:
         return require(F.lit(100), known, "tick volume unit is not confirmed for this security")
     return F.when(known, F.lit(100))

@@ -80,7 +80,9 @@ def daily_maps(events: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     )
 
 
-def event_factors(days: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
+def event_factors(
+    days: DataFrame, keys: Sequence[str] = SERIES, keep: Sequence[str] = ()
+) -> DataFrame:
     """Per event date, the map of that day and all later ones (``mul``, ``add``).
 
     One row per security and event date, so a window partition is bounded by the
@@ -93,6 +95,7 @@ def event_factors(days: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     return days.withColumn("_beyond", beyond).select(
         *keys,
         "date",
+        *keep,
         F.product("day_mul").over(through).alias("mul"),
         F.sum(F.col("day_add") * F.col("_beyond")).over(through).alias("add"),
     )
@@ -103,55 +106,59 @@ def series_bounds(bars: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
 
 
 def price_factors(bars: DataFrame, actions: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
-    """Event-date table with forward (qfq) and backward (hfq) factors.
+    """Factor table: per security one row per event date, one at its first bar and one
+    the day after its last.
 
-    A bar uses the events strictly after its date; events beyond the last bar do not
-    count.  hfq is qfq anchored so that the first bar keeps its price.
+    A bar uses the first row strictly after its date: the events from there on.
+    Events beyond the last bar do not count.  hfq is qfq anchored so that the first
+    bar keeps its price.  The two outer rows stand for "no event" and make every bar
+    find a row.  Windows see event rows only, at most one per security and date.
     """
     keys = list(keys)
     bounds = series_bounds(bars, keys)
     days = daily_maps(event_maps(actions), keys)
+    limits = ["first_date", "last_date"]
     known = days.join(bounds, keys).where(F.col("date") <= F.col("last_date"))
-    factors = event_factors(known.select(*keys, "date", "day_mul", "day_add"), keys)
+    outer = bounds.select(
+        *keys,
+        F.explode(F.array("first_date", F.date_add("last_date", 1))).alias("date"),
+        F.lit(1.0).alias("day_mul"),
+        F.lit(0.0).alias("day_add"),
+        *limits,
+    )
+    # An event on the first bar's date merges with the outer row there.
+    merged = (
+        known.select(*keys, "date", "day_mul", "day_add", *limits)
+        .unionByName(outer)
+        .groupBy(*keys, "date", *limits)
+        .agg(F.product("day_mul").alias("day_mul"), F.sum("day_add").alias("day_add"))
+    )
+    factors = event_factors(merged, keys, limits)
     after_first = F.when(F.col("date") > F.col("first_date"), F.col("date"))
-    anchors = (
-        factors.join(bounds, keys)
-        .groupBy(*keys)
-        .agg(
-            F.min_by("mul", after_first).alias("anchor_mul"),
-            F.min_by("add", after_first).alias("anchor_add"),
-        )
+    series = Window.partitionBy(*keys)
+    anchored = factors.withColumns(
+        {
+            "_mul0": F.min_by("mul", after_first).over(series),
+            "_add0": F.min_by("add", after_first).over(series),
+        }
     )
-    mul0 = F.coalesce(F.col("anchor_mul"), F.lit(1.0))
-    add0 = F.coalesce(F.col("anchor_add"), F.lit(0.0))
-    anchored = mul0 != 0
-    return factors.join(anchors, keys).select(
+    usable = F.col("_mul0") != 0
+    return anchored.select(
         *keys,
         "date",
         F.col("mul").alias("qfq_mul"),
         F.col("add").alias("qfq_add"),
-        F.when(anchored, F.col("mul") / mul0).otherwise(1.0).alias("hfq_mul"),
-        F.when(anchored, (F.col("add") - add0) / mul0).otherwise(0.0).alias("hfq_add"),
-        # Bars after the last event are unadjusted by qfq; hfq still anchors them.
-        F.when(anchored, 1.0 / mul0).otherwise(1.0).alias("tail_mul"),
-        F.when(anchored, (0.0 - add0) / mul0).otherwise(0.0).alias("tail_add"),
+        F.when(usable, F.col("mul") / F.col("_mul0")).otherwise(1.0).alias("hfq_mul"),
+        F.when(usable, (F.col("add") - F.col("_add0")) / F.col("_mul0")).otherwise(0.0).alias("hfq_add"),
     )
 
 
 def adjustment_factors(bars: DataFrame, actions: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     """Bars with qfq_mul, qfq_add, hfq_mul, hfq_add; identity without events."""
-    keys = list(keys)
-    table = price_factors(bars, actions, keys)
-    tails = table.groupBy(*keys).agg(F.max("tail_mul").alias("_tm"), F.max("tail_add").alias("_ta"))
     names = ["qfq_mul", "qfq_add", "hfq_mul", "hfq_add"]
-    matched = asof_lookup(
-        bars, table, keys, "date", "date", names, direction=FORWARD, strict=True
-    ).join(tails, keys, "left")
-    fallback = {"qfq_mul": F.lit(1.0), "qfq_add": F.lit(0.0), "hfq_mul": F.col("_tm"), "hfq_add": F.col("_ta")}
-    identity = {"qfq_mul": 1.0, "qfq_add": 0.0, "hfq_mul": 1.0, "hfq_add": 0.0}
-    return matched.select(
-        *bars.columns,
-        *[F.coalesce(F.col(n), fallback[n], F.lit(identity[n])).alias(n) for n in names],
+    table = price_factors(bars, actions, keys)
+    return asof_lookup(
+        bars, table, keys, "date", "date", names, direction=FORWARD, strict=True, spans=True
     )
 
 

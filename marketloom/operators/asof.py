@@ -42,6 +42,7 @@ def asof_lookup(
     strict: bool = False,
     bucket: str = "month",
     prefix: str = "",
+    spans: bool = False,
 ) -> DataFrame:
     """Add the right row's ``values`` that is nearest in time to each left row.
 
@@ -49,6 +50,10 @@ def asof_lookup(
     the earliest at or after it; ``strict`` excludes equal times.  The matched row
     wins even where its values are NULL.  ``right`` must hold one row per (keys,
     right_time), so an array never outgrows the distinct times of one bucket.
+
+    ``spans`` promises that each key's right rows reach over its left rows on the open
+    side (a last row after them when looking forward, with one at or before their
+    first, and the reverse backward); the join for the range's edge is then left out.
     """
     if direction not in (BACKWARD, FORWARD):
         raise ValueError(f"unsupported direction: {direction!r}")
@@ -85,12 +90,16 @@ def asof_lookup(
             .alias("_carry"),
         )
     )
-    # Left rows beyond the last bucket (before the first, when looking forward) use
-    # the one filler bucket there.
-    edge_of = F.max if backward else F.min
-    edges = slices.groupBy(*keys).agg((edge_of("_bucket") + step).alias("_edge"))
     own_bucket = time_bucket(F.col(left_time), bucket)
-    clamp = F.least if backward else F.greatest
+    if spans:
+        placed = left.withColumn("_bucket", own_bucket)
+    else:
+        # Left rows beyond the last bucket (before the first, when looking forward) use
+        # the one filler bucket there.
+        edge_of = F.max if backward else F.min
+        edges = slices.groupBy(*keys).agg((edge_of("_bucket") + step).alias("_edge"))
+        clamp = F.least if backward else F.greatest
+        placed = left.join(edges, keys, "left").withColumn("_bucket", clamp(own_bucket, F.col("_edge")))
 
     hit_test = {
         (True, False): lambda e: e["t"] <= F.col(left_time),
@@ -101,11 +110,8 @@ def asof_lookup(
     hits = F.filter("_slice", hit_test)
     hit = F.get(hits, F.size(hits) - 1 if backward else F.lit(0))["v"]
 
-    joined = (
-        left.join(edges, keys, "left")
-        .withColumn("_bucket", clamp(own_bucket, F.col("_edge")))
-        .join(filled, [*keys, "_bucket"], "left")
-        .withColumn("_hit", F.coalesce(hit, F.col("_carry")))
+    joined = placed.join(filled, [*keys, "_bucket"], "left").withColumn(
+        "_hit", F.coalesce(hit, F.col("_carry"))
     )
     return joined.select(
         *[F.col(name) for name in left.columns],

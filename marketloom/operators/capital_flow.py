@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from marketloom.functions.labels import FLOW_MAIN, FLOW_RETAIL, FLOW_TIERS, FLOW_TOTAL
 from marketloom.functions.numbers import finite_or_null, percent
 from marketloom.functions.symbols import volume_multiplier
-from marketloom.functions.trades import BUY, DEFAULT_THRESHOLDS, NEUTRAL, SELL, order_tier
+from marketloom.functions.trades import BUY, DEFAULT_THRESHOLDS, NEUTRAL, SELL
 
 SERIES_DAY = ("market", "code", "date")
 UNIT = 10_000
@@ -31,23 +31,24 @@ def _money(name: str | Column) -> Column:
 
 def price_ticks(
     ticks: DataFrame,
+    keys: Sequence[str] = SERIES_DAY,
     thresholds: Sequence[float] = DEFAULT_THRESHOLDS,
     closed: str = "right",
     strict: bool = False,
 ) -> DataFrame:
-    """Add ``_valid``, ``_units`` (amount), ``_lots`` and ``_tier`` to each tick."""
+    """Keys and side of each tick with ``_units`` (amount) and ``_lots``, both NULL where
+    the tick is not usable, and its ``_tier`` (0 = smallest)."""
     price, lots = finite_or_null("price"), finite_or_null("vol")
     shares_per_lot = volume_multiplier("market", "code", strict)
-    valid = F.coalesce(
-        F.col("side").isin(BUY, SELL, NEUTRAL) & (price > 0) & (lots > 0) & shares_per_lot.isNotNull(),
-        F.lit(False),
-    )
-    units = F.when(valid, F.round(price * lots * shares_per_lot * UNIT).cast("bigint"))
+    usable = F.col("side").isin(BUY, SELL, NEUTRAL) & (price > 0) & (lots > 0)
+    units = F.when(usable, F.round(price * lots * shares_per_lot * UNIT).cast("bigint"))
+    amount = F.col("_units") / UNIT
+    passed = [amount > limit if closed == "right" else amount >= limit for limit in map(float, thresholds)]
+    tier = F.when(passed[2], 3).when(passed[1], 2).when(passed[0], 1).otherwise(0)
     return (
-        ticks.withColumn("_valid", valid)
-        .withColumn("_units", units)
-        .withColumn("_lots", F.when(valid, lots))
-        .withColumn("_tier", order_tier(_money("_units"), thresholds, closed))
+        ticks.select(*keys, "side", units.alias("_units"), lots.alias("_lots"))
+        .withColumn("_lots", F.when(F.col("_units").isNotNull(), F.col("_lots")))
+        .withColumn("_tier", tier)
     )
 
 
@@ -63,25 +64,26 @@ def flow_sums(
     The single shuffle behind the seven-row report, the summary, the history and the
     sector flow; persist it when several of them are wanted.
     """
+
     def when_sum(test: Column, value: str) -> Column:
         return F.coalesce(F.sum(F.when(test, F.col(value))), F.lit(0))
 
     sums = []
-    for tier, short in _SHORT.items():
+    for number, short in enumerate(reversed(_SHORT.values())):
         for side, word in ((BUY, "buy"), (SELL, "sell")):
-            test = (F.col("_tier") == tier) & (F.col("side") == side)
+            test = (F.col("_tier") == number) & (F.col("side") == side)
             sums.append(when_sum(test, "_units").alias(f"{short}_{word}_units"))
             sums.append(when_sum(test, "_lots").cast("double").alias(f"{short}_{word}_lots"))
     return (
-        price_ticks(ticks, thresholds, closed, strict)
+        price_ticks(ticks, keys, thresholds, closed, strict)
         .groupBy(*keys)
         .agg(
             *sums,
             F.coalesce(F.sum("_units"), F.lit(0)).alias("total_units"),
             F.coalesce(F.sum("_lots"), F.lit(0.0)).alias("total_lots"),
             when_sum(F.col("side") == NEUTRAL, "_units").alias("neutral_units"),
-            F.count_if("_valid").alias("trade_count"),
-            F.count_if(~F.col("_valid")).alias("excluded_trade_count"),
+            F.count("_units").alias("trade_count"),
+            F.count_if(F.col("_units").isNull()).alias("excluded_trade_count"),
         )
     )
 

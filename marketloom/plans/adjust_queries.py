@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketloom.functions.numbers import half_up, lots_to_shares, shares_to_lots, turnover_rate
+from marketloom.functions.numbers import lots_to_shares, shares_to_lots, turnover_rate
 from marketloom.operators import adjust, equity
 from marketloom.plans import tables as t
 from marketloom.plans.oracle_views import with_views
@@ -51,7 +51,7 @@ def turnover_scalar(spark, sf_dir):
     return t.bars(spark, sf_dir).select(
         "code",
         t.text("date").alias("date"),
-        half_up(turnover_rate(lots_to_shares(volume), F.lit(100_000.0)), 6).alias("turnover"),
+        t.exact(turnover_rate(lots_to_shares(volume), F.lit(100_000.0)), 6).alias("turnover"),
         lots_to_shares(volume).alias("shares"),
         shares_to_lots(volume).alias("lots"),
     )
@@ -164,7 +164,7 @@ def adjust_bars(spark, sf_dir):
     bars, actions = t.bars(spark, sf_dir), t.actions(spark, sf_dir)
     out = adjust.adjust_bars(bars, actions, "qfq")
     return out.select(
-        "code", t.text("date").alias("date"), "open", "close", "preclose", half_up("adj", 9).alias("adj"), "volume"
+        "code", t.text("date").alias("date"), "open", "close", "preclose", t.exact("adj", 9).alias("adj"), "volume"
     )
 
 
@@ -219,7 +219,7 @@ from a join ends using (code)""",
 def factor_adjust(spark, sf_dir):
     out = adjust.factor_adjust(t.bars(spark, sf_dir), _factor_series(spark, sf_dir), "qfq")
     return out.select(
-        "code", t.text("date").alias("date"), *t.rounded(6, "open", "close"), half_up("factor", 9).alias("factor")
+        "code", t.text("date").alias("date"), *t.rounded(6, "open", "close"), t.exact("factor", 9).alias("factor")
     )
 
 
@@ -278,5 +278,5 @@ def ratio_chain_hfq(spark, sf_dir):
 def _chain(spark, sf_dir, method):
     out = adjust.ratio_chain_adjust(t.bars(spark, sf_dir), t.actions(spark, sf_dir), method)
     return out.select(
-        "code", t.text("date").alias("date"), *t.rounded(6, "open", "close", "preclose"), half_up("adj", 9).alias("adj")
+        "code", t.text("date").alias("date"), *t.rounded(6, "open", "close", "preclose"), t.exact("adj", 9).alias("adj")
     )

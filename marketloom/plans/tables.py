@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.functions.numbers import half_up
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -174,6 +172,11 @@ def text(column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 
 
+def exact(value, digits: int) -> Column:
+    """Decimal rounding for output, so exact half-way values agree between engines."""
+    value = F.col(value) if isinstance(value, str) else value
+    return F.round(value.cast("decimal(28,10)"), digits).cast("double")
+
+
 def rounded(digits: int = 6, *names: str) -> list[Column]:
-    """Decimal rounding, so exact half-way values agree between engines."""
-    return [half_up(n, digits).alias(n) for n in names]
+    return [exact(n, digits).alias(n) for n in names]
