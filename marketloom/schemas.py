@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "TINYINT": T.ByteType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """'name TYPE, ...' without a session (schemas are built at import)."""
+    pairs = (field.split() for field in spec.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 SECURITY_KEY = ["market", "code"]

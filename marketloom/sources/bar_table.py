@@ -67,7 +67,8 @@ class BarTable:
         """Bars of some partition folders; identity values come from the folder names."""
         if not folders:
             return self.spark.createDataFrame([], STORED_BARS)
-        schema = T.StructType([*STORED_BARS.fields, *T.StructType.fromDDL("period STRING, version STRING").fields])
+        folders_hold = [T.StructField(name, T.StringType()) for name in ("period", "version")]
+        schema = T.StructType([*STORED_BARS.fields, *folders_hold])
         reader = self.spark.read.option("basePath", f"{self.path}/data").schema(schema)
         return reader.parquet(*[f"{self.path}/data/{f}" for f in sorted(folders)]).select(*STORED_BARS.names)
 
