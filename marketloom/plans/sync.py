@@ -42,6 +42,10 @@ def rows_in_ranges(bars: DataFrame, ranges: DataFrame, bucket: str = "day") -> D
     return found.where(F.col("ts") < F.col("range_end"))
 
 
+def _unadjusted(bars: DataFrame) -> DataFrame:
+    return bars if "adjustment" in bars.columns else bars.withColumn("adjustment", F.lit("none"))
+
+
 def sync(
     store: BarTable,
     source: DataFrame,
@@ -58,6 +62,8 @@ def sync(
     adjusted = requested.where(F.col("adjustment") != "none").limit(1).count()
     if adjusted:
         raise ValueError("only unadjusted bars can be synchronized")
+    source = _unadjusted(source)
+    fallback = None if fallback is None else _unadjusted(fallback)
     latest = store.bars().groupBy(*IDENTITY).agg(F.max("ts").alias("last"))
     covered = store.coverage().select(*IDENTITY, "start", "end")
     ranges = planned_ranges(requested, covered, latest, overlap)

@@ -59,7 +59,6 @@ def financial_records(files: DataFrame, strict: bool = True) -> DataFrame:
         return int(head["report_date"]), index["code"], np.ascontiguousarray(rows).view("<f4")
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["path", "code", "report_date", "values", "error"]
         for batch in batches:
             for path, name, content in zip(batch["path"], batch["name"], batch["content"]):
                 try:
@@ -67,7 +66,7 @@ def financial_records(files: DataFrame, strict: bool = True) -> DataFrame:
                 except (ValueError, zipfile.BadZipFile) as error:
                     if strict:
                         raise ValueError(f"{path}: {error}") from error
-                    yield pd.DataFrame([{"path": path, "error": str(error)}], columns=columns)
+                    yield pd.DataFrame({"path": [path], "code": [None], "report_date": [None], "values": [None], "error": [str(error)]})
                     continue
                 yield pd.DataFrame(
                     {

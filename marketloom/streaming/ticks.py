@@ -25,16 +25,16 @@ def stream_minutes(
     """Minute bars of a tick stream with event time ``ts`` (TIMESTAMP).
 
     Only traded minutes: carrying closes into empty ones needs the finished day and is
-    a batch step.  The bucket's end is the event time, so append mode can close it.
-    State is one row per open (series, minute).
+    a batch step.  The watermark runs on the bar's own time, so append mode closes a
+    bar once it lies behind, and state is one row per open (series, minute).
     """
     second = second_of_day("ts")
     minute = minute_bucket(F.floor(second / 60))
     zone_free = at_minute(F.to_date("ts"), minute).cast("timestamp")
     order = F.unix_micros("ts")
     return (
-        ticks.withWatermark("ts", watermark)
-        .withColumns({"bucket": zone_free, "_order": order, "_shares": F.col("vol").cast("double") * 100})
+        ticks.withColumns({"bucket": zone_free, "_order": order, "_shares": F.col("vol").cast("double") * 100})
+        .withWatermark("bucket", watermark)
         .groupBy(*keys, F.window("bucket", "1 minute").alias("_window"))
         .agg(
             F.min_by("price", "_order").alias("open"),
@@ -53,7 +53,8 @@ def stream_flow(
     watermark: str = "1 day",
     thresholds: Sequence[float] = DEFAULT_THRESHOLDS,
 ) -> DataFrame:
-    """Running flow summary per (market, code, day), for update mode."""
+    """Running flow summary per (market, code, day), for update mode; append mode gives
+    each day once, when the watermark has passed it."""
     keys = ["market", "code", "day"]
     timed = ticks.withWatermark("ts", watermark).withColumn("day", F.window("ts", "1 day"))
     return flow_summary(flow_sums(timed, keys, thresholds), keys).withColumn("day", F.to_date("day.start"))

@@ -11,9 +11,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
+        .config("spark.sql.shuffle.partitions", "2")
         # Tiny inputs: compiling each plan would cost more than running it.
         .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
