@@ -155,8 +155,11 @@ def price_factors(bars: DataFrame, actions: DataFrame, keys: Sequence[str] = SER
 
 def adjustment_factors(bars: DataFrame, actions: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     """Bars with qfq_mul, qfq_add, hfq_mul, hfq_add; identity without events."""
+    return _with_factors(bars, price_factors(bars, actions, keys), keys)
+
+
+def _with_factors(bars: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     names = ["qfq_mul", "qfq_add", "hfq_mul", "hfq_add"]
-    table = price_factors(bars, actions, keys)
     return asof_lookup(
         bars, table, keys, "date", "date", names, direction=FORWARD, strict=True, spans=True
     )
@@ -259,9 +262,9 @@ def adjust_bars(
         .distinct()
         .withColumn("_priced", F.lit(True))
     )
-    factored = adjustment_factors(reference_preclose(bars, actions, keys), actions, keys).join(
-        priced, keys, "left"
-    )
+    # The factor table comes from the bars themselves, not from the longer plan.
+    table = price_factors(bars, actions, keys)
+    factored = _with_factors(reference_preclose(bars, actions, keys), table, keys).join(priced, keys, "left")
     is_fund = F.coalesce(security_type("market", "code").endswith("_FUND"), F.lit(False))
     decimals = F.when(is_fund, 3).otherwise(2)
     touched = F.coalesce(F.col("_priced"), F.lit(False))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.numbers import finite_or_null
 from marketloom.functions.times import at_minute, clock_seconds, minute_of_day
-from marketloom.operators.scan import add_previous
+from marketloom.operators.scan import add_ordinal
 
 SERIES_DAY = ("market", "code", "date")
 SLOTS = 241
@@ -231,19 +231,31 @@ def build_minute_241(bars: DataFrame, ticks: DataFrame, multiplier: float = 100)
     for name in ("amount", "order"):
         if name not in columns:
             full = full.withColumn(name, F.lit(0.0))
-    if "last" not in columns:
-        full = add_previous(full, keys, "ts", "close", F.col("date"), "last").withColumn(
-            "last", F.coalesce("last", F.lit(0.0))
-        )
     if "auction_status" not in columns:
         full = full.withColumn("auction_status", F.lit("not_applicable"))
 
+    # One summary row per day carries all that a bar needs from outside its own row:
+    # the close before the day, whether 09:30 exists, and the auction.
     minute = minute_of_day("ts")
-    days = full.groupBy(*day_keys).agg(F.bool_or(minute == 570).alias("_has_auction"))
-    auctions = auction_values(ticks, day_keys, multiplier).withColumnRenamed(
-        "auction_status", "_auction_status"
+    by_date = Window.partitionBy(*keys).orderBy("date")
+    days = (
+        full.groupBy(*day_keys)
+        .agg(F.max_by("close", "ts").alias("_final"), F.bool_or(minute == 570).alias("_has_auction"))
+        .withColumn("_before", F.lag("_final").over(by_date))
+        .drop("_final")
+        .join(
+            auction_values(ticks, day_keys, multiplier).withColumnRenamed("auction_status", "_auction_status"),
+            day_keys,
+            "left",
+        )
     )
-    joined = full.join(days, day_keys).join(auctions, day_keys, "left")
+    joined = full.join(days, day_keys)
+    if "last" not in columns:
+        inside = Window.partitionBy(*day_keys).orderBy("ts")
+        previous = F.when(F.row_number().over(inside) == 1, F.col("_before")).otherwise(
+            F.lag("close").over(inside)
+        )
+        joined = joined.withColumn("last", F.coalesce(previous, F.lit(0.0)))
 
     number = {n: finite_or_null(n) for n in ("vol", "volume", "amount", "low", "high")}
     fits = (
@@ -269,7 +281,8 @@ def build_minute_241(bars: DataFrame, ticks: DataFrame, multiplier: float = 100)
         "amount": "auction_amount",
         "order": "auction_order",
     }
-    names = [n for n in full.columns if n != "date"]
+    names = [n for n in full.columns if n != "date"] + ([] if "last" in columns else ["last"])
+    kinds = {n: joined.schema[n].dataType for n in names}
 
     def first_bar(name: str) -> Column:
         if name == "last":
@@ -281,7 +294,7 @@ def build_minute_241(bars: DataFrame, ticks: DataFrame, multiplier: float = 100)
 
     def auction_bar(name: str) -> Column:
         if name == "ts":
-            return at_minute("date", F.lit(570)).cast(full.schema["ts"].dataType)
+            return at_minute("date", F.lit(570))
         if name in ("open", "high", "low", "close"):
             return F.when(derived, F.col("auction_price"))
         if name in taken:
@@ -297,7 +310,7 @@ def build_minute_241(bars: DataFrame, ticks: DataFrame, multiplier: float = 100)
         return F.col(name)
 
     def typed(make) -> Column:
-        return F.struct(*[make(n).cast(full.schema[n].dataType).alias(n) for n in names])
+        return F.struct(*[make(n).cast(kinds[n]).alias(n) for n in names])
 
     pair = F.when(F.col("_status").isNotNull(), F.array(typed(auction_bar), typed(first_bar))).otherwise(
         F.array(typed(first_bar))
@@ -311,9 +324,13 @@ def attach_minute_clock(
     """Clock of ordered intraday points: the i-th is 09:31..11:30, then 13:01..15:00.
 
     More than 240 points is an error; without ``strict`` such rows get a NULL time.
+    Positions come from the two-level scan over runs of the whole-number ``order``, so
+    a series that is far too long fails, or is marked, without filling one task.
     """
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    run = F.floor(F.col(order) / 65_536)
+    placed = add_ordinal(points, keys, [order], run, "_position").withColumn("_position", F.col("_position") + 1)
+    position = F.col("_position")
     minute = F.when(position <= 120, position + 570).when(position <= 240, position + 660)
     if strict:
         minute = F.coalesce(minute, F.raise_error(F.lit("more than 240 intraday points")).cast("int"))
-    return points.withColumn("ts", at_minute("date", minute))
+    return placed.withColumn("ts", at_minute("date", minute)).drop("_position")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.numbers import lots_to_shares, shares_to_lots, turnover_rate
 from marketloom.operators import adjust, equity
+from marketloom.plans import recipes
 from marketloom.plans import tables as t
 from marketloom.plans.oracle_views import with_views
 from marketloom.plans.registry import query
@@ -280,3 +281,33 @@ def _chain(spark, sf_dir, method):
     return out.select(
         "code", t.text("date").alias("date"), *t.rounded(6, "open", "close", "preclose"), t.exact("adj", 9).alias("adj")
     )
+
+
+@query(
+    "price_history",
+    with_views(
+        "v_bars v_maps v_actions",
+        """select q.code, q.date::varchar as date, round((close * mul / mul0 + (add - add0) / mul0)::decimal(28, 10), 2)::double as close,
+       round((mul / mul0)::decimal(28, 10), 9)::double as adj, round((case when e.eq > 0 then volume * 100 / e.eq * 100 end)::decimal(28, 10), 6)::double as turnover
+from q join (select code, arg_min(mul, date) as mul0, arg_min(add, date) as add0 from q group by code) using (code)
+asof left join equity e on q.code = e.code and q.date >= e.date""",
+        "late as (select * from v_bars where date >= date '1998-01-01')",
+        "ends as (select code, max(date) as hi from late group by code)",
+        """steps as (select code, date, mul, add, coalesce(product(mul) over (partition by code order by date desc
+                                            rows between unbounded preceding and 1 preceding), 1) as beyond
+           from v_maps join ends using (code) where date <= hi)""",
+        """f as (select code, date, product(mul) over w as mul, sum(add * beyond) over w as add from steps
+           window w as (partition by code order by date desc))""",
+        """q as (select b.code, b.date, b.close, b.volume, coalesce(f.mul, 1) as mul, coalesce(f.add, 0) as add
+           from late b asof left join f on b.code = f.code and f.date > b.date)""",
+        _EQUITY,
+    ),
+)
+def price_history(spark, sf_dir):
+    """Bars since 1998, adjusted backward from there, with turnover."""
+    out = recipes.price_history(
+        t.bars(spark, sf_dir), t.actions(spark, sf_dir), since="1998-01-01", adjusted="hfq", turnover=True
+    )
+    return out.select(
+        "code", t.text("date").alias("date"), "close", t.exact("adj", 9).alias("adj"), t.exact("turnover", 6).alias("turnover")
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marketloom.operators import capital_flow as flow
 from marketloom.operators.selection import window_days as window_days_of
+from marketloom.plans import recipes
 from marketloom.plans import tables as t
 from marketloom.plans.oracle_views import with_views
 from marketloom.plans.registry import query
@@ -245,3 +246,21 @@ def window_days(spark, sf_dir):
     return window_days_of(t.bars(spark, sf_dir).select("market", "code", "date"), 20).select(
         "code", t.text("date").alias("date"), "window_days"
     )
+
+
+@query(
+    "sector_report",
+    with_views(
+        _SECTOR_VIEWS,
+        """select code, main_net::double as main_net, round(main_net::double / total::double * 100, 2) as main_pct, total::double as total_amount
+from j where sector = 'ASIA' and traded is not null""",
+        _PER_CODE,
+        _JOINED,
+    ),
+)
+def sector_report(spark, sf_dir):
+    """Members of one region by main flow; the totals part is ``sector_flow``."""
+    members = t.sector_membership(spark, sf_dir).where(~F.col("sector").startswith("NATION"))
+    industries = members.select("market", "code", F.col("sector").alias("tdx_industry_name"))
+    _, ranked = recipes.sector_report("ASIA", industries, t.ticks(spark, sf_dir), strict=False)
+    return ranked.select("code", "main_net", "main_pct", "total_amount")

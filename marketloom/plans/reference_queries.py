@@ -8,7 +8,7 @@ from marketloom.functions import symbols as sy
 from marketloom.functions.finance import finance_quality, normalize_finance
 from marketloom.functions.numbers import finite_or_null, half_up, shares_to_lots, truncated
 from marketloom.functions.texts import normalize_document
-from marketloom.functions.times import clock_seconds, parse_date, unpack_date
+from marketloom.functions.times import bar_date, clock_seconds, parse_date, unpack_date
 from marketloom.functions.trades import auction_fields, trade_nature
 from marketloom.operators import calendars, duplicates, industry, selection, summary, watchlists
 from marketloom.plans import tables as t
@@ -272,17 +272,18 @@ def unresolved_industries(spark, sf_dir):
 
 @query(
     "block_groups",
-    """select n_name as blockname, n_regionkey as block_type, count(*) as stock_count,
+    """select n_name as blockname, s_suppkey // 2500 as block_type, count(*) as stock_count,
        string_agg('00' || printf('%04d', s_suppkey), ',' order by s_suppkey) as code_list
-from supplier join nation on s_nationkey = n_nationkey group by n_name, n_regionkey""",
+from supplier join nation on s_nationkey = n_nationkey group by n_name, s_suppkey // 2500""",
 )
 def block_groups(spark, sf_dir):
+    """Blocks of a nation within 2,500 suppliers: a block's list stays short."""
     flat = (
         t.table(spark, sf_dir, "supplier")
         .join(t.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("n_name").alias("blockname"),
-            F.col("n_regionkey").alias("block_type"),
+            F.expr("s_suppkey div 2500").alias("block_type"),
             F.col("s_suppkey").alias("code_index"),
             t.security_code("s_suppkey").alias("code"),
         )
@@ -361,6 +362,31 @@ def completeness_status(spark, sf_dir):
     )
 
 
+@query(
+    "chronological",
+    "select user_id::varchar as code, event_id as seq, date_trunc('minute', ts)::varchar as ts from events",
+)
+def chronological(spark, sf_dir):
+    """Minute stamps have ties; their source order decides."""
+    minute = F.date_trunc("minute", F.col("ts").cast("timestamp")).cast("timestamp_ntz")
+    rows = t.table(spark, sf_dir, "events").select(
+        t.market(), F.col("user_id").cast("string").alias("code"), minute.alias("ts"), F.col("event_id").alias("seq")
+    )
+    return selection.chronological(rows).select("code", "seq", t.text("ts").alias("ts"))
+
+
+@query(
+    "bar_dates",
+    """select o_orderkey, o_orderdate::date::varchar as date from orders""",
+)
+def bar_dates(spark, sf_dir):
+    """A bar's own date where it has one, else its year, month and day."""
+    orders = t.table(spark, sf_dir, "orders")
+    own = F.when(F.col("o_orderkey") % 2 == 0, F.to_date("o_orderdate"))
+    part = [f("o_orderdate") for f in (F.year, F.month, F.dayofmonth)]
+    return orders.select("o_orderkey", t.text(bar_date(own, *part)).alias("date"))
+
+
 @query(
     "request_order",
     "select o_orderkey as pos, c_custkey::varchar as code, c_acctbal from orders join customer on o_custkey = c_custkey where c_acctbal > 0",
@@ -394,40 +420,46 @@ def bare_code_rows(spark, sf_dir):
     return rows.select("code", t.text("date").alias("date"), "close")
 
 
-def _watchlists(spark, sf_dir):
-    return t.table(spark, sf_dir, "customer").select(
-        F.col("c_mktsegment").alias("name"), t.market(), F.col("c_custkey").cast("string").alias("code")
+def _by_nation(spark, sf_dir, name, key, code):
+    """Members named after their nation."""
+    nations = t.table(spark, sf_dir, "nation")
+    return (
+        t.table(spark, sf_dir, name)
+        .join(nations, F.col(key) == F.col("n_nationkey"))
+        .select(F.col("n_name").alias("name"), t.market(), F.col(code).cast("string").alias("code"), "n_nationkey")
     )
 
 
+_MEMBERS = """c as (select n_name as name, c_custkey::varchar as code, n_nationkey as k from customer join nation on c_nationkey = n_nationkey),
+s as (select n_name as name, s_suppkey::varchar as code, n_nationkey as k from supplier join nation on s_nationkey = n_nationkey)"""
+
+
 @query(
     "watchlists",
-    """select c_mktsegment as name, c_custkey::varchar as code from customer where c_mktsegment not in ('MACHINERY', 'BUILDING')
-union select 'BUILDING', s_suppkey::varchar from supplier
-union select n_name, s_suppkey::varchar from supplier join nation on s_nationkey = n_nationkey
-union select 'HOUSEHOLD', s_suppkey::varchar from supplier""",
+    "with " + _MEMBERS + """
+select name, code from c where k % 5 <> 4 and not (k % 3 = 1 and exists (select 1 from s where s.name = c.name))
+union select 'new ' || name, code from s union select name, code from s where k % 3 = 0 and k % 5 <> 4
+union select name, code from s where k % 3 = 1 and k % 5 <> 4""",
 )
 def watchlists_edited(spark, sf_dir):
-    """Create lists per nation, extend HOUSEHOLD, replace BUILDING, remove MACHINERY."""
-    suppliers = t.table(spark, sf_dir, "supplier")
-    nations = t.table(spark, sf_dir, "nation")
-    code = F.col("s_suppkey").cast("string").alias("code")
-    new = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("n_name").alias("name"), t.market(), code
-    )
-    lists = watchlists.create(_watchlists(spark, sf_dir), new)
-    lists = watchlists.update(lists, suppliers.select(F.lit("HOUSEHOLD").alias("name"), t.market(), code))
-    lists = watchlists.update(lists, suppliers.select(F.lit("BUILDING").alias("name"), t.market(), code), overflow=True)
-    gone = nations.select(F.lit("MACHINERY").alias("name"))
+    """Create lists, extend every third, replace the members of others, remove some."""
+    members = _by_nation(spark, sf_dir, "supplier", "s_nationkey", "s_suppkey")
+    k = F.col("n_nationkey")
+    lists = _by_nation(spark, sf_dir, "customer", "c_nationkey", "c_custkey").drop("n_nationkey")
+    lists = watchlists.create(lists, members.withColumn("name", F.concat(F.lit("new "), "name")))
+    lists = watchlists.update(lists, members.where(k % 3 == 0))
+    lists = watchlists.update(lists, members.where(k % 3 == 1), overflow=True)
+    gone = t.table(spark, sf_dir, "nation").where(k % 5 == 4).select(F.col("n_name").alias("name"))
     return watchlists.remove(lists, gone).drop("market")
 
 
 @query(
     "watchlist_search",
-    "select c_custkey::varchar as code from customer where c_mktsegment = 'BUILDING'",
+    "select c_custkey::varchar as code from customer join nation on c_nationkey = n_nationkey where n_name = 'NATION_7'",
 )
 def watchlist_search(spark, sf_dir):
-    return watchlists.search(_watchlists(spark, sf_dir), "BUILDING").select("code")
+    lists = _by_nation(spark, sf_dir, "customer", "c_nationkey", "c_custkey")
+    return watchlists.search(lists, "NATION_7").select("code")
 
 
 # --- calendar --------------------------------------------------------------------------------

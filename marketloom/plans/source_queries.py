@@ -7,6 +7,7 @@ per block of a thousand keys.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from marketloom.plans.oracle_views import with_views
 from marketloom.plans.registry import query
 from marketloom.plans.sync import sync
 from marketloom.session import shared_scratch
-from marketloom.sources import bar_files, block_files, config_files, files, finance_files, texts
+from marketloom.sources import bar_files, block_files, config_files, files, finance_files, sinks, texts
 from marketloom.sources.bar_table import BarTable
 
 
@@ -472,6 +473,20 @@ def locate_files(spark, sf_dir):
     return files.locate(paths, symbols, "minline", ["lc1", "1"]).select("c_custkey", "path")
 
 
+@query(
+    "export_bundle",
+    with_views("v_bars", "select code, date::varchar as date, open, close, volume from v_bars"),
+)
+def export_bundle(spark, sf_dir):
+    """One folder of CSV per security, read back with an explicit schema."""
+    path = f"{shared_scratch(spark)}/bundle-{uuid.uuid4().hex}"
+    bars = t.bars(spark, sf_dir).select("code", "date", "open", "close", "volume")
+    sinks.export(bars, path, "csv", by=["code"])
+    schema = "date date, open double, close double, volume double, code string"
+    out = spark.read.schema(schema).option("header", "true").csv(path)
+    return out.withColumn("date", t.text("date"))
+
+
 # --- stored bars -----------------------------------------------------------------------------------
 def _stored(bars):
     return bars.withColumns(
@@ -480,8 +495,6 @@ def _stored(bars):
 
 
 def _new_table(spark):
-    import uuid
-
     return BarTable(spark, f"{shared_scratch(spark)}/bars-{uuid.uuid4().hex}")
 
 
