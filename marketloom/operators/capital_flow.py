@@ -209,15 +209,24 @@ def flow_history(
     by_date = Window.partitionBy(*keys).orderBy("date")
     newest = Window.partitionBy(*keys).orderBy(F.col("date").desc())
     everything = Window.partitionBy(*keys)
+    # The rank filter is a window group limit: each mapper ships only the newest rows
+    # of a security (the days, their warm-up, and one more close).
+    recent = daily.withColumn("_age", F.row_number().over(newest)).where(
+        F.col("_age") <= days + warm_up + 1
+    )
     used = F.col("_age") <= days + warm_up
+    silent = used & (F.coalesce(F.col("trade_count"), F.lit(0)) == 0)
     ready = (
-        daily.join(flows, [*keys, "date"], "left")
-        .withColumn("_age", F.row_number().over(newest))
-        .withColumn("_previous", F.lag("close").over(by_date))
+        recent.join(flows, [*keys, "date"], "left")
+        .withColumns(
+            {
+                "_previous": F.lag("close").over(by_date),
+                "_repeats": F.max(F.col("_copies") > 1).over(everything),
+                "_holes": F.max(silent).over(everything),
+            }
+        )
         .withColumn("change_pct", F.round((F.try_divide("close", "_previous") - 1) * 100, 2))
-        .withColumn("_repeats", F.max(F.col("_copies") > 1).over(everything))
         .where(used)
-        .withColumn("_holes", F.max(F.coalesce(F.col("trade_count"), F.lit(0)) == 0).over(everything))
         .withColumn(
             "status",
             F.when(F.col("_repeats"), "duplicate_dates").when(F.col("_holes"), "missing_trades").otherwise("ok"),
