@@ -144,7 +144,7 @@ _TRADED = """traded as (select code, date, minute, arg_min(price, mod * 10000000
 )
 def traded_minutes(spark, sf_dir):
     out = minutes.traded_minutes(t.minute_ticks(spark, sf_dir))
-    return out.drop("market").withColumn("date", t.text("date")).withColumn("minute", F.col("_minute")).drop("_minute")
+    return out.drop("market").withColumn("date", t.text("date")).withColumn("minute", F.col("_minute").cast("int")).drop("_minute")
 
 
 @query(

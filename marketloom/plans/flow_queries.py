@@ -109,7 +109,7 @@ def _rolling_sql(days: int) -> str:
         windows.append(
             f"""case when {full} then sum(main_net) over w{k} end::double as main_{k}d_net,
        case when {full} then round((sum(main_net) over w{k})::double / (sum(total) over w{k})::double * 100, 2) end as main_{k}d_pct,
-       least(row_number() over (partition by code order by date), {k}) as window_{k}d_days,
+       least(row_number() over (partition by code order by date), {k})::int as window_{k}d_days,
        ({full})::int as window_{k}d_complete,
        case when {full} then sum(retail_net) over w{k} end::double as retail_{k}d_net,
        case when {full} then sum(total) over w{k} end::double as total_{k}d_amount"""

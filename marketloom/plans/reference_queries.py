@@ -479,7 +479,7 @@ def holidays(spark, sf_dir):
 
 @query(
     "trading_calendar",
-    """select date::varchar as date, year(date) as year from (select l_shipdate::date as date from lineitem union select date '1992-05-04')""",
+    """select date::varchar as date, year(date)::int as year from (select l_shipdate::date as date from lineitem union select date '1992-05-04')""",
 )
 def trading_calendar(spark, sf_dir):
     published = t.table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"))
@@ -534,7 +534,7 @@ def parsed_times(spark, sf_dir):
                  when oi = 0 then '空换' when vol = -oi then '双平' else '多平' end
             else case when oi > 0 then case when vol > oi then '开仓' when vol = oi then '双开' else '换手' end
                  when oi < 0 then case when vol > -oi then '平仓' when vol = -oi then '双平' else '换手' end else '换手' end end as label,
-       case when nature % 10000 > 59 then 0 else nature % 10000 end as second
+       (case when nature % 10000 > 59 then 0 else nature % 10000 end)::int as second
 from (select event_id, case when event_id % 5 = 0 then 31 else 30 end as mk, event_id % 6 as vol, event_id % 11 - 5 as oi,
              case when event_id % 10 = 0 then 256 when event_id % 10 = 5 then 0 else (event_id % 3) * 10000 + event_id % 70 end as nature from events)""",
 )
