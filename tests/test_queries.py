@@ -4,9 +4,12 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from marketloom.plans import load_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+LIBRARY = load_queries()
+QUERIES = {name: q.run for name, q in LIBRARY.items()}
+SQL = {name: q.sql for name, q in LIBRARY.items() if q.sql is not None}
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +25,11 @@ def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
 
 
+def test_entry_registers_the_library():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert oracle.difference(QUERIES[name](spark, SF_DIR), con, SQL[name]) == ""
