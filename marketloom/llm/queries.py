@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.llm import exact_dedup, mixing, quality_rules, url_filter
+from marketloom.llm import exact_dedup, mixing, quality_rules, secrets, url_filter
 from marketloom.llm import sql as oracle
 from marketloom.llm.common import read
 
@@ -30,9 +30,14 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(read(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(read(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, oracle.QUALITY_RULES),
     "op2_mix_sources": (op2_mix_sources, oracle.MIX_SOURCES),
     "op6_url_filter": (op6_url_filter, oracle.url_filter()),
     "op9_exact_dedup": (op9_exact_dedup, oracle.EXACT_DEDUP),
+    "op10_secret_scan": (op10_secret_scan, None),
 }
