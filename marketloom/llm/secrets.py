@@ -106,9 +106,11 @@ def digest(scanned: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = BASE
     text = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))
     names = [r.name for r in rules[:base]]
     in_base = F.filter("spans", lambda x: x["kind"].isin(names))
-    counts = {
-        f"n_{n}": F.size(F.filter("spans", lambda x, n=n: x["kind"] == n)).cast("bigint") for n in names
-    }
+
+    def count(name: str):
+        return F.size(F.filter("spans", lambda x: x["kind"] == name)).cast("bigint")
+
+    counts = {f"n_{name}": count(name) for name in names}
     return scanned.withColumns(
         counts
         | {
