@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.llm import exact_dedup, mixing, quality_rules, secrets, url_filter
+from marketloom.llm import exact_dedup, jaccard, mixing, quality_rules, secrets, url_filter
 from marketloom.llm import sql as oracle
 from marketloom.llm.common import read
 
@@ -26,6 +26,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(read(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ QUERIES = {
     "op1_quality_rules": (op1_quality_rules, oracle.QUALITY_RULES),
     "op2_mix_sources": (op2_mix_sources, oracle.MIX_SOURCES),
     "op6_url_filter": (op6_url_filter, oracle.url_filter()),
+    "op7_jaccard_join": (op7_jaccard_join, None),
     "op9_exact_dedup": (op9_exact_dedup, oracle.EXACT_DEDUP),
     "op10_secret_scan": (op10_secret_scan, None),
 }
