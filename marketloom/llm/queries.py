@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketloom.llm import exact_dedup, jaccard, mixing, quality_rules, secrets, url_filter
+from marketloom.llm import exact_dedup, jaccard, mixing, pieces, quality_rules, secrets, url_filter
 from marketloom.llm import sql as oracle
 from marketloom.llm.common import read
 
@@ -30,6 +31,14 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(read(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pieces.decode(pieces.encode(read(spark, sf_dir, "documents")))
+    return rows.select(
+        "doc_id", "sample", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+        "log_prob", "perturbed", "log_inclusion", F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(read(spark, sf_dir, "documents"))
 
@@ -43,6 +52,7 @@ QUERIES = {
     "op2_mix_sources": (op2_mix_sources, oracle.MIX_SOURCES),
     "op6_url_filter": (op6_url_filter, oracle.url_filter()),
     "op7_jaccard_join": (op7_jaccard_join, None),
+    "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_exact_dedup": (op9_exact_dedup, oracle.EXACT_DEDUP),
     "op10_secret_scan": (op10_secret_scan, None),
 }
