@@ -5,8 +5,9 @@ global order, rare ones first, frequent ones by an estimate; any fixed order giv
 same links.  With similarity p, two sets that link share at least l of the first
 n - ceil(p n) + l shingles of each, for any l.  A document takes the l whose estimated cost
 (postings read, plus candidates verified) is least: where its prefix holds frequent
-shingles it takes a longer prefix, and candidates must share more of it.  Two documents
-with l and m must share min(l, m), since the longer prefixes contain the shorter ones.
+shingles it takes a longer prefix, and candidates must share more of it.  How much, follows
+from both sizes: all of the overlap but what can lie behind the prefixes
+(:func:`_need`, at least the smaller l).
 
 Links are wanted as components, so not every pair of a large group is looked at:
 
@@ -16,7 +17,8 @@ Links are wanted as components, so not every pair of a large group is looked at:
    largest component against all others.  Each pair that links but is not yet connected
    meets there, so no link between components is lost.
 
-Verification compares whole sets.
+Only candidates that share enough of their prefixes are verified, on whole sets, which are
+made for their documents alone.
 """
 
 from __future__ import annotations
@@ -93,7 +95,7 @@ def prefix_of(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, perc
 
 
 def _keyed(docs: DataFrame, frequent: DataFrame, size: int, percent: int) -> DataFrame:
-    """``id, key, n, l, tokens`` per row: key is a 128-bit hash of the set."""
+    """``id, key, n, level, tokens`` per row: key is a 128-bit hash of the set."""
     table = np.array([(r.token, r.n) for r in frequent.collect()], dtype=np.int64).reshape(-1, 2)
     token = table[:, 0].view(np.uint64) if len(table) else np.zeros(0, np.uint64)
     order = np.argsort(token)
@@ -116,11 +118,11 @@ def _keyed(docs: DataFrame, frequent: DataFrame, size: int, percent: int) -> Dat
                     batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(levels, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 ],
-                ["id", "key", "n", "l", "tokens"],
+                ["id", "key", "n", "level", "tokens"],
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, key binary, n bigint, l int, tokens array<bigint>")
+    return docs.mapInArrow(run, f"id {kind}, key binary, n bigint, level int, tokens array<bigint>")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -139,8 +141,10 @@ def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> Da
     return made.join(chosen.select("node", "key"), "key").groupBy("node").agg(F.first("tokens").alias("tokens"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets reach the similarity."""
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """The (stored) pairs ``a, b`` whose whole sets reach the similarity."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = stored(_sets(docs, nodes, wanted, size), "shingle-sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,6 +166,14 @@ def _close(percent: int):
     return 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
 
 
+def _need(percent: int):
+    """What prefixes of p of n and q of m shingles must share.  Let the prefix of n end first
+    in the common order: then all that the sets share up to there is shared by the prefixes,
+    and at most n - p more can follow.  The larger rest is safe for either case."""
+    overlap = F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
+    return F.greatest(F.lit(1), overlap - F.greatest(F.col("n") - F.col("p"), F.col("m") - F.col("q")))
+
+
 def join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, frequent: int = FREQUENT
 ) -> DataFrame:
@@ -184,14 +196,13 @@ def join(
     nodes = stored(
         some.groupBy("key").agg(
             F.min("id").alias("least"), F.count(F.lit(1)).alias("docs"),
-            F.first("n").alias("n"), F.first("l").alias("l"), F.first("tokens").alias("tokens"),
+            F.first("n").alias("n"), F.first("tokens").alias("tokens"),
         ).withColumn("node", F.monotonically_increasing_id()),
         "shingle-nodes",
     )
-    postings = nodes.select("node", "n", "l", "docs", F.explode("tokens").alias("token"))
+    postings = nodes.select("node", "n", "docs", F.size("tokens").alias("p"), F.explode("tokens").alias("token"))
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("token")
     lists = stored(postings.join(shared, "token", "left_semi"), "shingle-postings")
-    sets = stored(_sets(docs, nodes, lists.select("node").distinct(), size), "shingle-sets")
 
     leaders = lists.groupBy("token").agg(F.max(F.struct("docs", F.col("node").alias("b"), F.col("n").alias("m"))).alias("_top"))
     star = (
@@ -200,7 +211,13 @@ def join(
         .filter("a <> b").filter(_close(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    links = stored(_verified(star, sets, percent), "shingle-links")
+    prefix = nodes.select(F.col("node").alias("a"), "n", F.size("tokens").alias("p"), F.col("tokens").alias("x"))
+    star = stored(
+        star.join(prefix, "a").join(prefix.toDF("b", "m", "q", "y"), "b")
+        .filter(F.size(F.array_intersect("x", "y")) >= _need(percent)).select("a", "b"),
+        "shingle-pairs",
+    )
+    links = stored(_verified(star, docs, nodes, size, percent), "shingle-links")
     labels = components(links)
 
     # Pairs from different components: per list, nodes outside the largest component.
@@ -210,20 +227,21 @@ def join(
     per_list = placed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("_n"))
     main = per_list.groupBy("token").agg(F.max(F.struct("_n", "label")).alias("_main"), F.count(F.lit(1)).alias("_labels"))
     mixed = placed.join(main.filter("_labels > 1").select("token", "_main.label").withColumnRenamed("label", "main"), "token")
-    outside = mixed.filter("label <> main").select("token", "node", "label", "n", "l")
+    outside = mixed.filter("label <> main").select("token", "node", "label", "n", "p")
     others = mixed.select(
-        "token", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("n").alias("m"), F.col("l").alias("l2"),
+        "token", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("n").alias("m"), F.col("p").alias("q"),
         (F.col("label") == F.col("main")).alias("is_main"),
     )
     crossing = (
         outside.join(others, "token")
         .filter("label <> label2 and (is_main or node < node2)").filter(_close(percent))
         .groupBy(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
-        .agg(F.count(F.lit(1)).alias("_shared"), F.min(F.least("l", "l2")).alias("_need"))
+        .agg(F.count(F.lit(1)).alias("_shared"), F.max(_need(percent)).alias("_need"))
         .filter("_shared >= _need").select("a", "b").join(star, ["a", "b"], "left_anti")
     )
-    more = stored(_verified(crossing, sets, percent), "shingle-links")
-    if not more.isEmpty():
+    crossing = stored(crossing, "shingle-pairs")
+    if not crossing.isEmpty():
+        more = stored(_verified(crossing, docs, nodes, size, percent), "shingle-links")
         labels = components(links.unionByName(more))
     member = nodes.select("key", "node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = member.groupBy("label").agg(F.min("least").alias("component_id"))
