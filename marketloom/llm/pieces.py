@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.text_arrays import bytes_of, mixed, pieces, prefix_sums, span_hashes
+from marketloom.llm.text_arrays import Lookup, bytes_of, mixed, pieces, prefix_sums, span_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
@@ -37,7 +37,6 @@ SEED = 8
 PIECE = 3_000_000
 LEAST_LOG = -745.0  # below, a probability is 0 as a double
 BLANK, BREAK = 0x20, 0x0A
-BITS = 18
 
 
 class Vocabulary:
@@ -84,10 +83,7 @@ class Vocabulary:
         hashes = span_hashes(prefix_sums(data), np.concatenate([[0], ends[:-1]]), ends)
         order = np.argsort(hashes)
         self.hashes = hashes[order]
-        # Sorted hashes, found by their high bits: where each bucket begins.
-        self.bucket = np.searchsorted(self.hashes, np.arange((1 << BITS) + 1, dtype=np.uint64) << np.uint64(64 - BITS))
-        self.bucket[-1] = len(order)
-        self.fullest = int(np.diff(self.bucket).max())
+        self.find = Lookup(self.hashes).find
         self.ids = np.array([found[r][0] for r in raws])[order]
         self.weights = np.array([found[r][1] for r in raws])[order]
         self.longest = max(len(r.decode()) for r in known)
@@ -95,26 +91,6 @@ class Vocabulary:
         self.offsets = np.concatenate([[0], np.cumsum([len(s) for s in self.surface])])
 
 
-    def find(self, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which hashes are known, and their place in the tables."""
-        bucket = (hashed >> np.uint64(64 - BITS)).astype(np.int64)
-        at, end = self.bucket[bucket], self.bucket[bucket + 1]
-        which, places = [], []
-        left = np.flatnonzero(at < end)
-        for _ in range(self.fullest):
-            here = at[left]
-            same = self.hashes[here] == hashed[left]
-            which.append(left[same])
-            places.append(here[same])
-            at[left] += 1
-            left = left[~same & (here + 1 < end[left])]
-            if not len(left):
-                break
-        which, places = np.concatenate(which), np.concatenate(places)
-        order = np.argsort(which, kind="stable")
-        return which[order], places[order]
-
-
 @cache
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import exact_dedup, jaccard, mixing, pieces, quality_rules, secrets, url_filter
+from marketloom.llm import exact_dedup, jaccard, lm_scoring, mixing, pieces, quality_rules, secrets, url_filter
 from marketloom.llm import sql as oracle
 from marketloom.llm.common import read
 
@@ -23,6 +23,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr("_row.doc_id as doc_id", "size", "source_size", "target", "size * copies as taken")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(read(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"))
 
@@ -50,6 +54,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, oracle.QUALITY_RULES),
     "op2_mix_sources": (op2_mix_sources, oracle.MIX_SOURCES),
+    "op3_lm_score": (op3_lm_score, None),
     "op6_url_filter": (op6_url_filter, oracle.url_filter()),
     "op7_jaccard_join": (op7_jaccard_join, None),
     "op8_sentencepiece": (op8_sentencepiece, None),

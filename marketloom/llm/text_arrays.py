@@ -105,3 +105,33 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     for k in range(1, size):
         h = mixed(h * _MUL + words[k : k + count])
     return mixed(h + np.uint64(size))
+
+
+class Lookup:
+    """Finds 64-bit hashes in a sorted table, by their high bits."""
+
+    def __init__(self, sorted_hashes: np.ndarray):
+        self.hashes = sorted_hashes
+        self.bits = max(4, int(len(sorted_hashes)).bit_length() + 1)
+        edges = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
+        self.bucket = np.append(np.searchsorted(sorted_hashes, edges), len(sorted_hashes))
+        self.fullest = int(np.diff(self.bucket).max())
+
+    def find(self, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are in the table, and their place in it."""
+        bucket = (hashed >> np.uint64(64 - self.bits)).astype(np.int64)
+        at, end = self.bucket[bucket], self.bucket[bucket + 1]
+        which, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        left = np.flatnonzero(at < end)
+        for _ in range(self.fullest):
+            here = at[left]
+            same = self.hashes[here] == hashed[left]
+            which.append(left[same])
+            places.append(here[same])
+            at[left] += 1
+            left = left[~same & (here + 1 < end[left])]
+            if not len(left):
+                break
+        which, places = np.concatenate(which), np.concatenate(places)
+        order = np.argsort(which, kind="stable")
+        return which[order], places[order]
