@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import exact_dedup, jaccard, lm_scoring, mixing, pieces, quality_rules, secrets, url_filter
+from marketloom.llm import (
+    classifier,
+    exact_dedup,
+    jaccard,
+    lm_scoring,
+    mixing,
+    pieces,
+    quality_rules,
+    repeats,
+    secrets,
+    url_filter,
+)
 from marketloom.llm import sql as oracle
 from marketloom.llm.common import read
 
@@ -27,6 +38,18 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(read(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.remove(read(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(read(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"))
 
@@ -55,6 +78,8 @@ QUERIES = {
     "op1_quality_rules": (op1_quality_rules, oracle.QUALITY_RULES),
     "op2_mix_sources": (op2_mix_sources, oracle.MIX_SOURCES),
     "op3_lm_score": (op3_lm_score, None),
+    "op4_suffix_dedup": (op4_suffix_dedup, None),
+    "op5_quality_classifier": (op5_quality_classifier, None),
     "op6_url_filter": (op6_url_filter, oracle.url_filter()),
     "op7_jaccard_join": (op7_jaccard_join, None),
     "op8_sentencepiece": (op8_sentencepiece, None),
