@@ -14,8 +14,9 @@ Links are wanted as components, so not every pair of a large group is looked at:
 1. in each posting list, all members are verified against one leader (the node with most
    documents), and the links found give components;
 2. then only pairs from different components are counted: per list, the nodes outside its
-   largest component against all others.  Each pair that links but is not yet connected
-   meets there, so no link between components is lost.
+   largest component against all others, of sizes that both meet in enough lists to link at
+   all.  Each pair that links but is not yet connected meets there, so no link between
+   components is lost.
 
 Only candidates that share enough of their prefixes are verified, on whole sets, which are
 made for their documents alone.
@@ -226,15 +227,27 @@ def join(
     )
     per_list = placed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("_n"))
     main = per_list.groupBy("token").agg(F.max(F.struct("_n", "label")).alias("_main"), F.count(F.lit(1)).alias("_labels"))
-    mixed = placed.join(main.filter("_labels > 1").select("token", "_main.label").withColumnRenamed("label", "main"), "token")
-    outside = mixed.filter("label <> main").select("token", "node", "label", "n", "p")
-    others = mixed.select(
+    mixed = stored(
+        placed.join(main.filter("_labels > 1").select("token", "_main.label").withColumnRenamed("label", "main"), "token"),
+        "shingle-mixed",
+    )
+    # Which sizes m a node can link to at all: it must meet m in enough of its lists.
+    sizes = mixed.select("token", F.col("n").alias("m")).distinct()
+    able = stored(
+        mixed.join(sizes, "token").filter(_close(percent))
+        .groupBy("node", "n", "p", "m").agg(F.count(F.lit(1)).alias("_met"))
+        .withColumn("q", F.col("m") - F.ceil(percent * F.col("m") / 100) + 1)
+        .filter(F.col("_met") >= _need(percent)).select("node", "m"),
+        "shingle-able",
+    )
+    outside = mixed.filter("label <> main").join(able, "node").select("token", "node", "label", "n", "p", "m")
+    others = mixed.join(able.withColumnRenamed("m", "_to"), "node").select(
         "token", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("n").alias("m"), F.col("p").alias("q"),
-        (F.col("label") == F.col("main")).alias("is_main"),
+        F.col("_to").alias("n"), (F.col("label") == F.col("main")).alias("is_main"),
     )
     crossing = (
-        outside.join(others, "token")
-        .filter("label <> label2 and (is_main or node < node2)").filter(_close(percent))
+        outside.join(others, ["token", "n", "m"])
+        .filter("label <> label2 and (is_main or node < node2)")
         .groupBy(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
         .agg(F.count(F.lit(1)).alias("_shared"), F.max(_need(percent)).alias("_need"))
         .filter("_shared >= _need").select("a", "b").join(star, ["a", "b"], "left_anti")
