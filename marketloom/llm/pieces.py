@@ -34,7 +34,7 @@ from marketloom.llm.text_arrays import Lookup, bytes_of, mixed, pieces, prefix_s
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 8
-PIECE = 3_000_000
+PIECE = 800_000  # bytes of text whose lattices are held at once
 LEAST_LOG = -745.0  # below, a probability is 0 as a double
 BLANK, BREAK = 0x20, 0x0A
 
