@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,11 +48,15 @@ def checkpoint_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own_folder()
     return folder
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder as Parquet and read it again: cuts lineage, and
     lost executors cost nothing that was stored."""
