@@ -106,7 +106,7 @@ def _candidates(docs: DataFrame, repeated: DataFrame, length: int, size: int, ta
     short = small(repeated, table)
     known = None
     if short:
-        hashes = repeated.toPandas()["a"].to_numpy(dtype=np.int64).view(np.uint64)
+        hashes = repeated.toArrow()["a"].to_numpy().astype(np.int64).view(np.uint64)
         known = docs.sparkSession.sparkContext.broadcast(np.sort(hashes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,33 +142,75 @@ def _candidates(docs: DataFrame, repeated: DataFrame, length: int, size: int, ta
     return found if short else found.join(repeated, "a", "left_semi")
 
 
-def _with_context(docs: DataFrame, ends: DataFrame, length: int, size: int) -> DataFrame:
-    """``a, key, at, n, left, context`` of the listed anchors, one row each."""
-    wanted = ends.groupBy("key").agg(F.collect_list(F.struct("at", "a", "n", "hot")).alias("anchors"))
-    joined = docs.join(wanted, "key").select("key", "text", "anchors")
+def _place_ids(keys: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """64-bit names of places in texts: ``keys`` are MD5s as rows of two numbers."""
+    return mixed(keys[:, 0] * _MUL + mixed(keys[:, 1] ^ mixed(at.astype(np.uint64))))
+
+
+def _with_context(docs: DataFrame, ends: DataFrame, length: int, size: int, table: int) -> DataFrame:
+    """``a, key, at, left, context`` of the listed anchors (``a, key, at``), possibly repeated
+    by copies of a text.  Their names are held by every task if few enough; beyond, texts
+    are joined with their anchors."""
+    if not small(ends, table):
+        return _contexts_by_join(docs, ends, length, size)
+    listed = ends.select("key", "at").toArrow()
+    keys = np.frombuffer(b"".join(listed["key"].to_pylist()), np.uint64).reshape(-1, 2)
+    names = docs.sparkSession.sparkContext.broadcast(np.sort(_place_ids(keys, listed["at"].to_numpy())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "key", "at", "n", "hot", "left", "context"]
+        find = Lookup(names.value).find
         for batch in batches:
-            out = {name: [] for name in names}
+            seen: set[bytes] = set()
+            for _, _, data, offsets in pieces(*bytes_of(batch.column(0))):
+                at, hashes, row = anchors(prefix_sums(data), offsets, length, size)
+                if not len(at):
+                    continue
+                raws = {r: data[offsets[r] : offsets[r + 1]].tobytes() for r in np.unique(row).tolist()}
+                digests = {r: hashlib.md5(raw).digest() for r, raw in raws.items()}
+                for r, key in digests.items():  # copies in a batch speak once
+                    if key in seen:
+                        row[row == r] = -1
+                    seen.add(key)
+                at, hashes, row = at[row >= 0], hashes[row >= 0], row[row >= 0]
+                if not len(at):
+                    continue
+                own = np.frombuffer(b"".join(digests[r] for r in row.tolist()), np.uint64).reshape(-1, 2)
+                which, _ = find(_place_ids(own, at - offsets[row]))
+                at, hashes, row = at[which], hashes[which], row[which]
+                left = np.minimum(at - offsets[row], length - size)
+                stop = np.minimum(at + length, offsets[row + 1])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(hashes.view(np.int64)), pa.array([digests[r] for r in row.tolist()], pa.binary()),
+                        pa.array(at - offsets[row]), pa.array(left),
+                        pa.array([data[x:y].tobytes() for x, y in zip((at - left).tolist(), stop.tolist(), strict=True)], pa.binary()),
+                    ],
+                    ["a", "key", "at", "left", "context"],
+                )
+
+    return docs.select("text").mapInArrow(run, _MEMBER)
+
+
+_MEMBER = "a bigint, key binary, at bigint, left bigint, context binary"
+
+
+def _contexts_by_join(docs: DataFrame, ends: DataFrame, length: int, size: int) -> DataFrame:
+    wanted = ends.groupBy("key").agg(F.collect_list(F.struct("at", "a")).alias("anchors"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "key", "at", "left", "context"]
+        for batch in batches:
+            out = []
             for key, text, found in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 raw = text.as_buffer().to_pybytes()
                 for f in found:
                     left = min(f["at"], length - size)
-                    for name, value in zip(names, (f["a"], key.as_py(), f["at"], f["n"], f["hot"], left, raw[f["at"] - left : f["at"] + length]), strict=True):
-                        out[name].append(value)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(out["a"], pa.int64()), pa.array(out["key"], pa.binary()), pa.array(out["at"], pa.int64()),
-                    pa.array(out["n"], pa.int64()), pa.array(out["hot"], pa.bool_()), pa.array(out["left"], pa.int64()),
-                    pa.array(out["context"], pa.binary()),
-                ],
-                names,
-            )
+                    out.append((f["a"], key.as_py(), f["at"], left, raw[f["at"] - left : f["at"] + length]))
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+            columns = [pa.array([row[k] for row in out], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    made = joined.mapInArrow(run, "a bigint, key binary, at bigint, n bigint, hot boolean, left bigint, context binary")
-    # Copies of a text give the same rows.
-    return made.groupBy("a", "key", "at", "n", "hot", "left").agg(F.first("context").alias("context"))
+    return docs.join(wanted, "key").select("key", "text", "anchors").mapInArrow(run, _MEMBER)
 
 
 def _strings(batch: pa.RecordBatch, length: int):
@@ -191,7 +233,13 @@ def _digit(sums: np.ndarray, place: np.ndarray, length: int, k: int, base=None)
 
 
 def _sorted_ends(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
-    """Per anchor the widest strings that repeat, from whole groups of anchors."""
+    """Per anchor the widest strings that repeat, from whole groups of anchors (sorted, so
+    that what copies of a text sent twice are neighbours)."""
+    keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), np.uint64).reshape(-1, 2)
+    at = batch.column("at").to_numpy()
+    fresh = np.ones(len(at), dtype=bool)
+    fresh[1:] = (keys[1:] != keys[:-1]).any(1) | (at[1:] != at[:-1])
+    batch = batch.filter(pa.array(fresh))
     data, row, before, place = _strings(batch, length)
     sums, second = prefix_sums(data), prefix_sums(data, SECOND)
     anchor = batch.column("a").to_numpy().view(np.uint64)
@@ -239,11 +287,12 @@ def _ends_by_sorting(members: DataFrame, length: int) -> DataFrame:
             yield _sorted_ends(groups(True), length)
 
     # Arrow batches of one partition come in order, so groups are whole or the last so far.
-    return members.repartition("a").sortWithinPartitions("a").mapInArrow(run, "key binary, low bigint, high bigint")
+    return members.repartition("a").sortWithinPartitions("a", "key", "at").mapInArrow(run, "key binary, low bigint, high bigint")
 
 
 def _ends_by_counting(members: DataFrame, length: int) -> DataFrame:
     """The same for anchors with very many contexts: strings are counted by Spark."""
+    members = members.groupBy("a", "key", "at", "left").agg(F.first("context").alias("context"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,11 +328,12 @@ def spans(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, table: int
         "key", f"greatest(at - {length - size}, 0) as low", f"last + {length} as high"
     )
     several = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("_contexts")).filter("_contexts > 1")
-    ends = kinds.join(several, "a").selectExpr("a", "n", "one.key as key", "one.at as at", f"_contexts > {group} as hot")
-    members = stored(_with_context(docs, ends, length, size), "anchor-ends")
-    edge = _ends_by_sorting(members.filter("not hot"), length)
-    if not members.filter("hot").isEmpty():
-        edge = edge.unionByName(_ends_by_counting(members.filter("hot"), length))
+    ends = stored(
+        kinds.join(several, "a").selectExpr("a", "one.key as key", "one.at as at", f"_contexts > {group} as hot"), "anchor-ends"
+    )
+    edge = _ends_by_sorting(_with_context(docs, ends.filter("not hot"), length, size, table), length)
+    if not ends.filter("hot").isEmpty():
+        edge = edge.unionByName(_ends_by_counting(_with_context(docs, ends.filter("hot"), length, size, table), length))
     # Copies of a text give the same pieces once.
     every = whole.unionByName(edge).distinct()
     return every.groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
