@@ -34,8 +34,8 @@ from marketloom.llm.text_arrays import Lookup, bytes_of, mixed, pieces, prefix_s
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 8
+IDS = 500_000  # ids decoded at once
 PIECE = 800_000  # bytes of text whose lattices are held at once
-LEAST_LOG = -745.0  # below, a probability is 0 as a double
 BLANK, BREAK = 0x20, 0x0A
 
 
@@ -105,19 +105,18 @@ class Lattice:
         lead = np.flatnonzero((data & 0xC0) != 0x80)  # character starts
         first, last = np.searchsorted(lead, starts), np.searchsorted(lead, ends)
         length = last - first
-        base = np.concatenate([[0], np.cumsum(length + 1)])[:-1]  # node before each chunk's first character
+        base = (np.cumsum(length + 1) - (length + 1)).astype(np.int32)  # node before each chunk's first character
         self.first_node, self.last_node = base, base + length
         limit = np.append(lead, len(data))
         sums = prefix_sums(data)
         total = int(length.sum())
-        chunk = np.repeat(np.arange(len(starts)), length)
-        place = np.arange(total) - np.repeat(np.concatenate([[0], np.cumsum(length)])[:-1], length)
-        char = first[chunk] + place
-        node = base[chunk] + place
-        room = length[chunk] - place
+        place = (np.arange(total) - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
+        char = np.repeat(first.astype(np.int32), length) + place
+        node = np.repeat(base, length) + place
+        room = np.repeat(length.astype(np.int32), length) - place
         source, target, piece, weight = [], [], [], []
         single = np.zeros(total, dtype=bool)
-        active = np.arange(total)
+        active = np.arange(total, dtype=np.int32)
         for size in range(1, words.longest + 1):
             active = active[room[active] >= size]
             if not len(active):
@@ -139,10 +138,11 @@ class Lattice:
         weight.append(words.byte_weight * (limit[char[odd] + 1] - limit[char[odd]]))
         self.limit, self.lead = limit, lead
         source, target = np.concatenate(source), np.concatenate(target)
-        depth = np.zeros(int(self.last_node[-1]) + 1 if len(base) else 1, dtype=np.int64)
+        depth = np.zeros(int(self.last_node[-1]) + 1 if len(base) else 1, dtype=np.int32)
         depth[node] = place
         depth[self.last_node] = length
-        order = np.lexsort([source, target, depth[target]])  # long pieces first: mostly the likeliest
+        # By depth, end, and length, long pieces first: mostly the likeliest.
+        order = np.argsort(((depth[target].astype(np.int64) << 31) + target << 7) - (target - source))
         self.source, target = source[order], target[order]
         self.piece, self.weight = np.concatenate(piece)[order], np.concatenate(weight)[order]
         head = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]])) if len(target) else np.zeros(0, np.int64)
@@ -245,75 +245,124 @@ def sample(words: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: np.nd
     log_mass = lattice.alpha[top]
     first_chunk = np.searchsorted(row, np.arange(rows + 1))
     clock = -np.log(_uniform(_seeds(keys, 0), 7))
-    # Found paths by row: (chunk, arc) of every decision, with the agenda clocks of each.
-    paths: list[list[tuple]] = [[] for _ in range(rows)]
     which, _, arcs = lattice.draw(top, low, _seeds(keys[row], 1, number))
     pending = _by_row(row[which], which, arcs, rows)
-    todo = {r: (pending[r], 0, clock[r], None) for r in range(rows) if filled[r]}
-    found: dict[int, list[tuple]] = {r: [] for r in todo}
+    todo = {r: (*pending[r], 0, 0.0, clock[r], []) for r in range(rows) if filled[r]}
+    agenda: dict[int, list[_Path]] = {r: [] for r in todo}
+    found: list[tuple] = []
+    nxt: dict[int, float] = {}
     for turn in range(1, k + 1):
+        for r, (chunk, arc, place, base, now, left) in todo.items():
+            path = _Path(lattice, chunk, arc, place, base, now, left, _seeds(keys[r : r + 1], turn, 3))
+            agenda[r].append(path)
+            found.append((r, turn, path, now))
         deviations = []
-        for r, ((chunk, arc), place, now, left) in todo.items():
-            before = np.concatenate([[0.0], np.cumsum(lattice.log_chance[arc])])
-            cut = max(int(np.searchsorted(-before[:-1], -LEAST_LOG)), place + 1)
-            chance = lattice.chance[arc[:cut]]
-            with np.errstate(divide="ignore", over="ignore", under="ignore", invalid="ignore"):
-                mass = np.exp(before[:cut]) * (1 - chance)
-                if left is not None:  # at the place it left, all arcs taken so far are out
-                    mass[place] = np.exp(before[place]) * max(0.0, 1 - lattice.chance[left].sum() - chance[place])
-                mass[chance >= 1] = 0
-                wait = -np.log(_uniform(_seeds(keys[r : r + 1], turn, 3), np.arange(cut) + 11))
-                times = np.where(mass > 0, now + wait / mass, np.inf)
-            times[:place] = np.inf
-            paths[r].append([chunk, arc, times, {place: [] if left is None else list(left)}])
-            found[r].append((before[-1], now, chunk, arc))
-        nxt = {}
         for r in todo:
-            best = min(range(len(paths[r])), key=lambda q: paths[r][q][2].min())
-            chunk, arc, times, taken = paths[r][best]
-            place = int(times.argmin())
-            now = float(times[place])
-            if not np.isfinite(now):
-                nxt[r] = np.inf
+            path = min(agenda[r], key=lambda q: q.best)
+            now = nxt[r] = path.best
+            if turn == k or not np.isfinite(now):
                 continue
-            nxt[r] = now
-            if turn == k:
-                continue
-            out = [*taken.get(place, []), int(arc[place])]
-            run = lattice.run[_end(lattice, top, chunk, arc, place)]
+            place = path.pop(_seeds(keys[r : r + 1], turn, 4))
+            # An arc into the same node, other than those taken there.
+            out = [*(path.left if place == path.place else []), int(path.arc[place])]
+            run = lattice.run[_end(lattice, top, path.chunk, path.arc, place)]
             choices = np.setdiff1d(np.arange(lattice.head[run], lattice.tail[run]), out)
             share = np.cumsum(lattice.chance[choices])
             u = float(_uniform(_seeds(keys[r : r + 1], turn, 5), 1)[0]) * share[-1]
             pick = int(choices[min(int(np.searchsorted(share, u)), len(choices) - 1)])
-            times[place] = np.inf  # what is left of this entry goes with the new path
-            deviations.append((r, chunk, arc, place, now, out, pick))
-        if turn == k or not deviations:
+            deviations.append((r, path, place, path.log_before(place), now, out, pick))
+        if not deviations:
             break
         # The rest of each new path: of its chunk from the new piece on, and of later chunks.
-        begin_at = [np.arange(int(d[1][d[3]]), first_chunk[d[0] + 1]) for d in deviations]
+        begin_at = [np.arange(int(d[1].chunk[d[2]]), first_chunk[d[0] + 1]) for d in deviations]
+        size = [len(b) for b in begin_at]
         chunk_at = np.concatenate(begin_at)
         nodes = top[chunk_at].copy()
-        nodes[np.concatenate([[0], np.cumsum([len(b) for b in begin_at])])[:-1]] = lattice.source[[d[6] for d in deviations]]
+        nodes[np.cumsum([0, *size[:-1]])] = lattice.source[[d[6] for d in deviations]]
         which, _, arcs = lattice.draw(nodes, low[chunk_at], _seeds(keys[row[chunk_at]], turn + 1, number[chunk_at]))
-        owner = np.repeat(np.arange(len(deviations)), [len(b) for b in begin_at])
-        rest = _by_row(owner[which], chunk_at[which], arcs, len(deviations))
+        rest = _by_row(np.repeat(np.arange(len(size)), size)[which], chunk_at[which], arcs, len(size))
         todo = {}
-        for (r, chunk, arc, place, now, out, pick), (more_chunk, more_arc) in zip(deviations, rest, strict=True):
-            joined = (
-                np.concatenate([chunk[: place + 1], more_chunk]),
-                np.concatenate([arc[:place], [pick], more_arc]),
-            )
-            todo[r] = (joined, place, now, out)
-    for r, samples in found.items():
-        threshold = nxt.get(r, np.inf)
-        for n, (log_p, now, chunk, arc) in enumerate(samples, 1):
-            if np.isfinite(threshold):
-                with np.errstate(under="ignore"):
-                    rate = np.exp(log_p) * threshold
-                    inclusion = log_p + np.log(threshold) if rate < 1e-12 else float(np.log(-np.expm1(-rate)))
-            else:
-                inclusion = 0.0
-            yield r, n, _ids(words, lattice, buffer, chunk, arc), log_p, -np.log(now), inclusion
+        for (r, path, place, base, now, out, pick), (more_chunk, more_arc) in zip(deviations, rest, strict=True):
+            chunk = np.concatenate([path.chunk[: place + 1], more_chunk])
+            arc = np.concatenate([path.arc[:place], [pick], more_arc])
+            todo[r] = (chunk, arc, place, base, now, out)
+    flat, cut = _ids(words, lattice, buffer, [(path.chunk, path.arc) for _, _, path, _ in found])
+    for n, (r, turn, path, now) in enumerate(found):
+        inclusion = 0.0
+        if np.isfinite(nxt[r]):
+            rate = np.exp(path.log_p) * nxt[r]
+            inclusion = path.log_p + np.log(nxt[r]) if rate < 1e-12 else float(np.log(-np.expm1(-rate)))
+        yield r, turn, flat[cut[n] : cut[n + 1]], path.log_p, -np.log(now), inclusion
+
+
+NEAR = -40.0  # log-probability after which a path's later places share one agenda entry
+STEP = 48
+
+
+class _Path:
+    """A found path and its agenda entries: one for each place from ``place`` on, where
+    another arc could be taken, until the path's probability has fallen by e^NEAR; one for
+    all later places together, told apart only if it is ever the best.
+
+    ``base`` is the log-probability of the decisions before ``place``, ``left`` the arcs
+    already taken there by other paths, ``now`` the clock at which the path was found.
+    """
+
+    def __init__(self, lattice, chunk, arc, place: int, base: float, now: float, left: list[int], seed):
+        self.chunk, self.arc, self.place, self.left = chunk, arc, place, left
+        size = STEP
+        while True:
+            before = np.concatenate([[0.0], np.cumsum(lattice.log_chance[arc[place : place + size]])])
+            if before[-1] < NEAR or place + size >= len(arc):
+                break
+            size *= 2
+        self.log_p = base + float(lattice.log_chance[arc[place:]].sum())
+        self.before = base + before
+        self.lattice = lattice
+        self.cut = min(int(np.searchsorted(-before, -NEAR)) + 1, len(before) - 1)
+        chance = lattice.chance[arc[place : place + self.cut]]
+        with np.errstate(divide="ignore", under="ignore", invalid="ignore", over="ignore"):
+            others = 1 - chance
+            if left:
+                others[0] = max(0.0, 1 - lattice.chance[left].sum() - chance[0])
+            mass = np.exp(self.before[: self.cut]) * np.where(chance >= 1, 0.0, others)
+            rest = 0.0
+            if place + self.cut < len(arc):
+                rest = np.exp(self.before[self.cut]) * -np.expm1(min(0.0, self.log_p - self.before[self.cut]))
+            mass = np.append(mass, rest)
+            wait = -np.log(_uniform(seed, np.arange(self.cut + 1) + 11))
+            self.times = np.where(mass > 0, now + wait / mass, np.inf)
+        self.best = float(self.times.min())
+
+    def log_before(self, place: int) -> float:
+        return float(self.before[place - self.place])
+
+    def pop(self, seed) -> int:
+        """Place of the best entry, which leaves the agenda."""
+        at = int(self.times.argmin())
+        if at == self.cut and self.place + self.cut < len(self.arc):
+            at = self._spread(seed)
+        self.times[at] = np.inf
+        self.best = float(self.times.min())
+        return self.place + at
+
+    def _spread(self, seed) -> int:
+        """Tell the later places apart: one of them has the shared entry's clock, the
+        others wait from there."""
+        now, first = self.times[self.cut], self.cut
+        arc = self.arc[self.place + first :]
+        logs = self.lattice.log_chance[arc]
+        self.before = np.concatenate([self.before[: first + 1], self.before[first] + np.cumsum(logs)])
+        with np.errstate(divide="ignore", under="ignore", invalid="ignore", over="ignore"):
+            mass = np.exp(self.before[first:-1]) * np.where(logs >= 0, 0.0, 1 - self.lattice.chance[arc])
+            wait = -np.log(_uniform(seed, np.arange(len(arc)) + 11))
+            times = np.where(mass > 0, now + wait / mass, np.inf)
+        share = np.cumsum(mass)
+        hit = min(int(np.searchsorted(share, float(_uniform(seed, 7)[0]) * share[-1], "right")), len(arc) - 1)
+        times[hit] = now
+        self.times = np.concatenate([self.times[:first], times, [np.inf]])
+        self.cut = len(self.times) - 1
+        return first + hit
 
 
 def _by_row(row: np.ndarray, chunk: np.ndarray, arcs: np.ndarray, rows: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -327,25 +376,32 @@ def _end(lattice: Lattice, top: np.ndarray, chunk: np.ndarray, arc: np.ndarray,
     return int(lattice.source[arc[place - 1]]) if same else int(top[chunk[place]])
 
 
-def _ids(words: Vocabulary, lattice: Lattice, buffer: np.ndarray, chunk: np.ndarray, arc: np.ndarray) -> np.ndarray:
-    """Piece ids in text order; decisions run backwards within their chunk."""
+def _ids(words: Vocabulary, lattice: Lattice, buffer: np.ndarray, paths: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of the paths in text order, and where each path's begin; decisions run
+    backwards within their chunk."""
+    sizes = np.array([len(c) for c, _ in paths], dtype=np.int64)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    if not len(paths):
+        return np.zeros(0, dtype=np.int64), bounds
+    chunk, arc = (np.concatenate([p[k] for p in paths]) for k in (0, 1))
     n = len(chunk)
-    head = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
+    fresh = np.concatenate([[True], chunk[1:] != chunk[:-1]])
+    fresh[bounds[:-1]] = True
+    head = np.flatnonzero(fresh)
     count = np.diff(np.append(head, n))
-    first = np.repeat(head, count)
-    ids = lattice.piece[arc[first + np.repeat(head + count, count) - 1 - np.arange(n)]]
+    ids = lattice.piece[arc[np.repeat(2 * head + count - 1, count) - np.arange(n)]]
     odd = np.flatnonzero(ids < 0)
     if not len(odd):
-        return ids
+        return ids, bounds
     at = -1 - ids[odd]
     size = lattice.limit[np.searchsorted(lattice.lead, at) + 1] - at
     widths = np.ones(n, dtype=np.int64)
     widths[odd] = size
+    starts = np.concatenate([[0], np.cumsum(widths)])
     out = np.repeat(ids, widths)
-    place = np.repeat(np.concatenate([[0], np.cumsum(widths)])[:-1][odd], size)
-    step = np.arange(len(place)) - np.repeat(np.cumsum(size) - size, size)
-    out[place + step] = words.byte_ids[buffer[np.repeat(at, size) + step]]
-    return out
+    step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(starts[odd], size) + step] = words.byte_ids[buffer[np.repeat(at, size) + step]]
+    return out, starts[bounds]
 
 
 def encode(
@@ -406,15 +462,21 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model: str = MODEL) -> Data
         words = vocabulary(model)
         for batch in batches:
             lists = batch.column(len(rest))
-            size = np.asarray(lists.value_lengths().fill_null(0))
+            ends = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths().fill_null(0)))])
             ids = np.asarray(lists.flatten())
-            width = words.offsets[ids + 1] - words.offsets[ids]
-            at = np.repeat(words.offsets[ids] - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
-            data = words.data[at]
-            ends = np.concatenate([[0], np.cumsum(width)])[np.concatenate([[0], np.cumsum(size)])]
-            texts = [data[a + 1 : b].tobytes() if b > a else b"" for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(texts, pa.binary()).cast(pa.string())], [*rest, "decoded"]
-            )
+            first = 0
+            while first < batch.num_rows:
+                last = max(int(np.searchsorted(ends, ends[first] + IDS, "right")) - 1, first + 1)
+                own = ids[ends[first] : ends[last]]
+                width = words.offsets[own + 1] - words.offsets[own]
+                place = np.concatenate([[0], np.cumsum(width)])
+                data = words.data[np.repeat(words.offsets[own] - place[:-1], width) + np.arange(int(place[-1]))]
+                cut = place[ends[first : last + 1] - ends[first]]
+                texts = [data[a + 1 : b].tobytes() if b > a else b"" for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                part = batch.slice(first, last - first)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], pa.array(texts, pa.binary()).cast(pa.string())], [*rest, "decoded"]
+                )
+                first = last
 
     return rows.mapInArrow(run, schema)
