@@ -170,8 +170,8 @@ def classify(
                 found, n = np.unique(votes(data, offsets)[0] @ powers, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["pattern", "n"])
 
-    counted = rows.select("text").mapInArrow(count, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n")).toPandas()
-    codes, n = counted["pattern"].to_numpy(dtype=np.int64), counted["n"].to_numpy(dtype=float)
+    counted = rows.select("text").mapInArrow(count, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n")).toArrow()
+    codes, n = counted["pattern"].to_numpy().astype(np.int64), counted["n"].to_numpy().astype(float)
     patterns = codes[:, None] // powers[None, :] % 3
     tables = np.full((len(HEADS), 3 ** len(VOTERS)), 0.5)
     for k, columns in enumerate(COLUMNS.values()):

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; a longer text is a piece of its own.
-PIECE = 4_000_000
+PIECE = 2_000_000
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
