@@ -57,3 +57,12 @@ def frequency_code(value: int | str) -> int:
     elif isinstance(value, int) and not isinstance(value, bool) and 0 <= value < len(FREQUENCIES):
         return value
     raise ValueError(f"unsupported bar frequency: {value!r}")
+
+
+def frequency_column(value) -> Column:
+    """Numeric frequency of a column of names, aliases or numbers; NULL if there is none."""
+    names = {**{n: i for i, n in enumerate(FREQUENCIES)}, **{a: FREQUENCIES.index(n) for a, n in FREQUENCY_ALIASES.items()}}
+    table = F.create_map(*[F.lit(x) for x in chain.from_iterable(names.items())])
+    text = F.lower(F.trim(as_column(value).cast("string")))
+    number = text.try_cast("int")
+    return F.coalesce(F.try_element_at(table, text), F.when(number.between(0, len(FREQUENCIES) - 1), number))

@@ -63,7 +63,9 @@ def unpack_minutes(minutes) -> tuple[Column, Column]:
 
 def in_session(ts) -> Column:
     """Strictly inside 09:30-11:30 or 13:00-15:00."""
-    second = second_of_day(ts)
+    ts = as_column(ts)
+    # Microseconds count: half a second past the opening is inside.
+    second = second_of_day(ts) + F.extract(F.lit("SECOND"), ts) - F.second(ts)
     return ((second > 34_200) & (second < 41_400)) | ((second > 46_800) & (second < 54_000))
 
 

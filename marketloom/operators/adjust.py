@@ -282,6 +282,37 @@ def adjust_bars(
     )
 
 
+def adjust_intraday(
+    bars: DataFrame,
+    actions: DataFrame,
+    method: str = "qfq",
+    price_decimals: int = 2,
+    keys: Sequence[str] = SERIES,
+    ts: str = "ts",
+) -> DataFrame:
+    """Adjust bars of any frequency by the factors of their day, and add ``preclose``: the
+    day's reference for its first bar, the bar before for the others (adjusted alike).
+
+    Factors and references are worked out on one row per security and day, then joined;
+    the only window over the bars themselves stays inside a day.
+    """
+    keys = list(keys)
+    dated = bars.withColumn("date", F.to_date(ts))
+    daily = dated.groupBy(*keys, "date").agg(F.max_by("close", ts).alias("close"))
+    reference = reference_preclose(daily, actions, keys).select(*keys, "date", F.col("preclose").alias("_reference"))
+    factors = adjustment_factors(daily.select(*keys, "date"), actions, keys)
+    day = Window.partitionBy(*keys, "date").orderBy(ts)
+    before = dated.withColumns({"_before": F.lag("close").over(day), "_first": F.row_number().over(day) == 1})
+    joined = before.join(factors, [*keys, "date"]).join(reference, [*keys, "date"], "left")
+    priced = joined.withColumn("preclose", F.when(F.col("_first"), F.col("_reference")).otherwise(F.col("_before")))
+    out = apply_factors(priced, method, price_decimals)
+    exact = F.col("preclose") * F.col(f"{adjustment_method(method)}_mul") + F.col(f"{adjustment_method(method)}_add")
+    kept = [n for n in bars.columns if n != "preclose"]
+    if "preclose" in PRICE_COLUMNS:
+        return out.select(*kept, "preclose")
+    return out.withColumn("preclose", half_up(exact, price_decimals)).select(*kept, "preclose")
+
+
 def iterative_forward_adjust(
     bars: DataFrame, actions: DataFrame, keys: Sequence[str] = SERIES
 ) -> DataFrame:

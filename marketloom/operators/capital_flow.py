@@ -41,7 +41,8 @@ def price_ticks(
     price, lots = finite_or_null("price"), finite_or_null("vol")
     shares_per_lot = volume_multiplier("market", "code", strict)
     usable = F.col("side").isin(BUY, SELL, NEUTRAL) & (price > 0) & (lots > 0)
-    units = F.when(usable, F.round(price * lots * shares_per_lot * UNIT).cast("bigint"))
+    # An amount beyond BIGINT makes a tick unusable, not the market's job fail.
+    units = F.when(usable, F.round(price * lots * shares_per_lot * UNIT).try_cast("bigint"))
     amount = F.col("_units") / UNIT
     passed = [amount > limit if closed == "right" else amount >= limit for limit in map(float, thresholds)]
     tier = F.when(passed[2], 3).when(passed[1], 2).when(passed[0], 1).otherwise(0)
@@ -172,11 +173,11 @@ def unknown_side_counts(ticks: DataFrame, keys: Sequence[str] = SERIES_DAY) -> D
 def flow_history(
     bars: DataFrame,
     summary: DataFrame,
-    days: int = 20,
+    days: int | None = 20,
     windows: Sequence[int] = (5, 20),
     strict: bool = False,
 ) -> DataFrame:
-    """Daily flow with rolling main-flow sums, the last ``days`` rows per security.
+    """Daily flow with rolling main-flow sums, the last ``days`` rows per security (None: all).
 
     ``bars`` needs market, code, date, close; ``summary`` is :func:`flow_summary` per
     (market, code, date).  Warm-up rows are read before the cut, so the windows of
@@ -211,10 +212,10 @@ def flow_history(
     everything = Window.partitionBy(*keys)
     # The rank filter is a window group limit: each mapper ships only the newest rows
     # of a security (the days, their warm-up, and one more close).
-    recent = daily.withColumn("_age", F.row_number().over(newest)).where(
-        F.col("_age") <= days + warm_up + 1
-    )
-    used = F.col("_age") <= days + warm_up
+    recent = daily.withColumn("_age", F.row_number().over(newest))
+    if days is not None:
+        recent = recent.where(F.col("_age") <= days + warm_up + 1)
+    used = F.lit(True) if days is None else F.col("_age") <= days + warm_up
     silent = used & (F.coalesce(F.col("trade_count"), F.lit(0)) == 0)
     ready = (
         recent.join(flows, [*keys, "date"], "left")
@@ -277,7 +278,7 @@ def flow_history(
             "_age",
             *out,
         )
-        .where(F.col("_age") <= days)
+        .where(F.lit(True) if days is None else F.col("_age") <= days)
         .drop("_age")
     )
 

@@ -13,14 +13,18 @@ KEY = ("code", "report_date")
 def duplicate_report(records: DataFrame, key: Sequence[str] = KEY, values: str = "values") -> DataFrame:
     """Per key the number of records and whether they all hold the same values.
 
-    Least and greatest value arrays are compared exactly; NaN equals NaN in Spark, as
-    it must here.  Both are plain aggregates, so copies combine before the shuffle.
+    Rows are grouped by key and values first (hash aggregates, so copies combine before the
+    shuffle), then variants are counted; NaN equals NaN in Spark's grouping, as it must
+    here.  Of conflicting variants the least is shown.
     """
-    return records.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.min(values).alias("_low"),
-        F.max(values).alias("_high"),
-    ).select(*key, "copies", (~F.col("_low").eqNullSafe(F.col("_high"))).alias("conflict"), F.col("_low").alias(values))
+    variants = records.groupBy(*key, values).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = variants.groupBy(*key).agg(F.sum("_n").alias("copies"), (F.count(F.lit(1)) > 1).alias("conflict"))
+    same = [F.col(f"v.{k}").eqNullSafe(F.col(f"p.{k}")) for k in key]
+    joined = variants.alias("v").join(per_key.alias("p"), same)
+    one = joined.select(*[f"p.{k}" for k in key], "copies", "conflict", f"v.{values}")
+    clear = one.where("not conflict")
+    mixed = one.where("conflict").groupBy(*key, "copies", "conflict").agg(F.min(values).alias(values))
+    return clear.unionByName(mixed)
 
 
 def unique_records(

@@ -13,7 +13,6 @@ from marketloom.operators.scan import add_ordinal
 
 SERIES_DAY = ("market", "code", "date")
 SLOTS = 241
-_SEQ_BITS = 44
 
 
 def with_clock(ticks: DataFrame) -> DataFrame:
@@ -25,6 +24,16 @@ def with_clock(ticks: DataFrame) -> DataFrame:
     return ticks.withColumn("sod", clock_seconds("time"))
 
 
+def tick_order(time: Column, seq: str = "seq") -> Column:
+    """(time, seq) as one orderable number: 18 digits of time (not negative), then the BIGINT."""
+    return time.cast("decimal(18,0)") * F.lit(str(10**19)).cast("decimal(20,0)") + F.col(seq).cast("decimal(19,0)")
+
+
+def exact_units(amount: Column) -> Column:
+    """Ten-thousandths as BIGINT; NULL where the amount is beyond its range."""
+    return F.round(amount * 10_000).try_cast("bigint")
+
+
 def minute_bucket(minute: Column) -> Column:
     """Minute bar of a tick: the next minute, with auction, noon and close clamped."""
     following = F.greatest(minute, F.lit(569)) + 1
@@ -50,6 +59,7 @@ def tick_problem(ticks: DataFrame) -> Column:
         F.when(~clocked, "time")
         .when(~F.coalesce(price > 0, F.lit(False)), "price")
         .when(~F.coalesce(volume >= 0, F.lit(False)), "volume")
+        .when(exact_units(price * volume * 100).isNull(), "amount")
     )
     if "num" in ticks.columns:
         problem = problem.when(~F.coalesce(finite_or_null("num") >= 0, F.lit(False)), "num")
@@ -60,7 +70,7 @@ def traded_minutes(ticks: DataFrame, keys: Sequence[str] = SERIES_DAY, strict: b
     """One row per key and minute that traded: OHLC, shares, amount, orders.
 
     Hash aggregation with map-side partial results; input order inside a minute is
-    (second, seq), packed into one BIGINT.  A day with an unusable tick, or without
+    (second, seq), as one decimal with room for any BIGINT.  A day with an unusable tick, or without
     volume, is left out (an error in strict mode) -- see :func:`rejected_days`.
     """
     keys = list(keys)
@@ -69,7 +79,7 @@ def traded_minutes(ticks: DataFrame, keys: Sequence[str] = SERIES_DAY, strict: b
     bad = problem.isNotNull()
     if strict:
         bad = F.when(bad, F.raise_error(F.concat(F.lit("unusable tick: "), problem))).otherwise(False)
-    order = F.shiftleft(F.col("sod").cast("bigint"), _SEQ_BITS) + F.col("seq")
+    order = tick_order(F.col("sod"))
     orders = F.col("num").cast("double") if "num" in ticks.columns else F.lit(0.0)
     minutes = (
         clocked.withColumns(
@@ -88,7 +98,7 @@ def traded_minutes(ticks: DataFrame, keys: Sequence[str] = SERIES_DAY, strict: b
             F.max_by("price", "_order").alias("close"),
             F.sum("_shares").alias("volume"),
             # Exact units: the result does not depend on the order of summation.
-            (F.sum(F.round(F.col("price") * F.col("_shares") * 10_000).cast("bigint")) / 10_000).alias("amount"),
+            (F.sum(exact_units(F.col("price") * F.col("_shares"))) / 10_000).alias("amount"),
             F.sum(orders).alias("order"),
             F.count_if("_bad").alias("_bad"),
         )

@@ -16,7 +16,7 @@ SERIES = ("market", "code")
 
 
 def newest_page(
-    bars: DataFrame, start: int, size: int, keys: Sequence[str] = SERIES, ts: str = "ts", limit: int = 800
+    bars: DataFrame, start: int, size: int, keys: Sequence[str] = SERIES, ts: str = "ts"
 ) -> DataFrame:
     """Rows ``start`` .. ``start + size`` counted back from the newest, per series.
 
@@ -25,7 +25,6 @@ def newest_page(
     """
     if start < 0 or size <= 0:
         raise ValueError("start must not be negative and size must be positive")
-    size = min(size, limit)
     age = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(ts).desc()))
     return (
         bars.withColumn("_age", age)
@@ -37,7 +36,7 @@ def newest_page(
 
 def last_rows(frame: DataFrame, n: int, keys: Sequence[str] = SERIES, ts: str = "ts") -> DataFrame:
     """The newest ``n`` rows of each series."""
-    return newest_page(frame, 0, n, keys, ts, limit=n)
+    return newest_page(frame, 0, n, keys, ts)
 
 
 def chronological(frame: DataFrame, keys: Sequence[str] = SERIES, ts: str = "ts", seq: str = "seq") -> DataFrame:

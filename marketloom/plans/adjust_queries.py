@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketloom.functions.numbers import lots_to_shares, shares_to_lots, turnover_rate
+from marketloom.functions.times import at_minute
 from marketloom.operators import adjust, equity
 from marketloom.plans import recipes
 from marketloom.plans import tables as t
@@ -193,7 +194,6 @@ def _factor_series(spark, sf_dir):
     number = F.col("o_custkey") % t.supplier_count(spark, sf_dir)
     return (
         t.table(spark, sf_dir, "orders")
-        .where(F.col("o_orderpriority") == "1-URGENT")
         .groupBy(t.market(), t.security_code(number).alias("code"), F.to_date("o_orderdate").alias("date"))
         .agg((1 + (F.max("o_orderkey") % 100) / 100).alias("factor"))
     )
@@ -201,7 +201,7 @@ def _factor_series(spark, sf_dir):
 
 _FACTOR_SQL = """factors as (select '00' || printf('%04d', o_custkey % (select count(*) from supplier)) as code,
        o_orderdate::date as date, 1 + (max(o_orderkey) % 100) / 100 as factor
-    from orders where o_orderpriority = '1-URGENT' group by all)"""
+    from orders group by all)"""
 
 
 @query(
@@ -225,10 +225,27 @@ def factor_adjust(spark, sf_dir):
 
 
 @query(
-    "legacy_factor_adjust",
+    "factor_adjust_hfq",
     with_views(
         "v_bars",
-        """select code, min(date)::varchar as date, round((open * arg_min(factor, date))::decimal(28, 10), 6)::double as open, round((close * arg_min(factor, date))::decimal(28, 10), 6)::double as close,
+        """select b.code, b.date::varchar as date, round((open * coalesce(x.factor, f0))::decimal(28, 10), 6)::double as open, round((close * coalesce(x.factor, f0))::decimal(28, 10), 6)::double as close,
+       round(coalesce(x.factor, f0)::decimal(28, 10), 9)::double as factor
+from v_bars b asof left join factors x on b.code = x.code and b.date >= x.date left join firsts on b.code = firsts.code""",
+        _FACTOR_SQL,
+        "firsts as (select code, arg_min(factor, date) as f0 from factors group by code)",
+    ),
+)
+def factor_adjust_hfq(spark, sf_dir):
+    out = adjust.factor_adjust(t.bars(spark, sf_dir), _factor_series(spark, sf_dir), "hfq")
+    return out.select(
+        "code", t.text("date").alias("date"), *t.rounded(6, "open", "close"), t.exact("factor", 9).alias("factor")
+    )
+
+
+def _legacy_sql(op: str) -> str:
+    return with_views(
+        "v_bars",
+        f"""select code, min(date)::varchar as date, round((open {op} arg_min(factor, date))::decimal(28, 10), 6)::double as open, round((close {op} arg_min(factor, date))::decimal(28, 10), 6)::double as close,
        volume
 from filled where open is not null and factor is not null group by code, open, high, low, close, volume""",
         _FACTOR_SQL,
@@ -237,14 +254,26 @@ from filled where open is not null and factor is not null group by code, open, h
        last_value(low ignore nulls) over w as low, last_value(close ignore nulls) over w as close,
        last_value(volume ignore nulls) over w as volume, last_value(factor ignore nulls) over w as factor
        from v_bars full join factors using (code, date) window w as (partition by code order by date rows unbounded preceding))""",
-    ),
-)
-def legacy_factor_adjust(spark, sf_dir):
-    out = adjust.legacy_factor_adjust(t.bars(spark, sf_dir), _factor_series(spark, sf_dir), "hfq")
+    )
+
+
+def _legacy(spark, sf_dir, method):
+    out = adjust.legacy_factor_adjust(t.bars(spark, sf_dir), _factor_series(spark, sf_dir), method)
     return out.select("code", t.text("date").alias("date"), *t.rounded(6, "open", "close"), "volume")
 
 
-def _chain_sql(method: str) -> str:
+@query("legacy_factor_adjust", _legacy_sql("*"))
+def legacy_factor_adjust(spark, sf_dir):
+    return _legacy(spark, sf_dir, "hfq")
+
+
+@query("legacy_factor_adjust_qfq", _legacy_sql("/"))
+def legacy_factor_adjust_qfq(spark, sf_dir):
+    return _legacy(spark, sf_dir, "qfq")
+
+
+def _chain_sql(method: str, until: str | None = None) -> str:
+    upto = f" and date <= date '{until}'" if until else ""
     if method == "qfq":
         frame, op = "rows between current row and unbounded following", "*"
     else:
@@ -254,7 +283,7 @@ def _chain_sql(method: str) -> str:
         f"""select code, date::varchar as date, round((open {op} adj)::decimal(28, 10), 6)::double as open, round((close {op} adj)::decimal(28, 10), 6)::double as close,
        round((preclose {op} adj)::decimal(28, 10), 6)::double as preclose, round((adj)::decimal(28, 10), 9)::double as adj
 from adjusted where traded""",
-        """ev as (select code, date, arg_max(fenhong, seq) as fh, arg_max(songzhuangu, seq) as sz from v_actions where category = 1
+        f"""ev as (select code, date, arg_max(fenhong, seq) as fh, arg_max(songzhuangu, seq) as sz from v_actions where category = 1{upto}
        group by code, date)""",
         "starts as (select code, min(date) as d0 from v_bars group by code)",
         """line as (select code, date, b.open, b.close is not null as traded, coalesce(fh, 0) as fh, coalesce(sz, 0) as sz,
@@ -276,8 +305,49 @@ def ratio_chain_hfq(spark, sf_dir):
     return _chain(spark, sf_dir, "hfq")
 
 
-def _chain(spark, sf_dir, method):
-    out = adjust.ratio_chain_adjust(t.bars(spark, sf_dir), t.actions(spark, sf_dir), method)
+@query("ratio_chain_qfq_until", _chain_sql("qfq", "1997-06-30"))
+def ratio_chain_qfq_until(spark, sf_dir):
+    """Events up to a date only."""
+    return _chain(spark, sf_dir, "qfq", "1997-06-30")
+
+
+@query("ratio_chain_hfq_until", _chain_sql("hfq", "1997-06-30"))
+def ratio_chain_hfq_until(spark, sf_dir):
+    return _chain(spark, sf_dir, "hfq", "1997-06-30")
+
+
+@query(
+    "adjust_minutes",
+    with_views(
+        "v_minute_ticks v_actions",
+        """select code, (date + to_minutes(mod))::varchar as ts, round((close * coalesce(mul, 1) + coalesce(add, 0))::decimal(28, 10), 2)::double as close, volume
+from factored""",
+        """mbars as (select code, date, mod, arg_max(price, seq) as close, sum(vol)::double as volume from v_minute_ticks group by code, date, mod)""",
+        "ends as (select code, max(date) as hi from mbars group by code)",
+        """maps as (select a.code, a.date, 10 / (10 + songzhuangu) as m, -fenhong / (10 + songzhuangu) as c, seq
+           from v_actions a join ends using (code) where category = 1 and a.date + interval 20 years <= hi)""",
+        """factored as (select b.*, f.mul, f.add from mbars b asof left join
+           (select code, date + interval 20 years as date, arg_min(mul, seq) as mul, arg_min(add, seq) as add from
+              (select code, date, seq, product(m) over w as mul,
+                      sum(c * reach) over w as add
+               from (select *, coalesce(product(m) over (partition by code order by date desc, seq desc rows between unbounded preceding and 1 preceding), 1) as reach from maps)
+               window w as (partition by code order by date desc, seq desc)) group by code, date) f
+           on b.code = f.code and f.date > b.date)""",
+    ),
+)
+def adjust_minutes(spark, sf_dir):
+    """Minute bars of the events, adjusted by dividends moved into their years."""
+    ticks = t.minute_ticks(spark, sf_dir)
+    bars = ticks.groupBy("market", "code", at_minute("date", "mod").alias("ts")).agg(
+        F.max_by("price", "seq").alias("close"), F.sum("vol").cast("double").alias("volume")
+    )
+    moved = t.actions(spark, sf_dir).where("category = 1").withColumn("date", F.add_months("date", 240))
+    out = adjust.adjust_intraday(bars, moved)
+    return out.select("code", t.text("ts").alias("ts"), "close", "volume")
+
+
+def _chain(spark, sf_dir, method, until=None):
+    out = adjust.ratio_chain_adjust(t.bars(spark, sf_dir), t.actions(spark, sf_dir), method, until)
     return out.select(
         "code", t.text("date").alias("date"), *t.rounded(6, "open", "close", "preclose"), t.exact("adj", 9).alias("adj")
     )

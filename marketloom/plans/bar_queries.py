@@ -316,11 +316,7 @@ def minute_clock(spark, sf_dir):
 where (ts::time > time '09:30:00' and ts::time < time '11:30:00') or (ts::time > time '13:00:00' and ts::time < time '15:00:00')""",
 )
 def in_session_events(spark, sf_dir):
-    # Whole seconds, as in the sources; an event in the opening second itself is out.
-    events = t.table(spark, sf_dir, "events").withColumn("micro", F.date_format(F.col("ts").cast("timestamp"), "SSSSSS"))
-    second = (F.hour("ts") * 60 + F.minute("ts")) * 60 + F.second("ts")
-    opening = second.isin(34_200, 46_800) & (F.col("micro") != "000000")
-    return events.where(in_session("ts") | opening).select("event_id")
+    return t.table(spark, sf_dir, "events").where(in_session("ts")).select("event_id")
 
 
 @query(

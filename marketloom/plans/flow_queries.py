@@ -151,7 +151,7 @@ def flow_history(spark, sf_dir):
 @query("flow_history_full", _rolling_sql(100_000))
 def flow_history_full(spark, sf_dir):
     """Every day of every security, not only the last twenty."""
-    return _history(spark, sf_dir, 100_000)
+    return _history(spark, sf_dir, None)
 
 
 _SECTOR_VIEWS = "v_ticks v_members"

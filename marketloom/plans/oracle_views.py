@@ -12,7 +12,7 @@ def code(number: str) -> str:
     return _CODE.format(n=number)
 
 
-_SEQ = "((l_orderkey * 8 + l_linenumber) * 16777216 + round(l_extendedprice * 100)::bigint)"
+_SEQ = "(l_orderkey, l_linenumber, round(l_extendedprice * 100)::bigint)"
 
 VIEWS = {
     "v_ticks": f"""

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketloom.functions import symbols as sy
 from marketloom.functions.finance import finance_quality, normalize_finance
+from marketloom.functions.labels import frequency_column
 from marketloom.functions.numbers import finite_or_null, half_up, shares_to_lots, truncated
 from marketloom.functions.texts import normalize_document
-from marketloom.functions.times import bar_date, clock_seconds, parse_date, unpack_date
+from marketloom.functions.times import bar_date, clock_seconds, parse_date, unpack_date, unpack_minutes
 from marketloom.functions.trades import auction_fields, trade_nature
 from marketloom.operators import calendars, duplicates, industry, selection, summary, watchlists
 from marketloom.plans import tables as t
@@ -364,7 +366,8 @@ def completeness_status(spark, sf_dir):
 
 @query(
     "chronological",
-    "select user_id::varchar as code, event_id as seq, date_trunc('minute', ts)::varchar as ts from events",
+    """select user_id::varchar as code, event_id as seq, date_trunc('minute', ts)::varchar as ts,
+       row_number() over (partition by user_id order by date_trunc('minute', ts), event_id) as place from events""",
 )
 def chronological(spark, sf_dir):
     """Minute stamps have ties; their source order decides."""
@@ -372,7 +375,10 @@ def chronological(spark, sf_dir):
     rows = t.table(spark, sf_dir, "events").select(
         t.market(), F.col("user_id").cast("string").alias("code"), minute.alias("ts"), F.col("event_id").alias("seq")
     )
-    return selection.chronological(rows).select("code", "seq", t.text("ts").alias("ts"))
+    # The place a row was put out at, so that the order itself is compared.
+    placed = selection.chronological(rows).withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("code").orderBy("_at"))
+    return placed.select("code", "seq", t.text("ts").alias("ts"), place.alias("place"))
 
 
 @query(
@@ -465,11 +471,12 @@ def watchlist_search(spark, sf_dir):
 # --- calendar --------------------------------------------------------------------------------
 @query(
     "holidays",
-    """select o_orderkey, (isodow(o_orderdate) >= 6 or o_orderdate::date in (select l_shipdate::date from lineitem where l_quantity = 50))::int as is_holiday
+    """select o_orderkey, (isodow(o_orderdate) >= 6 or o_orderdate::date in (select l_shipdate::date from lineitem where day(l_shipdate) % 7 = 0))::int as is_holiday
 from orders""",
 )
 def holidays(spark, sf_dir):
-    listed = t.table(spark, sf_dir, "lineitem").where("l_quantity = 50").select(
+    # Every line item counts; the holes are days of the month, not line items.
+    listed = t.table(spark, sf_dir, "lineitem").where(F.dayofmonth("l_shipdate") % 7 == 0).select(
         F.to_date("l_shipdate").alias("date"), F.lit("中国").alias("country")
     )
     days = t.table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"))
@@ -488,10 +495,10 @@ def trading_calendar(spark, sf_dir):
 
 @query(
     "trading_day_orders",
-    "select o_orderkey from orders where o_orderdate::date in (select l_shipdate::date from lineitem where l_quantity = 50)",
+    "select o_orderkey from orders where o_orderdate::date in (select l_shipdate::date from lineitem where day(l_shipdate) % 7 <> 0)",
 )
 def trading_day_orders(spark, sf_dir):
-    calendar = t.table(spark, sf_dir, "lineitem").where("l_quantity = 50").select(
+    calendar = t.table(spark, sf_dir, "lineitem").where(F.dayofmonth("l_shipdate") % 7 != 0).select(
         F.to_date("l_shipdate").alias("date")
     ).distinct()
     days = t.table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date"))
@@ -502,23 +509,25 @@ def trading_day_orders(spark, sf_dir):
     "parsed_times",
     """select o_orderkey, o_orderdate::date::varchar as packed, o_orderdate::date::varchar as iso,
        case when o_orderkey % 4 = 3 then null else (o_orderkey % 24) * 3600 + (o_orderkey % 60) * 60 end::double as clock,
-       case when month(o_orderdate) <= 12 then o_orderdate::date::varchar end as unpacked
+       o_orderdate::date::varchar as unpacked, ((o_orderkey % 1440) // 60)::int as unpacked_hour, (o_orderkey % 60)::int as unpacked_minute
 from orders""",
 )
 def parsed_times(spark, sf_dir):
     day = F.to_date("o_orderdate")
     key = F.col("o_orderkey")
     clock = F.when(key % 4 == 3, "25:99").otherwise(F.format_string("%d:%02d", key % 24, key % 60))
-    shifted = F.add_months(day, 12 * 10)  # the packed form starts in 2004
+    shifted = F.add_months(day, 12 * 12)  # the packed form starts in 2004; twelve years keep leap days
     packed = (F.year(shifted) - 2004) * 2048 + F.month(shifted) * 100 + F.dayofmonth(day)
-    back = F.add_months(unpack_date(packed), -12 * 10)
-    safe = F.when((F.month(day) == 2) & (F.dayofmonth(day) == 29), day).otherwise(back)
+    back = F.add_months(unpack_date(packed), -12 * 12)
+    hour, minute = unpack_minutes(key % 1440)
     return t.table(spark, sf_dir, "orders").select(
         "o_orderkey",
         t.text(parse_date(F.date_format(day, "yyyyMMdd"))).alias("packed"),
         t.text(parse_date(day.cast("string"))).alias("iso"),
         clock_seconds(clock).cast("double").alias("clock"),
-        t.text(safe).alias("unpacked"),
+        t.text(back).alias("unpacked"),
+        hour.alias("unpacked_hour"),
+        minute.alias("unpacked_minute"),
     )
 
 
@@ -799,3 +808,39 @@ def security_summary(spark, sf_dir):
         F.round("circulating_market_value", 2).alias("circulating_market_value"),
         "eps", F.round("open_amount_yuan", 4).alias("open_amount_yuan"), "ipo_date", "tdx_industry_name",
     )
+
+
+# --- codes and frequencies -------------------------------------------------------------------------
+@query(
+    "normalized_codes",
+    """select c_custkey, case when c_custkey % 5 = 4 then null else lpad(c_custkey::varchar, greatest(6, length(c_custkey::varchar))::int, '0') end as six,
+       case when c_custkey % 5 = 4 then 'X' || c_custkey else lpad(c_custkey::varchar, greatest(6, length(c_custkey::varchar))::int, '0') end as action
+from customer""",
+)
+def normalized_codes(spark, sf_dir):
+    """Spellings of a number: plain, with a decimal tail, with blanks, with an exchange."""
+    key = F.col("c_custkey")
+    number = key.cast("string")
+    six = (
+        F.when(key % 5 == 0, number).when(key % 5 == 1, F.concat(number, F.lit(".0")))
+        .when(key % 5 == 2, F.concat(F.lit(" "), number)).when(key % 5 == 3, F.lpad(number, F.greatest(F.lit(6), F.length(number)), F.lit("0")))
+        .otherwise(F.concat(F.lit("x"), number))
+    )
+    action = (
+        F.when(key % 5 == 0, number).when(key % 5 == 1, F.concat(F.lit("sz"), number))
+        .when(key % 5 == 2, F.concat(F.lit("SH."), number)).when(key % 5 == 3, F.concat(F.lit(" bj"), number))
+        .otherwise(F.concat(F.lit("x"), number))
+    )
+    return t.table(spark, sf_dir, "customer").select(
+        "c_custkey", sy.six_digits(six).alias("six"), sy.action_code(action).alias("action")
+    )
+
+
+@query(
+    "frequency_codes",
+    """select c_custkey, case c_custkey % 8 when 0 then 9 when 1 then 9 when 2 then 9 when 3 then 6 when 4 then 5 when 5 then 0 when 6 then 8 end::int as code
+from customer""",
+)
+def frequency_codes(spark, sf_dir):
+    spelled = F.element_at(F.array(*[F.lit(x) for x in ("day", " Daily", "1d", "monthly", "WEEKLY", "0", "1m", "42")]), (F.col("c_custkey") % 8 + 1).cast("int"))
+    return t.table(spark, sf_dir, "customer").select("c_custkey", frequency_column(spelled).alias("code"))

@@ -17,22 +17,25 @@ from marketloom.streaming import ticks as streams
 
 def _tick_stream(spark, sf_dir):
     """Events as a tick stream, the day squeezed into trading minutes."""
-    schema = t.table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    whole = t.table(spark, sf_dir, "events")
+    path = f"{shared_scratch(spark)}/events-{uuid.uuid4().hex}"
+    # Three ordered parts, a micro-batch each, so state is carried between batches.
+    lo, hi = whole.agg(F.min("event_id"), F.max("event_id")).first()
+    part = F.floor((F.col("event_id") - lo) * 3 / (hi - lo + 1))
+    for k in range(3):
+        whole.where(part == k).repartition(4).write.mode("append").parquet(path)
+    events = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 4).parquet(path)
     minute = F.hour("ts") * 60 + F.minute("ts")
     k = F.floor(minute * 247 / 1440).cast("int")
     squeezed = F.when(k < 126, k + 565).otherwise(k + 654)
     kind = F.col("event_type")
     start = F.to_date("ts").cast("timestamp_ntz")
-    # The event number keeps the order inside a minute.
-    clock = F.make_dt_interval(F.lit(0), F.lit(0), squeezed.cast("int")) + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), ((F.col("event_id") % 50_000_000) / 1_000_000).cast("decimal(18,6)")
-    )
+    clock = F.make_dt_interval(F.lit(0), F.lit(0), squeezed.cast("int"))
     return events.select(
         t.market(),
         t.security_code("user_id").alias("code"),
         (start + clock).cast("timestamp").alias("ts"),
-        "event_id",
+        F.col("event_id").alias("seq"),
         F.col("value").alias("price"),
         (F.col("event_id") % 7 + 1).alias("vol"),
         F.when(kind == "view", 0).when(kind == "purchase", 1).when(kind == "click", 2).when(kind == "signup", 5).otherwise(8).alias("side"),
@@ -96,13 +99,19 @@ def stream_flow(spark, sf_dir):
 
 @query(
     "stream_first",
-    "select '00' || printf('%04d', user_id) as code, ts::date::varchar as round, count(distinct user_id) as n from events group by all",
+    with_views(
+        "v_minute_ticks",
+        """select code, date::varchar as round, min(seq) as seq, arg_min(price, seq) as price, arg_min(vol, seq) as vol,
+       arg_min(side, seq) as side, arg_min((date + to_minutes(mod))::varchar, seq) as ts
+from v_minute_ticks group by code, date""",
+    ),
 )
 def stream_first(spark, sf_dir):
     """One answer per security and day."""
     stream = _tick_stream(spark, sf_dir).withColumn("round", F.to_date("ts"))
-    rows = _run(spark, streams.first_snapshots(stream), "append")
-    return rows.groupBy("code", t.text("round").alias("round")).agg(F.count(F.lit(1)).alias("n"))
+    rows = _run(spark, streams.first_snapshots(stream, "1 day"), "update")
+    out = _final(rows, ["code", "round"])
+    return out.select("code", t.text("round").alias("round"), "seq", "price", "vol", "side", t.text(F.col("ts").cast("timestamp_ntz")).alias("ts"))
 
 
 @query(

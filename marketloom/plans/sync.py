@@ -42,6 +42,12 @@ def rows_in_ranges(bars: DataFrame, ranges: DataFrame, bucket: str = "day") -> D
     return found.where(F.col("ts") < F.col("range_end"))
 
 
+def _needed(feed: DataFrame, ranges: DataFrame, lo, hi) -> DataFrame:
+    """Rows of a feed that the plan asks for; the outermost bounds reach its scan."""
+    bounded = feed.where(F.col("ts").between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False))
+    return rows_in_ranges(bounded, ranges, "month")
+
+
 def _unadjusted(bars: DataFrame) -> DataFrame:
     return bars if "adjustment" in bars.columns else bars.withColumn("adjustment", F.lit("none"))
 
@@ -64,23 +70,31 @@ def sync(
         raise ValueError("only unadjusted bars can be synchronized")
     source = _unadjusted(source)
     fallback = None if fallback is None else _unadjusted(fallback)
-    latest = store.bars().groupBy(*IDENTITY).agg(F.max("ts").alias("last"))
+    latest = store.last_stamps()
     covered = store.coverage().select(*IDENTITY, "start", "end")
     ranges = planned_ranges(requested, covered, latest, overlap)
-    rows = source if fallback is None else merge_fallback(source, fallback, key=KEY)
+    # The plan is small, read for each feed, and bounds the scans: write it once.
+    plan = f"{store.path}/staging/{uuid.uuid4().hex}"
+    ranges.write.parquet(plan)
+    ranges = store.spark.read.schema(ranges.schema).parquet(plan)
+    lo, hi = ranges.agg(F.min("start"), F.max("end")).first()
+    rows = _needed(source, ranges, lo, hi)
+    if fallback is not None:
+        rows = merge_fallback(rows, _needed(fallback, ranges, lo, hi), key=KEY)
     # One write of what was fetched; rows and coverage are both taken from it.
     staged = f"{store.path}/staging/{uuid.uuid4().hex}"
-    rows_in_ranges(rows, ranges, "month").write.parquet(staged)
-    fetched = store.spark.read.parquet(staged)
+    rows.write.parquet(staged)
+    fetched = store.spark.read.schema(rows.schema).parquet(staged)
     coverage = (
         fetched.select(*IDENTITY, F.col("range_start").alias("start"), F.col("range_end").alias("end"))
         .distinct()
         .withColumns({"source": F.lit(""), "is_approximate": F.lit(False)})
     )
-    store.upsert(fetched.drop("range_start", "range_end"), coverage=coverage, materialized=True)
+    store.upsert(fetched.drop("range_start", "range_end"), coverage=coverage)
     wanted = requested.select(*IDENTITY, F.col("start").alias("_lo"), F.col("end").alias("_hi"))
+    first, last = requested.agg(F.min("start"), F.max("end")).first()
     return (
-        store.bars()
+        store.bars(first, last)
         .join(wanted, IDENTITY)
         .where((F.col("ts") >= F.col("_lo")) & (F.col("ts") < F.col("_hi")))
         .drop("_lo", "_hi")

@@ -39,9 +39,12 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _line_order() -> Column:
     """Source order of line items: order, line, then cents of the price, because
-    (order, line) repeats."""
-    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    return line * 16_777_216 + F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    (order, line) repeats.  A decimal of 38 digits has room for 19, 4 and 15 of them, and
+    unlike a struct it stays in hash aggregates."""
+    order = F.col("l_orderkey").cast("decimal(19,0)") * F.lit(str(10**15)).cast("decimal(16,0)")
+    line = F.col("l_linenumber").cast("decimal(4,0)") * F.lit(str(10**12)).cast("decimal(13,0)")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("decimal(12,0)")
+    return (order + line + cents).cast("decimal(38,0)")
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:

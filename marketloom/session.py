@@ -34,9 +34,12 @@ def build_session(app_name: str = "marketloom", **conf: str) -> SparkSession:
 def shared_scratch(spark: SparkSession) -> str:
     """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only where the setting is absent, as in tests.
+    On one machine (``local`` masters: tests, notebooks) a temporary folder stands in for
+    an absent setting; a cluster must name a folder that all executors share.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return configured or tempfile.mkdtemp(prefix="spark-", dir="/tmp")

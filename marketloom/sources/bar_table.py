@@ -1,31 +1,36 @@
-"""Stored bars with their coverage, committed together.
+"""Stored bars with their coverage, as plain partitioned Parquet.
 
-Plain Parquet folders, one per write and partition (market, frequency, adjustment,
-period), where a period is a month of minute bars or a year of coarser ones.  A small JSON manifest names the live folder of each partition and the live
-coverage folder; replacing it by rename is the commit, so a failed write leaves the
-old table.  On a catalog with MERGE, ``DataFrame.mergeInto`` is the same upsert.
+Bars are appended, never rewritten: a write costs what it writes.  Every row carries the
+write that brought it, and reading keeps the newest row of each key, so a repeated or
+replayed write changes nothing, and two writers cannot lose each other's rows.  Partitions
+are market, frequency, adjustment and period (a month of minute bars, a year of coarser
+ones); :meth:`BarTable.compact` resolves them now and then.  On a catalog with MERGE,
+``DataFrame.mergeInto`` is the same upsert.
+
+Rows are written before the coverage that speaks of them: if a job dies in between, the
+range is simply fetched again.
 """
 
 from __future__ import annotations
 
-import json
-import re
+import time
 import uuid
-from collections.abc import Sequence
-from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.operators.intervals import mark_coverage
-from marketloom.operators.merge import merge_bars
+from marketloom.operators.scan import keep_latest
 from marketloom.schemas import COVERAGE, STORED_BARS
 
 IDENTITY = ["market", "code", "frequency", "adjustment"]
 KEY = [*IDENTITY, "ts"]
 _PARTITION = ["market", "frequency", "adjustment", "period"]
 _FINE = ["1m", "5m", "15m", "30m", "1h", "ex_1m"]
+_LAST = "market STRING, code STRING, frequency STRING, adjustment STRING, last TIMESTAMP_NTZ, write STRING"
+_CUTS = "market STRING, code STRING, frequency STRING, adjustment STRING, cut TIMESTAMP_NTZ, write STRING"
 
 
 class BarTable:
@@ -33,79 +38,78 @@ class BarTable:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    # -- manifest: driver-side metadata, one entry per partition -----------------
-    def _fs(self, name: str) -> tuple[Any, Any]:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), target
-
-    def _manifest(self) -> dict[str, Any]:
-        fs, target = self._fs("manifest.json")
-        if not fs.exists(target):
-            return {"partitions": {}, "coverage": None}
-        text = self.spark.read.text(f"{self.path}/manifest.json", wholetext=True).first()[0]
-        return json.loads(text)
-
-    def _commit(self, manifest: dict[str, Any]) -> None:
-        jvm = self.spark.sparkContext._jvm
-        _, target = self._fs("manifest.json")
-        _, staged = self._fs(f"manifest-{uuid.uuid4().hex}.tmp")
-        # FileContext renames over an existing file atomically.
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            target.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()
-        )
-        fs = staged.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        out = fs.create(staged, True)
-        out.write(bytearray(json.dumps(manifest, sort_keys=True), "utf-8"))
-        out.close()
-        overwrite = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(staged, target, overwrite)
+    def _read(self, part: str, schema: T.StructType | str) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
     # -- reading ----------------------------------------------------------------
-    def _stored(self, folders: Sequence[str]) -> DataFrame:
-        """Bars of some partition folders; identity values come from the folder names."""
-        if not folders:
-            return self.spark.createDataFrame([], STORED_BARS)
-        folders_hold = [T.StructField(name, T.StringType()) for name in ("period", "version")]
-        schema = T.StructType([*STORED_BARS.fields, *folders_hold])
-        reader = self.spark.read.option("basePath", f"{self.path}/data").schema(schema)
-        return reader.parquet(*[f"{self.path}/data/{f}" for f in sorted(folders)]).select(*STORED_BARS.names)
-
-    def bars(self) -> DataFrame:
-        return self._stored(list(self._manifest()["partitions"].values()))
+    def _versions(self, start: str | None = None, end: str | None = None) -> DataFrame | None:
+        """All rows of the periods that reach into [start, end], with their write."""
+        extra = [T.StructField(name, T.StringType()) for name in ("write", "period")]
+        rows = self._read("bars", T.StructType([*STORED_BARS.fields, *extra]))
+        if rows is None:
+            return None
+        # On the partition column alone, so other periods are never listed for reading.
+        size = F.length("period")
+        if start is not None:
+            rows = rows.where(F.col("period") >= F.lit(str(start)).substr(F.lit(1), size))
+        if end is not None:
+            rows = rows.where(F.col("period") <= F.lit(str(end)).substr(F.lit(1), size))
+        return rows
+
+    def _resolved(self, rows: DataFrame | None) -> DataFrame:
+        """The newest row of each key, less what a later replacement cut off."""
+        if rows is None:
+            return self.spark.createDataFrame([], T.StructType([*STORED_BARS.fields, T.StructField("write", T.StringType()), T.StructField("period", T.StringType())]))
+        cuts = self._read("cuts", _CUTS)
+        if cuts is not None:
+            per_series = cuts.groupBy(*IDENTITY).agg(F.collect_list(F.struct("write", "cut")).alias("_cuts"))
+            gone = F.exists("_cuts", lambda c: (c["write"] > F.col("write")) & (F.col("ts") >= c["cut"]))
+            rows = rows.join(per_series, IDENTITY, "left").where(~F.coalesce(gone, F.lit(False))).drop("_cuts")
+        return keep_latest(rows, KEY, [F.col("write").desc()])
+
+    def bars(self, start: str | None = None, end: str | None = None) -> DataFrame:
+        """Stored bars; with bounds, those of the periods that reach into them."""
+        return self._resolved(self._versions(start, end)).select(*STORED_BARS.names)
+
+    def last_stamps(self) -> DataFrame:
+        """Time of the last stored bar of each series, from what every write noted down."""
+        noted = self._read("last", _LAST)
+        if noted is None:
+            return self.bars().groupBy(*IDENTITY).agg(F.max("ts").alias("last"))
+        cuts = self._read("cuts", _CUTS)
+        if cuts is None:
+            return noted.groupBy(*IDENTITY).agg(F.max("last").alias("last"))
+        # Replaced series may have lost their last bar: only those are read.
+        whole = noted.join(cuts, IDENTITY, "left_anti").groupBy(*IDENTITY).agg(F.max("last").alias("last"))
+        changed = self.bars().join(cuts.select(*IDENTITY).distinct(), IDENTITY, "left_semi")
+        return whole.unionByName(changed.groupBy(*IDENTITY).agg(F.max("ts").alias("last")))
 
     def coverage(self) -> DataFrame:
-        return self._covered(self._manifest())
-
-    def _covered(self, manifest: dict[str, Any]) -> DataFrame:
-        if not manifest["coverage"]:
+        marks = self._read("coverage", T.StructType([*COVERAGE.fields, T.StructField("write", T.StringType())]))
+        if marks is None:
             return self.spark.createDataFrame([], COVERAGE)
-        return self.spark.read.schema(COVERAGE).parquet(f"{self.path}/{manifest['coverage']}")
+        newest = marks.agg(F.max("write")).scalar()
+        return marks.where(F.col("write") == newest).select(*COVERAGE.names)
 
     def read_bars(self, identity: dict[str, str], start: str | None = None, end: str | None = None) -> DataFrame:
         """One series or many, both ends inclusive, in time order.
 
-        Folders of other partitions and periods are never opened.
+        Partitions of other identities and periods are never opened.
         """
-        def wanted(name: str) -> bool:
-            market, frequency, adjustment, period = name.split("|")
-            fixed = {"market": market, "frequency": frequency, "adjustment": adjustment}
-            return (
-                all(identity.get(k, v) == v for k, v in fixed.items())
-                and (start is None or period >= start[: len(period)])
-                and (end is None or period <= end[: len(period)])
-            )
-
-        folders = [folder for name, folder in self._manifest()["partitions"].items() if wanted(name)]
-        frame = self._stored(folders)
-        for name, value in identity.items():
-            frame = frame.where(F.col(name) == value)
-        if start is not None:
-            frame = frame.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
-        if end is not None:
-            frame = frame.where(F.col("ts") <= F.lit(end).cast("timestamp_ntz"))
-        return frame.orderBy(*KEY)
+        rows = self._versions(start, end)
+        if rows is not None:
+            for name, value in identity.items():
+                rows = rows.where(F.col(name) == value)
+            if start is not None:
+                rows = rows.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+            if end is not None:
+                rows = rows.where(F.col("ts") <= F.lit(end).cast("timestamp_ntz"))
+        return self._resolved(rows).select(*STORED_BARS.names).orderBy(*KEY)
 
     # -- writing ----------------------------------------------------------------
     def upsert(
@@ -115,85 +119,65 @@ class BarTable:
         replace_from: str | None = None,
         coverage: DataFrame | None = None,
         seq: str | None = None,
-        materialized: bool = False,
         timezone: str = "Asia/Shanghai",
     ) -> None:
-        """Insert or update bars; rows and coverage become visible together.
+        """Insert or update bars, then mark coverage.
 
         Without ``replace_from`` a row replaces the stored one of its key (the highest
         ``seq`` among repeats).  With it, the stored tail (``ts`` >= it) of the given
-        series is removed and repeats in the input are an error.  Empty input changes
-        nothing.  Only the partitions concerned are rewritten.  ``materialized`` says
-        that ``bars`` already reads from files and need not be written down first.
+        series is cut off and repeats in the input are an error.  Empty input changes
+        nothing.
         """
-        extra = [seq] if seq else []
-        staged = _with_period(_normalize(bars, timezone, extra))
-        if not materialized:
-            # The input may be costly and is needed several times: write it once.
-            staged_path = f"{self.path}/staging/{uuid.uuid4().hex}"
-            staged.write.parquet(staged_path)
-            staged = self.spark.read.parquet(staged_path)
-        names = _partition_names(staged)
-        if not names:
-            return
-        manifest = self._manifest()
-        if replace_from is not None:
-            duplicated = staged.groupBy(*KEY).count().where("count > 1").limit(1).collect()
-            if duplicated:
-                raise ValueError(f"repeated bar in replacement: {tuple(duplicated[0])[:-1]}")
-            heads = {n.rsplit("|", 1)[0] for n in names}
-            names |= {
-                n
-                for n in manifest["partitions"]
-                if n.rsplit("|", 1)[0] in heads and _reaches(n.rsplit("|", 1)[1], replace_from)
-            }
-        old = self._stored([manifest["partitions"][n] for n in names if n in manifest["partitions"]])
-        if replace_from is not None:
-            tail = F.col("ts") >= F.lit(replace_from).cast("timestamp_ntz")
-            series = staged.select(*IDENTITY).distinct().withColumn("_replaced", F.lit(True))
-            old = (
-                old.join(series, IDENTITY, "left")
-                .where(F.col("_replaced").isNull() | ~tail)
-                .select(*STORED_BARS.names)
-            )
-        merged = merge_bars(old, staged.drop("period"), key=KEY, seq=seq).select(*STORED_BARS.names)
-        version = f"version={uuid.uuid4().hex}"
+        write = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+        rows = _with_period(_normalize(bars, timezone, [seq] if seq else []))
+        if seq:
+            rows = keep_latest(rows, KEY, [F.col(seq).desc()]).drop(seq)
+        elif replace_from is None:
+            # Repeats inside one write need an order too: any row, but always the same.
+            rows = keep_latest(rows, KEY, [F.xxhash64(*[c for c in STORED_BARS.names if c not in KEY]).desc()])
+        else:
+            repeated = rows.groupBy(*KEY).count().where("count > 1").limit(1).collect()
+            if repeated:
+                raise ValueError(f"repeated bar in replacement: {tuple(repeated[0])[:-1]}")
         # AQE sizes the files of each partition (large ones are split, however skewed);
         # sorted inside each file, so code and time filters prune row groups.
         (
-            _with_period(merged)
+            rows.withColumn("write", F.lit(write))
             .hint("rebalance", *_PARTITION)
             .sortWithinPartitions(*_PARTITION, "code", "ts")
-            .write.partitionBy(*_PARTITION)
-            .parquet(f"{self.path}/data/{version}")
+            .write.mode("append")
+            .partitionBy(*_PARTITION)
+            .parquet(f"{self.path}/bars")
         )
-        # A partition emptied by ``replace_from`` has no folder and leaves the manifest.
-        kept = _partition_names(_with_period(staged.drop("period").unionByName(old, allowMissingColumns=True)))
-        for name in names:
-            manifest["partitions"].pop(name, None)
-            if name in kept:
-                parts = "/".join(f"{k}={v}" for k, v in zip(_PARTITION, name.split("|")))
-                manifest["partitions"][name] = f"{version}/{parts}"
+        added = self._versions()
+        if added is None:
+            return
+        last = added.where(F.col("write") == write).groupBy(*IDENTITY).agg(F.max("ts").alias("last"))
+        last.withColumn("write", F.lit(write)).write.mode("append").parquet(f"{self.path}/last")
+        if replace_from is not None:
+            cut = last.select(*IDENTITY, F.lit(replace_from).cast("timestamp_ntz").alias("cut"), F.lit(write).alias("write"))
+            cut.write.mode("append").parquet(f"{self.path}/cuts")
         if coverage is not None:
-            folder = f"coverage-{uuid.uuid4().hex}"
-            mark_coverage(self._covered(manifest), coverage, IDENTITY).select(*COVERAGE.names).write.parquet(f"{self.path}/{folder}")
-            manifest["coverage"] = folder
-        self._commit(manifest)
-
-
-def _reaches(period: str, time: str) -> bool:
-    """Whether a period has any time at or after ``time``."""
-    return period >= time[: len(period)]
-
-
-def _partition_names(bars: DataFrame) -> set[str]:
-    """Partitions present in bars with a period column: a short list by design."""
-    rows = bars.select(*_PARTITION).distinct().collect()
-    names = {"|".join(row) for row in rows}
-    for name in names:
-        if not re.fullmatch(r"[\w.|-]+", name):
-            raise ValueError(f"unsupported bar identity: {name!r}")
-    return names
+            marked = mark_coverage(self.coverage(), coverage, IDENTITY).select(*COVERAGE.names)
+            marked.withColumn("write", F.lit(write)).write.mode("append").parquet(f"{self.path}/coverage")
+
+    def compact(self) -> None:
+        """Rewrite partitions with one row per key.  Rows keep their write, so a reader or a
+        retry that meets old and new partitions side by side still resolves them rightly."""
+        rows = self._versions()
+        if rows is None:
+            return
+        staged = f"{self.path}/staging/{uuid.uuid4().hex}"
+        self._resolved(rows).write.parquet(staged)
+        resolved = self.spark.read.schema(rows.schema).parquet(staged)
+        (
+            resolved.hint("rebalance", *_PARTITION)
+            .sortWithinPartitions(*_PARTITION, "code", "ts")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*_PARTITION)
+            .parquet(f"{self.path}/bars")
+        )
 
 
 def _with_period(bars: DataFrame) -> DataFrame:
@@ -201,10 +185,10 @@ def _with_period(bars: DataFrame) -> DataFrame:
     return bars.withColumn("period", F.date_format("ts", "yyyy-MM").substr(F.lit(1), F.when(fine, 7).otherwise(4)))
 
 
-def _normalize(bars: DataFrame, timezone: str, extra: Sequence[str]) -> DataFrame:
+def _normalize(bars: DataFrame, timezone: str, extra: list[str]) -> DataFrame:
     """All stored columns with their defaults; non-finite numbers are NULL."""
     defaults = {"source": "", "volume_unit": "shares", "is_approximate": False, "adjustment": "none"}
-    out = []
+    out: list[Column] = []
     for field in STORED_BARS.fields:
         kind = field.dataType.simpleString()
         if field.name == "timezone":

@@ -87,17 +87,24 @@ def widen(records: DataFrame, width: int, labels: Sequence[str] | None = None) -
     """(code, report_date, col1..colN).
 
     ``labels`` name the leading columns (report date first, as in the vendor's list);
-    the rest keep colN.  Labels must stay unique.  NaN becomes NULL.
+    the rest keep colN.  Labels must stay unique.  NaN becomes NULL.  Records with more
+    values than ``width``, or more labels than columns, are an error, never cut.
     """
+    if labels is not None and len(list(labels)) > width + 1:
+        raise ValueError(f"{len(list(labels))} labels for {width + 1} columns")
     names = ["report_date"] + [f"col{i}" for i in range(1, width + 1)]
     if labels is not None:
         given = list(labels)[: len(names)]
         names = given + names[len(given) :]
         if len(set(names)) != len(names):
             raise ValueError("financial labels must be unique")
+    size = F.size("values")
+    fits = F.when(
+        size > width, F.raise_error(F.concat(F.lit("record of "), size.cast("string"), F.lit(f" values for width {width}")))
+    ).otherwise(F.col("report_date"))
     return records.select(
         "code",
-        F.col("report_date").alias(names[0]),
+        fits.alias(names[0]),
         *[finite_or_null(F.get("values", F.lit(i))).alias(names[i + 1]) for i in range(width)],
     )
 
@@ -105,5 +112,16 @@ def widen(records: DataFrame, width: int, labels: Sequence[str] | None = None) -
 def read_finance(
     files: DataFrame, width: int, labels: Sequence[str] | None = None, strict: bool = True
 ) -> DataFrame:
-    """Decode, drop identical repeats of (code, report_date), widen."""
-    return widen(unique_records(financial_records(files), strict=strict), width, labels)
+    """Decode, drop identical repeats of (code, report_date), widen.
+
+    Archives are 264, 584 or more values wide: a ``width`` below one of them is an error
+    when strict; else its longer records are left out (:func:`too_wide` lists them)."""
+    records = financial_records(files, strict=strict)
+    if not strict:
+        records = records.where(F.col("error").isNull() & (F.size("values") <= width))
+    return widen(unique_records(records, strict=strict), width, labels)
+
+
+def too_wide(records: DataFrame, width: int) -> DataFrame:
+    """Records that :func:`read_finance` leaves out when not strict."""
+    return records.where(F.size("values") > width)

@@ -65,7 +65,7 @@ def test_failed_write_leaves_the_table(spark, tmp_path):
 def test_minute_bars_are_kept_by_month(spark, tmp_path):
     store = BarTable(spark, str(tmp_path))
     store.upsert(bars(spark, ("a", "2026-01-01 09:31", 1.0), ("a", "2026-02-01 09:31", 2.0), frequency="1m"))
-    assert {p.name for p in tmp_path.glob("data/version=*/market=sh/frequency=1m/adjustment=none/*")} == {"period=2026-01", "period=2026-02"}
+    assert {p.name for p in tmp_path.glob("bars/market=sh/frequency=1m/adjustment=none/*")} == {"period=2026-01", "period=2026-02"}
 
 
 def test_sync_fetches_gaps_and_tail_only(spark, tmp_path):

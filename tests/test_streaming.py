@@ -84,9 +84,12 @@ def test_running_flow_equals_the_batch(spark, tmp_path):
 def test_first_snapshot_wins(spark, tmp_path):
     folder = str(tmp_path / "ticks")
     write_days(spark, folder, 2)
-    rounds = stream(spark, folder).withColumn("round", F.to_date("ts"))
-    out = drain(streams.first_snapshots(rounds).writeStream.outputMode("append"), tmp_path, "s")
-    assert sorted((r["code"], r["round"].day) for r in out) == [(f"60000{k}", d) for k in range(3) for d in (5, 6)]
+    rounds = stream(spark, folder).withColumns({"round": F.to_date("ts"), "seq": -F.unix_micros("ts")})
+    out = drain(streams.first_snapshots(rounds, "1 day").writeStream.outputMode("update"), tmp_path, "s")
+    # By seq, not by arrival: here the latest tick of a day has the smallest.
+    rows = spark.read.parquet(folder).groupBy("code", F.to_date("ts").alias("d")).agg(F.max("ts").alias("ts")).collect()
+    got = {(r["code"], r["round"]): r["ts"] for r in out}
+    assert len(got) == 6 and got == {(r["code"], r["d"]): r["ts"] for r in rows}
 
 
 def test_replayed_batches_change_nothing(spark, tmp_path):
