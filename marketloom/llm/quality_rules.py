@@ -120,7 +120,7 @@ def ablations(ledger_rows: DataFrame, policy: str = CURRENT) -> DataFrame:
     patterns = ledger_rows.groupBy("fail_bits").agg(F.count(F.lit(1)).alias("_n"))
     names = list(RULES)
     rules = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(names.index(r)).alias("bit")) for r in POLICIES[policy]])
-    bit = F.shiftleft(F.lit(1).cast("bigint"), F.col("_r.bit"))
+    bit = F.expr("shiftleft(1L, _r.bit)")
     broken = F.col("fail_bits").bitwiseAND(F.lit(mask(policy)).cast("bigint"))
     return (
         patterns.withColumn("_r", F.explode(rules))

@@ -134,12 +134,12 @@ scores as (
   from cuts join p{urls.ORDER} p using (gram) group by string),
 bins as (
   select floor(greatest(-{urls.CLIP}, least({urls.CLIP}, score)) * {urls.BINS}) as step, sum(accepted) as a, sum(rejected) as r
-  from scores join strings using (string) where test group by 1),
+  from scores join strings using (string) where test and accepted + rejected > 0 group by 1),
 graded as (
-  select step, round((sum(a) over () - coalesce(sum(a) over below, 0)) / (sum(a) over ())::double
+  select step, (step + coalesce(lag(step) over (order by step), step)) / {2.0 * urls.BINS} as middle, round((sum(a) over () - coalesce(sum(a) over below, 0)) / (sum(a) over ())::double
                      + coalesce(sum(r) over below, 0) / (sum(r) over ())::double, 9) as quality
   from bins where (select sum(a) from bins) > 0 and (select sum(r) from bins) > 0
   window below as (order by step rows between unbounded preceding and 1 preceding)),
-threshold as (select coalesce(arg_min(step, (-quality, step)) / {float(urls.BINS)}, 0.0) as threshold from graded)
+threshold as (select coalesce(arg_min(middle, (-quality, step)), 0.0) as threshold from graded)
 select page_id, host, path, rule, coalesce(action, case when score >= threshold then 'allow' else 'block' end) as verdict, score
 from ruled join scores using (string), threshold"""

@@ -89,9 +89,10 @@ def _probabilities(windows: DataFrame, order: int, alphabet: float) -> DataFrame
 
 
 def _threshold(scored: DataFrame) -> DataFrame:
-    """One row ``threshold``: the step with the best balanced accuracy over the held-out
-    labelled urls (the lowest of equal ones), 0 where either kind is missing.  Scores are
-    counted by step first, so the window runs over a fixed number of rows at most."""
+    """One row ``threshold``: half-way from the step with the best balanced accuracy over the
+    held-out labelled urls (the lowest of equal ones) down to the score below it; 0 where
+    either kind is missing.  Scores are counted by step first, so the window runs over a
+    fixed number of rows at most."""
     step = F.floor(F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), F.col("score"))) * BINS)
     bins = scored.groupBy(step.alias("step")).agg(F.sum("accepted").alias("a"), F.sum("rejected").alias("r"))
     below = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
@@ -100,11 +101,12 @@ def _threshold(scored: DataFrame) -> DataFrame:
         F.sum("r").over(below), F.lit(0)
     ) / F.sum("r").over(whole)
     both = (F.sum("a").over(whole) > 0) & (F.sum("r").over(whole) > 0)
-    judged = bins.select("step", F.when(both, F.round(balanced, 9)).alias("quality"))
+    under = F.coalesce(F.lag("step").over(Window.orderBy("step")), F.col("step"))
+    judged = bins.select("step", ((F.col("step") + under) / (2.0 * BINS)).alias("middle"), F.when(both, F.round(balanced, 9)).alias("quality"))
     best = judged.filter("quality is not null").agg(
-        F.min(F.struct((-F.col("quality")).alias("q"), F.col("step").alias("s"))).alias("best")
+        F.min(F.struct((-F.col("quality")).alias("q"), F.col("step").alias("s"), "middle")).alias("best")
     )
-    return best.select(F.coalesce(F.col("best.s") / float(BINS), F.lit(0.0)).alias("threshold"))
+    return best.select(F.coalesce("best.middle", F.lit(0.0)).alias("threshold"))
 
 
 def judge(
@@ -150,7 +152,8 @@ def judge(
         .agg(F.round(F.sum("ratio") / F.count(F.lit(1)), 6).alias("score")),
         "url-scores",
     )
-    threshold = _threshold(scores.join(strings.filter(test), "string"))
+    labelled = strings.filter(test & (F.col("accepted") + F.col("rejected") > 0))
+    threshold = _threshold(scores.join(labelled, "string"))
     out = rows.join(scores, "string").crossJoin(F.broadcast(threshold))
     by_model = F.when(F.col("score") >= F.col("threshold"), "allow").otherwise("block")
     return out.select(
