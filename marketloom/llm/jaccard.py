@@ -13,10 +13,16 @@ Links are wanted as components, so not every pair of a large group is looked at:
 
 1. in each posting list, all members are verified against one leader (the node with most
    documents), and the links found give components;
-2. then only pairs from different components are counted: per list, the nodes outside its
+2. then only pairs from different components matter: per list, the nodes outside its
    largest component against all others, of sizes that both meet in enough lists to link at
-   all.  Each pair that links but is not yet connected meets there, so no link between
-   components is lost.
+   all.  Short lists give their pairs.  In a long list, where many texts differ a little
+   from each other, members are compared by how they differ from its leader: two of them
+   that link, and are not both linked to the leader, have lost or added a shingle in common,
+   so pairs meet on those, which are few, instead of on what all of them share; sizes and
+   counts of common differences give their exact overlap.
+
+Each pair that links but is not yet connected meets in one of these ways, so no link between
+components is lost.
 
 Only candidates that share enough of their prefixes are verified, on whole sets, which are
 made for their documents alone.
@@ -42,6 +48,7 @@ FREQUENT = 100_000
 LONGEST = 4  # largest l
 VERIFY_COST = 20.0  # of one candidate, in postings
 BROADCAST_IDS = 200_000
+LONG = 2_000  # pairs of a list above which it is taken by differences
 
 
 def shingle_sets(column, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -162,6 +169,56 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, pe
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
+def _linked_by_differences(
+    around: DataFrame, docs: DataFrame, nodes: DataFrame, labels: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """Links ``a, b`` between members ``b`` of different components around the same leader
+    ``a``, one of them outside the leader's component."""
+    wanted = around.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = stored(_sets(docs, nodes, wanted, size), "shingle-sets")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [[], [], [], [], [], [], []]
+            for leader, node, x, y in zip(*(batch.column(k) for k in range(4)), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                lost, added = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
+                count = len(lost) + len(added)
+                token = np.concatenate([lost, added]).view(np.int64)
+                row = (leader.as_py(), node.as_py(), token, np.arange(count) >= len(lost), len(lost), len(x), len(y))
+                for column, value in zip(out, row, strict=True):
+                    column.append(value if isinstance(value, np.ndarray) else np.full(count, value))
+            columns = [pa.array(np.concatenate([*c, np.zeros(0, bool if k == 3 else np.int64)])) for k, c in enumerate(out)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["leader", "node", "token", "is_added", "lost", "whole", "n"]
+    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
+    joined = around.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    schema = "leader bigint, node bigint, token bigint, is_added boolean, lost bigint, whole bigint, n bigint"
+    home = labels.select(F.col("node").alias("leader"), F.col("label").alias("home"))
+    found = stored(
+        joined.mapInArrow(run, schema).join(labels, "node", "left").join(home, "leader", "left")
+        .withColumns({"label": F.coalesce("label", "node"), "home": F.coalesce("home", "leader")}),
+        "shingle-differences",
+    )
+    outside = found.filter("label <> home")
+    others = found.select(
+        "leader", "token", "is_added", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("n").alias("m"),
+        F.col("lost").alias("lost2"), (F.col("label") == F.col("home")).alias("is_home"),
+    )
+    overlap = F.col("whole") - F.col("lost") - F.col("lost2") + F.col("_common")
+    return (
+        outside.join(others, ["leader", "token", "is_added"])
+        .filter("label <> label2 and (is_home or node < node2)").filter(_close(percent))
+        .groupBy("leader", "node", "node2").agg(
+            F.count(F.lit(1)).alias("_common"), *[F.first(c).alias(c) for c in ("whole", "lost", "lost2", "n", "m")]
+        )
+        .filter(100 * overlap >= percent * (F.col("n") + F.col("m") - overlap))
+        .select(F.col("node").alias("a"), F.col("node2").alias("b"))
+    )
+
+
 def _close(percent: int):
     """Sizes that allow the similarity at all."""
     return 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
@@ -176,8 +233,9 @@ def _need(percent: int):
 
 
 def join(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, frequent: int = FREQUENT
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, frequent: int = FREQUENT,
+    long_list: int = LONG,
+) -> DataFrame:
     """One row per document: ``<id>, n_shingles, component_id``.
 
     Two documents link when the Jaccard similarity of their sets of ``size``-word shingles
@@ -226,7 +284,7 @@ def join(
         lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "shingle-placed"
     )
     per_list = placed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("_n"))
-    main = per_list.groupBy("token").agg(F.max(F.struct("_n", "label")).alias("_main"), F.count(F.lit(1)).alias("_labels"))
+    main = per_list.groupBy("token").agg(F.max(F.struct("_n", "label")).alias("_main"), F.count(F.lit(1)).alias("_labels"), F.sum("_n").alias("_nodes"))
     mixed = stored(
         placed.join(main.filter("_labels > 1").select("token", "_main.label").withColumnRenamed("label", "main"), "token"),
         "shingle-mixed",
@@ -240,21 +298,34 @@ def join(
         .filter(F.col("_met") >= _need(percent)).select("node", "m"),
         "shingle-able",
     )
-    outside = mixed.filter("label <> main").join(able, "node").select("token", "node", "label", "n", "p", "m")
-    others = mixed.join(able.withColumnRenamed("m", "_to"), "node").select(
-        "token", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("n").alias("m"), F.col("p").alias("q"),
-        F.col("_to").alias("n"), (F.col("label") == F.col("main")).alias("is_main"),
+    # Lists whose pairs are too many to write down.
+    cost = main.withColumn("_all", F.col("_nodes") * (F.col("_nodes") - F.col("_main._n")))
+    long = cost.filter(F.col("_all") > long_list).select("token")
+    short = mixed.join(long, "token", "left_anti")
+    outside = short.filter("label <> main").join(able, "node").select("token", "node", "label", "n", "p", "m")
+    others = short.join(able.withColumnRenamed("m", "_to"), "node").select(
+        "token", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("n").alias("m"), F.col("_to").alias("n"),
+        (F.col("label") == F.col("main")).alias("is_main"),
     )
     crossing = (
         outside.join(others, ["token", "n", "m"])
         .filter("label <> label2 and (is_main or node < node2)")
-        .groupBy(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
-        .agg(F.count(F.lit(1)).alias("_shared"), F.max(_need(percent)).alias("_need"))
-        .filter("_shared >= _need").select("a", "b").join(star, ["a", "b"], "left_anti")
+        .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+        .join(prefix, "a").join(prefix.toDF("b", "m", "q", "y"), "b")
+        .filter(F.size(F.array_intersect("x", "y")) >= _need(percent)).select("a", "b")
+        .join(star, ["a", "b"], "left_anti")
     )
     crossing = stored(crossing, "shingle-pairs")
-    if not crossing.isEmpty():
-        more = stored(_verified(crossing, docs, nodes, size, percent), "shingle-links")
+    around = stored(
+        mixed.join(long, "token").join(able.select("node").distinct(), "node", "left_semi")
+        .join(leaders, "token").select(F.col("_top.b").alias("a"), F.col("node").alias("b")).filter("a <> b").distinct(),
+        "shingle-around",
+    )
+    more = _verified(crossing, docs, nodes, size, percent)
+    if not around.isEmpty():
+        more = more.unionByName(_linked_by_differences(around, docs, nodes, labels, size, percent))
+    more = stored(more, "shingle-links")
+    if not more.isEmpty():
         labels = components(links.unionByName(more))
     member = nodes.select("key", "node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = member.groupBy("label").agg(F.min("least").alias("component_id"))

@@ -52,14 +52,34 @@ def corpus(seed, count=120):
     return rows + [(900, None), (901, ""), (902, " \n"), (5, "same id other text"), (903, "One Two"), (904, "one  two"), (None, "lone text here")]
 
 
-@pytest.mark.parametrize(("seed", "size", "percent", "frequent"), [(1, 3, 90, 1000), (2, 5, 80, 1000), (3, 2, 60, 5)])
-def test_matches_all_pairs(spark, seed, size, percent, frequent):
+@pytest.mark.parametrize(
+    ("seed", "size", "percent", "frequent", "long_list"),
+    [(1, 3, 90, 1000, 2000), (2, 5, 80, 1000, 0), (3, 2, 60, 5, 0), (4, 3, 90, 1000, 10)],
+)
+def test_matches_all_pairs(spark, seed, size, percent, frequent, long_list):
     rows = corpus(seed)
     docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, n long")
-    out = jaccard.join(docs, size=size, percent=percent, frequent=frequent)
+    out = jaccard.join(docs, size=size, percent=percent, frequent=frequent, long_list=long_list)
     assert sorted(map(tuple, out.collect()), key=repr) == brute(rows, size, percent)
 
 
+def test_many_variants_of_one_text(spark):
+    """Variants with one, two and three edits, without the text itself: links go through
+    common edits and through variants with fewer."""
+    rng = random.Random(9)
+    base = ["v%d" % k for k in range(150)]
+    rows = []
+    for k in range(150):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 2, 3])):
+            words[rng.choice([3, 40, 77, 120, rng.randrange(150)])] = rng.choice(["edit", "e%d" % k])
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for long_list in (0, 2000):
+        out = jaccard.join(docs, size=3, percent=90, long_list=long_list)
+        assert sorted(map(tuple, out.collect()), key=repr) == brute(rows, 3, 90)
+
+
 def test_empty_table_and_kept_rows(spark):
     docs = spark.createDataFrame([(2, "a b c d e f", "x"), (1, "a b c d e f", "y"), (3, None, None)], "doc_id long, text string, key string")
     assert jaccard.join(docs.filter("doc_id > 9")).collect() == []
