@@ -35,7 +35,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 8
 IDS = 500_000  # ids decoded at once
-PIECE = 800_000  # bytes of text whose lattices are held at once
+PIECE = 1_400_000  # bytes of text whose lattices are held at once
 BLANK, BREAK = 0x20, 0x0A
 
 
@@ -88,7 +88,7 @@ class Vocabulary:
         self.weights = np.array([found[r][1] for r in raws])[order]
         self.longest = max(len(r.decode()) for r in known)
         self.data = np.frombuffer(b"".join(self.surface), dtype=np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum([len(s) for s in self.surface])])
+        self.offsets = np.concatenate([[0], np.cumsum([len(s) for s in self.surface])]).astype(np.int32)
 
 
 @cache
@@ -106,8 +106,8 @@ class Lattice:
         first, last = np.searchsorted(lead, starts), np.searchsorted(lead, ends)
         length = last - first
         base = (np.cumsum(length + 1) - (length + 1)).astype(np.int32)  # node before each chunk's first character
-        self.first_node, self.last_node = base, base + length
-        limit = np.append(lead, len(data))
+        self.first_node, self.last_node = base, base + length.astype(np.int32)
+        limit = np.append(lead, len(data)).astype(np.int32)
         sums = prefix_sums(data)
         total = int(length.sum())
         place = (np.arange(total) - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
@@ -469,8 +469,8 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model: str = MODEL) -> Data
                 last = max(int(np.searchsorted(ends, ends[first] + IDS, "right")) - 1, first + 1)
                 own = ids[ends[first] : ends[last]]
                 width = words.offsets[own + 1] - words.offsets[own]
-                place = np.concatenate([[0], np.cumsum(width)])
-                data = words.data[np.repeat(words.offsets[own] - place[:-1], width) + np.arange(int(place[-1]))]
+                place = np.concatenate([[0], np.cumsum(width)]).astype(np.int32)
+                data = words.data[np.repeat(words.offsets[own] - place[:-1], width) + np.arange(int(place[-1]), dtype=np.int32)]
                 cut = place[ends[first : last + 1] - ends[first]]
                 texts = [data[a + 1 : b].tobytes() if b > a else b"" for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 part = batch.slice(first, last - first)
