@@ -52,7 +52,7 @@ def security_summary(
     Facts are looked up once per distinct security and joined back, so repeated
     requests cost nothing.  A quote without its market is used by bare code only
     where that code is unique among the quotes.  ``directory``: the last row per
-    security counts; ``quotes`` and ``finance``: the first (``seq`` if present).
+    security counts, and so for ``quotes`` and ``finance`` (by ``seq`` if present).
     """
     wanted = requested.select(*KEY).distinct()
     seq = lambda frame: "seq" if "seq" in frame.columns else None

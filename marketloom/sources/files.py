@@ -77,7 +77,8 @@ def locate(files: DataFrame, symbols: DataFrame, subdir: str, suffixes: Sequence
 def decode_text(content) -> Column:
     """UTF-8 (a leading mark dropped), else GB18030 with replacement.
 
-    The function is nested so that workers get it by value and need no package.
+    Valid UTF-8 is decoded by Spark itself; only the rest crosses to Python.  The function
+    is nested so that workers get it by value and need no package.
     """
 
     def decode(contents: pd.Series) -> pd.Series:
@@ -91,7 +92,13 @@ def decode_text(content) -> Column:
 
         return contents.map(one)
 
-    return F.pandas_udf(decode, "string")(content)
+    content = F.col(content) if isinstance(content, str) else content
+    text = content.cast("string")
+    valid = F.is_valid_utf8(text)
+    # A CASE alone would still send every value: others are NULL on the way to Python.
+    other = F.pandas_udf(decode, "string")(F.when(~valid, content))
+    marked = text.startswith("\ufeff")
+    return F.when(valid, F.when(marked, F.substring(text, 2, 1 << 30)).otherwise(text)).otherwise(other)
 
 
 def split_lines(text: Column) -> Column:

@@ -16,12 +16,12 @@ def export(frame: DataFrame, path: str, fmt: str = "csv", by: Sequence[str] = ()
     """Write a table; ``by`` makes one folder per value (a bundle by security).
 
     Rows of a folder are brought together first, so a bundle does not turn into
-    tasks x securities small files.
+    tasks x securities small files; a large folder is split over several tasks.
     """
     if fmt not in _FORMATS:
         raise ValueError(f"unsupported export format: {fmt!r}")
     if by:
-        frame = frame.repartition(*by)
+        frame = frame.hint("rebalance", *by)
     writer = frame.write.mode(mode)
     if by:
         writer = writer.partitionBy(*by)
