@@ -133,8 +133,7 @@ def _rolling_sql(days: int) -> str:
 
 
 def _history(spark, sf_dir, days):
-    summary = flow.flow_summary(flow.flow_sums(t.ticks(spark, sf_dir)))
-    history = flow.flow_history(t.bars(spark, sf_dir), summary, days)
+    history = recipes.flow_history(t.bars(spark, sf_dir), t.ticks(spark, sf_dir), days)
     return history.withColumns(
         {
             "date": t.text("date"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.times import since as on_or_after
@@ -35,6 +35,24 @@ def price_history(
     return out
 
 
+def flow_history(
+    bars: DataFrame, ticks: DataFrame, days: int | None = 20, windows: Sequence[int] = (5, 20), strict: bool = False
+) -> DataFrame:
+    """Daily flow with rolling sums from the ticks of the days that count.
+
+    The newest bars of each security name the days; their earliest date bounds the scan of
+    the ticks, and a semi join keeps other days from the aggregation.
+    """
+    if days is not None:
+        newest = Window.partitionBy(*SERIES).orderBy(F.col("date").desc())
+        dates = bars.select(*SERIES, "date").distinct()
+        recent = dates.withColumn("_age", F.row_number().over(newest)).where(F.col("_age") <= days + max(windows)).drop("_age")
+        first = recent.agg(F.min("date")).first()[0]
+        ticks = ticks.where(F.col("date") >= F.lit(first)).join(recent, [*SERIES, "date"], "left_semi")
+    summary = capital_flow.flow_summary(capital_flow.flow_sums(ticks))
+    return capital_flow.flow_history(bars, summary, days, windows, strict)
+
+
 def sector_report(
     name: str,
     industries: DataFrame,
