@@ -36,6 +36,8 @@ HEADLINES = [
     "security_summary",
     "finance_quality",
     "doc_normalize",
+    "synchronized_bars",
+    "stream_upsert",
 ]
 
 
