@@ -48,6 +48,12 @@ def failed(policy: str, bits: str = "fail_bits") -> Column:
     return F.col(bits).bitwiseAND(F.lit(mask(policy)).cast("bigint")) != 0
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, also where the optimizer moves the
+    expression: inside another lambda it would else be worked out for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _windows(w: Column) -> Column:
     """The text's 3-word windows, sorted so that equal ones are neighbours: structs of hash
     (which makes most comparisons cheap), the three words, and the position."""
@@ -78,7 +84,8 @@ def _repeat_words(s: Column) -> Column:
 
 
 def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``_row`` (all columns of ``docs`` as a struct), the measurements, and ``fail_bits``.
+    """``_row`` (all columns of ``docs`` as a struct), the measurements, ``fail_bits``, and a
+    running number ``_at``.
 
     * A null or empty text measures 0 everywhere and fails ``few_words``.
     * Repeated rows and ties are measured each for itself; an empty table stays empty.
@@ -87,16 +94,17 @@ def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.col("_text")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), whole_text(text_col).alias("_text"))
     rows = rows.withColumns({"_w": words("_text"), "_l": F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(F.translate(x, "\t\n\x0b\x0c\r", "     "))) > 0)})
-    rows = rows.withColumn("_s", _windows(F.col("_w")))
     measured = rows.select(
         "_row",
         F.size("_w").cast("bigint").alias("n_words"),
         F.length(F.regexp_replace(text, SPACE, "")).cast("bigint").alias("word_chars"),
         F.length(F.regexp_replace(text, SYMBOLS, "")).cast("bigint").alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("bigint").alias("n_dup_lines"),
-        _repeat_words(F.col("_s")).alias("n_repeat_words"),
+        _bound(F.col("_w"), lambda w: _bound(_windows(w), _repeat_words)).alias("n_repeat_words"),
         F.size("_l").cast("bigint").alias("n_lines"),
         F.length(F.regexp_replace(text, "[^A-Z]+", "")).cast("bigint").alias("n_upper"),
+        # A filter on this is not moved below the measurements, which would repeat them.
+        F.monotonically_increasing_id().alias("_at"),
     )
     bits = [F.when(F.expr(rule), 1 << k).otherwise(0).cast("bigint") for k, rule in enumerate(RULES.values())]
     return measured.withColumn("fail_bits", reduce(lambda a, b: a.bitwiseOR(b), bits))
@@ -135,5 +143,5 @@ def ablations(ledger_rows: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: str = CURRENT, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass a policy, with their own columns only."""
-    kept = judged(ledger(docs, text_col), policy).filter("kept")
+    kept = judged(ledger(docs, text_col), policy).filter("kept and _at >= 0")
     return kept.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
