@@ -37,7 +37,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of every document of the mix, and their round trip: a row per
     copy and sample (copies of a document get the same samples)."""
-    rows = pieces.decode(pieces.encode(docs))
+    rows = pieces.encode(docs, decoded=True)
     return rows.select(
         "doc_id", "sample", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
         "log_prob", "perturbed", "log_inclusion", F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -35,7 +35,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 8
 IDS = 500_000  # ids decoded at once
-PIECE = 1_400_000  # bytes of text whose lattices are held at once
+PIECE = 600_000  # bytes of text whose lattices are held at once
 BLANK, BREAK = 0x20, 0x0A
 
 
@@ -404,14 +404,25 @@ def _ids(words: Vocabulary, lattice: Lattice, buffer: np.ndarray, paths: list[tu
     return out, starts[bounds]
 
 
+def _texts(words: Vocabulary, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """Texts of runs of ids, without the blank put before each."""
+    width = words.offsets[ids + 1] - words.offsets[ids]
+    place = np.concatenate([[0], np.cumsum(width)]).astype(np.int32)
+    data = words.data[np.repeat(words.offsets[ids] - place[:-1], width) + np.arange(int(place[-1]), dtype=np.int32)]
+    cut = place[ends]
+    return [data[a + 1 : b].tobytes() if b > a else b"" for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+
 def encode(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES, model: str = MODEL, seed: int = SEED
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES, model: str = MODEL, seed: int = SEED,
+    decoded: bool = False,
+) -> DataFrame:
     """Up to ``samples`` rows per document: ``<id>, sample, ids, log_prob, perturbed, log_inclusion``.
 
     ``sample`` counts from 1 by falling perturbed value, ``ids`` are piece ids, ``log_prob``
     the segmentation's log-probability, and ``log_inclusion`` the log-probability of being
     among the samples given the next best perturbed value (0 if nothing is left out).
+    ``decoded`` adds the text that :func:`decode` makes of the ids, in the same pass.
 
     * A text with fewer segmentations than asked gives as many as there are.
     * A null or empty text gives one row without ids and log-probability 0.
@@ -424,7 +435,7 @@ def encode(
         F.col(text_col).cast("string").alias("text"),
     )
     kind = rows.schema["id"].dataType.simpleString()
-    names = ["id", "sample", "ids", "log_prob", "perturbed", "log_inclusion"]
+    names = ["id", "sample", "ids", "log_prob", "perturbed", "log_inclusion", *["decoded"] * decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(model)
@@ -436,17 +447,19 @@ def encode(
                 got += [(r, 1, np.zeros(0, np.int64), 0.0, 0.0, 0.0) for r in empty]
                 flat = np.concatenate([*[g[2] for g in got], np.zeros(0, np.int64)]).astype(np.int32)
                 ends = np.cumsum([0, *[len(g[2]) for g in got]]).astype(np.int32)
+                texts = [pa.array(_texts(words, flat, ends), pa.binary()).cast(pa.string())] if decoded else []
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array([first + g[0] for g in got], pa.int64())),
                         pa.array([g[1] for g in got], pa.int32()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                         *[pa.array([float(g[i]) for g in got], pa.float64()) for i in (3, 4, 5)],
+                        *texts,
                     ],
                     names,
                 )
 
-    schema = f"id {kind}, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
+    schema = f"id {kind}, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double" + ", decoded string" * decoded
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
@@ -468,11 +481,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model: str = MODEL) -> Data
             while first < batch.num_rows:
                 last = max(int(np.searchsorted(ends, ends[first] + IDS, "right")) - 1, first + 1)
                 own = ids[ends[first] : ends[last]]
-                width = words.offsets[own + 1] - words.offsets[own]
-                place = np.concatenate([[0], np.cumsum(width)]).astype(np.int32)
-                data = words.data[np.repeat(words.offsets[own] - place[:-1], width) + np.arange(int(place[-1]), dtype=np.int32)]
-                cut = place[ends[first : last + 1] - ends[first]]
-                texts = [data[a + 1 : b].tobytes() if b > a else b"" for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                texts = _texts(words, own, ends[first : last + 1] - ends[first])
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(texts, pa.binary()).cast(pa.string())], [*rest, "decoded"]

@@ -59,7 +59,7 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pieces.decode(pieces.encode(read(spark, sf_dir, "documents")))
+    rows = pieces.encode(read(spark, sf_dir, "documents"), decoded=True)
     return rows.select(
         "doc_id", "sample", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
         "log_prob", "perturbed", "log_inclusion", F.sha2("decoded", 256).alias("decoded_sha256"),

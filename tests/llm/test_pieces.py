@@ -118,6 +118,7 @@ def test_encode_and_decode(spark):
     encoded = pieces.encode(docs, samples=3)
     rows = pieces.decode(encoded).collect()
     assert len(rows) == 3 + 1 + 1 + 3 + 3
+    assert sorted(map(str, rows)) == sorted(map(str, pieces.encode(docs, samples=3, decoded=True).collect()))
     texts = {1: "the cat", 2: "", 3: "", None: "a  b\n"}
     assert all(r.decoded == texts[r.doc_id] for r in rows)
     assert len({(r.sample, tuple(r.ids)) for r in rows if r.doc_id == 1}) == 3
