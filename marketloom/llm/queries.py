@@ -47,7 +47,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classifier.classify(read(spark, sf_dir, "documents"))
+    return classifier.classify(read(spark, sf_dir, "documents"), labels=read(spark, sf_dir, "labels"))
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

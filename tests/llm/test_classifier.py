@@ -50,3 +50,25 @@ def test_edge_cases(spark):
     assert classifier.classify(docs.filter("doc_id > 7")).count() == 0
     again = classifier.classify(docs).collect()
     assert [r.quality_score for r in sorted(rows, key=repr)] == pytest.approx([r.quality_score for r in sorted(again, key=repr)])
+
+
+def test_recall_of_toxic_documents_per_language(spark):
+    """Words are learned from the labels of even ids; documents of odd ids are new to them."""
+    folder = SF.replace("0.01", "0.1")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    out = classifier.classify(docs, labels=labels.filter("doc_id % 2 = 0")).toPandas()
+    truth = duckdb.sql(f"select doc_id, lang, quality as label, toxic from '{folder}/labels.parquet' join '{folder}/documents.parquet' using (doc_id)").df()
+    both = out.merge(truth[truth.doc_id % 2 == 1], on="doc_id")
+    bad = both.manners < 0.5
+    for lang in ("en", "de", "fr", "es"):
+        own = both.lang == lang
+        assert bad[own & (both.toxic == 1)].mean() > 0.85, lang
+        assert bad[own & (both.toxic == 0) & (both.label == 1)].mean() < 0.03, lang
+
+
+def test_abuse_is_found_between_punctuation_and_silence_is_not_good(spark):
+    docs = spark.createDataFrame(
+        [(1, '"Idiot!" (moron) plain', "en"), (2, "plain words only", "en"), (3, "nur gute Worte", "de")], "doc_id long, text string, lang string"
+    )
+    votes = {r.doc_id: r.votes[7:10] for r in classifier.classify(docs).collect()}
+    assert votes == {1: "111", 2: "222", 3: "000"}
