@@ -44,6 +44,13 @@ def test_stages_have_the_columns_of_documents(spark):
     assert all(r.decoded_sha256 == hashlib.sha256(rows[r.doc_id].encode()).hexdigest() for r in out)
 
 
+def test_repeated_lines_alone_reject_nothing(spark):
+    prose = [f"word{k} other{k} third{k}" for k in range(30)]
+    rows = [(1, "\n".join(prose + ["end"] * 15)), (2, "\n".join(["one two three four"] * 30)), (3, "\n".join(prose))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.quality(spark, docs, SF).collect()) == [1, 3]
+
+
 def test_run_is_the_stages_in_order(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "exact dedup", "n-gram Jaccard join", "mixing sources", "SentencePiece encoding",
