@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from marketloom.llm import (
     url_filter,
 )
 from marketloom.llm import sql as oracle
-from marketloom.llm.common import read
+from marketloom.llm.common import read, stored
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +31,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every policy's rules over the whole table, from the bits of one stored ledger."""
+    bits = stored(quality_rules.ledger(read(spark, sf_dir, "documents")).select("fail_bits"), "ledger")
+    rows = []
+    for policy in quality_rules.POLICIES:
+        n_kept = bits.agg(F.count(F.when(~quality_rules.failed("base") & ~quality_rules.failed(policy), 1)).alias("n_kept"))
+        rows.append(quality_rules.ablations(bits, policy).crossJoin(n_kept).withColumn("policy", F.lit(policy)))
+    return reduce(DataFrame.unionByName, rows).select("policy", "rule", "bit", "n_docs", "n_failed", "n_only", "n_kept")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.copies(read(spark, sf_dir, "documents"))
     return rows.selectExpr("_row.doc_id as doc_id", "size", "source_size", "target", "size * copies as taken")
@@ -76,6 +88,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, oracle.QUALITY_RULES),
+    "op1_rule_ablations": (op1_rule_ablations, oracle.RULE_ABLATIONS),
     "op2_mix_sources": (op2_mix_sources, oracle.MIX_SOURCES),
     "op3_lm_score": (op3_lm_score, None),
     "op4_suffix_dedup": (op4_suffix_dedup, None),

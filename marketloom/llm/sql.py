@@ -40,6 +40,18 @@ from bits"""
 
 QUALITY_RULES = quality_rules()
 
+RULE_ABLATIONS = f"""
+with ledger as materialized (select fail_bits from ({QUALITY_RULES})),
+rules(rule, bit, policies) as (values
+  ('few_words', 0, ['base', 'v1', 'v2']), ('repeated_words', 1, ['base', 'v1', 'v2']), ('symbols', 2, ['v1', 'v2']),
+  ('repeated_lines', 3, ['v1']), ('capitals', 4, ['v1', 'v2']), ('odd_word_length', 5, ['v1'])),
+members as (select unnest(policies) as policy, rule, bit from rules),
+masks as (select policy, sum(1 << bit)::bigint as mask from members group by policy)
+select policy, rule, bit, count(*) as n_docs, count(*) filter ((fail_bits >> bit) & 1 = 1) as n_failed,
+       count(*) filter (fail_bits & mask = 1 << bit) as n_only, count(*) filter (fail_bits & (mask | 3) = 0) as n_kept
+from members join masks using (policy) cross join ledger
+group by policy, rule, bit"""
+
 
 def unit_hash(seed: str, key: str) -> str:
     return f"(('0x' || substr(md5('{seed}|' || coalesce(cast({key} as varchar), '')), 1, 13))::bigint / {float(1 << 52)})"

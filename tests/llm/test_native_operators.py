@@ -65,6 +65,15 @@ def test_ablations_add_up(spark):
             assert r.n_only == sum(b & mask == bit for b in bits)
 
 
+def test_a_query_reports_every_policy(spark):
+    rows = QUERIES["op1_rule_ablations"][0](spark, SF).collect()
+    assert {p: {r.rule for r in rows if r.policy == p} for p in quality_rules.POLICIES} == {
+        p: set(names) for p, names in quality_rules.POLICIES.items()
+    }
+    kept = {r.policy: r.n_kept for r in rows}
+    assert kept["base"] >= kept["v2"] >= kept["v1"] > 0
+
+
 def test_kept_rows_keep_their_columns(spark):
     good = " ".join(f"word{k}" for k in range(80))
     frame = docs(spark, [(1, good), (2, "short"), (1, good)])
