@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from marketloom.llm import (
     classifier,
+    divergence,
     exact_dedup,
+    fill_middle,
     jaccard,
+    line_dedup,
     lm_scoring,
     mixing,
     pieces,
@@ -86,6 +89,20 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents")))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.drop_shared_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.selectExpr("_row.doc_id as doc_id", "n_lines", "n_dropped", "sha2(kept, 256) as kept_sha256")
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.restore(fill_middle.transform(read(spark, sf_dir, "documents")))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, oracle.QUALITY_RULES),
     "op1_rule_ablations": (op1_rule_ablations, oracle.RULE_ABLATIONS),
@@ -98,4 +115,7 @@ QUERIES = {
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_exact_dedup": (op9_exact_dedup, oracle.EXACT_DEDUP),
     "op10_secret_scan": (op10_secret_scan, None),
+    "op11_line_dedup": (op11_line_dedup, oracle.LINE_DEDUP),
+    "op12_fill_middle": (op12_fill_middle, oracle.FILL_MIDDLE),
+    "op13_source_divergence": (op13_source_divergence, oracle.SOURCE_DIVERGENCE),
 }

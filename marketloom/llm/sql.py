@@ -155,3 +155,82 @@ graded as (
 threshold as (select coalesce(arg_min(middle, (-quality, step)), 0.0) as threshold from graded)
 select page_id, host, path, rule, coalesce(action, case when score >= threshold then 'allow' else 'block' end) as verdict, score
 from ruled join scores using (string), threshold"""
+
+
+def line_dedup(table: str = "documents") -> str:
+    split = "string_split(coalesce(text, ''), chr(10))"
+    blank = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+with lines as (
+  select doc_id, generate_subscripts({split}, 1) as i, unnest({split}) as line from {table}),
+keyed as (
+  select *, translate(trim(line, {blank}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k from lines),
+shared as (
+  select k, max(doc_id) as keeper from keyed where length(k) >= 20 group by k having count(distinct doc_id) >= 3),
+marked as (select doc_id, i, line, coalesce(keeper <> doc_id, false) as gone from keyed left join shared using (k))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from marked group by doc_id"""
+
+
+LINE_DEDUP = line_dedup()
+
+
+def fill_middle(table: str = "documents") -> str:
+    draw = "('0x' || substr(h, {}, 8))::bigint"
+    return f"""
+with drawn as (
+  select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n, sha256('1:' || doc_id) as h from {table}),
+placed as (
+  select doc_id, t, n, least({draw.format(1)} % (n + 1), {draw.format(9)} % (n + 1)) as a,
+         greatest({draw.format(1)} % (n + 1), {draw.format(9)} % (n + 1)) as b,
+         case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or {draw.format(17)} % 100 >= 90
+              then 'plain' when {draw.format(25)} % 100 < 20 then 'spm' else 'psm' end as form
+  from drawn),
+parts as (select *, substr(t, 1, a) as prefix, substr(t, a + 1, b - a) as middle, substr(t, b + 1) as suffix from placed)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(t) as restored_sha256
+from parts"""
+
+
+FILL_MIDDLE = fill_middle()
+
+
+def source_divergence(table: str = "documents", min_docs: int = 3, top: int = 200) -> str:
+    share = "1 + (1000000000::hugeint * ({} + 1)) // ({} + {})"
+    return f"""
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from {table}),
+groups as (select distinct lang, source from docs),
+found as (select r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs),
+per_doc as (select r, lang, source, term, count(*) as n from found group by all),
+kept as (select lang, term, sum(n)::bigint as total from per_doc group by lang, term having count(*) >= {min_docs}),
+counts as (select lang, source, term, sum(n)::bigint as n from per_doc group by lang, source, term),
+langs as (select lang, count(*) as v, sum(total)::bigint as size from kept group by lang),
+filled as (
+  select g.lang, g.source, k.term, k.total, coalesce(c.n, 0) as n
+  from groups g join kept k using (lang) left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+sizes as (select lang, source, sum(n)::bigint as size from filled group by lang, source),
+shares as (
+  select f.lang, f.source, f.term, f.n, ({share.format("f.n", "s.size", "l.v")})::hugeint as p,
+         ({share.format("f.total", "l.size", "l.v")})::hugeint as q
+  from filled f join sizes s on s.lang = f.lang and s.source = f.source join langs l on l.lang = f.lang),
+summed as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p)::bigint as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (
+  select a.lang, a.source, b.source as item, coalesce(s.value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join summed s on s.lang = a.lang and s.source = a.source and s.item = b.source),
+terms as (select lang, source, term as item, ((p - q) * (p - q) // q)::bigint as value from shares where n > 0 and p > q),
+ranked as (
+  select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, encode(item)) as rank from pairs
+  union all
+  select lang, source, 'term' as part, item, value, row_number() over (partition by lang, source order by value desc, encode(item)) as rank from terms)
+select lang, source, part, item, value, rank::integer as rank from ranked where part = 'pair' or rank <= {top}"""
+
+
+SOURCE_DIVERGENCE = source_divergence()
