@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketloom.operators.asof import asof_lookup
 from marketloom.operators.intervals import merge_ranges, missing_ranges, plan_incremental
 from marketloom.operators.merge import merge_fallback
+from marketloom.session import shared_scratch
 from marketloom.sources.bar_table import IDENTITY, KEY, BarTable
 
 
@@ -62,37 +63,27 @@ def sync(
 ) -> DataFrame:
     """Bring the requested series (identity, start, end) up to date and return them.
 
-    Everything planned is read before anything is written; rows and the coverage of
-    ranges that had rows are committed in one step, so an empty answer erases nothing.
+    The plan is made from one snapshot of the table, and everything planned is read before
+    anything becomes visible.  Rows and the coverage of ranges that had rows are one commit,
+    so an empty answer erases nothing.
     """
-    adjusted = requested.where(F.col("adjustment") != "none").limit(1).count()
+    first, last, adjusted = requested.agg(F.min("start"), F.max("end"), F.max(F.col("adjustment") != "none")).first()
     if adjusted:
         raise ValueError("only unadjusted bars can be synchronized")
     source = _unadjusted(source)
     fallback = None if fallback is None else _unadjusted(fallback)
-    latest = store.last_stamps()
-    covered = store.coverage().select(*IDENTITY, "start", "end")
-    ranges = planned_ranges(requested, covered, latest, overlap)
+    now = store.snapshot()
+    ranges = planned_ranges(requested, now.coverage().select(*IDENTITY, "start", "end"), now.last_stamps(), overlap)
     # The plan is small, read for each feed, and bounds the scans: write it once.
-    plan = f"{store.path}/staging/{uuid.uuid4().hex}"
+    plan = f"{shared_scratch(store.spark)}/plan-{uuid.uuid4().hex}"
     ranges.write.parquet(plan)
     ranges = store.spark.read.schema(ranges.schema).parquet(plan)
     lo, hi = ranges.agg(F.min("start"), F.max("end")).first()
     rows = _needed(source, ranges, lo, hi)
     if fallback is not None:
         rows = merge_fallback(rows, _needed(fallback, ranges, lo, hi), key=KEY)
-    # One write of what was fetched; rows and coverage are both taken from it.
-    staged = f"{store.path}/staging/{uuid.uuid4().hex}"
-    rows.write.parquet(staged)
-    fetched = store.spark.read.schema(rows.schema).parquet(staged)
-    coverage = (
-        fetched.select(*IDENTITY, F.col("range_start").alias("start"), F.col("range_end").alias("end"))
-        .distinct()
-        .withColumns({"source": F.lit(""), "is_approximate": F.lit(False)})
-    )
-    store.upsert(fetched.drop("range_start", "range_end"), coverage=coverage)
+    store.upsert(rows, answers=("range_start", "range_end"))
     wanted = requested.select(*IDENTITY, F.col("start").alias("_lo"), F.col("end").alias("_hi"))
-    first, last = requested.agg(F.min("start"), F.max("end")).first()
     return (
         store.bars(first, last)
         .join(wanted, IDENTITY)

@@ -1,27 +1,37 @@
-"""Stored bars with their coverage, as plain partitioned Parquet.
+"""Stored bars with their coverage, as plain Parquet that is only ever added to.
 
-Bars are appended, never rewritten: a write costs what it writes.  Every row carries the
-write that brought it, and reading keeps the newest row of each key, so a repeated or
-replayed write changes nothing, and two writers cannot lose each other's rows.  Partitions
-are market, frequency, adjustment and period (a month of minute bars, a year of coarser
-ones); :meth:`BarTable.compact` resolves them now and then.  On a catalog with MERGE,
-``DataFrame.mergeInto`` is the same upsert.
+A write puts its rows into a folder of its own, then what it says about them (the last bar
+of each series, ranges it covers, a tail it cuts off), and at last one commit row: a single
+small file, whose appearance makes all of it visible at once.  A job that dies before that
+leaves the table as it was.  Readers resolve a :class:`Snapshot`, the commits they found, so
+rows, coverage and last stamps of one snapshot belong together.
 
-Rows are written before the coverage that speaks of them: if a job dies in between, the
-range is simply fetched again.
+The newest row of each key counts, newest by commit, not by clock.  A write costs what it
+writes: nothing stored is read for it but the commits.  Two writers cannot lose each other's
+rows or coverage, since each adds its own and they are merged on reading.
+:meth:`BarTable.compact` folds the commits of a snapshot into one that takes their place;
+what is committed meanwhile stays beside it.  :meth:`BarTable.vacuum` deletes folders that
+compactions have replaced.
+
+Folders: ``bars/write=<id>/market=/frequency=/adjustment=/period=`` (a month of minute bars,
+a year of coarser ones), ``marks/write=<id>`` and ``commits``.
+
+Catalogs with MERGE have transactions of their own; :func:`merge_into` is the same upsert
+there.
 """
 
 from __future__ import annotations
 
-import time
+import json
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketloom.operators.intervals import mark_coverage
+from marketloom.operators.intervals import merge_ranges
 from marketloom.operators.scan import keep_latest
 from marketloom.schemas import COVERAGE, STORED_BARS
 
@@ -29,30 +39,49 @@ IDENTITY = ["market", "code", "frequency", "adjustment"]
 KEY = [*IDENTITY, "ts"]
 _PARTITION = ["market", "frequency", "adjustment", "period"]
 _FINE = ["1m", "5m", "15m", "30m", "1h", "ex_1m"]
-_LAST = "market STRING, code STRING, frequency STRING, adjustment STRING, last TIMESTAMP_NTZ, write STRING"
-_CUTS = "market STRING, code STRING, frequency STRING, adjustment STRING, cut TIMESTAMP_NTZ, write STRING"
+#: ``kind`` is last (start: time of the last bar), cut (start: tail cut off from there) or
+#: range (start, end, provenance).  ``origin`` is the commit of compacted rows, else NULL.
+_MARKS = T.StructType([
+    *COVERAGE.fields, T.StructField("kind", T.StringType()), T.StructField("origin", T.LongType()), T.StructField("write", T.StringType()),
+])
+_COMMITS = "write STRING, version BIGINT, live BOOLEAN"
+_EXTRA = [T.StructField("origin", T.LongType()), T.StructField("write", T.StringType()), T.StructField("period", T.StringType())]
+_ROWS = T.StructType([*STORED_BARS.fields, *_EXTRA])
 
 
-class BarTable:
-    def __init__(self, spark: SparkSession, path: str) -> None:
+class Snapshot:
+    """The table as of the commits found when it was taken."""
+
+    def __init__(self, spark: SparkSession, path: str, commits: Sequence[Row]) -> None:
         self.spark = spark
-        self.path = path.rstrip("/")
+        self.path = path
+        replaced = {r["write"] for r in commits if not r["live"]}
+        #: Commit number of each write that counts.
+        self.live = {r["write"]: r["version"] for r in commits if r["live"] and r["write"] not in replaced}
+        self.replaced = sorted(replaced)
+        self.version = max((r["version"] for r in commits), default=0)
 
-    def _read(self, part: str, schema: T.StructType | str) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+    def _read(self, part: str, schema: T.StructType | str) -> DataFrame:
+        """Rows of the live writes, with ``version``, the commit that each belongs to."""
+        if not self.live:
+            return self.spark.createDataFrame([], schema).withColumn("version", F.lit(0).cast("bigint"))
+        base = f"{self.path}/{part}"
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/write={w}" for w in sorted(self.live)])
+        if len(self.live) == 1:
+            return rows.withColumn("version", F.coalesce("origin", F.lit(*self.live.values()).cast("bigint")))
+        # One row per live write, which compaction keeps few.
+        numbers = self.spark.sql(
+            "select explode(from_json(:live, 'map<string, bigint>')) as (write, _version)", args={"live": json.dumps(self.live)}
+        )
+        return rows.join(numbers, "write").withColumn("version", F.coalesce("origin", "_version")).drop("_version")
 
-    # -- reading ----------------------------------------------------------------
-    def _versions(self, start: str | None = None, end: str | None = None) -> DataFrame | None:
-        """All rows of the periods that reach into [start, end], with their write."""
-        extra = [T.StructField(name, T.StringType()) for name in ("write", "period")]
-        rows = self._read("bars", T.StructType([*STORED_BARS.fields, *extra]))
-        if rows is None:
-            return None
+    def marks(self, kind: str) -> DataFrame:
+        return self._read("marks", _MARKS).where(F.col("kind") == kind)
+
+    # -- bars -------------------------------------------------------------------
+    def versions(self, start: str | None = None, end: str | None = None) -> DataFrame:
+        """All rows of the periods that reach into [start, end], with their commit."""
+        rows = self._read("bars", _ROWS)
         # On the partition column alone, so other periods are never listed for reading.
         size = F.length("period")
         if start is not None:
@@ -61,55 +90,76 @@ class BarTable:
             rows = rows.where(F.col("period") <= F.lit(str(end)).substr(F.lit(1), size))
         return rows
 
-    def _resolved(self, rows: DataFrame | None) -> DataFrame:
-        """The newest row of each key, less what a later replacement cut off."""
-        if rows is None:
-            return self.spark.createDataFrame([], T.StructType([*STORED_BARS.fields, T.StructField("write", T.StringType()), T.StructField("period", T.StringType())]))
-        cuts = self._read("cuts", _CUTS)
-        if cuts is not None:
-            per_series = cuts.groupBy(*IDENTITY).agg(F.collect_list(F.struct("write", "cut")).alias("_cuts"))
-            gone = F.exists("_cuts", lambda c: (c["write"] > F.col("write")) & (F.col("ts") >= c["cut"]))
-            rows = rows.join(per_series, IDENTITY, "left").where(~F.coalesce(gone, F.lit(False))).drop("_cuts")
-        return keep_latest(rows, KEY, [F.col("write").desc()])
+    def resolved(self, rows: DataFrame) -> DataFrame:
+        """The newest row of each key, less what a later commit cut off."""
+        if len(self.live) < 2:  # one write holds each key once
+            return rows
+        cuts = self.marks("cut")
+        per_series = cuts.groupBy(*IDENTITY).agg(F.collect_list(F.struct("version", "start")).alias("_cuts"))
+        gone = F.exists("_cuts", lambda c: (c["version"] > F.col("version")) & (F.col("ts") >= c["start"]))
+        rows = rows.join(per_series, IDENTITY, "left").where(~F.coalesce(gone, F.lit(False))).drop("_cuts")
+        return keep_latest(rows, KEY, [F.col("version").desc(), F.col("write").desc()])
 
     def bars(self, start: str | None = None, end: str | None = None) -> DataFrame:
-        """Stored bars; with bounds, those of the periods that reach into them."""
-        return self._resolved(self._versions(start, end)).select(*STORED_BARS.names)
+        return self.resolved(self.versions(start, end)).select(*STORED_BARS.names)
 
+    # -- marks ------------------------------------------------------------------
     def last_stamps(self) -> DataFrame:
         """Time of the last stored bar of each series, from what every write noted down."""
-        noted = self._read("last", _LAST)
-        if noted is None:
-            return self.bars().groupBy(*IDENTITY).agg(F.max("ts").alias("last"))
-        cuts = self._read("cuts", _CUTS)
-        if cuts is None:
-            return noted.groupBy(*IDENTITY).agg(F.max("last").alias("last"))
+        noted = self.marks("last").groupBy(*IDENTITY).agg(F.max("start").alias("last"))
+        if len(self.live) < 2:
+            return noted
+        cut = self.marks("cut").select(*IDENTITY).distinct()
         # Replaced series may have lost their last bar: only those are read.
-        whole = noted.join(cuts, IDENTITY, "left_anti").groupBy(*IDENTITY).agg(F.max("last").alias("last"))
-        changed = self.bars().join(cuts.select(*IDENTITY).distinct(), IDENTITY, "left_semi")
-        return whole.unionByName(changed.groupBy(*IDENTITY).agg(F.max("ts").alias("last")))
+        changed = self.bars().join(cut, IDENTITY, "left_semi").groupBy(*IDENTITY).agg(F.max("ts").alias("last"))
+        return noted.join(cut, IDENTITY, "left_anti").unionByName(changed)
+
+    def coverage(self) -> DataFrame:
+        """Covered ranges, merged within equal provenance."""
+        columns = COVERAGE.names
+        keys = [c for c in columns if c not in ("start", "end")]
+        return merge_ranges(self.marks("range").select(*columns), keys).select(*columns)
+
+
+class BarTable:
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    # -- reading ----------------------------------------------------------------
+    def snapshot(self) -> Snapshot:
+        try:
+            commits = self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits").collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            commits = []
+        return Snapshot(self.spark, self.path, commits)
+
+    def bars(self, start: str | None = None, end: str | None = None) -> DataFrame:
+        """Stored bars; with bounds, those of the periods that reach into them."""
+        return self.snapshot().bars(start, end)
+
+    def last_stamps(self) -> DataFrame:
+        return self.snapshot().last_stamps()
 
     def coverage(self) -> DataFrame:
-        marks = self._read("coverage", T.StructType([*COVERAGE.fields, T.StructField("write", T.StringType())]))
-        if marks is None:
-            return self.spark.createDataFrame([], COVERAGE)
-        newest = marks.agg(F.max("write")).scalar()
-        return marks.where(F.col("write") == newest).select(*COVERAGE.names)
+        return self.snapshot().coverage()
 
     def read_bars(self, identity: dict[str, str], start: str | None = None, end: str | None = None) -> DataFrame:
         """One series or many, both ends inclusive, in time order.
 
         Partitions of other identities and periods are never opened.
         """
-        rows = self._versions(start, end)
-        if rows is not None:
-            for name, value in identity.items():
-                rows = rows.where(F.col(name) == value)
-            if start is not None:
-                rows = rows.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
-            if end is not None:
-                rows = rows.where(F.col("ts") <= F.lit(end).cast("timestamp_ntz"))
-        return self._resolved(rows).select(*STORED_BARS.names).orderBy(*KEY)
+        now = self.snapshot()
+        rows = now.versions(start, end)
+        for name, value in identity.items():
+            rows = rows.where(F.col(name) == value)
+        if start is not None:
+            rows = rows.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+        if end is not None:
+            rows = rows.where(F.col("ts") <= F.lit(end).cast("timestamp_ntz"))
+        return now.resolved(rows).select(*STORED_BARS.names).orderBy(*KEY)
 
     # -- writing ----------------------------------------------------------------
     def upsert(
@@ -118,66 +168,131 @@ class BarTable:
         *,
         replace_from: str | None = None,
         coverage: DataFrame | None = None,
+        answers: tuple[str, str] | None = None,
         seq: str | None = None,
         timezone: str = "Asia/Shanghai",
     ) -> None:
-        """Insert or update bars, then mark coverage.
+        """Insert or update bars and mark what they cover, in one commit.
 
         Without ``replace_from`` a row replaces the stored one of its key (the highest
         ``seq`` among repeats).  With it, the stored tail (``ts`` >= it) of the given
-        series is cut off and repeats in the input are an error.  Empty input changes
-        nothing.
+        series is cut off and repeats in the input are an error.  ``answers`` names two
+        columns of ``bars`` with the range that each row belongs to; these ranges are
+        covered too.  Empty input changes nothing.
         """
-        write = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
-        rows = _with_period(_normalize(bars, timezone, [seq] if seq else []))
+        write = uuid.uuid4().hex
+        rows = _with_period(_normalize(bars, timezone, [*([seq] if seq else []), *(answers or [])]))
         if seq:
             rows = keep_latest(rows, KEY, [F.col(seq).desc()]).drop(seq)
         elif replace_from is None:
             # Repeats inside one write need an order too: any row, but always the same.
             rows = keep_latest(rows, KEY, [F.xxhash64(*[c for c in STORED_BARS.names if c not in KEY]).desc()])
-        else:
-            repeated = rows.groupBy(*KEY).count().where("count > 1").limit(1).collect()
-            if repeated:
-                raise ValueError(f"repeated bar in replacement: {tuple(repeated[0])[:-1]}")
+        self._write_rows(rows, write)
+        # From here on what was written is read, so the input is worked out once.
+        covers = list(answers or [])
+        stamp = [T.StructField(name, T.TimestampNTZType()) for name in covers]
+        written = self.spark.read.schema(T.StructType([*_ROWS.fields, *stamp])).parquet(f"{self.path}/bars/write={write}")
+        if replace_from is not None and (repeated := written.groupBy(*KEY).count().where("count > 1").first()):
+            raise ValueError(f"repeated bar in replacement: {tuple(repeated)[:-1]}")
+        last = written.groupBy(*IDENTITY).agg(F.max("ts").alias("start"))
+        marks = _marks(last, "last")
+        if replace_from is not None:
+            marks = marks.unionByName(_marks(last.withColumn("start", F.lit(replace_from).cast("timestamp_ntz")), "cut"))
+        if coverage is not None:
+            marks = marks.unionByName(_marks(coverage, "range"))
+        if answers:
+            ranges = written.groupBy(*IDENTITY, F.col(answers[0]).alias("start"), F.col(answers[1]).alias("end")).agg(
+                F.lit("").alias("source"), F.lit(False).alias("is_approximate")
+            )
+            marks = marks.unionByName(_marks(ranges, "range"))
+        self._write_marks(marks, write)
+        if self.spark.read.schema(_MARKS).parquet(f"{self.path}/marks/write={write}").where("kind = 'last'").isEmpty():
+            return
+        self._commit(write)
+
+    def _write_rows(self, rows: DataFrame, write: str) -> None:
         # AQE sizes the files of each partition (large ones are split, however skewed);
         # sorted inside each file, so code and time filters prune row groups.
         (
-            rows.withColumn("write", F.lit(write))
-            .hint("rebalance", *_PARTITION)
+            rows.hint("rebalance", *_PARTITION)
             .sortWithinPartitions(*_PARTITION, "code", "ts")
-            .write.mode("append")
-            .partitionBy(*_PARTITION)
-            .parquet(f"{self.path}/bars")
+            .write.partitionBy(*_PARTITION)
+            .parquet(f"{self.path}/bars/write={write}")
         )
-        added = self._versions()
-        if added is None:
-            return
-        last = added.where(F.col("write") == write).groupBy(*IDENTITY).agg(F.max("ts").alias("last"))
-        last.withColumn("write", F.lit(write)).write.mode("append").parquet(f"{self.path}/last")
-        if replace_from is not None:
-            cut = last.select(*IDENTITY, F.lit(replace_from).cast("timestamp_ntz").alias("cut"), F.lit(write).alias("write"))
-            cut.write.mode("append").parquet(f"{self.path}/cuts")
-        if coverage is not None:
-            marked = mark_coverage(self.coverage(), coverage, IDENTITY).select(*COVERAGE.names)
-            marked.withColumn("write", F.lit(write)).write.mode("append").parquet(f"{self.path}/coverage")
+
+    def _write_marks(self, marks: DataFrame, write: str) -> None:
+        marks.write.parquet(f"{self.path}/marks/write={write}")
+
+    def _commit(self, write: str, replaced: Sequence[str] = ()) -> None:
+        """Make a write visible: one file, which is there or not.  Numbers are given here and
+        not when a write begins, so they follow the order in which readers see commits; of
+        two at the same moment the greater id counts as newer."""
+        version = self.snapshot().version + 1
+        rows = [(write, version, True), *((w, version, False) for w in replaced)]
+        self.spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
     def compact(self) -> None:
-        """Rewrite partitions with one row per key.  Rows keep their write, so a reader or a
-        retry that meets old and new partitions side by side still resolves them rightly."""
-        rows = self._versions()
-        if rows is None:
+        """Fold the commits of a snapshot into one with a row per key.  Rows keep the number
+        of their commit, so what others commit meanwhile is resolved rightly beside it."""
+        now = self.snapshot()
+        if len(now.live) < 2:
             return
-        staged = f"{self.path}/staging/{uuid.uuid4().hex}"
-        self._resolved(rows).write.parquet(staged)
-        resolved = self.spark.read.schema(rows.schema).parquet(staged)
-        (
-            resolved.hint("rebalance", *_PARTITION)
-            .sortWithinPartitions(*_PARTITION, "code", "ts")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*_PARTITION)
-            .parquet(f"{self.path}/bars")
-        )
+        write = uuid.uuid4().hex
+        self._write_rows(now.resolved(now.versions()).withColumn("origin", F.col("version")).drop("version", "write"), write)
+        written = self.spark.read.schema(_ROWS).parquet(f"{self.path}/bars/write={write}")
+        last = written.groupBy(*IDENTITY).agg(F.max("ts").alias("start"), F.max("origin").alias("origin"))
+        # Cuts have taken effect: whatever is committed later is newer than they are.
+        self._write_marks(_marks(last, "last").unionByName(_marks(now.coverage(), "range")), write)
+        self._commit(write, sorted(now.live))
+
+    def vacuum(self) -> int:
+        """Delete the folders of writes that compactions replaced; readers of older
+        snapshots must have ended.  Returns how many writes went."""
+        replaced = self.snapshot().replaced
+        jvm = self.spark._jvm
+        gone = 0
+        for write in replaced:
+            for part in ("bars", "marks"):
+                path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}/write={write}")
+                gone += path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return gone // 2
+
+
+def merge_into(bars: DataFrame, table: str, *, replace_from: str | None = None, timezone: str = "Asia/Shanghai") -> None:
+    """The upsert as one MERGE statement, for a ``table`` of stored bars in a catalog that has
+    it (Spark refuses other tables, which :class:`BarTable` serves).
+
+    Input must hold each key once.  With ``replace_from`` stored bars from there on, of the
+    series in the input, that the input does not hold, are deleted by the same statement.
+    """
+    rows = _normalize(bars, timezone, [])
+    if replace_from is not None:
+        # Stored tail bars come along as deletions, so that one statement sees both.
+        cut = F.lit(replace_from).cast("timestamp_ntz")
+        tail = bars.sparkSession.table(table).where(F.col("ts") >= cut).select(*STORED_BARS.names)
+        tail = tail.join(rows.select(*IDENTITY).distinct(), IDENTITY, "left_semi").join(rows.select(*KEY), KEY, "left_anti")
+        rows = rows.withColumn("_gone", F.lit(False)).unionByName(tail.withColumn("_gone", F.lit(True)))
+    else:
+        rows = rows.withColumn("_gone", F.lit(False))
+    same = [F.col(f"_new.{c}").eqNullSafe(F.col(f"{table}.{c}")) for c in KEY]
+    condition = same[0]
+    for part in same[1:]:
+        condition = condition & part
+    values = {c: F.col(f"_new.{c}") for c in STORED_BARS.names}
+    (
+        rows.alias("_new").mergeInto(table, condition)
+        .whenMatched(F.col("_new._gone")).delete()
+        .whenMatched().update(values)
+        .whenNotMatched().insert(values)
+        .merge()
+    )
+
+
+def _marks(rows: DataFrame, kind: str) -> DataFrame:
+    """Marks of a kind, with all columns."""
+    fields = [f for f in _MARKS if f.name != "write"]
+    given = {f.name: F.lit(kind) if f.name == "kind" else F.col(f.name) if f.name in rows.columns else F.lit(None) for f in fields}
+    return rows.select(*[given[f.name].cast(f.dataType).alias(f.name) for f in fields])
 
 
 def _with_period(bars: DataFrame) -> DataFrame:

@@ -65,7 +65,7 @@ def test_failed_write_leaves_the_table(spark, tmp_path):
 def test_minute_bars_are_kept_by_month(spark, tmp_path):
     store = BarTable(spark, str(tmp_path))
     store.upsert(bars(spark, ("a", "2026-01-01 09:31", 1.0), ("a", "2026-02-01 09:31", 2.0), frequency="1m"))
-    assert {p.name for p in tmp_path.glob("bars/market=sh/frequency=1m/adjustment=none/*")} == {"period=2026-01", "period=2026-02"}
+    assert {p.name for p in tmp_path.glob("bars/write=*/market=sh/frequency=1m/adjustment=none/*")} == {"period=2026-01", "period=2026-02"}
 
 
 def test_sync_fetches_gaps_and_tail_only(spark, tmp_path):
@@ -92,3 +92,95 @@ def test_sync_marks_fallback_rows(spark, tmp_path):
     spare = bars(spark, ("a", "2026-01-02", 2.0), ("a", "2026-01-03", 30.0))
     out = sync(store, feed, request(spark, "2026-01-01", "2026-01-05"), fallback=spare).collect()
     assert [(r["close"], r["source"], r["is_approximate"]) for r in out] == [(1.0, "feed", False), (2.0, "trade", True), (3.0, "feed", False)]
+
+
+@pytest.mark.parametrize("step", ["_write_rows", "_write_marks", "_commit"])
+def test_interrupted_upsert_shows_the_old_state(spark, tmp_path, monkeypatch, step):
+    """A job that dies before or after any of its writes but the commit changes nothing:
+    neither rows nor the cut tail nor coverage; the same write again then takes effect."""
+    store = BarTable(spark, str(tmp_path))
+    cover = request(spark, "2026-01-01", "2026-01-04").withColumns({"source": F.lit(""), "is_approximate": F.lit(False)})
+    store.upsert(bars(spark, ("a", "2026-01-01", 1.0), ("a", "2026-01-05", 5.0)), coverage=cover)
+    state = lambda: (prices(store.bars()), sorted(map(tuple, store.coverage().collect())), sorted(map(tuple, store.last_stamps().collect())))
+    old = state()
+    change = bars(spark, ("a", "2026-01-02", 2.0), ("a", "2026-01-03", 3.0))
+    more = cover.withColumn("end", F.lit("2026-02-01").cast("timestamp_ntz"))
+    whole = getattr(BarTable, step)
+    for before in (True, False):
+        if step == "_commit" and not before:
+            continue
+
+        def dies(self, *args, before=before, **kwargs):
+            if not before:
+                whole(self, *args, **kwargs)
+            raise RuntimeError("lost")
+
+        monkeypatch.setattr(BarTable, step, dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            store.upsert(change, replace_from="2026-01-02", coverage=more)
+        assert state() == old
+    monkeypatch.setattr(BarTable, step, whole)
+    store.upsert(change, replace_from="2026-01-02", coverage=more)
+    now = state()
+    assert now[0] == [("a", "2026-01-01", 1.0), ("a", "2026-01-02", 2.0), ("a", "2026-01-03", 3.0)]
+    assert [str(r[4])[:10] + str(r[5])[:10] for r in now[1]] == ["2026-01-012026-02-01"] and str(now[2][0][-1])[:10] == "2026-01-03"
+
+
+def test_writers_beside_each_other_lose_nothing(spark, tmp_path, monkeypatch):
+    """A second writer commits while the first is between its rows and its commit."""
+    one, two = BarTable(spark, str(tmp_path)), BarTable(spark, str(tmp_path))
+    cover = lambda a, b: request(spark, a, b).withColumns({"source": F.lit(""), "is_approximate": F.lit(False)})
+    whole = BarTable._write_marks
+
+    def meanwhile(self, *args):
+        monkeypatch.setattr(BarTable, "_write_marks", whole)
+        two.upsert(bars(spark, ("a", "2026-02-01", 2.0), ("a", "2026-01-01", 20.0)), coverage=cover("2026-02-01", "2026-03-01"))
+        whole(self, *args)
+
+    monkeypatch.setattr(BarTable, "_write_marks", meanwhile)
+    one.upsert(bars(spark, ("a", "2026-01-01", 1.0)), coverage=cover("2026-01-01", "2026-01-15"))
+    assert prices(one.bars()) == [("a", "2026-01-01", 1.0), ("a", "2026-02-01", 2.0)]  # the later commit counts
+    assert sorted(str(r["start"])[:10] for r in one.coverage().collect()) == ["2026-01-01", "2026-02-01"]
+
+
+def test_compaction_keeps_what_is_written_meanwhile(spark, tmp_path, monkeypatch):
+    store = BarTable(spark, str(tmp_path))
+    store.upsert(bars(spark, ("a", "2026-01-01", 1.0), ("a", "2026-01-02", 2.0), ("b", "2026-01-09", 9.0)))
+    store.upsert(bars(spark, ("a", "2026-01-02", 3.0)), replace_from="2026-01-02")
+    whole = BarTable._write_rows
+
+    def meanwhile(self, *args):
+        whole(self, *args)
+        monkeypatch.setattr(BarTable, "_write_rows", whole)
+        store.upsert(bars(spark, ("a", "2026-01-03", 4.0), ("a", "2026-01-01", 10.0)))
+
+    monkeypatch.setattr(BarTable, "_write_rows", meanwhile)
+    store.compact()
+    want = [("a", "2026-01-01", 10.0), ("a", "2026-01-02", 3.0), ("a", "2026-01-03", 4.0), ("b", "2026-01-09", 9.0)]
+    assert prices(store.bars()) == want and len(store.snapshot().live) == 2
+    assert store.vacuum() == 2 and prices(store.bars()) == want
+    store.compact()
+    assert prices(store.bars()) == want and len(store.snapshot().live) == 1
+    assert {r["code"]: str(r["last"])[:10] for r in store.last_stamps().collect()} == {"a": "2026-01-03", "b": "2026-01-09"}
+
+
+def test_a_write_reads_no_stored_bars(spark, tmp_path):
+    """Stored rows that cannot be read at all do not matter to a write."""
+    store = BarTable(spark, str(tmp_path))
+    store.upsert(bars(spark, ("a", "2026-01-01", 1.0)))
+    for part in tmp_path.glob("bars/write=*/**/*.parquet"):
+        part.write_bytes(b"not parquet")
+        part.with_name(f".{part.name}.crc").unlink()
+    store.upsert(bars(spark, ("a", "2026-02-01", 2.0)), replace_from="2026-01-15")
+    assert len(store.snapshot().live) == 2
+
+
+def test_merge_needs_a_catalog_that_has_it(spark, tmp_path):
+    from marketloom.schemas import STORED_BARS
+    from marketloom.sources.bar_table import merge_into
+
+    spark.createDataFrame([], STORED_BARS).write.mode("overwrite").option("path", str(tmp_path / "t")).saveAsTable("plain_bars")
+    for cut in (None, "2026-01-01"):
+        with pytest.raises(Exception, match="(?i)merge|row-level"):
+            merge_into(bars(spark, ("a", "2026-01-01", 1.0)), "plain_bars", replace_from=cut)
+    spark.sql("drop table plain_bars")

@@ -85,4 +85,4 @@ def test_compaction_keeps_what_is_read(spark, tmp_path):
     last = {r["code"]: r["last"].day for r in store.last_stamps().collect()}
     assert last == {"a": 8, "b": 5}
     store.compact()
-    assert read() == first and store._versions().count() == len(first)
+    assert read() == first and store.snapshot().versions().count() == len(first)
