@@ -1,7 +1,7 @@
 """Half-open time ranges per series: merging, gaps, incremental planning.
 
-Equal starts are reduced first; the running end is a two-level scan, so a series
-with very many ranges is spread over its months.
+Equal starts are reduced first, and a series with very many ranges is spread over its
+months.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.operators.asof import time_bucket
-from marketloom.operators.scan import add_running_max_before, before
+from marketloom.operators.scan import add_running_max_before
 
 SERIES = ("market", "code")
 
@@ -21,36 +21,49 @@ def _chunk(column: str, unit: str) -> Column:
     return time_bucket(F.col(column), unit)
 
 
-def merge_ranges(ranges: DataFrame, keys: Sequence[str] = SERIES, chunk: str = "month") -> DataFrame:
-    """Join overlapping or touching ranges of a series."""
-    keys = list(keys)
-    starts = (
-        ranges.where(F.col("start") < F.col("end")).groupBy(*keys, "start").agg(F.max("end").alias("end"))
-    )
-    scanned = add_running_max_before(starts, keys, ["start"], "end", _chunk("start", chunk), "_reached")
-    opened = F.when(
-        F.col("_reached").isNull() | (F.col("start") > F.col("_reached")), F.col("start")
-    )
-    flagged = scanned.withColumn("_opened", opened).withColumn("_chunk", _chunk("start", chunk))
-    # An island is named by its first start, carried over chunk borders.
-    carried = (
-        flagged.groupBy(*keys, "_chunk")
-        .agg(F.max("_opened").alias("_latest"))
-        .select(*keys, "_chunk", F.max("_latest").over(before(keys, "_chunk")).alias("_carried"))
-    )
-    inside = (
-        Window.partitionBy(*keys, "_chunk")
-        .orderBy("start")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    island = F.coalesce(F.max("_opened").over(inside), F.col("_carried"))
+def _islands(starts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Overlapping or touching ranges joined within equal keys, by one exchange on the keys."""
+    so_far = Window.partitionBy(*keys).orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = F.max("end").over(so_far.rowsBetween(Window.unboundedPreceding, -1))
+    opened = F.when(F.col("_reached").isNull() | (F.col("start") > F.col("_reached")), F.col("start"))
+    # An island is named by its first start.
     return (
-        flagged.join(carried, [*keys, "_chunk"])
-        .withColumn("_island", island)
+        starts.withColumn("_reached", reached)
+        .withColumn("_opened", opened)
+        .withColumn("_island", F.max("_opened").over(so_far))
         .groupBy(*keys, "_island")
         .agg(F.max("end").alias("end"))
-        .select(*keys, F.col("_island").alias("start"), "end")
+        .withColumnRenamed("_island", "start")
+    )
+
+
+def merge_ranges(ranges: DataFrame, keys: Sequence[str] = SERIES, chunk: str = "month") -> DataFrame:
+    """Join overlapping or touching ranges (dates or timestamps) of a series.
+
+    Ranges are cut at the borders of calendar chunks (``month`` or ``year``), joined within
+    (series, chunk), and what touches a border is joined across chunks.  That takes three
+    exchanges: one that reduces equal starts first, one per chunk, and one where pieces away
+    from all borders stand alone, so a series with very many ranges stays spread and brings
+    at most two pieces per chunk together.  A range becomes one piece per chunk it reaches:
+    take ``year`` for ranges of centuries.  Empty and reversed ranges are left out.
+    """
+    keys = list(keys)
+    months = {"month": 1, "year": 12}[chunk]
+    kind = ranges.schema["start"].dataType
+    chunks = F.sequence(F.trunc("start", chunk), F.trunc("end", chunk), F.expr(f"interval {months} month"))
+    low, high = F.col("_chunk").cast(kind), F.add_months("_chunk", months).cast(kind)
+    pieces = (
+        ranges.where(F.col("start") < F.col("end"))
+        .select(*keys, "start", "end", F.explode(chunks).alias("_chunk"))
+        .select(*keys, "_chunk", F.greatest("start", low).alias("start"), F.least("end", high).alias("end"))
+        .where(F.col("start") < F.col("end"))
+        .groupBy(*keys, "_chunk", "start")
+        .agg(F.max("end").alias("end"))
     )
+    inside = _islands(pieces, [*keys, "_chunk"])
+    border = (F.col("start") == low) | (F.col("end") == high)
+    alone = inside.select(*keys, "start", "end", F.when(~border, F.col("start")).alias("_alone"))
+    return _islands(alone, [*keys, "_alone"]).select(*keys, "start", "end")
 
 
 def missing_ranges(
