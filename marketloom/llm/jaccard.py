@@ -16,10 +16,9 @@ Links are wanted as components, so not every pair of a large group is looked at:
 2. then only pairs from different components matter: per list, the nodes outside its
    largest component against all others, of sizes that both meet in enough lists to link at
    all.  Short lists give their pairs.  In a long list, where many texts differ a little
-   from each other, members are compared by how they differ from its leader: two of them
-   that link, and are not both linked to the leader, have lost or added a shingle in common,
-   so pairs meet on those, which are few, instead of on what all of them share; sizes and
-   counts of common differences give their exact overlap.
+   from each other, members are compared by how they differ from what most of them have, so
+   pairs meet on differences, which are few, instead of on what all of them share; sizes and
+   counts of common differences give their exact overlap (:func:`_linked_by_differences`).
 
 Each pair that links but is not yet connected meets in one of these ways, so no link between
 components is lost.
@@ -37,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from marketloom.llm.common import maybe_broadcast, stored
 from marketloom.llm.components import components
@@ -169,54 +169,131 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, pe
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
-def _linked_by_differences(
-    around: DataFrame, docs: DataFrame, nodes: DataFrame, labels: DataFrame, size: int, percent: int
-) -> DataFrame:
-    """Links ``a, b`` between members ``b`` of different components around the same leader
-    ``a``, one of them outside the leader's component."""
+def _differences(around: DataFrame, docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """``leader, node, n, tokens``: shingles that only one of leader and member has."""
     wanted = around.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = stored(_sets(docs, nodes, wanted, size), "shingle-sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [[], [], [], [], [], [], []]
-            for leader, node, x, y in zip(*(batch.column(k) for k in range(4)), strict=True):
+            sizes, lists = [], []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                lost, added = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
-                count = len(lost) + len(added)
-                token = np.concatenate([lost, added]).view(np.int64)
-                row = (leader.as_py(), node.as_py(), token, np.arange(count) >= len(lost), len(lost), len(x), len(y))
-                for column, value in zip(out, row, strict=True):
-                    column.append(value if isinstance(value, np.ndarray) else np.full(count, value))
-            columns = [pa.array(np.concatenate([*c, np.zeros(0, bool if k == 3 else np.int64)])) for k, c in enumerate(out)]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    names = ["leader", "node", "token", "is_added", "lost", "whole", "n"]
+                sizes.append(len(y))
+                lists.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+            flat = pa.array(np.concatenate([*lists, np.zeros(0, np.int64)]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat)],
+                ["leader", "node", "n", "tokens"],
+            )
+
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     joined = around.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    schema = "leader bigint, node bigint, token bigint, is_added boolean, lost bigint, whole bigint, n bigint"
-    home = labels.select(F.col("node").alias("leader"), F.col("label").alias("home"))
+    return joined.mapInArrow(run, "leader bigint, node bigint, n bigint, tokens array<bigint>")
+
+
+def _linked_by_differences(
+    around: DataFrame, docs: DataFrame, nodes: DataFrame, links: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """Links ``a, b`` that connect all members around the same leader which ``links`` and
+    chains of links between members connect.
+
+    Members are described by D(x), how x differs from the set R of shingles that most members
+    have; R need not be a member.  For members x and y with c common differences, the sets
+    differ in |D(x)| + |D(y)| - 2c shingles, so with
+
+        s(x) = (100 + percent) |D(x)| - (100 - percent) |x|
+
+    they link exactly if s(x) + s(y) <= 2 (100 + percent) c.
+
+    * Pairs with c = 0: let m be a member of least s.  If x and y link, s(x) + s(m) <= s(x) +
+      s(y) <= 0, so both link to m.  Looking at every member against m is enough.
+    * Pairs with c > 0 meet on a difference t.  First each holder of t is looked at against the
+      holder of least s, which joins most of them; then, where holders of t are still in
+      different components, those outside the largest against the others.  As s(y) >= s(m),
+      x needs at least (s(x) + s(m)) / (2 (100 + percent)) common differences with any y, so
+      only so many of its rarest differences must be compared that fewer are left.
+
+    No shingle of the leader's own is in R, so it is not a difference that all others share.
+    """
+    weight = 100 + percent
+    own = around.select("a", F.col("a").alias("b")).distinct()
+    plain = stored(_differences(around.unionByName(own), docs, nodes, size), "shingle-differences")
+    members = plain.groupBy("leader").agg(F.count(F.lit(1)).alias("_members"))
+    usual = (
+        plain.select("leader", F.explode("tokens").alias("token")).groupBy("leader", "token").agg(F.count(F.lit(1)).alias("_n"))
+        .join(members, "leader").filter("2 * _n > _members").groupBy("leader").agg(F.collect_list("token").alias("_turned"))
+    )
+    none = F.array().cast("array<bigint>")
+    turned = F.coalesce("_turned", none)
     found = stored(
-        joined.mapInArrow(run, schema).join(labels, "node", "left").join(home, "leader", "left")
-        .withColumns({"label": F.coalesce("label", "node"), "home": F.coalesce("home", "leader")}),
+        plain.join(usual, "leader", "left")
+        .withColumn("tokens", F.concat(F.array_except("tokens", turned), F.array_except(turned, "tokens")))
+        .withColumn("d", F.size("tokens").cast("bigint"))
+        .withColumn("s", weight * F.col("d") - (100 - percent) * F.col("n"))
+        .select("leader", "node", "tokens", "d", "s"),
         "shingle-differences",
     )
-    outside = found.filter("label <> home")
-    others = found.select(
-        "leader", "token", "is_added", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("n").alias("m"),
-        F.col("lost").alias("lost2"), (F.col("label") == F.col("home")).alias("is_home"),
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The pairs ``leader, node, other`` that link, by their differences."""
+        other = found.select("leader", F.col("node").alias("other"), F.col("tokens").alias("y"), F.col("s").alias("s2"))
+        common = F.size(F.array_intersect("tokens", "y"))
+        return (
+            pairs.join(found, ["leader", "node"]).join(other, ["leader", "other"])
+            .filter(F.col("s") + F.col("s2") <= 2 * weight * common)
+            .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+        )
+
+    least = found.groupBy("leader").agg(F.min_by("node", "s").alias("other"), F.min("s").alias("least"))
+    held = found.select("leader", "node", "d", "s", F.explode("tokens").alias("token"))
+    # One holder of least s per difference that several members share.
+    holders = stored(
+        held.groupBy("leader", "token").agg(
+            F.count(F.lit(1)).alias("_holders"), F.min_by("node", "s").alias("other"), F.min("s").alias("s2")
+        ).filter("_holders > 1"),
+        "shingle-holders",
     )
-    overlap = F.col("whole") - F.col("lost") - F.col("lost2") + F.col("_common")
-    return (
-        outside.join(others, ["leader", "token", "is_added"])
-        .filter("label <> label2 and (is_home or node < node2)").filter(_close(percent))
-        .groupBy("leader", "node", "node2").agg(
-            F.count(F.lit(1)).alias("_common"), *[F.first(c).alias(c) for c in ("whole", "lost", "lost2", "n", "m")]
+    stars = (
+        found.join(least, "leader").select("leader", "node", "other")
+        .unionByName(
+            held.join(holders, ["leader", "token"]).filter(F.col("s") + F.col("s2") <= 2 * weight * F.col("d"))
+            .select("leader", "node", "other")
         )
-        .filter(100 * overlap >= percent * (F.col("n") + F.col("m") - overlap))
-        .select(F.col("node").alias("a"), F.col("node2").alias("b"))
+        .filter("node <> other").distinct()
+    )
+    near = stored(linked(stars).distinct(), "shingle-links")
+    labels = components(links.unionByName(near))
+
+    # What is still apart: the rarest differences of each member, as many as it must compare.
+    need = F.greatest(F.lit(1), F.ceil((F.col("s") + F.col("least")) / (2 * weight)))
+    rank = F.row_number().over(Window.partitionBy("leader", "node").orderBy("_holders", "token"))
+    compared = stored(
+        held.join(holders.select("leader", "token", "_holders"), ["leader", "token"], "left").join(least.select("leader", "least"), "leader")
+        .withColumns({"_holders": F.coalesce("_holders", F.lit(1)), "_need": need}).withColumn("_rank", rank)
+        .filter("_rank <= d - _need + 1 and _holders > 1").select("leader", "token", "node", "d", "s")
+        .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")),
+        "shingle-compared",
+    )
+    per_label = compared.groupBy("leader", "token", "label").agg(F.count(F.lit(1)).alias("_n"))
+    mixed = (
+        per_label.groupBy("leader", "token").agg(F.count(F.lit(1)).alias("_labels"), F.max_by("label", "_n").alias("main"))
+        .filter("_labels > 1").select("leader", "token", "main")
+    )
+    placed = stored(compared.join(mixed, ["leader", "token"]), "shingle-apart")
+    others = placed.select(
+        "leader", "token", F.col("node").alias("other"), F.col("label").alias("label2"), F.col("d").alias("d2"), F.col("s").alias("s2"),
+        (F.col("label") == F.col("main")).alias("is_main"),
+    )
+    apart = (
+        placed.filter("label <> main").join(others, ["leader", "token"])
+        .filter("label <> label2 and (is_main or node < other)")
+        .filter(F.col("s") + F.col("s2") <= 2 * weight * F.least("d", "d2"))
+        .select("leader", "node", "other").distinct()
     )
+    return near.unionByName(linked(apart)).distinct()
 
 
 def _close(percent: int):
@@ -323,7 +400,7 @@ def join(
     )
     more = _verified(crossing, docs, nodes, size, percent)
     if not around.isEmpty():
-        more = more.unionByName(_linked_by_differences(around, docs, nodes, labels, size, percent))
+        more = more.unionByName(_linked_by_differences(around, docs, nodes, links, size, percent))
     more = stored(more, "shingle-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
@@ -341,8 +418,10 @@ def join(
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest id, all
-    columns kept.  Rows with that id stay together; texts without words all stay, and so do
-    rows without an id."""
+    columns kept under any names.  Rows with that id stay together; texts without words all
+    stay, and so do rows without an id."""
     found = join(docs, id_col, text_col, **options)
     gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    left = rows.join(gone, F.col(f"_row.`{id_col}`") == F.col("_gone"), "left_anti")
+    return left.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

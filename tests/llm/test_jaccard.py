@@ -80,6 +80,32 @@ def test_many_variants_of_one_text(spark):
         assert sorted(map(tuple, out.collect()), key=repr) == brute(rows, 3, 90)
 
 
+def test_leader_with_shingles_of_its_own(spark):
+    """A large group of near copies whose leader (the text with most copies) is itself an
+    edited one: all others lack what only it has, and that must not bring them together."""
+    rng = random.Random(11)
+    base = ["v%d" % k for k in range(120)]
+    rows = []
+    for k in range(140):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4])):
+            words[rng.choice([10, 30, 31, 50, 90, rng.randrange(120)])] = rng.choice(["x", "y", "e%d" % k])
+        rows.append((k, " ".join(words)))
+    odd = list(base)
+    odd[5], odd[60], odd[100] = "only", "the", "leader"
+    rows += [(200 + k, " ".join(odd)) for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for size, percent in ((3, 90), (5, 80), (2, 95)):
+        out = jaccard.join(docs, size=size, percent=percent, long_list=0)
+        assert sorted(map(tuple, out.collect()), key=repr) == brute(rows, size, percent)
+
+
+def test_clashing_columns_pass_through(spark):
+    docs = spark.createDataFrame([(2, "a b c d e f", "x"), (1, "a b c d e f", "y")], "doc_id long, text string, _gone string")
+    clashing = docs.selectExpr("*", "_gone as id", "_gone as key", "_gone as component_id", "_gone as _row", "_gone as node")
+    assert [tuple(r) for r in jaccard.keep_one(clashing).collect()] == [(1, "a b c d e f", *["y"] * 6)]
+
+
 def test_empty_table_and_kept_rows(spark):
     docs = spark.createDataFrame([(2, "a b c d e f", "x"), (1, "a b c d e f", "y"), (3, None, None)], "doc_id long, text string, key string")
     assert jaccard.join(docs.filter("doc_id > 9")).collect() == []
