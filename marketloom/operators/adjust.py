@@ -338,25 +338,45 @@ def factor_adjust(
     Securities without factors are returned as they are, ``factor`` NULL."""
     keys = list(keys)
     method = adjustment_method(method)
-    series = factors.groupBy(*keys, "date").agg(F.max("factor").alias("factor"))
-    first = series.groupBy(*keys).agg(F.min_by("factor", "date").alias("_first"))
-    aligned = asof_lookup(bars, series, keys, "date", "date", ["factor"], prefix="_").join(first, keys, "left")
-    aligned = aligned.withColumn("factor", F.coalesce("_factor", "_first"))
-    if method == "qfq":
-        last = series_bounds(bars, keys).select(*keys, F.col("last_date").alias("date"))
-        final = (
-            asof_lookup(last, series, keys, "date", "date", ["factor"])
-            .join(first, keys, "left")
-            .select(*keys, F.coalesce("factor", "_first").alias("_final"))
-        )
-        aligned = aligned.join(final, keys, "left").withColumn(
-            "factor",
-            F.when(F.col("_final") != 0, F.col("factor") / F.col("_final")).otherwise(F.col("factor")),
-        )
+    table = _factor_table(bars, factors, keys)
+    scale = F.when(F.col("_final") != 0, F.col("_scale") / F.col("_final")).otherwise(F.col("_scale"))
+    table = table.withColumn("factor", scale if method == "qfq" else F.col("_scale"))
+    aligned = asof_lookup(bars, table, keys, "date", "date", ["factor"], spans=True)
     prices = {n: F.col(n) * F.coalesce("factor", F.lit(1.0)) for n in OHLC if n in bars.columns}
     return aligned.withColumns(prices).select(*bars.columns, "factor")
 
 
+def _factor_table(bars: DataFrame, factors: DataFrame, keys: list[str]) -> DataFrame:
+    """The factor in force (``_scale``) from each date on, and that of the last bar
+    (``_final``), with rows at the first and last bar, so that every bar finds one.
+
+    All of it is worked out on the factors' side, brought together by key once; bars are
+    shuffled for their own as-of join only.
+    """
+    known = factors.select(*keys, "date", F.struct(F.col("factor").cast("double").alias("v")).alias("_known"), F.lit(None).cast("date").alias("_end"))
+    outer = series_bounds(bars, keys).select(
+        *keys, F.explode(F.array("first_date", "last_date")).alias("date"),
+        F.lit(None).cast(known.schema["_known"].dataType).alias("_known"), F.col("last_date").alias("_end"),
+    )
+    daily = (
+        known.unionByName(outer).repartition(*keys)
+        .groupBy(*keys, "date").agg(F.max("_known.v").alias("_v"), F.max(F.col("_known").isNotNull()).alias("_real"), F.max("_end").alias("_end"))
+    )
+    order = Window.partitionBy(*keys).orderBy("date")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A date without a value counts as a row of its own, before it is replaced by the first.
+    value = F.when(F.col("_real"), F.struct("_v"))
+    first = F.first(value, ignorenulls=True).over(whole)
+    in_force = F.last(value, ignorenulls=True).over(so_far)
+    at_end = F.col("date") <= F.max("_end").over(whole)
+    return (
+        daily.withColumn("_scale", F.coalesce(in_force["_v"], first["_v"]))
+        .withColumn("_final", F.max_by("_scale", F.when(at_end, F.col("date"))).over(whole))
+        .select(*keys, "date", "_scale", "_final")
+    )
+
+
 def legacy_factor_adjust(
     bars: DataFrame, factors: DataFrame, method: str, keys: Sequence[str] = SERIES
 ) -> DataFrame:

@@ -170,16 +170,31 @@ def unknown_side_counts(ticks: DataFrame, keys: Sequence[str] = SERIES_DAY) -> D
     )
 
 
+def recent_days(bars: DataFrame, days: int | None = 20, windows: Sequence[int] = (5, 20)) -> DataFrame:
+    """One row per security and day that a history of ``days`` rows needs: the days, the
+    warm-up of their windows, and one more close.  ``_age`` counts from the newest.
+
+    The rank filter is a window group limit: each mapper ships only the newest rows.
+    """
+    keys = ["market", "code"]
+    daily = bars.groupBy(*keys, "date").agg(F.max("close").alias("close"), F.count(F.lit(1)).alias("_copies"))
+    newest = Window.partitionBy(*keys).orderBy(F.col("date").desc())
+    recent = daily.withColumn("_age", F.row_number().over(newest))
+    return recent if days is None else recent.where(F.col("_age") <= days + max(windows))
+
+
 def flow_history(
     bars: DataFrame,
     summary: DataFrame,
     days: int | None = 20,
     windows: Sequence[int] = (5, 20),
     strict: bool = False,
+    recent: DataFrame | None = None,
 ) -> DataFrame:
     """Daily flow with rolling main-flow sums, the last ``days`` rows per security (None: all).
 
-    ``bars`` needs market, code, date, close; ``summary`` is :func:`flow_summary` per
+    ``bars`` needs market, code, date, close (``recent``: their :func:`recent_days`, where they
+    are known already); ``summary`` is :func:`flow_summary` per
     (market, code, date).  Warm-up rows are read before the cut, so the windows of
     returned rows are whole.  A security with repeated dates or a day without trades
     is marked ``status <> 'ok'`` with NULL windows (an error in strict mode); it
@@ -190,9 +205,8 @@ def flow_history(
     """
     keys = ["market", "code"]
     warm_up = max(windows) - 1
-    daily = bars.groupBy(*keys, "date").agg(
-        F.max("close").alias("close"), F.count(F.lit(1)).alias("_copies")
-    )
+    if recent is None:
+        recent = recent_days(bars, days, windows)
     flows = summary.select(
         *keys,
         "date",
@@ -208,13 +222,7 @@ def flow_history(
         "trade_count",
     )
     by_date = Window.partitionBy(*keys).orderBy("date")
-    newest = Window.partitionBy(*keys).orderBy(F.col("date").desc())
     everything = Window.partitionBy(*keys)
-    # The rank filter is a window group limit: each mapper ships only the newest rows
-    # of a security (the days, their warm-up, and one more close).
-    recent = daily.withColumn("_age", F.row_number().over(newest))
-    if days is not None:
-        recent = recent.where(F.col("_age") <= days + warm_up + 1)
     used = F.lit(True) if days is None else F.col("_age") <= days + warm_up
     silent = used & (F.coalesce(F.col("trade_count"), F.lit(0)) == 0)
     ready = (

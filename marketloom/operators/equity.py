@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketloom.functions.labels import EQUITY_CATEGORIES, category_name
 from marketloom.functions.numbers import finite_or_null, truncated
 from marketloom.operators.asof import asof_lookup
+from marketloom.operators.scan import keep_latest
 from marketloom.schemas import ACTION_NUMBERS
 
 SERIES = ("market", "code")
@@ -70,14 +71,11 @@ def equity_snapshot(
     if at is not None:
         events = events.where(F.col("date") <= F.lit(at).cast("date"))
     scale = _scale(actions)
-    record = F.struct(
+    latest = keep_latest(events, keys, [F.col("date").desc(), F.col("seq").desc()])
+    return latest.select(
+        *keys,
         "date",
         "category",
         truncated(F.col("panhouliutong") * scale).alias("float_equity"),
         truncated(F.col("houzongguben") * scale).alias("total_equity"),
     )
-    return (
-        events.groupBy(*keys)
-        .agg(F.max_by(record, F.struct("date", "seq")).alias("r"))
-        .select(*keys, "r.*")
-    )

@@ -9,6 +9,7 @@ from marketloom.functions.numbers import finite_or_null
 from marketloom.functions.symbols import category_and_board, exchange_name, market_id, six_digits
 from marketloom.functions.times import parse_date
 from marketloom.operators.equity import equity_snapshot
+from marketloom.operators.scan import keep_latest
 from marketloom.schemas import INDUSTRY_COLUMNS, SUMMARY_COLUMNS
 
 KEY = ["market", "code"]
@@ -16,16 +17,18 @@ KEY = ["market", "code"]
 _EPS_FIELDS = ["eps", "basic_eps", "diluted_eps", "meigushouyi"]
 
 
-def _prefixed(frame: DataFrame, prefix: str, keys: list[str] = KEY) -> DataFrame:
-    return frame.select(*keys, *[F.col(n).alias(prefix + n) for n in frame.columns if n not in keys])
+def _prefixed(frame: DataFrame, prefix: str) -> DataFrame:
+    return frame.select(*KEY, *[F.col(n).alias(prefix + n) for n in frame.columns if n not in KEY])
 
 
-def _one_per_key(frame: DataFrame, order: str | None, keys: list[str] = KEY, first: bool = True) -> DataFrame:
-    """One row per key: the first (or last) in ``order``, or any where there is none."""
-    rest = [n for n in frame.columns if n not in keys]
-    row = F.struct(*rest)
-    pick = F.any_value(row) if order is None else (F.min_by if first else F.max_by)(row, F.col(order))
-    return frame.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*")
+def _one_per_key(frame: DataFrame, order: str | None, first: bool = True) -> DataFrame:
+    """One row per key: the first (or last) in ``order``; where there is none, any row, but
+    always the same."""
+    if order is None:
+        ranking = F.xxhash64(*[n for n in frame.columns if n not in KEY])
+    else:
+        ranking = F.col(order).asc() if first else F.col(order).desc()
+    return keep_latest(frame, KEY, [ranking])
 
 
 def latest_auction(auctions: DataFrame) -> DataFrame:
@@ -71,9 +74,10 @@ def security_summary(
     by_market = _one_per_key(priced.where(F.col("market").isNotNull()), seq(quotes), first=False)
     by_code = (
         priced.groupBy("code")
-        .agg(F.count(F.lit(1)).alias("_copies"), F.any_value(F.struct(*fields)).alias("_only"))
+        # Of the one row there is, any aggregate gives the value.
+        .agg(F.count(F.lit(1)).alias("_copies"), *[F.max(n).alias(n) for n in fields])
         .where("_copies = 1")
-        .select("code", "_only")
+        .select("code", F.struct(*fields).alias("_only"))
     )
     money = _one_per_key(finance, seq(finance))
     equity = equity_snapshot(actions).select(*KEY, "float_equity", "total_equity")

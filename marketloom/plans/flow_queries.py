@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from marketloom.operators import capital_flow as flow
@@ -10,6 +12,8 @@ from marketloom.plans import recipes
 from marketloom.plans import tables as t
 from marketloom.plans.oracle_views import with_views
 from marketloom.plans.registry import query
+from marketloom.session import shared_scratch
+from marketloom.sources.flow_table import FlowTable
 
 SERIES = ("market", "code")
 
@@ -119,27 +123,29 @@ def _rolling_sql(days: int) -> str:
         "select * exclude (age), from rolled where age <= " + str(days),
         f"""daily as (
        select code, date, close, round((close / lag(close) over (partition by code order by date) - 1) * 100, 2) as change_pct,
-              coalesce(main_net, 0) as main_net, coalesce(retail_net, 0) as retail_net, total,
+              coalesce(main_net, 0) as main_net, coalesce(retail_net, 0) as retail_net, total, coalesce(super_net, 0) as super_net,
+              coalesce(large_net, 0) as large_net, coalesce(medium_net, 0) as medium_net, coalesce(small_net, 0) as small_net,
               row_number() over (partition by code order by date desc) as age
        from v_bars join v_flow using (code, date))""",
         f"warm as (select * from daily where age <= {days} + 19)",
         f"""rolled as (select code, date::varchar as date, close, change_pct, total::double as total_amount,
        main_net::double as main_net, round(main_net::double / total::double * 100, 2) as main_pct,
-       retail_net::double as retail_net, 'ok' as status, age,
+       retail_net::double as retail_net, round(retail_net::double / total::double * 100, 2) as retail_pct, super_net::double as super_net,
+       large_net::double as large_net, medium_net::double as medium_net, small_net::double as small_net, 'ok' as status, age,
        {', '.join(windows)}
        from warm window w5 as (partition by code order by date rows 4 preceding),
                         w20 as (partition by code order by date rows 19 preceding))""",
     ).replace("exclude (age), from", "exclude (age) from")
 
 
-def _history(spark, sf_dir, days):
-    history = recipes.flow_history(t.bars(spark, sf_dir), t.ticks(spark, sf_dir), days)
+def _history(spark, sf_dir, days, kept=None):
+    history = recipes.flow_history(t.bars(spark, sf_dir), t.ticks(spark, sf_dir), days, kept=kept)
     return history.withColumns(
         {
             "date": t.text("date"),
             **{f"window_{k}d_complete": F.col(f"window_{k}d_complete").cast("int") for k in (5, 20)},
         }
-    ).drop("market", "super_net", "large_net", "medium_net", "small_net", "retail_pct")
+    ).drop("market")
 
 
 @query("flow_history", _rolling_sql(20))
@@ -153,6 +159,15 @@ def flow_history_full(spark, sf_dir):
     return _history(spark, sf_dir, None)
 
 
+@query("kept_flow_history", _rolling_sql(20))
+def kept_flow_history(spark, sf_dir):
+    """The history from kept daily flow up to the middle of 1998 and ticks after it."""
+    kept = FlowTable(spark, f"{shared_scratch(spark)}/flow-{uuid.uuid4().hex}")
+    past = t.ticks(spark, sf_dir).where(F.col("date") <= F.lit("1998-06-30").cast("date"))
+    kept.close_days(flow.flow_summary(flow.flow_sums(past)))
+    return _history(spark, sf_dir, 20, kept)
+
+
 _SECTOR_VIEWS = "v_ticks v_members"
 _PER_CODE = """f as (
     select code, sum(case side when 0 then amount when 1 then -amount else 0 end) filter (where amount > 200000) as main_net,

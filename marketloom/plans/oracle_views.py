@@ -61,6 +61,10 @@ VIEWS = {
         select code, date,
                sum(case when side = 0 then amount when side = 1 then -amount else 0 end) filter (where amount > 200000) as main_net,
                sum(case when side = 0 then amount when side = 1 then -amount else 0 end) filter (where amount <= 200000) as retail_net,
+               sum(case when side = 0 then amount when side = 1 then -amount else 0 end) filter (where amount > 1000000) as super_net,
+               sum(case when side = 0 then amount when side = 1 then -amount else 0 end) filter (where amount > 200000 and amount <= 1000000) as large_net,
+               sum(case when side = 0 then amount when side = 1 then -amount else 0 end) filter (where amount > 40000 and amount <= 200000) as medium_net,
+               sum(case when side = 0 then amount when side = 1 then -amount else 0 end) filter (where amount <= 40000) as small_net,
                sum(amount) as total, count(*) as trades
         from v_ticks group by code, date""",
     # Day-level price maps: p -> mul * p + add, events of a day in source order.

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.times import since as on_or_after
 from marketloom.functions.trades import DEFAULT_THRESHOLDS
 from marketloom.operators import adjust, capital_flow, equity
+from marketloom.session import shared_scratch
+from marketloom.sources.flow_table import FlowTable
 
 SERIES = ["market", "code"]
 
@@ -36,21 +39,36 @@ def price_history(
 
 
 def flow_history(
-    bars: DataFrame, ticks: DataFrame, days: int | None = 20, windows: Sequence[int] = (5, 20), strict: bool = False
+    bars: DataFrame,
+    ticks: DataFrame,
+    days: int | None = 20,
+    windows: Sequence[int] = (5, 20),
+    strict: bool = False,
+    kept: FlowTable | None = None,
 ) -> DataFrame:
     """Daily flow with rolling sums from the ticks of the days that count.
 
-    The newest bars of each security name the days; their earliest date bounds the scan of
-    the ticks, and a semi join keeps other days from the aggregation.
+    The newest bars of each security name the days; they are worked out once and written to
+    the shared folder.  Their earliest date bounds the scan of the ticks, and a semi join
+    keeps other days from the aggregation.  With a table of ``kept`` daily flow, its closed
+    days are read from there, and ticks of the days after them only.
     """
+    spark = bars.sparkSession
+    recent = capital_flow.recent_days(bars, days, windows)
+    path = f"{shared_scratch(spark)}/days-{uuid.uuid4().hex}"
+    recent.write.parquet(path)
+    recent = spark.read.schema(recent.schema).parquet(path)
+    closed = None if kept is None else kept.closed_until()
     if days is not None:
-        newest = Window.partitionBy(*SERIES).orderBy(F.col("date").desc())
-        dates = bars.select(*SERIES, "date").distinct()
-        recent = dates.withColumn("_age", F.row_number().over(newest)).where(F.col("_age") <= days + max(windows)).drop("_age")
-        first = recent.agg(F.min("date")).first()[0]
-        ticks = ticks.where(F.col("date") >= F.lit(first)).join(recent, [*SERIES, "date"], "left_semi")
+        first = recent.agg(F.min("date")).scalar()
+        ticks = ticks.where(F.col("date") >= first).join(recent.select(*SERIES, "date"), [*SERIES, "date"], "left_semi")
+    if closed is not None:
+        ticks = ticks.where(F.col("date") > F.lit(closed))
     summary = capital_flow.flow_summary(capital_flow.flow_sums(ticks))
-    return capital_flow.flow_history(bars, summary, days, windows, strict)
+    if closed is not None:
+        old = kept.rows(None if days is None else first)
+        summary = summary.select(*old.columns).unionByName(old)
+    return capital_flow.flow_history(bars, summary, days, windows, strict, recent)
 
 
 def sector_report(

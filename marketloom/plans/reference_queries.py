@@ -749,21 +749,27 @@ def company_docs(spark, sf_dir):
     "security_summary",
     with_views(
         "v_actions",
-        """select r.pos, 'sz' || r.code as full_code, s_name as name, 'a_share' as category, '主板' as board,
-       q.price as last_price, q.prev as pre_close_price, round(q.price - q.prev, 6) as change, round((q.price - q.prev) / q.prev * 100, 6) as change_pct,
-       q.vol as volume_hand, round(e.fl::double, 0) as circulating_shares, round(e.tot::double, 0) as total_shares,
-       round(q.vol * 100 / e.fl * 100, 6) as turnover_rate, round(q.price * e.fl, 2) as circulating_market_value,
-       s_acctbal as eps, a.amount as open_amount_yuan, f.d as ipo_date, n_name as tdx_industry_name
+        """select r.pos, 'sz' || r.code as full_code, 'sz' as exchange, 0 as market_id, r.code, s_name as name, 'a_share' as category, '主板' as board,
+       q.price as last_price, q.prev as pre_close_price, q.open as open_price, q.price as high_price, q.prev as low_price,
+       round(q.price - q.prev, 6) as change, round((q.price - q.prev) / q.prev * 100, 6) as change_pct, q.vol as volume_hand, q.amount, a.amount as open_amount_yuan,
+       round(e.fl::double, 0) as circulating_shares, round(e.tot::double, 0) as total_shares, round(q.vol * 100 / e.fl * 100, 6) as turnover_rate,
+       round(q.price * e.fl, 2) as circulating_market_value, round(q.price * e.tot, 2) as total_market_value,
+       s_acctbal as eps, f.d as ipo_date, f.d2 as updated_date,
+       'T' || n_nationkey as tdx_industry_code, n_name as tdx_industry_name, 'tdx' as tdx_industry_source,
+       'X' || r_regionkey as sw_industry_code, r_name as sw_industry_name, 'sw' as sw_industry_source,
+       'X' || r_regionkey as sw_level1_code, r_name as sw_level1_name, 'N' || n_nationkey as sw_level2_code, n_name as sw_level2_name,
+       'S' || s_suppkey as sw_level3_code, s_name as sw_level3_name
 from (select o_orderkey as pos, o_custkey % (select count(*) from supplier) as k, '00' || printf('%04d', o_custkey % (select count(*) from supplier)) as code from orders) r
-join supplier on s_suppkey = r.k left join nation on n_nationkey = s_nationkey
+join supplier on s_suppkey = r.k left join nation on n_nationkey = s_nationkey left join region on r_regionkey = n_regionkey
 left join q on q.code = r.code left join e on e.code = r.code left join a on a.code = r.code left join f on f.code = r.code""",
-        """q as (select '00' || printf('%04d', l_suppkey) as code, max(l_extendedprice) as price, min(l_extendedprice) as prev, sum(l_quantity) as vol
+        """q as (select '00' || printf('%04d', l_suppkey) as code, max(l_extendedprice) as price, min(l_extendedprice) as prev, sum(l_quantity) as vol,
+       max(l_tax) as open, sum(round(l_extendedprice * 100)::bigint) / 100 as amount
        from lineitem group by l_suppkey)""",
         """e as (select code, arg_max(float_equity, (date, seq))::bigint as fl, arg_max(total_equity, (date, seq))::bigint as tot
        from v_actions where category = 5 group by code)""",
         """a as (select '00' || printf('%04d', user_id) as code, round(arg_max(value, event_id) * (max(event_id) % 7) * 100, 4) as amount
        from events group by user_id)""",
-        """f as (select '00' || printf('%04d', l_suppkey) as code, min(l_shipdate)::date::varchar as d from lineitem group by l_suppkey)""",
+        """f as (select '00' || printf('%04d', l_suppkey) as code, min(l_shipdate)::date::varchar as d, max(l_shipdate)::date::varchar as d2 from lineitem group by l_suppkey)""",
     ),
 )
 def security_summary(spark, sf_dir):
@@ -778,36 +784,33 @@ def security_summary(spark, sf_dir):
     )
     directory = suppliers.select(t.market(), code, F.col("s_name").alias("name"), F.col("s_suppkey").alias("seq"))
     quotes = lines.groupBy("l_suppkey").agg(
-        F.max("l_extendedprice").alias("price"), F.min("l_extendedprice").alias("last_close"), F.sum("l_quantity").alias("vol")
-    ).select(
-        t.market(), t.security_code("l_suppkey").alias("code"), "price", "last_close", "vol",
-        *[F.lit(None).cast("double").alias(n) for n in ("open", "high", "low", "amount")],
-    )
-    named = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-    industries = named.select(
-        t.market(), code, *[
-            (F.col("n_name") if n == "tdx_industry_name" else F.lit(None).cast("string")).alias(n)
-            for n in summary.INDUSTRY_COLUMNS
-        ],
-    )
-    listed = lines.groupBy("l_suppkey").agg(F.min(F.to_date("l_shipdate")).alias("ipo_date"))
+        F.max("l_extendedprice").alias("price"), F.min("l_extendedprice").alias("last_close"), F.sum("l_quantity").alias("vol"),
+        F.max("l_tax").alias("open"), F.max("l_extendedprice").alias("high"), F.min("l_extendedprice").alias("low"),
+        (F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")) / 100).alias("amount"),
+    ).withColumns({"market": t.market(), "code": t.security_code("l_suppkey")}).drop("l_suppkey")
+    placed = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).join(
+        t.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    level = lambda letter, key: F.concat(F.lit(letter), F.col(key).cast("string"))
+    sectors = [
+        level("T", "n_nationkey"), F.col("n_name"), F.lit("tdx"), level("X", "r_regionkey"), F.col("r_name"), F.lit("sw"),
+        level("X", "r_regionkey"), F.col("r_name"), level("N", "n_nationkey"), F.col("n_name"), level("S", "s_suppkey"), F.col("s_name"),
+    ]
+    industries = placed.select(t.market(), code, *[c.alias(n) for c, n in zip(sectors, summary.INDUSTRY_COLUMNS, strict=True)])
+    listed = lines.groupBy("l_suppkey").agg(F.min(F.to_date("l_shipdate")).alias("ipo_date"), F.max(F.to_date("l_shipdate")).alias("updated_date"))
     finance = suppliers.join(listed, F.col("s_suppkey") == F.col("l_suppkey")).select(
-        t.market(), code, F.col("s_acctbal").alias("eps"), F.date_format("ipo_date", "yyyyMMdd").alias("ipo_date"), F.lit("").alias("updated_date")
-    )
+        t.market(), code, F.col("s_acctbal").alias("eps"), F.date_format("ipo_date", "yyyyMMdd").alias("ipo_date"),
+        F.date_format("updated_date", "yyyy-MM-dd").alias("updated_date"),
+    )
     auctions = t.table(spark, sf_dir, "events").select(
         t.market(), t.security_code("user_id").alias("code"), F.col("event_id").alias("seq"),
         F.col("value").alias("price"), (F.col("event_id") % 7).alias("matched"),
     )
     out = summary.security_summary(requested, directory, quotes, industries, finance, t.actions(spark, sf_dir), auctions)
-    return out.select(
-        "pos", "full_code", "name", "category", "board", "last_price", "pre_close_price",
-        F.round("change", 6).alias("change"), F.round("change_pct", 6).alias("change_pct"), "volume_hand",
-        F.col("circulating_shares").cast("double").alias("circulating_shares"),
-        F.col("total_shares").cast("double").alias("total_shares"),
-        F.round("turnover_rate", 6).alias("turnover_rate"),
-        F.round("circulating_market_value", 2).alias("circulating_market_value"),
-        "eps", F.round("open_amount_yuan", 4).alias("open_amount_yuan"), "ipo_date", "tdx_industry_name",
-    )
+    digits = {"change": 6, "change_pct": 6, "turnover_rate": 6, "circulating_market_value": 2, "total_market_value": 2, "open_amount_yuan": 4}
+    return out.withColumns(
+        {n: F.round(n, k) for n, k in digits.items()} | {n: F.col(n).cast("double") for n in ("circulating_shares", "total_shares")}
+    )
 
 
 # --- codes and frequencies -------------------------------------------------------------------------

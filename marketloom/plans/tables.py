@@ -39,12 +39,12 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _line_order() -> Column:
     """Source order of line items: order, line, then cents of the price, because
-    (order, line) repeats.  A decimal of 38 digits has room for 19, 4 and 15 of them, and
-    unlike a struct it stays in hash aggregates."""
-    order = F.col("l_orderkey").cast("decimal(19,0)") * F.lit(str(10**15)).cast("decimal(16,0)")
-    line = F.col("l_linenumber").cast("decimal(4,0)") * F.lit(str(10**12)).cast("decimal(13,0)")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("decimal(12,0)")
-    return (order + line + cents).cast("decimal(38,0)")
+    (order, line) repeats.  Line and cents share a BIGINT (7 and 12 digits, overflow is an
+    error), the order comes before them in a decimal that stays in hash aggregates."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    within = F.col("l_linenumber").cast("bigint") * 10**12 + cents
+    order = F.col("l_orderkey").cast("decimal(19,0)") * F.lit(str(10**18)).cast("decimal(19,0)")
+    return order + within.cast("decimal(19,0)")
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     return (
         lines.select(
-            security_code("l_suppkey").alias("code"),
+            "l_suppkey",
             F.to_date("l_shipdate").alias("date"),
             _line_order().alias("seq"),
             F.col("l_quantity").cast("bigint").alias("vol"),
@@ -60,7 +60,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         # Whole cents by integer division: no rounding ties between engines.
         .withColumn("price", F.expr("cents div vol") / 100)
-        .groupBy("code", "date")
+        .groupBy("l_suppkey", "date")
         .agg(
             F.min_by("price", "seq").alias("open"),
             F.max("price").alias("high"),
@@ -69,7 +69,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("vol").cast("double").alias("volume"),
             (F.sum("cents") / 100).alias("amount"),
         )
-        .select(market(), "*")
+        .select(market(), security_code("l_suppkey").alias("code"), "date", "open", "high", "low", "close", "volume", "amount")
     )
 
 

@@ -164,3 +164,62 @@ def test_tier_sums_add_up(spark):
     for r in sums.collect():
         tiers = sum(r[f"{t}_{s}_units"] for t in ("super", "large", "medium", "small") for s in ("buy", "sell"))
         assert tiers == r["total_units"] - r["neutral_units"]
+
+
+def kept_days(spark, count=30):
+    import datetime as dt
+
+    day = lambda k: dt.date(2031, 1, 1) + dt.timedelta(days=k)
+    ticks = [(0, c, day(k), 10.0 + k, 100 * (i + 1) * (k + 1), i % 3) for c in ("000001", "000002") for k in range(count) for i in range(4)]
+    bars = [(0, c, day(k), 10.0 + k) for c in ("000001", "000002") for k in range(count)]
+    return (
+        spark.createDataFrame(bars, "market tinyint, code string, date date, close double"),
+        spark.createDataFrame(ticks, "market tinyint, code string, date date, price double, vol bigint, side int"),
+        day,
+    )
+
+
+def test_history_reads_kept_days_and_ticks_of_open_ones(spark, tmp_path, rows):
+    from marketloom.operators.capital_flow import flow_summary, flow_sums
+    from marketloom.plans.recipes import flow_history
+    from marketloom.sources.flow_table import FlowTable
+    from pyspark.sql import functions as F
+
+    bars, ticks, day = kept_days(spark)
+    table = FlowTable(spark, str(tmp_path))
+    assert table.closed_until() is None
+    table.close_days(flow_summary(flow_sums(ticks)), until=day(24))
+    assert table.closed_until() == day(24)
+    # Only the ticks after the closed days are at hand.
+    for days in (5, None):
+        want = rows(flow_history(bars, ticks, days))
+        assert rows(flow_history(bars, ticks.where(F.col("date") > F.lit(day(24))), days, kept=table)) == want
+    # A corrected day replaces the first; a write that dies before its mark does not count.
+    changed = flow_summary(flow_sums(ticks.withColumn("vol", F.when(F.col("date") == F.lit(day(20)), F.col("vol") * 2).otherwise(F.col("vol")))))
+    table.close_days(changed.where(F.col("date") == F.lit(day(20))))
+    assert rows(table.rows()) == rows(changed.where(F.col("date") <= F.lit(day(24))).select(*table.rows().columns))
+    lost = changed.withColumns({"total_turnover": F.lit(0.0), "batch": F.lit("lost"), "period": F.lit("2031-01")})
+    lost.write.mode("append").partitionBy("period").parquet(str(tmp_path / "flow"))
+    assert table.rows().where("total_turnover = 0").count() == 0 and table.rows().count() == 50
+
+
+def test_a_stream_closes_days(spark, tmp_path, rows):
+    """Days behind the watermark are kept by the running stream, replays included."""
+    from marketloom.operators.capital_flow import flow_summary, flow_sums
+    from marketloom.sources.flow_table import FlowTable, keep_closed_days
+    from marketloom.streaming.ticks import stream_flow
+    from pyspark.sql import functions as F
+
+    _, ticks, day = kept_days(spark, 6)
+    stamped = ticks.withColumn("ts", F.col("date").cast("timestamp"))
+    for k in range(6):
+        stamped.where(F.col("date") == F.lit(day(k))).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    table = FlowTable(spark, str(tmp_path / "kept"))
+    for name in ("first", "replayed"):
+        stream = spark.readStream.schema(stamped.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        writer = keep_closed_days(stream_flow(stream.drop("date"), "1 hour"), table).outputMode("append")
+        writer.option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination()
+    last = table.closed_until()
+    assert last >= day(3)
+    want = flow_summary(flow_sums(ticks.where(F.col("date") <= F.lit(last))))
+    assert rows(table.rows()) == rows(want.select(*table.rows().columns))
