@@ -36,7 +36,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from marketloom.llm.common import maybe_broadcast, stored
 from marketloom.llm.components import components
@@ -134,25 +133,29 @@ def _keyed(docs: DataFrame, frequent: DataFrame, size: int, percent: int) -> Dat
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``node, tokens`` (sorted hashes as bytes) of the wanted nodes, from one document of each."""
-    chosen = nodes.join(wanted, "node", "left_semi").select("node", "key", "least")
-    ids = maybe_broadcast(stored(chosen.select("least").distinct(), "wanted-ids"), BROADCAST_IDS)
-    some = docs.join(ids, F.col("id").eqNullSafe(F.col("least")), "left_semi")
+    """``node, tokens`` (sorted hashes as bytes) of the wanted nodes, stored; from the documents
+    that carry the node's least id and its text."""
+    chosen = stored(nodes.join(wanted, "node", "left_semi").select("node", "key", "least"), "wanted-nodes")
+    some = docs.join(maybe_broadcast(chosen, BROADCAST_IDS), F.col("id").eqNullSafe(F.col("least")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = [s.tobytes() for _, s in shingle_sets(batch.column(0), size)]
-            keys = [hashlib.blake2b(r, digest_size=16).digest() for r in raw]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(raw, pa.binary())], ["key", "tokens"])
+            own = [hashlib.blake2b(r, digest_size=16).digest() == key for r, key in zip(raw, batch.column(2).to_pylist(), strict=True)]
+            made = pa.RecordBatch.from_arrays([batch.column(1), pa.array(raw, pa.binary())], ["node", "tokens"])
+            yield made.filter(pa.array(own, pa.bool_()))
 
-    made = some.select("text").mapInArrow(run, "key binary, tokens binary")
-    return made.join(chosen.select("node", "key"), "key").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    made = stored(some.select("text", "node", "key").mapInArrow(run, "node bigint, tokens binary"), "shingle-sets")
+    # Where ids are unique every node has one document.
+    if made.groupBy("node").count().filter("count > 1").isEmpty():
+        return made
+    return stored(made.groupBy("node").agg(F.first("tokens").alias("tokens")), "shingle-sets")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
     """The (stored) pairs ``a, b`` whose whole sets reach the similarity."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = stored(_sets(docs, nodes, wanted, size), "shingle-sets")
+    sets = _sets(docs, nodes, wanted, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,7 +175,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, pe
 def _differences(around: DataFrame, docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """``leader, node, n, tokens``: shingles that only one of leader and member has."""
     wanted = around.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = stored(_sets(docs, nodes, wanted, size), "shingle-sets")
+    sets = _sets(docs, nodes, wanted, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,8 +216,9 @@ def _linked_by_differences(
     * Pairs with c > 0 meet on a difference t.  First each holder of t is looked at against the
       holder of least s, which joins most of them; then, where holders of t are still in
       different components, those outside the largest against the others.  As s(y) >= s(m),
-      x needs at least (s(x) + s(m)) / (2 (100 + percent)) common differences with any y, so
-      only so many of its rarest differences must be compared that fewer are left.
+      x needs at least k = (s(x) + s(m)) / (2 (100 + percent)) common differences with any y.
+      Sets that have so many in common share one of the first |D(x)| - k + 1 differences of
+      each, in any fixed order, so only those are compared.
 
     No shingle of the leader's own is in R, so it is not a difference that all others share.
     """
@@ -230,7 +234,7 @@ def _linked_by_differences(
     turned = F.coalesce("_turned", none)
     found = stored(
         plain.join(usual, "leader", "left")
-        .withColumn("tokens", F.concat(F.array_except("tokens", turned), F.array_except(turned, "tokens")))
+        .withColumn("tokens", F.array_sort(F.concat(F.array_except("tokens", turned), F.array_except(turned, "tokens"))))
         .withColumn("d", F.size("tokens").cast("bigint"))
         .withColumn("s", weight * F.col("d") - (100 - percent) * F.col("n"))
         .select("leader", "node", "tokens", "d", "s"),
@@ -248,12 +252,17 @@ def _linked_by_differences(
         )
 
     least = found.groupBy("leader").agg(F.min_by("node", "s").alias("other"), F.min("s").alias("least"))
-    held = found.select("leader", "node", "d", "s", F.explode("tokens").alias("token"))
+    # Differences that must be compared: in the order of their values, all but need - 1.
+    need = F.greatest(F.lit(1), F.ceil((F.col("s") + F.col("least")) / (2 * weight)))
+    held = (
+        found.join(least.select("leader", "least"), "leader").withColumn("_some", F.col("d") - need + 1).filter("_some > 0")
+        .select("leader", "node", "d", "s", F.explode(F.slice("tokens", F.lit(1), F.col("_some").cast("int"))).alias("token"))
+    )
     # One holder of least s per difference that several members share.
     holders = stored(
         held.groupBy("leader", "token").agg(
             F.count(F.lit(1)).alias("_holders"), F.min_by("node", "s").alias("other"), F.min("s").alias("s2")
-        ).filter("_holders > 1"),
+        ).filter("_holders > 1").drop("_holders"),
         "shingle-holders",
     )
     stars = (
@@ -267,13 +276,9 @@ def _linked_by_differences(
     near = stored(linked(stars).distinct(), "shingle-links")
     labels = components(links.unionByName(near))
 
-    # What is still apart: the rarest differences of each member, as many as it must compare.
-    need = F.greatest(F.lit(1), F.ceil((F.col("s") + F.col("least")) / (2 * weight)))
-    rank = F.row_number().over(Window.partitionBy("leader", "node").orderBy("_holders", "token"))
+    # What is still apart.
     compared = stored(
-        held.join(holders.select("leader", "token", "_holders"), ["leader", "token"], "left").join(least.select("leader", "least"), "leader")
-        .withColumns({"_holders": F.coalesce("_holders", F.lit(1)), "_need": need}).withColumn("_rank", rank)
-        .filter("_rank <= d - _need + 1 and _holders > 1").select("leader", "token", "node", "d", "s")
+        held.join(holders.select("leader", "token"), ["leader", "token"], "left_semi")
         .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")),
         "shingle-compared",
     )
