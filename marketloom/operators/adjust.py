@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.numbers import half_up
 from marketloom.functions.symbols import security_type
-from marketloom.operators.asof import FORWARD, asof_lookup
+from marketloom.operators.asof import FORWARD, asof_lookup, time_bucket
 from marketloom.operators.equity import normalize_actions
+from marketloom.operators.scan import add_following, add_previous, add_running_product, fill_forward, keep_latest
 
 SERIES = ("market", "code")
 OHLC = ("open", "high", "low", "close")
@@ -378,33 +379,21 @@ def _factor_table(bars: DataFrame, factors: DataFrame, keys: list[str]) -> DataF
 
 
 def legacy_factor_adjust(
-    bars: DataFrame, factors: DataFrame, method: str, keys: Sequence[str] = SERIES
-) -> DataFrame:
-    """Compatibility rule: outer join by date, fill forward, drop incomplete rows, keep
+    bars: DataFrame, factors: DataFrame, method: str, keys: Sequence[str] = SERIES, time: str = "date", chunk: str = "month"
+) -> DataFrame:
+    """Compatibility rule: outer join by time, fill forward, drop incomplete rows, keep
     the first row of each repeated OHLCV, then hfq multiplies and qfq divides.
 
-    Both sides are one row per security and date, so the fill window is bounded by
-    the calendar.
+    Both sides are one row per security and ``time`` (a date or, for bars within the day, a
+    timestamp); the fill is a two-level scan, so a long series is spread over its chunks.
     """
     keys = list(keys)
     method = adjustment_method(method)
-    filled_columns = [n for n in bars.columns if n not in (*keys, "date")]
-    forward = (
-        Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    joined = bars.join(factors.select(*keys, "date", "factor"), [*keys, "date"], "full")
-    filled = joined.select(
-        *keys,
-        "date",
-        *[F.last(n, ignorenulls=True).over(forward).alias(n) for n in [*filled_columns, "factor"]],
-    ).dropna()
+    filled_columns = [n for n in bars.columns if n not in (*keys, time)]
+    joined = bars.join(factors.select(*keys, time, "factor"), [*keys, time], "full")
+    filled = fill_forward(joined, keys, time, [*filled_columns, "factor"], time_bucket(F.col(time), chunk)).dropna()
     shape = [n for n in (*OHLC, "volume") if n in bars.columns]
-    rest = [n for n in bars.columns if n not in (*keys, *shape)]
-    kept = (
-        filled.groupBy(*keys, *shape)
-        .agg(F.min_by(F.struct(*rest, "factor"), F.col("date")).alias("_row"))
-        .select(*keys, *shape, "_row.*")
-    )
+    kept = keep_latest(filled, [*keys, *shape], [F.col(time).asc()])
     factor = F.col("factor")
     prices = {n: F.col(n) * factor if method == "hfq" else F.col(n) / factor for n in OHLC if n in shape}
     return kept.withColumns(prices).select(*bars.columns)
@@ -416,11 +405,17 @@ def ratio_chain_adjust(
     method: str = "qfq",
     until: str | None = None,
     keys: Sequence[str] = SERIES,
+    time: str = "date",
+    chunk: str = "month",
 ) -> DataFrame:
     """Purely multiplicative adjustment: chain preclose(next) / close over the series.
 
     Event-only days carry the last bar (suspension) and are dropped at the end.
-    ``until`` limits the events to that date.  One row per security and date.
+    ``until`` limits the events to that date.  One row per security and ``time``, a date or,
+    for bars within the day, a timestamp; events count from the first moment of their date.
+
+    Carried closes, neighbours and products are two-level scans: windows stay inside
+    (security, chunk), and one row per chunk goes between them.
     """
     keys = list(keys)
     method = adjustment_method(method)
@@ -429,32 +424,27 @@ def ratio_chain_adjust(
         events = events.where(F.col("date") <= F.lit(until).cast("date"))
     fields = ["fenhong", "peigu", "peigujia", "songzhuangu"]
     daily = events.groupBy(*keys, "date").agg(*[F.max_by(n, "seq").alias(f"_{n}") for n in fields])
-    starts = bars.groupBy(*keys).agg(F.min("date").alias("_start"))
-    daily = daily.join(starts, keys).where(F.col("date") >= F.col("_start")).drop("_start")
+    kind = bars.schema[time].dataType
+    daily = daily.withColumn("_at", F.col("date").cast(kind)).drop("date").withColumnRenamed("_at", time)
+    starts = bars.groupBy(*keys).agg(F.min(time).alias("_start"))
+    daily = daily.join(starts, keys).where(F.col(time) >= F.col("_start")).drop("_start")
 
-    order = Window.partitionBy(*keys).orderBy("date")
-    forward = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    part = time_bucket(F.col(time), chunk)
     timeline = (
         bars.withColumn("_traded", F.lit(True))
-        .join(daily, [*keys, "date"], "full")
-        .withColumn("_close", F.last("close", ignorenulls=True).over(forward))
+        .join(daily, [*keys, time], "full")
+        .withColumn("_close", F.col("close"))
         .withColumns({f"_{n}": F.coalesce(f"_{n}", F.lit(0.0)) for n in fields})
     )
+    carried = fill_forward(timeline, keys, time, ["_close"], part)
     cash_in = F.col("_peigu") * F.col("_peigujia") - F.col("_fenhong")
-    chained = (
-        timeline.withColumn("_prior", F.coalesce(F.lag("_close").over(order), F.lit(None).cast("double")))
-        .withColumn(
-            "preclose", (F.col("_prior") * 10 + cash_in) / (F.lit(10) + F.col("_peigu") + F.col("_songzhuangu"))
-        )
-        .withColumn(
-            "_ratio", F.coalesce(F.try_divide(F.lead("preclose").over(order), "_close"), F.lit(1.0))
-        )
+    priced = add_previous(carried, keys, time, "_close", part, "_prior").withColumn(
+        "preclose", (F.col("_prior") * 10 + cash_in) / (F.lit(10) + F.col("_peigu") + F.col("_songzhuangu"))
+    )
+    chained = add_following(priced, keys, time, "preclose", part, "_next").withColumn(
+        "_ratio", F.coalesce(F.try_divide("_next", "_close"), F.lit(1.0))
     )
-    if method == "qfq":
-        reach = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    else:
-        reach = forward
-    adjusted = chained.withColumn("adj", F.product("_ratio").over(reach)).where(F.col("_traded"))
+    adjusted = add_running_product(chained, keys, [time], "_ratio", part, "adj", reverse=method == "qfq").where(F.col("_traded"))
     scale = F.col("adj") if method == "qfq" else F.lit(1.0) / F.col("adj")
     names = [n for n in (*OHLC, "preclose") if n in adjusted.columns]
     return (

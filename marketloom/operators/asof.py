@@ -19,7 +19,9 @@ BACKWARD, FORWARD = "backward", "forward"
 
 
 def time_bucket(time: Column, unit: str) -> Column:
-    """Consecutive integers for calendar months, days or hours."""
+    """Consecutive integers for calendar centuries, months, days or hours."""
+    if unit == "century":
+        return F.floor(F.year(time) / 100)
     if unit == "month":
         return F.year(time) * 12 + F.month(time)
     days = F.datediff(time.cast("date"), F.lit("1970-01-01").cast("date"))

@@ -9,23 +9,32 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.symbols import SECURITY_CLASSES, classify_security, strip_exchange
 from marketloom.operators.merge import stack
-from marketloom.operators.scan import add_ordinal
+from marketloom.operators.scan import add_ordinal, rows_between
 from marketloom.operators.asof import time_bucket
 
 SERIES = ("market", "code")
 
 
+#: Rows up to which Spark's window group limit cuts every mapper's share of a series.
+GROUP_LIMIT = 1000
+
+
 def newest_page(
-    bars: DataFrame, start: int, size: int, keys: Sequence[str] = SERIES, ts: str = "ts"
-) -> DataFrame:
+    bars: DataFrame, start: int, size: int, keys: Sequence[str] = SERIES, ts: str = "ts", chunk: str = "month"
+) -> DataFrame:
     """Rows ``start`` .. ``start + size`` counted back from the newest, per series.
 
-    The rank filter becomes a window group limit, so each mapper ships at most
-    start + size rows of a series.
+    Near pages are a rank filter, which becomes a window group limit: each mapper ships at
+    most start + size rows of a series.  Beyond that limit, months are counted first and only
+    those that reach into the page are ordered.
     """
     if start < 0 or size <= 0:
         raise ValueError("start must not be negative and size must be positive")
-    age = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(ts).desc()))
+    newest = F.col(ts).desc()
+    if start + size > GROUP_LIMIT:
+        page = rows_between(bars, keys, [newest], time_bucket(F.col(ts), chunk), start, start + size, newest_first=True)
+        return page.orderBy(*keys, ts)
+    age = F.row_number().over(Window.partitionBy(*keys).orderBy(newest))
     return (
         bars.withColumn("_age", age)
         .where((F.col("_age") > start) & (F.col("_age") <= start + size))
@@ -44,8 +53,16 @@ def chronological(frame: DataFrame, keys: Sequence[str] = SERIES, ts: str = "ts"
     return frame.orderBy(*keys, ts, seq)
 
 
-def directory_page(directory: DataFrame, start: int, size: int = 1000) -> DataFrame:
-    return directory.orderBy("market", "code").offset(start).limit(size)
+def directory_page(directory: DataFrame, start: int, size: int = 1000, prefix: int = 3) -> DataFrame:
+    """A page of the directory in (market, code) order.
+
+    Securities are counted by market and the first ``prefix`` characters of their code, and
+    only those groups that reach into the page are ordered: a deep page costs what a near one
+    does.
+    """
+    chunk = F.struct("market", F.substring("code", 1, prefix).alias("head"))
+    page = rows_between(directory, [], [F.col("market"), F.col("code")], chunk, start, start + size)
+    return page.orderBy("market", "code")
 
 
 def in_request_order(frame: DataFrame, requested: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:

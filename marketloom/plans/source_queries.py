@@ -23,6 +23,7 @@ from marketloom.plans.sync import sync
 from marketloom.session import shared_scratch
 from marketloom.sources import bar_files, block_files, config_files, files, finance_files, sinks, texts
 from marketloom.sources.bar_table import BarTable
+from marketloom.sources.record_source import scan_records
 
 
 def _in_files(frame, path, order, fields):
@@ -85,6 +86,17 @@ def daily_files(spark, sf_dir):
     return _shown_daily(out.withColumns({**{n: F.round(n, 2) for n in _OHLC}, "volume": F.round("volume", 4)}))
 
 
+@query("daily_files_split", _daily_sql("round({}, 2)", "amount::float::double", "round(volume * 0.01, 4)"))
+def daily_files_split(spark, sf_dir):
+    """The same files, written to the shared folder and read in splits."""
+    fields = [_packed("date"), *map(_cents, _OHLC), "amount", F.col("volume").cast("int").alias("volume")]
+    packed = _in_files(t.bars(spark, sf_dir), _daily_path("lday", "day"), "date", fields)
+    folder = f"{shared_scratch(spark)}/records-{uuid.uuid4().hex}"
+    sinks.write_files(_encode(packed, bar_files.DAILY), folder)
+    out = bar_files.daily_bars(scan_records(spark, folder, "daily", suffix=".day"))
+    return _shown_daily(out.withColumns({**{n: F.round(n, 2) for n in _OHLC}, "volume": F.round("volume", 4)}))
+
+
 @query("delisted_files", _daily_sql("{}::float::double", "amount::float::double", "round(volume / 100, 4)"))
 def delisted_files(spark, sf_dir):
     fields = [_packed("date"), *_OHLC, "amount", F.col("volume").cast("int").alias("volume")]
@@ -115,7 +127,9 @@ def _minute_files(spark, sf_dir, price):
     day = (F.year("ts") - 2004) * 2048 + F.month("ts") * 100 + F.dayofmonth("ts")
     minutes = F.floor(second_of_day("ts") / 60).cast("int")
     fields = [day.alias("day"), minutes.alias("minutes"), *map(price, _OHLC), "amount", F.col("volume").cast("int").alias("volume")]
-    return _in_files(bars, _daily_path("minline", "lc1"), "ts", fields)
+    # One file per security and month, so that a row stays small however long the history.
+    month = F.date_format("ts", "yyyyMM")
+    return _in_files(bars, F.concat(F.lit("/vipdoc/sz/minline/"), month, F.lit("/sz"), "code", F.lit(".lc1")), "ts", fields)
 
 
 def _minute_sql(price: str) -> str:

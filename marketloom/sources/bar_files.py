@@ -1,7 +1,8 @@
 """Fixed-record binary bar files.
 
-One row per file goes through a numpy structured view inside ``mapInPandas``; unit
-rules, dates and validation are Catalyst expressions afterwards.
+One row per file goes through a numpy structured view inside ``mapInPandas``, or files are
+read in splits (:mod:`marketloom.sources.record_source`); unit rules, dates and validation
+are Catalyst expressions afterwards.
 """
 
 from __future__ import annotations
@@ -73,13 +74,28 @@ DAILY_COEFFICIENTS = {
 }
 
 
+def record_count(layout: RecordLayout, size: int, head: bytes) -> tuple[int, str | None]:
+    """Records in a file of ``size`` bytes that begins with ``head`` (the header at least),
+    and what is wrong with its length."""
+    if size < layout.header:
+        return 0, f"file shorter than its header: {size} bytes"
+    item = layout.dtype.itemsize
+    if layout.count_at is not None:
+        count = int.from_bytes(head[layout.count_at : layout.count_at + 4], "little")
+        return count, f"{count} records exceed the file size" if layout.header + count * item > size else None
+    return size // item, f"length {size} is not a multiple of {item}" if size % item else None
+
+
 def decode_records(files: DataFrame, layout: RecordLayout, strict: bool = True) -> DataFrame:
     """(path, position, fields...) of every record.
 
     A file whose length does not fit is an error in strict mode, else one row with its
-    ``error`` and NULL fields.
+    ``error`` and NULL fields.  ``files`` that are records already, from
+    :func:`marketloom.sources.record_source.scan_records`, are returned.
     """
-    dtype, header, count_at = layout.dtype, layout.header, layout.count_at
+    if "content" not in files.columns:
+        return files
+    dtype, header = layout.dtype, layout.header
     names = [name for name, _ in layout.fields]
     spark_type = {"u": "bigint", "f": "double"}
     schema = "path string, position int, error string, " + ", ".join(
@@ -87,32 +103,16 @@ def decode_records(files: DataFrame, layout: RecordLayout, strict: bool = True)
     )
     columns = ["path", "position", "error", *names]
 
-    def problem(data: bytes) -> str | None:
-        if len(data) < header:
-            return f"file shorter than its header: {len(data)} bytes"
-        if count_at is not None:
-            count = int.from_bytes(data[count_at : count_at + 4], "little")
-            if header + count * dtype.itemsize > len(data):
-                return f"{count} records exceed the file size"
-        elif len(data) % dtype.itemsize:
-            return f"length {len(data)} is not a multiple of {dtype.itemsize}"
-        return None
-
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 data = bytes(content)
-                error = problem(data)
+                count, error = record_count(layout, len(data), data)
                 if error:
                     if strict:
                         raise ValueError(f"{path}: {error}")
                     yield pd.DataFrame([{"path": path, "error": error}], columns=columns)
                     continue
-                count = (
-                    int.from_bytes(data[count_at : count_at + 4], "little")
-                    if count_at is not None
-                    else len(data) // dtype.itemsize
-                )
                 records = np.frombuffer(data, dtype=dtype, count=count, offset=header)
                 frame = pd.DataFrame({name: records[name] for name in names})
                 # Unsigned and float32 widened; NaN means NULL downstream.

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,25 @@ def export(frame: DataFrame, path: str, fmt: str = "csv", by: Sequence[str] = ()
     writer.format(fmt).save(path)
 
 
+def write_files(files: DataFrame, folder: str) -> int:
+    """Write (path, content) rows as files below ``folder``, from the tasks that hold them;
+    a retried task writes the same bytes again.  Returns how many were written."""
+    from marketloom.sources.record_source import opened
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = opened(folder)
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                target = f"{base}/{path.lstrip('/')}"
+                store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(target) as out:
+                    out.write(bytes(content))
+            yield pd.DataFrame({"files": [len(batch)]})
+
+    written = files.select("path", "content").mapInPandas(write, "files bigint").agg(F.coalesce(F.sum("files"), F.lit(0)))
+    return written.first()[0]
+
+
 def _iso(value: Column, zone: Column) -> Column:
     """ISO-8601 with microseconds only where there are any."""
     whole = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")

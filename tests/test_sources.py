@@ -181,3 +181,65 @@ def test_export_bundle(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 2
     with pytest.raises(ValueError):
         sinks.export(frame, str(tmp_path / "x"), "xlsx")
+
+
+# -- split scan of fixed records ------------------------------------------------------------------
+def daily_content(first, count):
+    import numpy as np
+    from marketloom.sources import bar_files
+
+    records = np.zeros(count, dtype=bar_files.DAILY.dtype)
+    for k, name in enumerate(("day", "open", "high", "low", "close", "amount", "volume")):
+        records[name] = np.arange(first, first + count) * (k + 1) if name != "day" else 20310101 + np.arange(first, first + count) % 28
+    return records.tobytes()
+
+
+def test_split_scan_equals_whole_files(spark, tmp_path, rows):
+    from marketloom.sources import bar_files, files
+    from marketloom.sources.record_source import scan_records
+    from marketloom.sources.sinks import write_files
+
+    contents = [(f"/sz/lday/sz00000{k}.day", daily_content(k, n)) for k, n in ((1, 1000), (2, 3), (3, 0), (4, 250))]
+    made = spark.createDataFrame([(p, bytearray(c)) for p, c in contents], "path string, content binary")
+    assert write_files(made, str(tmp_path)) == 4
+    whole = bar_files.decode_records(files.read_files(spark, str(tmp_path), "*.day"), bar_files.DAILY)
+    split = scan_records(spark, str(tmp_path), "daily", split_bytes=3200, suffix=".day")
+    assert split.rdd.getNumPartitions() >= 10 and rows(split) == rows(whole)
+    assert scan_records(spark, str(tmp_path), "daily", suffix=".day").rdd.getNumPartitions() == 1
+    # The scan takes the place of files; columns and conditions on the day reach the reader.
+    assert rows(bar_files.daily_bars(split)) == rows(bar_files.daily_bars(files.read_files(spark, str(tmp_path), "*.day")))
+    some = scan_records(spark, str(tmp_path), "daily", columns=["path", "day", "close"], split_bytes=3200)
+    assert some.columns == ["path", "day", "close"]
+    late = lambda frame: frame.where("day >= 20310115 and day < 20310120").select("path", "day", "close")
+    assert rows(late(some)) == rows(late(whole)) and late(some).count() > 100
+
+
+def test_day_conditions_are_applied_in_the_reader(tmp_path):
+    from marketloom.sources.record_source import FixedRecords, RecordReader
+    from pyspark.sql.datasource import GreaterThanOrEqual, LessThan
+
+    (tmp_path / "sz000001.day").write_bytes(daily_content(0, 280))
+    options = {"path": f"file:{tmp_path}", "layout": "daily", "splitbytes": "640"}
+    reader = RecordReader(FixedRecords(options).schema(), options)
+    assert len(list(reader.pushFilters([GreaterThanOrEqual(("day",), 20310103), LessThan(("day",), 20310105), LessThan(("close",), 9)]))) == 3
+    parts = reader.partitions()
+    assert len(parts) == 14 and sum(n for p in parts for *_, n in p.parts) == 280
+    assert sum(b.num_rows for p in parts for b in reader.read(p)) == 20
+
+
+def test_split_scan_of_broken_and_counted_files(spark, tmp_path, rows):
+    import numpy as np
+    from marketloom.sources import bar_files, files
+    from marketloom.sources.record_source import scan_records
+
+    body = np.zeros(100, dtype=bar_files.DELISTED.dtype)
+    body["day"], body["volume"] = 20310101, np.arange(100)
+    good = b"\0" * 10 + np.uint32(70).tobytes() + body.tobytes()  # fewer than there is room for
+    (tmp_path / "sz1.x").write_bytes(good)
+    (tmp_path / "sz2.x").write_bytes(good[:500])
+    (tmp_path / "sz3.x").write_bytes(b"short")
+    whole = bar_files.decode_records(files.read_files(spark, str(tmp_path)), bar_files.DELISTED, strict=False)
+    split = scan_records(spark, str(tmp_path), "delisted", strict=False, split_bytes=640)
+    assert rows(split) == rows(whole) and split.where("error is not null").count() == 2 and split.count() == 72
+    with pytest.raises(Exception, match="exceed the file size|shorter than its header"):
+        scan_records(spark, str(tmp_path), "delisted").count()
