@@ -42,6 +42,8 @@ SECOND = 0x2545F4914F6CDD1D  # base of the second hash, odd
 TABLE = 2_000_000
 #: Contexts of one anchor up to which one task sorts their strings.
 GROUP = 20_000
+#: Strings that a task sorts at once.
+STRIP = 400_000
 DIGITS = 4
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -213,18 +215,23 @@ def _contexts_by_join(docs: DataFrame, ends: DataFrame, length: int, size: int)
     return docs.join(wanted, "key").select("key", "text", "anchors").mapInArrow(run, _MEMBER)
 
 
-def _strings(batch: pa.RecordBatch, length: int):
-    """Of every row (anchor): the strings around it, as row, offset before the anchor, place."""
+def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of the contexts."""
     context = batch.column("context").cast(pa.large_binary())
     _, offsets, data = context.buffers()
     offsets = np.frombuffer(offsets, np.int64)[context.offset : context.offset + len(context) + 1]
-    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
-    count = np.maximum(np.diff(offsets) - length + 1, 0)
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _strings(left: np.ndarray, offsets: np.ndarray, length: int, low: int, high: int):
+    """Of every row (anchor): the strings around it that begin ``low`` to ``high`` - 1 bytes
+    before the anchor, as row, that offset, place."""
+    # A context of m bytes has m - length + 1 strings, the first of them `left` bytes before.
+    least = np.maximum(left - np.diff(offsets) + length, low)
+    count = np.maximum(np.minimum(left, high - 1) - least + 1, 0)
     row = np.repeat(np.arange(len(count)), count)
-    step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    left = batch.column("left").to_numpy()
-    return data, row, left[row] - step, offsets[:-1][row] + step
+    before = least[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    return row, before, offsets[:-1][row] + left[row] - before
 
 
 def _digit(sums: np.ndarray, place: np.ndarray, length: int, k: int, base=None) -> np.ndarray:
@@ -240,21 +247,29 @@ def _sorted_ends(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
     fresh = np.ones(len(at), dtype=bool)
     fresh[1:] = (keys[1:] != keys[:-1]).any(1) | (at[1:] != at[:-1])
     batch = batch.filter(pa.array(fresh))
-    data, row, before, place = _strings(batch, length)
+    data, offsets = _texts(batch)
+    left = batch.column("left").to_numpy()
     sums, second = prefix_sums(data), prefix_sums(data, SECOND)
     anchor = batch.column("a").to_numpy().view(np.uint64)
-    group = mixed(anchor[row] * _MUL + before.astype(np.uint64))
-    # Most significant digit first; the last pass compares the whole string by the second hash.
-    for k in range(DIGITS + 1):
-        digit = _digit(sums, place, length, k) if k < DIGITS else span_hashes(second, place, place + length, SECOND)
-        group = mixed(group * _MUL + digit)
-        _, inverse, count = np.unique(group, return_inverse=True, return_counts=True)
-        keep = count[inverse.ravel()] > 1
-        row, before, place, group = row[keep], before[keep], place[keep], group[keep]
-    head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else np.zeros(0, np.int64)
-    most = np.maximum.reduceat(before, head) if len(head) else head
-    least = np.minimum.reduceat(before, head) if len(head) else head
-    found = batch.select(["key", "at"]).take(pa.array(row[head]))
+    most = np.full(len(left), np.iinfo(np.int64).min)
+    least = np.full(len(left), np.iinfo(np.int64).max)
+    # Equal strings lie equally far before their anchor: strips of offsets are sorted in turn.
+    width = max(1, STRIP // max(1, len(left)))
+    for low in range(0, int(left.max(initial=0)) + 1, width):
+        row, before, place = _strings(left, offsets, length, low, low + width)
+        group = mixed(anchor[row] * _MUL + before.astype(np.uint64))
+        # Most significant digit first; the last pass compares the whole string by the second hash.
+        for k in range(DIGITS + 1):
+            digit = _digit(sums, place, length, k) if k < DIGITS else span_hashes(second, place, place + length, SECOND)
+            group = mixed(group * _MUL + digit)
+            _, inverse, count = np.unique(group, return_inverse=True, return_counts=True)
+            keep = count[inverse.ravel()] > 1
+            row, before, place, group = row[keep], before[keep], place[keep], group[keep]
+        np.maximum.at(most, row, before)
+        np.minimum.at(least, row, before)
+    head = np.flatnonzero(most >= least)
+    most, least = most[head], least[head]
+    found = batch.select(["key", "at"]).take(pa.array(head))
     at = found.column("at").to_numpy()
     return pa.RecordBatch.from_arrays([found.column("key"), pa.array(at - most), pa.array(at - least + length)], ["key", "low", "high"])
 
@@ -298,7 +313,8 @@ def _ends_by_counting(members: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 2000):
                 part = batch.slice(first, 2000)
-                data, row, before, place = _strings(part, length)
+                data, offsets = _texts(part)
+                row, before, place = _strings(part.column("left").to_numpy(), offsets, length, 0, length)
                 one = span_hashes(prefix_sums(data), place, place + length)
                 two = span_hashes(prefix_sums(data, SECOND), place, place + length, SECOND)
                 own = part.select(["a", "key", "at"]).take(pa.array(row))

@@ -56,3 +56,32 @@ def test_empty_table_and_null_ids(spark):
     assert repeats.remove(docs.filter("doc_id > 5")).count() == 0
     rows = {r.doc_id: r for r in repeats.remove(docs).collect()}
     assert [tuple(s) for s in rows[None].spans] == [(0, 300)] and bytes(rows[1].kept) == b"short"
+
+
+def test_strips_of_offsets_change_nothing(monkeypatch):
+    """Contexts unfolded one offset at a time give what they give at once."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    length, anchor = 20, b"anchorxy"
+    rows = []
+    for k in range(60):
+        left = rng.randrange(length - len(anchor) + 1)
+        context = (b"abcabcabcabc" + bytes(rng.choice(b"ab") for _ in range(3)))[-left:] if left else b""
+        context += anchor + b"qrstuvwxyz12"[: rng.randrange(13)] + bytes(rng.choice(b"yz") for _ in range(2))
+        rows.append((k % 2, bytes([k]) * 16, 50, left, context))
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], ["a", "key", "at", "left", "context"])
+    whole = repeats._sorted_ends(batch, length).to_pylist()
+    seen = Counter()
+    for a, _, _, left, context in rows:
+        seen.update((a, left - i, context[i : i + length]) for i in range(len(context) - length + 1))
+    want = []
+    for a, key, at, left, context in rows:
+        own = [left - i for i in range(len(context) - length + 1) if seen[a, left - i, context[i : i + length]] > 1]
+        if own:
+            want.append({"key": key, "low": at - max(own), "high": at - min(own) + length})
+    assert whole == want and np.ptp([w["high"] - w["low"] for w in want]) > 0
+    monkeypatch.setattr(repeats, "STRIP", 1)
+    assert repeats._sorted_ends(batch, length).to_pylist() == want
