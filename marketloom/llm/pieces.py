@@ -25,11 +25,12 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.text_arrays import Lookup, bytes_of, mixed, pieces, prefix_sums, span_hashes
+from marketloom.llm.text_arrays import bytes_of, mixed, pieces, prefix_sums, span_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
@@ -37,6 +38,7 @@ SEED = 8
 IDS = 500_000  # ids decoded at once
 PIECE = 600_000  # bytes of text whose lattices are held at once
 BLANK, BREAK = 0x20, 0x0A
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Vocabulary:
@@ -70,27 +72,72 @@ class Vocabulary:
         crossing = [p for p in known if bytes([BREAK]) in p or bytes([BLANK]) in p.lstrip(bytes([BLANK]))]
         if crossing:
             raise ValueError(f"pieces across blanks: {crossing[:3]}")
-        # All prefixes that end at a character: hash -> piece, or -1 for a mere prefix.
-        found: dict[bytes, tuple[int, float]] = {}
+        # A trie over characters: states are prefixes of pieces, a step is (state, character).
+        states: dict[str, int] = {"": 0}
         for raw in known:
             text = raw.decode()
-            for k in range(1, len(text)):
-                found.setdefault(text[:k].encode(), (-1, 0.0))
-        found |= known
-        raws = list(found)
-        data = np.frombuffer(b"".join(raws), dtype=np.uint8)
-        ends = np.cumsum([len(r) for r in raws])
-        hashes = span_hashes(prefix_sums(data), np.concatenate([[0], ends[:-1]]), ends)
-        order = np.argsort(hashes)
-        self.hashes = hashes[order]
-        self.find = Lookup(self.hashes).find
-        self.ids = np.array([found[r][0] for r in raws])[order]
-        self.weights = np.array([found[r][1] for r in raws])[order]
+            for k in range(1, len(text) + 1):
+                states.setdefault(text[:k], len(states))
+        alphabet = sorted({c for text in states for c in text[-1:]})
+        self.letter = np.zeros(0x110000, dtype=np.int32)  # number of each character, 0: in no piece
+        self.letter[[ord(c) for c in alphabet]] = np.arange(1, len(alphabet) + 1)
+        self.letters = len(alphabet) + 1
+        self.ids = np.full(len(states), -1, dtype=np.int64)
+        self.weights = np.zeros(len(states))
+        for raw, (i, weight) in known.items():
+            self.ids[states[raw.decode()]], self.weights[states[raw.decode()]] = i, weight
+        steps = {states[text[:-1]] * self.letters + int(self.letter[ord(text[-1])]): at for text, at in states.items() if text}
+        # Steps in a table with open places: the next state is found in one or two looks.
+        self.bits = max(4, (4 * len(steps)).bit_length())
+        self.slots = np.full((1 << self.bits) + 1, -1, dtype=np.int64)
+        self.following = np.zeros(len(self.slots), dtype=np.int32)
+        waiting, goal = np.array(list(steps), dtype=np.int64), np.array(list(steps.values()), dtype=np.int32)
+        slot = self._slot(waiting)
+        while len(waiting):
+            free = self.slots[slot] < 0
+            _, first = np.unique(slot[free], return_index=True)
+            won = np.flatnonzero(free)[first]
+            self.slots[slot[won]], self.following[slot[won]] = waiting[won], goal[won]
+            left = np.ones(len(waiting), dtype=bool)
+            left[won] = False
+            waiting, goal, slot = waiting[left], goal[left], (slot[left] + 1) & ((1 << self.bits) - 1)
         self.longest = max(len(r.decode()) for r in known)
         self.data = np.frombuffer(b"".join(self.surface), dtype=np.uint8)
         self.offsets = np.concatenate([[0], np.cumsum([len(s) for s in self.surface])]).astype(np.int32)
 
 
+    def _slot(self, step: np.ndarray) -> np.ndarray:
+        return ((step.astype(np.uint64) * _STEP) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def walk(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The state after a letter, -1 where no piece goes on so."""
+        step = state.astype(np.int64) * self.letters + letter
+        slot = self._slot(step)
+        seen = self.slots[slot]
+        out = np.where(seen == step, self.following[slot], -1)
+        on = np.flatnonzero((seen != step) & (seen >= 0))
+        while len(on):
+            slot[on] = (slot[on] + 1) & ((1 << self.bits) - 1)
+            seen = self.slots[slot[on]]
+            hit = seen == step[on]
+            out[on[hit]] = self.following[slot[on[hit]]]
+            on = on[~hit & (seen >= 0)]
+        return out
+
+
+def code_points(data: np.ndarray, lead: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Code points of the characters that begin at ``lead`` and are ``width`` bytes long."""
+    out = data[lead].astype(np.int32)
+    for size, mask in ((2, 0x1F), (3, 0x0F), (4, 0x07)):
+        which = np.flatnonzero(width == size)
+        if len(which):
+            value = out[which] & mask
+            for k in range(1, size):
+                value = (value << 6) | (data[lead[which] + k] & 0x3F)
+            out[which] = value
+    return out
+
+
 @cache
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
@@ -108,7 +155,7 @@ class Lattice:
         base = (np.cumsum(length + 1) - (length + 1)).astype(np.int32)  # node before each chunk's first character
         self.first_node, self.last_node = base, base + length.astype(np.int32)
         limit = np.append(lead, len(data)).astype(np.int32)
-        sums = prefix_sums(data)
+        letter = words.letter[code_points(data, lead, np.diff(limit))]
         total = int(length.sum())
         place = (np.arange(total) - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
         char = np.repeat(first.astype(np.int32), length) + place
@@ -116,19 +163,21 @@ class Lattice:
         room = np.repeat(length.astype(np.int32), length) - place
         source, target, piece, weight = [], [], [], []
         single = np.zeros(total, dtype=bool)
-        active = np.arange(total, dtype=np.int32)
+        active, state = np.arange(total, dtype=np.int32), np.zeros(total, dtype=np.int32)
         for size in range(1, words.longest + 1):
-            active = active[room[active] >= size]
+            on = room[active] >= size
+            active, state = active[on], state[on]
             if not len(active):
                 break
-            hashed = span_hashes(sums, limit[char[active]], limit[char[active] + size])
-            hit, at = words.find(hashed)
-            active = active[hit]
-            real = words.ids[at] >= 0
+            state = words.walk(state, letter[char[active] + (size - 1)])
+            on = state >= 0
+            active, state = active[on], state[on]
+            ids = words.ids[state]
+            real = np.flatnonzero(ids >= 0)
             source.append(node[active[real]])
             target.append(node[active[real]] + size)
-            piece.append(words.ids[at[real]])
-            weight.append(words.weights[at[real]])
+            piece.append(ids[real])
+            weight.append(words.weights[state[real]])
             if size == 1:
                 single[active[real]] = True
         odd = np.flatnonzero(~single)  # characters of bytes: one arc, expanded when emitted
@@ -137,41 +186,54 @@ class Lattice:
         piece.append(-1 - limit[char[odd]])
         weight.append(words.byte_weight * (limit[char[odd] + 1] - limit[char[odd]]))
         self.limit, self.lead = limit, lead
-        source, target = np.concatenate(source), np.concatenate(target)
         depth = np.zeros(int(self.last_node[-1]) + 1 if len(base) else 1, dtype=np.int32)
         depth[node] = place
         depth[self.last_node] = length
-        # By depth, end, and length, long pieces first: mostly the likeliest.
-        order = np.argsort(((depth[target].astype(np.int64) << 31) + target << 7) - (target - source))
-        self.source, target = source[order], target[order]
-        self.piece, self.weight = np.concatenate(piece)[order], np.concatenate(weight)[order]
-        head = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]])) if len(target) else np.zeros(0, np.int64)
-        level = depth[target[head]]
+        # By depth, end, and length, long pieces first: mostly the likeliest.  Arcs of one
+        # length end at different nodes, so their places follow from counts.
+        into = np.zeros(len(depth), dtype=np.int32)
+        for ends_at in target:
+            into[ends_at] += 1
+        by_depth = np.argsort(depth.astype(np.uint16) if depth.max(initial=0) < 1 << 16 else depth, kind="stable")
+        begin = np.empty(len(depth), dtype=np.int64)
+        begin[by_depth] = np.cumsum(into[by_depth]) - into[by_depth]
+        count = int(into.sum())
+        self.source, self.piece, self.weight = np.empty(count, np.int32), np.empty(count, np.int64), np.empty(count)
+        # Bytes of a character that is no piece count as its length of one.
+        bytes_arc, sized = (source.pop(), target.pop(), piece.pop(), weight.pop()), list(zip(source, target, piece, weight, strict=True))
+        place_of = begin.copy()
+        for start, ends_at, ids, log in [*reversed(sized), bytes_arc]:
+            at = place_of[ends_at]
+            self.source[at], self.piece[at], self.weight[at] = start, ids, log
+            place_of[ends_at] += 1
+        ended = by_depth[into[by_depth] > 0]
+        head = begin[ended]
+        level = depth[ended]
         self.alpha = np.zeros(len(depth))
-        self.chance = np.empty(len(target))
+        self.chance = np.empty(count)
         step = np.searchsorted(level, np.arange(1, (int(level[-1]) if len(level) else 0) + 2))
-        tail = np.append(head, len(target))
+        tail = np.append(head, count)
         for lo, hi in zip(step[:-1], step[1:], strict=True):
             if lo == hi:
                 continue
             a, b = tail[lo], tail[hi]
             value = self.alpha[self.source[a:b]] + self.weight[a:b]
             runs = head[lo:hi] - a
-            count = np.diff(np.append(runs, b - a))
+            sizes = np.diff(np.append(runs, b - a))
             top = np.maximum.reduceat(value, runs)
-            scaled = np.exp(value - np.repeat(top, count))
+            scaled = np.exp(value - np.repeat(top, sizes))
             mass = np.add.reduceat(scaled, runs)
-            self.alpha[target[head[lo:hi]]] = top + np.log(mass)
-            self.chance[a:b] = scaled / np.repeat(mass, count)
+            self.alpha[ended[lo:hi]] = top + np.log(mass)
+            self.chance[a:b] = scaled / np.repeat(mass, sizes)
         self.run = np.zeros(len(depth), dtype=np.int64)
-        self.run[target[head]] = np.arange(len(head))
+        self.run[ended] = np.arange(len(head))
         self.head, self.tail = head, tail[1:]
         self.log_chance = np.log(self.chance)
 
     def draw(self, nodes: np.ndarray, stop: np.ndarray, seeds: np.ndarray):
         """Paths back from ``nodes`` to ``stop``: which of the nodes, step, and arc of each decision."""
         live = np.flatnonzero(nodes != stop)
-        at, which, steps, arcs, step = nodes[live], [], [], [], 0
+        at, which, arcs, step = nodes[live], [], [], 0
         while len(live):
             run = self.run[at]
             arc, last = self.head[run], self.tail[run] - 1
@@ -184,7 +246,6 @@ class Lattice:
                     break
                 arc[over] += 1
             which.append(live)
-            steps.append(np.full(len(live), step))
             arcs.append(arc)
             at = self.source[arc]
             on = at != stop[live]
@@ -192,12 +253,14 @@ class Lattice:
         if not which:
             empty = np.zeros(0, dtype=np.int64)
             return empty, empty, empty
-        which, steps, arcs = np.concatenate(which), np.concatenate(steps), np.concatenate(arcs)
-        order = np.lexsort([steps, which])
-        return which[order], steps[order], arcs[order]
-
-
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+        # Each step lists its nodes in order, so a decision's place follows from counts.
+        count = np.bincount(np.concatenate(which), minlength=len(nodes))
+        begin = np.cumsum(count) - count
+        out = np.empty(int(count.sum()), dtype=np.int64)
+        for step, (live, arc) in enumerate(zip(which, arcs, strict=True)):
+            out[begin[live] + step] = arc
+        which = np.repeat(np.arange(len(nodes)), count)
+        return which, np.arange(len(which)) - begin[which], out
 
 
 def _seeds(keys: np.ndarray, *numbers) -> np.ndarray:
@@ -238,12 +301,13 @@ def sample(words: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: np.nd
         return
     starts, ends, row = _chunks(buffer, bounds)
     hashes = span_hashes(prefix_sums(buffer), starts, ends)
-    _, sole, kind = np.unique(hashes, return_index=True, return_inverse=True)
+    kind, distinct = pd.factorize(hashes)
+    sole = np.empty(len(distinct), dtype=np.int64)
+    sole[kind[::-1]] = np.arange(len(kind))[::-1]  # the first of each kind is written last
     lattice = Lattice(words, buffer, starts[sole], ends[sole])
     top, low = lattice.last_node[kind], lattice.first_node[kind]
-    number = np.arange(len(starts)) - np.searchsorted(row, row)  # of the chunk in its text
-    log_mass = lattice.alpha[top]
     first_chunk = np.searchsorted(row, np.arange(rows + 1))
+    number = np.arange(len(starts)) - first_chunk[row]  # of the chunk in its text
     clock = -np.log(_uniform(_seeds(keys, 0), 7))
     which, _, arcs = lattice.draw(top, low, _seeds(keys[row], 1, number))
     pending = _by_row(row[which], which, arcs, rows)
@@ -252,23 +316,27 @@ def sample(words: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: np.nd
     found: list[tuple] = []
     nxt: dict[int, float] = {}
     for turn in range(1, k + 1):
-        for r, (chunk, arc, place, base, now, left) in todo.items():
-            path = _Path(lattice, chunk, arc, place, base, now, left, _seeds(keys[r : r + 1], turn, 3))
+        seeds = _seeds(keys[list(todo)], turn, 3)
+        waits = -np.log(_uniform(seeds[:, None], np.arange(2 * STEP + 1) + 11))
+        for n, (r, (chunk, arc, place, base, now, left)) in enumerate(todo.items()):
+            path = _Path(lattice, chunk, arc, place, base, now, left, seeds[n : n + 1], waits[n])
             agenda[r].append(path)
             found.append((r, turn, path, now))
         deviations = []
-        for r in todo:
+        spread = _seeds(keys[list(todo)], turn, 4)
+        drawn = _uniform(_seeds(keys[list(todo)], turn, 5), 1)
+        for n, r in enumerate(todo):
             path = min(agenda[r], key=lambda q: q.best)
             now = nxt[r] = path.best
             if turn == k or not np.isfinite(now):
                 continue
-            place = path.pop(_seeds(keys[r : r + 1], turn, 4))
+            place = path.pop(spread[n : n + 1])
             # An arc into the same node, other than those taken there.
             out = [*(path.left if place == path.place else []), int(path.arc[place])]
             run = lattice.run[_end(lattice, top, path.chunk, path.arc, place)]
-            choices = np.setdiff1d(np.arange(lattice.head[run], lattice.tail[run]), out)
+            choices = np.array([x for x in range(lattice.head[run], lattice.tail[run]) if x not in out])
             share = np.cumsum(lattice.chance[choices])
-            u = float(_uniform(_seeds(keys[r : r + 1], turn, 5), 1)[0]) * share[-1]
+            u = float(drawn[n]) * share[-1]
             pick = int(choices[min(int(np.searchsorted(share, u)), len(choices) - 1)])
             deviations.append((r, path, place, path.log_before(place), now, out, pick))
         if not deviations:
@@ -308,7 +376,7 @@ class _Path:
     already taken there by other paths, ``now`` the clock at which the path was found.
     """
 
-    def __init__(self, lattice, chunk, arc, place: int, base: float, now: float, left: list[int], seed):
+    def __init__(self, lattice, chunk, arc, place: int, base: float, now: float, left: list[int], seed, waits):
         self.chunk, self.arc, self.place, self.left = chunk, arc, place, left
         size = STEP
         while True:
@@ -330,7 +398,7 @@ class _Path:
             if place + self.cut < len(arc):
                 rest = np.exp(self.before[self.cut]) * -np.expm1(min(0.0, self.log_p - self.before[self.cut]))
             mass = np.append(mass, rest)
-            wait = -np.log(_uniform(seed, np.arange(self.cut + 1) + 11))
+            wait = waits[: self.cut + 1] if self.cut < len(waits) else -np.log(_uniform(seed, np.arange(self.cut + 1) + 11))
             self.times = np.where(mass > 0, now + wait / mass, np.inf)
         self.best = float(self.times.min())
 
