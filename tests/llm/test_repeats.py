@@ -70,7 +70,7 @@ def test_strips_of_offsets_change_nothing(monkeypatch):
         left = rng.randrange(length - len(anchor) + 1)
         context = (b"abcabcabcabc" + bytes(rng.choice(b"ab") for _ in range(3)))[-left:] if left else b""
         context += anchor + b"qrstuvwxyz12"[: rng.randrange(13)] + bytes(rng.choice(b"yz") for _ in range(2))
-        rows.append((k % 2, bytes([k]) * 16, 50, left, context))
+        rows.append((k % 2, bytes([k]) * 16, 50, left, context[: left + length]))
     kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
     batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], ["a", "key", "at", "left", "context"])
     whole = repeats._sorted_ends(batch, length).to_pylist()
