@@ -47,6 +47,7 @@ FREQUENT = 100_000
 LONGEST = 4  # largest l
 VERIFY_COST = 20.0  # of one candidate, in postings
 BROADCAST_IDS = 200_000
+ROWS = 500  # pairs of sets worked on at once
 LONG = 2_000  # pairs of a list above which it is taken by differences
 
 
@@ -139,11 +140,13 @@ def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> Da
     some = docs.join(maybe_broadcast(chosen, BROADCAST_IDS), F.col("id").eqNullSafe(F.col("least")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = [s.tobytes() for _, s in shingle_sets(batch.column(0), size)]
-            own = [hashlib.blake2b(r, digest_size=16).digest() == key for r, key in zip(raw, batch.column(2).to_pylist(), strict=True)]
-            made = pa.RecordBatch.from_arrays([batch.column(1), pa.array(raw, pa.binary())], ["node", "tokens"])
-            yield made.filter(pa.array(own, pa.bool_()))
+        for whole in batches:
+            for first in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(first, ROWS)
+                raw = [s.tobytes() for _, s in shingle_sets(batch.column(0), size)]
+                own = [hashlib.blake2b(r, digest_size=16).digest() == key for r, key in zip(raw, batch.column(2).to_pylist(), strict=True)]
+                made = pa.RecordBatch.from_arrays([batch.column(1), pa.array(raw, pa.binary())], ["node", "tokens"])
+                yield made.filter(pa.array(own, pa.bool_()))
 
     made = stored(some.select("text", "node", "key").mapInArrow(run, "node bigint, tokens binary"), "shingle-sets")
     # Where ids are unique every node has one document.
@@ -164,7 +167,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, pe
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 same = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * same >= percent * (len(x) + len(y) - same))
-            yield batch.filter(pa.array(good, pa.bool_())).select([0, 1])
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
@@ -172,39 +175,60 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, pe
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
-def _differences(around: DataFrame, docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """``leader, node, n, tokens``: shingles that only one of leader and member has."""
-    wanted = around.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = _sets(docs, nodes, wanted, size)
+def _symmetric(joined: DataFrame) -> DataFrame:
+    """``leader, node, n, tokens`` of rows ``a, b, x, y`` (sets as bytes): shingles that only
+    one of leader and member has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, lists = [], []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                sizes.append(len(y))
-                lists.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
-            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-            flat = pa.array(np.concatenate([*lists, np.zeros(0, np.int64)]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat)],
-                ["leader", "node", "n", "tokens"],
-            )
+        for whole in batches:
+            for first in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(first, ROWS)
+                sizes, lists = [], []
+                for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                    x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                    sizes.append(len(y))
+                    lists.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+                ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+                flat = pa.array(np.concatenate(lists))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat)],
+                    ["leader", "node", "n", "tokens"],
+                )
 
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    joined = around.join(left, "a").join(right, "b").select("a", "b", "x", "y")
     return joined.mapInArrow(run, "leader bigint, node bigint, n bigint, tokens array<bigint>")
 
 
+def _often(differences: DataFrame) -> DataFrame:
+    """``leader, token, n``: differences that most of a batch's members around a leader have,
+    and in how many of such batches' members.  What most members have, most of some batch
+    have, so little is sent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leader = batch.column(0).to_numpy()
+            length = np.asarray(batch.column(1).value_lengths())
+            flat = np.asarray(batch.column(1).flatten())
+            owner = np.repeat(leader, length)
+            out = []
+            for one, members in zip(*np.unique(leader, return_counts=True), strict=True):
+                found, count = np.unique(flat[owner == one], return_counts=True)
+                keep = 2 * count > members
+                out.append((np.full(int(keep.sum()), one), found[keep], count[keep]))
+            columns = [np.concatenate([*c, np.zeros(0, np.int64)]) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["leader", "token", "n"])
+
+    found = differences.select("leader", "tokens").mapInArrow(run, "leader bigint, token bigint, n bigint")
+    return found.groupBy("leader", "token").agg(F.sum("n").alias("_n"))
+
+
 def _linked_by_differences(
     around: DataFrame, docs: DataFrame, nodes: DataFrame, links: DataFrame, size: int, percent: int
 ) -> DataFrame:
     """Links ``a, b`` that connect all members around the same leader which ``links`` and
     chains of links between members connect.
 
-    Members are described by D(x), how x differs from the set R of shingles that most members
-    have; R need not be a member.  For members x and y with c common differences, the sets
+    Members are described by D(x), how x differs from a set R, the shingles that most members
+    have (any R gives the same links; this one makes D small).  For members x and y with c common differences, the sets
     differ in |D(x)| + |D(y)| - 2c shingles, so with
 
         s(x) = (100 + percent) |D(x)| - (100 - percent) |x|
@@ -224,10 +248,13 @@ def _linked_by_differences(
     """
     weight = 100 + percent
     own = around.select("a", F.col("a").alias("b")).distinct()
-    plain = stored(_differences(around.unionByName(own), docs, nodes, size), "shingle-differences")
+    everyone = around.unionByName(own)
+    sets = _sets(docs, nodes, everyone.select(F.explode(F.array("a", "b")).alias("node")).distinct(), size)
+    left, right = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
+    plain = stored(_symmetric(everyone.join(left, "a").join(right, "b").select("a", "b", "x", "y")), "shingle-differences")
     members = plain.groupBy("leader").agg(F.count(F.lit(1)).alias("_members"))
     usual = (
-        plain.select("leader", F.explode("tokens").alias("token")).groupBy("leader", "token").agg(F.count(F.lit(1)).alias("_n"))
+        _often(plain)
         .join(members, "leader").filter("2 * _n > _members").groupBy("leader").agg(F.collect_list("token").alias("_turned"))
     )
     none = F.array().cast("array<bigint>")
@@ -314,6 +341,17 @@ def _need(percent: int):
     return F.greatest(F.lit(1), overlap - F.greatest(F.col("n") - F.col("p"), F.col("m") - F.col("q")))
 
 
+def _sharing_enough(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The (stored) pairs ``a, b`` whose prefixes share what their sizes demand.  Only prefixes
+    of these nodes are shuffled."""
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted-nodes")
+    some = nodes.join(maybe_broadcast(wanted, BROADCAST_IDS), "node", "left_semi").select("node", "n", F.size("tokens").alias("p"), "tokens")
+    return (
+        pairs.join(some.toDF("a", "n", "p", "x"), "a").join(some.toDF("b", "m", "q", "y"), "b")
+        .filter(F.size(F.array_intersect("x", "y")) >= _need(percent)).select("a", "b")
+    )
+
+
 def join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, frequent: int = FREQUENT,
     long_list: int = LONG,
@@ -346,18 +384,14 @@ def join(
     lists = stored(postings.join(shared, "token", "left_semi"), "shingle-postings")
 
     leaders = lists.groupBy("token").agg(F.max(F.struct("docs", F.col("node").alias("b"), F.col("n").alias("m"))).alias("_top"))
-    star = (
+    star = stored(
         lists.join(leaders, "token")
         .select(F.col("node").alias("a"), "n", F.col("_top.b").alias("b"), F.col("_top.m").alias("m"))
         .filter("a <> b").filter(_close(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    prefix = nodes.select(F.col("node").alias("a"), "n", F.size("tokens").alias("p"), F.col("tokens").alias("x"))
-    star = stored(
-        star.join(prefix, "a").join(prefix.toDF("b", "m", "q", "y"), "b")
-        .filter(F.size(F.array_intersect("x", "y")) >= _need(percent)).select("a", "b"),
+        .distinct(),
         "shingle-pairs",
     )
+    star = stored(_sharing_enough(star, nodes, percent), "shingle-pairs")
     links = stored(_verified(star, docs, nodes, size, percent), "shingle-links")
     labels = components(links)
 
@@ -389,15 +423,14 @@ def join(
         "token", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("n").alias("m"), F.col("_to").alias("n"),
         (F.col("label") == F.col("main")).alias("is_main"),
     )
-    crossing = (
+    crossing = stored(
         outside.join(others, ["token", "n", "m"])
         .filter("label <> label2 and (is_main or node < node2)")
         .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-        .join(prefix, "a").join(prefix.toDF("b", "m", "q", "y"), "b")
-        .filter(F.size(F.array_intersect("x", "y")) >= _need(percent)).select("a", "b")
-        .join(star, ["a", "b"], "left_anti")
+        .join(star, ["a", "b"], "left_anti"),
+        "shingle-pairs",
     )
-    crossing = stored(crossing, "shingle-pairs")
+    crossing = stored(_sharing_enough(crossing, nodes, percent), "shingle-pairs")
     around = stored(
         mixed.join(long, "token").join(able.select("node").distinct(), "node", "left_semi")
         .join(leaders, "token").select(F.col("_top.b").alias("a"), F.col("node").alias("b")).filter("a <> b").distinct(),
