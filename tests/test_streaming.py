@@ -107,3 +107,40 @@ def test_replayed_batches_change_nothing(spark, tmp_path):
 
     first = run("one")
     assert len(first) == len(batch_minutes(spark, folder)) and run("two") == first
+
+
+def write_answers(spark, folder, *batches):
+    """One file per batch of (code, stamp, seq, price), read in order."""
+    os.makedirs(folder)
+    for i, rows in enumerate(batches):
+        stage = f"{folder}-stage{i}"
+        frame = spark.createDataFrame([(c, dt.datetime.fromisoformat(t), s, p) for c, t, s, p in rows], ANSWERS)
+        frame.coalesce(1).write.parquet(stage)
+        part = next(f for f in os.listdir(stage) if f.endswith(".parquet"))
+        os.rename(f"{stage}/{part}", f"{folder}/{i}.parquet")
+        os.utime(f"{folder}/{i}.parquet", (time.time() + i, time.time() + i))
+
+
+ANSWERS = "code string, ts timestamp, seq bigint, price double"
+
+
+def test_responses_on_both_sides_of_midnight_are_one(spark, tmp_path):
+    from marketloom.streaming.responses import first_responses
+
+    folder = str(tmp_path / "answers")
+    write_answers(
+        spark, folder,
+        [("a", "2031-03-01 23:58:00", 5, 1.0), ("b", "2031-03-01 10:00:00", 2, 7.0)],
+        [("a", "2031-03-02 00:03:00", 3, 2.0), ("a", "2031-03-02 00:04:00", 9, 3.0)],
+        [("b", "2031-03-02 11:00:00", 8, 8.0), ("c", "2031-03-02 11:30:00", 1, 9.0)],
+        [("c", "2031-03-05 00:00:00", 4, 9.5)], [("d", "2031-03-09 00:00:00", 1, 0.0)], [("e", "2031-03-10 00:00:00", 1, 0.0)],
+    )
+    source = lambda: spark.readStream.schema(ANSWERS).option("maxFilesPerTrigger", 1).parquet(folder)
+    value = lambda rows: sorted((r["code"], r["seq"], r["price"]) for r in rows)
+    span = dt.timedelta(hours=6)
+    once = drain(first_responses(source(), ["code"], span=span).writeStream.outputMode("append"), tmp_path, "once")
+    # One row for the span over midnight, its least seq; a later span of a key is another.
+    assert value(once) == [("a", 3, 2.0), ("b", 2, 7.0), ("b", 8, 8.0), ("c", 1, 9.0), ("c", 4, 9.5), ("d", 1, 0.0)]
+    assert next(r["ts"] for r in once if r["seq"] == 3) == dt.datetime(2031, 3, 2, 0, 3)
+    better = drain(first_responses(source(), ["code"], span=span, final=False).writeStream.outputMode("update"), tmp_path, "better")
+    assert value(better) == [("a", 3, 2.0), ("a", 5, 1.0), ("b", 2, 7.0), ("b", 8, 8.0), ("c", 1, 9.0), ("c", 4, 9.5), ("d", 1, 0.0), ("e", 1, 0.0)]
