@@ -316,34 +316,47 @@ def ratio_chain_hfq_until(spark, sf_dir):
     return _chain(spark, sf_dir, "hfq", "1997-06-30")
 
 
-@query(
-    "adjust_minutes",
-    with_views(
-        "v_minute_ticks v_actions",
-        """select code, (date + to_minutes(mod))::varchar as ts, round((close * coalesce(mul, 1) + coalesce(add, 0))::decimal(28, 10), 2)::double as close, volume
-from factored""",
-        """mbars as (select code, date, mod, arg_max(price, seq) as close, sum(vol)::double as volume from v_minute_ticks group by code, date, mod)""",
+def _minutes_sql(mul: str, add: str) -> str:
+    """The close before a bar, carried through the events in between and adjusted like the
+    bar, is that close adjusted by the factors of its own day."""
+    shown = [f"round(({p} * {mul} + {add})::decimal(28, 10), 2)::double as {p}" for p in ("open", "high", "low", "close")]
+    shown.append(f"round((lag(close * {mul} + {add}) over (partition by code order by ts))::decimal(28, 10), 2)::double as preclose")
+    return with_views(
+        "v_minute_ticks v_maps",
+        f"select code, ts::varchar as ts, {', '.join(shown)}, volume from factored join anchor using (code)",
+        """mbars as (select code, date, date + to_minutes(mod) as ts, arg_min(price, seq) as open, max(price) as high, min(price) as low,
+           arg_max(price, seq) as close, sum(vol)::double as volume from v_minute_ticks group by code, date, mod)""",
         "ends as (select code, max(date) as hi from mbars group by code)",
-        """maps as (select a.code, a.date, 10 / (10 + songzhuangu) as m, -fenhong / (10 + songzhuangu) as c, seq
-           from v_actions a join ends using (code) where category = 1 and a.date + interval 20 years <= hi)""",
-        """factored as (select b.*, f.mul, f.add from mbars b asof left join
-           (select code, date + interval 20 years as date, arg_min(mul, seq) as mul, arg_min(add, seq) as add from
-              (select code, date, seq, product(m) over w as mul,
-                      sum(c * reach) over w as add
-               from (select *, coalesce(product(m) over (partition by code order by date desc, seq desc rows between unbounded preceding and 1 preceding), 1) as reach from maps)
-               window w as (partition by code order by date desc, seq desc)) group by code, date) f
+        """moved as (select code, m.date + interval 20 years as date, mul, add from v_maps m join ends using (code) where m.date + interval 20 years <= hi)""",
+        """late as (select code, date, product(mul) over w as mul, sum(add * beyond) over w as add
+           from (select *, coalesce(product(mul) over (partition by code order by date desc
+                                                       rows between unbounded preceding and 1 preceding), 1) as beyond from moved)
+           window w as (partition by code order by date desc))""",
+        """factored as (select b.*, coalesce(f.mul, 1) as mul, coalesce(f.add, 0) as add from mbars b asof left join late f
            on b.code = f.code and f.date > b.date)""",
-    ),
-)
-def adjust_minutes(spark, sf_dir):
-    """Minute bars of the events, adjusted by dividends moved into their years."""
+        "anchor as (select code, arg_min(mul, ts) as mul0, arg_min(add, ts) as add0 from factored group by code)",
+    )
+
+
+def _minutes(spark, sf_dir, method):
+    """Minute bars of the events, adjusted by all actions moved into their years."""
     ticks = t.minute_ticks(spark, sf_dir)
     bars = ticks.groupBy("market", "code", at_minute("date", "mod").alias("ts")).agg(
-        F.max_by("price", "seq").alias("close"), F.sum("vol").cast("double").alias("volume")
-    )
-    moved = t.actions(spark, sf_dir).where("category = 1").withColumn("date", F.add_months("date", 240))
-    out = adjust.adjust_intraday(bars, moved)
-    return out.select("code", t.text("ts").alias("ts"), "close", "volume")
+        F.min_by("price", "seq").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
+        F.max_by("price", "seq").alias("close"), F.sum("vol").cast("double").alias("volume"),
+    )
+    moved = t.actions(spark, sf_dir).withColumn("date", F.add_months("date", 240))
+    return adjust.adjust_intraday(bars, moved, method).drop("market").withColumn("ts", t.text("ts"))
+
+
+@query("adjust_minutes", _minutes_sql("mul", "add"))
+def adjust_minutes(spark, sf_dir):
+    return _minutes(spark, sf_dir, "qfq")
+
+
+@query("adjust_minutes_hfq", _minutes_sql("(mul / mul0)", "((add - add0) / mul0)"))
+def adjust_minutes_hfq(spark, sf_dir):
+    return _minutes(spark, sf_dir, "hfq")
 
 
 def _chain(spark, sf_dir, method, until=None):

@@ -243,13 +243,14 @@ def _first_bars(spark, sf_dir):
     "minute_241",
     with_views(
         "v_minute_ticks",
-        """select code, ts::varchar as ts, open, close, round(volume, 4) as volume, round(amount, 4) as amount, "order", last, auction_status from (
-    select code, ts, open, close, case when ok then greatest(volume - av, 0) else volume end as volume,
+        """select code, ts::varchar as ts, open, high, low, close, round(volume, 4) as volume, round(amount, 4) as amount, "order", last, auction_status from (
+    select code, ts, open, high, low, close, case when ok then greatest(volume - av, 0) else volume end as volume,
            case when ok then greatest(amount - aa, 0) else amount end as amount,
            case when ok then greatest("order" - ao, 0) else "order" end as "order",
            case when ok then ap else last end as last, 'not_applicable' as auction_status from flagged
     union all
-    select code, date + to_minutes(570), case when ok then ap end, case when ok then ap end, case when ok then av else 0 end,
+    select code, date + to_minutes(570), case when ok then ap end, case when ok then ap end, case when ok then ap end, case when ok then ap end,
+           case when ok then av else 0 end,
            case when ok then aa else 0 end, case when ok then ao else 0 end, last,
            case when st is null then 'missing' when ok then 'derived' else 'inconsistent' end from flagged where minute = 571)""",
         """bucketed as (select *, greatest(mod, 570) as m2, case when m2 + 1 > 690 and m2 + 1 <= 780 then 690 else least(m2 + 1, 900) end as minute
@@ -269,7 +270,7 @@ def minute_241(spark, sf_dir):
     out = minutes.build_minute_241(bars, t.minute_ticks(spark, sf_dir))
     return _shown(
         out.withColumns({"volume": F.round("volume", 4), "amount": F.round("amount", 4)}),
-        "code", "ts", "open", "close", "volume", "amount", "order", "last", "auction_status",
+        "code", "ts", "open", "high", "low", "close", "volume", "amount", "order", "last", "auction_status",
     )
 
 

@@ -696,11 +696,12 @@ _COPIES = """rows as (select l_orderkey as code, l_linenumber as report_date, [l
 @query(
     "unique_records",
     "with " + _COPIES + """
-select code, report_date, any_value(v)[1] as first_value, sum(n)::bigint - 1 as duplicates from rows group by code, report_date having count(distinct v) = 1""",
+select code, report_date, any_value(v)[1] as first_value, any_value(v)[2] as second_value,
+       case when not isnan(any_value(v)[3]) then any_value(v)[3] end as third_value, sum(n)::bigint - 1 as duplicates from rows group by code, report_date having count(distinct v) = 1""",
 )
 def unique_records(spark, sf_dir):
     out = duplicates.unique_records(_copies(spark, sf_dir), strict=False)
-    return out.select("code", "report_date", F.col("values")[0].alias("first_value"), "duplicates")
+    return out.select("code", "report_date", F.col("values")[0].alias("first_value"), F.col("values")[1].alias("second_value"), F.when(~F.isnan(F.col("values")[2]), F.col("values")[2]).alias("third_value"), "duplicates")
 
 
 @query(
