@@ -50,7 +50,7 @@ VIEWS = {
                o_orderdate::timestamp + interval 30 days as e
         from orders""",
     "v_directory": """
-        select (c_custkey % 3)::int as market, lpad(((c_custkey * 7919) % 1000000)::varchar, 6, '0') as code,
+        select (c_custkey % 3)::int as market, lpad((((c_custkey // 3) * 7919) % 1000000)::varchar, 6, '0') as code,
                c_name || case when c_mktsegment = 'MACHINERY' then 'etf' else '' end as name, c_custkey as seq
         from customer""",
     "v_members": f"""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from marketloom.functions.times import second_of_day
 from marketloom.plans import bar_queries
 from marketloom.plans import tables as t
+from marketloom.operators.scan import add_ordinal
 from marketloom.plans.oracle_views import with_views
 from marketloom.plans.registry import query
 from marketloom.plans.sync import sync
@@ -157,31 +158,34 @@ def minute_files_legacy(spark, sf_dir):
 
 
 # --- blocks and watch lists ---------------------------------------------------------------
-_BLOCK_SPAN = 2500  # keys per block, so that a block stays within its 400 codes
+_BLOCK_CODES = 400  # codes that a block has room for
 
 
 @query(
     "block_files",
-    f"""select n_name as blockname, (s_suppkey // {_BLOCK_SPAN})::int as block_type, lpad((s_suppkey % 1000000)::varchar, 6, '0') as code,
-       (row_number() over (partition by n_name, s_suppkey // {_BLOCK_SPAN} order by s_suppkey) - 1)::int as code_index
-from supplier join nation on s_nationkey = n_nationkey""",
+    f"""select n_name as blockname, ((place - 1) // {_BLOCK_CODES})::int as block_type, lpad(s_suppkey::varchar, 6, '0') as code,
+       ((place - 1) % {_BLOCK_CODES})::int as code_index
+from (select *, row_number() over (partition by s_nationkey order by s_suppkey) as place from supplier) join nation on s_nationkey = n_nationkey""",
 )
 def block_files_read(spark, sf_dir):
+    """Blocks of four hundred suppliers of a nation, by rank; keys of over six digits fail."""
+    suppliers = t.table(spark, sf_dir, "supplier").withColumn("code", t.six_digits(F.col("s_suppkey")))
+    chunk = F.expr("s_suppkey div 100000")
     rows = (
-        t.table(spark, sf_dir, "supplier")
+        add_ordinal(suppliers, ["s_nationkey"], ["s_suppkey"], chunk, "place")
         .join(t.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .withColumn("part", F.expr(f"s_suppkey div {_BLOCK_SPAN}"))
+        .withColumn("part", F.floor(F.col("place") / _BLOCK_CODES))
         .groupBy("n_name", "part")
-        .agg(F.array_sort(F.collect_list("s_suppkey")).alias("keys"))
+        .agg(F.array_sort(F.collect_list("code")).alias("codes"))
     )
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             contents = []
-            for name, part, keys in zip(batch["n_name"], batch["part"], batch["keys"]):
-                codes = b"".join(f"{int(k) % 1_000_000:06d}".encode().ljust(7, b"\0") for k in keys)
+            for name, part, found in zip(batch["n_name"], batch["part"], batch["codes"]):
+                codes = b"".join(code.encode().ljust(7, b"\0") for code in found)
                 head = b"\0" * 384 + np.uint16(1).tobytes() + name.encode("gbk").ljust(9, b"\0")
-                contents.append(head + np.array([len(keys), part], "<u2").tobytes() + codes.ljust(2800, b"\0"))
+                contents.append(head + np.array([len(found), part], "<u2").tobytes() + codes.ljust(2800, b"\0"))
             yield pd.DataFrame({"path": [f"/block_{n}_{p}.dat" for n, p in zip(batch["n_name"], batch["part"])], "content": contents})
 
     out = block_files.block_members(rows.mapInPandas(encode, "path string, content binary"))
@@ -191,14 +195,15 @@ def block_files_read(spark, sf_dir):
 @query(
     "watchlist_files",
     """select c_mktsegment || '_' || (c_custkey // 1000) as blockname, lower(c_mktsegment) || (c_custkey // 1000) as block_type,
-       lpad((c_custkey % 1000000)::varchar, 6, '0') as code,
+       lpad(c_custkey::varchar, greatest(6, length(c_custkey::varchar))::int, '0') as code,
        (row_number() over (partition by c_mktsegment, c_custkey // 1000 order by c_custkey) * 2 - 2)::int as code_index from customer""",
 )
 def watchlist_files(spark, sf_dir):
     """One list per segment and thousand customers; every line is followed by a blank one."""
     part = F.expr("c_custkey div 1000").cast("string")
     stem = F.concat(F.lower("c_mktsegment"), part)
-    line = F.concat(F.lit("1"), F.lpad((F.col("c_custkey") % 1_000_000).cast("string"), 6, "0"))
+    number = F.col("c_custkey").cast("string")
+    line = F.concat(F.lit("1"), F.lpad(number, F.greatest(F.lit(6), F.length(number)), F.lit("0")))
     lists = (
         t.table(spark, sf_dir, "customer")
         .groupBy(F.concat("c_mktsegment", F.lit("_"), part).alias("name"), stem.alias("stem"))
@@ -293,13 +298,14 @@ def config_subscriptions(spark, sf_dir):
 
 @query(
     "config_blocks",
-    """select 'block ' || s_suppkey // 10 as block_name, ['sz', 'sh', 'bj'][s_suppkey % 3 + 1] as market, printf('%06d', s_suppkey % 1000000) as code
-from supplier where s_suppkey % 1000 >= 0""",
+    """select 'block ' || s_suppkey // 10 as block_name, ['sz', 'sh', 'bj'][s_suppkey % 3 + 1] as market, printf('%06d', s_suppkey) as code
+from supplier""",
 )
 def config_blocks(spark, sf_dir):
     """A header every ten lines; it holds until the next one."""
     key = F.col("s_suppkey")
-    member = F.concat((key % 3).cast("string"), F.format_string("%06d", key % 1_000_000))
+    # Lines have room for six digits: a larger key is an error.
+    member = F.concat((key % 3).cast("string"), t.six_digits(key))
     header = F.concat(F.lit("#block "), F.expr("s_suppkey div 10").cast("string"), F.lit("\nnot a member\n"))
     line = F.when(key % 10 == 0, F.concat(header, member)).otherwise(member)
     rows = t.table(spark, sf_dir, "supplier")
@@ -380,7 +386,7 @@ def config_beijing(spark, sf_dir):
 # --- finance archives and small texts -----------------------------------------------------------
 @query(
     "finance_files",
-    """select printf('%06d', o_orderkey % 1000000) as code, o_orderkey // 1000 as report_date, o_totalprice::float::double as col1,
+    """select printf('%06d', o_orderkey % 1000) as code, o_orderkey // 1000 as report_date, o_totalprice::float::double as col1,
        o_custkey::double as col2, null::double as col3 from orders""",
 )
 def finance_files_read(spark, sf_dir):
@@ -402,7 +408,8 @@ def finance_files_read(spark, sf_dir):
                 head = np.zeros(1, header)
                 head["report_date"], head["count"], head["size"] = period, len(rows), 12
                 index = np.zeros(len(rows), index_type)
-                index["code"] = [f"{r['o_orderkey'] % 1_000_000:06d}".encode() for r in rows]
+                # The period is the rest of the key, so a code belongs to one order of it.
+                index["code"] = [f"{r['o_orderkey'] - 1000 * period:06d}".encode() for r in rows]
                 index["offset"] = index_end + np.arange(len(rows)) * 12
                 values = np.array([[r["o_totalprice"], r["o_custkey"], float("nan")] for r in rows], "<f4")
                 contents.append(head.tobytes() + index.tobytes() + values.tobytes())

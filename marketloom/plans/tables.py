@@ -20,6 +20,20 @@ def security_code(number) -> Column:
     return F.concat(F.lit("00"), F.lpad(text, F.greatest(F.lit(4), F.length(text)), F.lit("0")))
 
 
+def six_digits(number: Column) -> Column:
+    """A code of six digits; a number that needs more is an error, never cut."""
+    text = number.cast("string")
+    return F.when(number < 1_000_000, F.lpad(text, 6, "0")).otherwise(F.raise_error(F.concat(F.lit("no six-digit code for "), text)))
+
+
+def spread_code(number: Column) -> Column:
+    """Six digits that differ for all numbers below a million and reach into all ranges;
+    larger numbers are an error."""
+    return F.when(number < 1_000_000, F.lpad((number * 7919 % 1_000_000).cast("string"), 6, "0")).otherwise(
+        F.raise_error(F.concat(F.lit("no six-digit code for "), number.cast("string")))
+    )
+
+
 def market(value: int = 0) -> Column:
     return F.lit(value).alias("market")
 
@@ -141,11 +155,11 @@ def ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as a directory that spreads over all markets and number ranges."""
-    number = (F.col("c_custkey") * 7919) % 1_000_000
+    """Customers as a directory that spreads over all markets and number ranges, a million
+    codes a market."""
     return table(spark, sf_dir, "customer").select(
         (F.col("c_custkey") % 3).cast("int").alias("market"),
-        F.lpad(number.cast("string"), 6, "0").alias("code"),
+        spread_code(F.expr("c_custkey div 3")).alias("code"),
         F.concat(
             F.col("c_name"), F.when(F.col("c_mktsegment") == "MACHINERY", "etf").otherwise("")
         ).alias("name"),
