@@ -31,6 +31,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cont
     Texts are equal when they are identical after removing white space; of equal texts the
     one with the most code points in the original stays, then the smallest id.
 
+    * Ids are integers, above the least BIGINT; ids of other types fail.
     * A null text counts as empty, and all empty texts form one group.
     * Rows that repeat an id are each counted; all copies of the kept id are ``kept``.
     * A null id is kept only if its whole group has null ids; ``keep_id`` is then null.
