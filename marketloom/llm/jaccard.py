@@ -352,6 +352,18 @@ def _sharing_enough(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFra
     )
 
 
+def _size_class(n: str):
+    return F.floor(F.log(F.col(n).cast("double")) * 20).cast("int")
+
+
+def _least_need(percent: int):
+    """The least :func:`_need` of a set of n with any of ``m_lo`` to ``m_hi`` shingles, whose
+    prefix is the shortest there is or longer."""
+    overlap = F.ceil(percent * (F.col("n") + F.col("m_lo")) / (100 + percent))
+    behind = F.greatest(F.col("n") - F.col("p"), F.ceil(percent * F.col("m_hi") / 100) - 1)
+    return F.greatest(F.lit(1), overlap - behind)
+
+
 def join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, frequent: int = FREQUENT,
     long_list: int = LONG,
@@ -405,26 +417,27 @@ def join(
         placed.join(main.filter("_labels > 1").select("token", "_main.label").withColumnRenamed("label", "main"), "token"),
         "shingle-mixed",
     )
-    # Which sizes m a node can link to at all: it must meet m in enough of its lists.
-    sizes = mixed.select("token", F.col("n").alias("m")).distinct()
+    # Which sizes a node can link to at all: it must meet them in enough of its lists.  Sizes
+    # are taken together in classes of five per cent, by the least that any of a class needs.
+    mixed = mixed.withColumn("_size", _size_class("n"))
+    classes = mixed.groupBy("token", F.col("_size").alias("_to")).agg(F.min("n").alias("m_lo"), F.max("n").alias("m_hi"))
     able = stored(
-        mixed.join(sizes, "token").filter(_close(percent))
-        .groupBy("node", "n", "p", "m").agg(F.count(F.lit(1)).alias("_met"))
-        .withColumn("q", F.col("m") - F.ceil(percent * F.col("m") / 100) + 1)
-        .filter(F.col("_met") >= _need(percent)).select("node", "m"),
+        mixed.join(classes, "token").filter((100 * F.col("m_hi") >= percent * F.col("n")) & (percent * F.col("m_lo") <= 100 * F.col("n")))
+        .groupBy("node", "n", "p", "_to").agg(F.count(F.lit(1)).alias("_met"), F.min("m_lo").alias("m_lo"), F.max("m_hi").alias("m_hi"))
+        .filter(F.col("_met") >= _least_need(percent)).select("node", "_to"),
         "shingle-able",
     )
     # Lists whose pairs are too many to write down.
     cost = main.withColumn("_all", F.col("_nodes") * (F.col("_nodes") - F.col("_main._n")))
     long = cost.filter(F.col("_all") > long_list).select("token")
     short = mixed.join(long, "token", "left_anti")
-    outside = short.filter("label <> main").join(able, "node").select("token", "node", "label", "n", "p", "m")
-    others = short.join(able.withColumnRenamed("m", "_to"), "node").select(
-        "token", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("n").alias("m"), F.col("_to").alias("n"),
-        (F.col("label") == F.col("main")).alias("is_main"),
+    outside = short.filter("label <> main").join(able, "node").select("token", "node", "label", "n", "_size", "_to")
+    others = short.join(able.withColumnRenamed("_to", "_from"), "node").select(
+        "token", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("n").alias("m"), F.col("_from").alias("_size"),
+        F.col("_size").alias("_to"), (F.col("label") == F.col("main")).alias("is_main"),
     )
     crossing = stored(
-        outside.join(others, ["token", "n", "m"])
+        outside.join(others, ["token", "_size", "_to"]).filter(_close(percent))
         .filter("label <> label2 and (is_main or node < node2)")
         .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
         .join(star, ["a", "b"], "left_anti"),
