@@ -38,6 +38,7 @@ from marketloom.llm.text_arrays import Lookup, bytes_of, mixed, pieces, prefix_s
 LENGTH = 200
 ANCHOR = 64
 SECOND = 0x2545F4914F6CDD1D  # base of the second hash, odd
+PIECE = 600_000  # bytes of text whose anchors are found at once
 #: Repeated anchors up to which a task filters its own by a table; beyond, by a join.
 TABLE = 2_000_000
 #: Contexts of one anchor up to which one task sorts their strings.
@@ -94,7 +95,7 @@ def _contexts(sums, second, offsets, at, row, length, size):
 def _anchor_counts(docs: DataFrame, length: int, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in pieces(*bytes_of(batch.column(0))):
+            for _, _, data, offsets in pieces(*bytes_of(batch.column(0)), PIECE):
                 _, hashes, _ = anchors(prefix_sums(data), offsets, length, size)
                 found, count = np.unique(hashes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count)], ["a", "n"])
@@ -114,7 +115,7 @@ def _candidates(docs: DataFrame, repeated: DataFrame, length: int, size: int, ta
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Lookup(known.value).find if known else None
         for batch in batches:
-            for _, _, data, offsets in pieces(*bytes_of(batch.column(0))):
+            for _, _, data, offsets in pieces(*bytes_of(batch.column(0)), PIECE):
                 sums = prefix_sums(data)
                 at, hashes, row = anchors(sums, offsets, length, size)
                 if find:
@@ -163,7 +164,7 @@ def _with_context(docs: DataFrame, ends: DataFrame, length: int, size: int, tabl
         find = Lookup(names.value).find
         for batch in batches:
             seen: set[bytes] = set()
-            for _, _, data, offsets in pieces(*bytes_of(batch.column(0))):
+            for _, _, data, offsets in pieces(*bytes_of(batch.column(0)), PIECE):
                 at, hashes, row = anchors(prefix_sums(data), offsets, length, size)
                 if not len(at):
                     continue
