@@ -1,23 +1,34 @@
 """Language-model scores from Brown word classes.
 
 The model is P(text) = product of P(class | class before) * P(word | class).  Classes come
-from exchange clustering: words move to the class that raises the likelihood of the class
-bigrams most.  All counts cover the whole training part of the corpus:
+from exchange clustering: words go where the likelihood of the class bigrams rises most.
+All counts cover the whole training part of the corpus:
 
 1. word counts (per piece of text, then by Spark);
-2. bigrams of the ``CLUSTERED`` most frequent words, all others being one class, "rare";
-3. exchange rounds: Spark sums the bigrams to word-by-class counts under the present
-   classes, a table of CLUSTERED x CLASSES cells whatever the corpus; on it the driver moves
-   words, half of them a round so that neighbours do not move at once;
-4. scoring: words of a bounded table of frequent words are scored where the text is read.
-   The others need their exact count: they go to a join with the word counts.  No hot key
-   meets there, since frequent words never leave the first step.
+2. exchange among the ``CORE`` most frequent words: Spark sums their bigrams to word-by-class
+   counts, a table of CORE x classes cells whatever the corpus; on it the driver moves words,
+   half of them a round so that neighbours do not move at once, until the likelihood stops
+   rising.  All other words are in one class so far, the open one (the last);
+3. ``SWEEPS`` over all other words, however seldom: Spark gathers each word's contexts as
+   counts of the classes before and after it, and tasks move the words against the shared
+   class matrix, by the gain in likelihood to first order (as distributed exchange does) plus
+   the log-share of words that a class has.  That prior is what it costs to name the class:
+   a word leaves the open class as soon as its contexts speak for another by more.  A word
+   outside the core has less than a CORE-th of all rows, so that no key is hot;
+4. texts become chains of classes.  Classes and counts of a bounded table of frequent words
+   are known where the text is read; the others come by a join with the word table, where
+   frequent words, the only hot keys, never go.  Class bigrams are counted and texts are
+   scored on the chains.
+
+A neighbour outside the table of frequent words counts as open in a sweep, not in the final
+counts.  A word never seen in training is scored as an open one; the open class alone has a
+smoothed emission.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import stored
-from marketloom.llm.text_arrays import LOWER, Lookup, bytes_of, pieces, word_hashes, word_spans
+from marketloom.llm.text_arrays import LOWER, Lookup, bytes_of, mixed, pieces, word_hashes, word_spans
 
-CLUSTERED = 4096  # words with a class of their own choice
-CLASSES = 64
-ROUNDS = 4
-FREQUENT = 1 << 18  # words whose counts every task holds; the others are joined
+CORE = 4096  # words that are exchanged one by one; the others follow in sweeps
+ROUNDS = 16  # at most; the likelihood decides
+SWEEPS = 2
+FREQUENT = 1 << 18  # words whose counts and classes every task holds; the others are joined
 SMOOTH = 0.1
+RISE = 1e-4  # a round that raises the likelihood by less, relatively, counts as idle
 
 
 def _words_of(column):
@@ -52,16 +64,24 @@ def _strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array
     )
 
 
+def class_count(kinds: int) -> int:
+    """Number of classes for so many different words: 1.5 times the cube root, in eights."""
+    return max(8, 8 * round(1.5 * kinds ** (1 / 3) / 8))
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
-    """``word, n`` over all rows of ``text``."""
+    """``word, h, n`` over all rows of ``text``; ``h`` is the word's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, starts, ends, _, hashes in _words_of(batch.column(0)):
-                _, sole, count = np.unique(hashes, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([_strings(data, starts[sole], ends[sole]), pa.array(count)], ["word", "n"])
+                found, sole, count = np.unique(hashes, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [_strings(data, starts[sole], ends[sole]), pa.array(found.view(np.int64)), pa.array(count)], ["word", "h", "n"]
+                )
 
-    return texts.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    found = texts.mapInArrow(run, "word string, h bigint, n bigint")
+    return found.groupBy("word").agg(F.max("h").alias("h"), F.sum("n").alias("n"))
 
 
 def _least_frequent(counts: DataFrame, most: int) -> int:
@@ -79,7 +99,7 @@ def _least_frequent(counts: DataFrame, most: int) -> int:
 
 
 def _bigrams(texts: DataFrame, table, clustered: int) -> DataFrame:
-    """``a, b, n``: pairs of neighbours, as places among the clustered words; ``clustered``
+    """``a, b, n``: pairs of neighbours, as places among the core words; ``clustered``
     stands for all other words, ``clustered + 1`` for the end (and for what precedes a text)."""
     width = clustered + 2
 
@@ -116,80 +136,297 @@ def exchange(right: np.ndarray, left: np.ndarray, classes: np.ndarray, free: int
     count = right.shape[1]
     matrix = np.zeros((count, count))
     np.add.at(matrix, classes, right)
+    logs = _xlogx(matrix)
     for w in movers:
         now, r, b = classes[w], right[w], left[w]
         if not r.sum() + b.sum():
             continue
-        matrix[now] -= r
-        matrix[:, now] -= b
-        np.maximum(matrix, 0, out=matrix)
-        row, column = matrix.sum(1), matrix.sum(0)
-        gain = (_xlogx(matrix[:free] + r) - _xlogx(matrix[:free])).sum(1) + (_xlogx(matrix[:, :free] + b[:, None]) - _xlogx(matrix[:, :free])).sum(0)
-        gain -= _xlogx(row[:free] + r.sum()) - _xlogx(row[:free]) + _xlogx(column[:free] + b.sum()) - _xlogx(column[:free])
+        matrix[now] = np.maximum(matrix[now] - r, 0)
+        matrix[:, now] = np.maximum(matrix[:, now] - b, 0)
+        logs[now], logs[:, now] = _xlogx(matrix[now]), _xlogx(matrix[:, now])
+        row, column = matrix.sum(1)[:free], matrix.sum(0)[:free]
+        after, before = np.flatnonzero(r), np.flatnonzero(b)
+        gain = (_xlogx(matrix[:free, after] + r[after]) - logs[:free, after]).sum(1)
+        gain += (_xlogx(matrix[before, :free] + b[before, None]) - logs[before, :free]).sum(0)
+        gain -= _xlogx(row + r.sum()) - _xlogx(row) + _xlogx(column + b.sum()) - _xlogx(column)
         to = int(gain.argmax())
         classes[w] = to
         matrix[to] += r
         matrix[:, to] += b
+        logs[to], logs[:, to] = _xlogx(matrix[to]), _xlogx(matrix[:, to])
     return classes
 
 
-def _cluster(bigrams: DataFrame, clustered: int, free: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Class of every place, and the class bigram matrix; the best of all rounds."""
+def _cluster(bigrams: DataFrame, core: int, free: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class of every core word, and the bigram matrix of the classes and the end (the last);
+    the best of all rounds, which end when two of them, one per half, have raised nothing."""
     spark = bigrams.sparkSession
-    size = clustered + 2
-    classes = np.append(np.arange(clustered) % free, [free, free + 1])
-    best = None
+    classes = np.append(np.arange(core) % (free - 1), [free - 1, free])
+    best, idle = None, 0
     for turn in range(rounds + 1):
         of = F.broadcast(spark.createDataFrame(list(enumerate(classes.tolist())), "w long, c int"))
         sums = {}
         for word, other in (("a", "b"), ("b", "a")):
             summed = bigrams.join(of, F.col(other) == F.col("w")).groupBy(word, "c").agg(F.sum("n").alias("n")).toArrow()
-            sums[word] = np.zeros((size, free + 2))
+            sums[word] = np.zeros((core + 2, free + 1))
             sums[word][summed[word].to_numpy(), summed["c"].to_numpy()] = summed["n"].to_numpy()
-        matrix = np.zeros((free + 2, free + 2))
+        matrix = np.zeros((free + 1, free + 1))
         np.add.at(matrix, classes, sums["a"])
-        if best is None or likelihood(matrix) > best[0]:
-            best = likelihood(matrix), classes, matrix
-        if turn < rounds:
-            movers = np.flatnonzero((np.arange(clustered) * 2654435761 >> 7) % 2 == turn % 2)
-            classes = exchange(sums["a"], sums["b"], classes, free, movers)
-    return best[1], best[2]
+        now = likelihood(matrix)
+        idle = 0 if best is None or now > best[0] + RISE * abs(best[0]) else idle + 1
+        if best is None or now > best[0]:
+            best = now, classes, matrix
+        if turn == rounds or idle == 2:
+            break
+        movers = np.flatnonzero((np.arange(core) * 2654435761 >> 7) % 2 == turn % 2)
+        classes = exchange(sums["a"], sums["b"], classes, free - 1, movers)
+    return best[1][:core], best[2]
+
+
+def _chain_of(hashes, row, count, found, free):
+    """Classes of a piece's words with an end before each row, the places of the words in it,
+    and which words are in the core.  Words outside the table are open."""
+    which, at, word_class, is_core = found(hashes)
+    classes = np.full(len(hashes), free - 1)
+    classes[which] = word_class[at]
+    inner = np.zeros(len(hashes), dtype=bool)
+    inner[which] = is_core[at]
+    return np.insert(classes, np.searchsorted(row, np.arange(count)), free), np.arange(len(row)) + row + 1, inner
+
+
+def _finder(table):
+    find = Lookup(table[0]).find
+    return lambda hashes: (*find(hashes), *table[1:])
+
+
+def _contexts(texts: DataFrame, table, free: int) -> DataFrame:
+    """``h, cell, n`` of the words outside the core: how often a word stands between one class
+    (or the end, ``free``) and another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _finder(table.value)
+        for batch in batches:
+            for first, last, _, _, _, row, hashes in _words_of(batch.column(0)):
+                chain, place, inner = _chain_of(hashes, row, last - first, found, free)
+                outer = np.flatnonzero(~inner)
+                own, place = hashes[outer], place[outer]
+                cell = chain[place - 1] * (free + 1) + np.append(chain, free)[place + 1]
+                _, sole, count = np.unique(mixed(own ^ mixed(cell.astype(np.uint64))), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own[sole].view(np.int64)), pa.array(cell[sole].astype(np.int32)), pa.array(count)], ["h", "cell", "n"]
+                )
+
+    return texts.mapInArrow(run, "h bigint, cell int, n bigint")
+
+
+def _table_matrix(texts: DataFrame, table, free: int) -> np.ndarray:
+    """Class bigrams of the texts, with the classes that the table of frequent words has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, total = _finder(table.value), np.zeros((free + 1) ** 2, dtype=np.int64)
+        for batch in batches:
+            for first, last, _, _, _, row, hashes in _words_of(batch.column(0)):
+                chain, _, _ = _chain_of(hashes, row, last - first, found, free)
+                total += np.bincount(chain * (free + 1) + np.append(chain[1:], free), minlength=len(total))
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
+
+    return _matrix(texts.mapInArrow(run, "cell bigint, n bigint"), free)
+
+
+def _matrix(cells: DataFrame, free: int) -> np.ndarray:
+    summed = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    matrix = np.zeros((free + 1) ** 2)
+    matrix[summed["cell"].to_numpy()] = summed["n"].to_numpy()
+    return matrix.reshape(free + 1, free + 1)
+
+
+def gains(before: np.ndarray, after: np.ndarray, matrix: np.ndarray, free: int) -> np.ndarray:
+    """Gain in likelihood, to first order, of each word (row) in each class, from how often
+    the classes (and the end, the last) stand before and after it."""
+    logs = np.log(matrix + SMOOTH)
+    column = np.log(matrix.sum(0) + SMOOTH * len(matrix))[:free]
+    row = np.log(matrix.sum(1) + SMOOTH * len(matrix))[:free]
+    return before @ logs[:, :free] + after @ logs[:free].T - before.sum(1)[:, None] * column - after.sum(1)[:, None] * row
+
+
+def _moves(contexts: DataFrame, matrix: np.ndarray, kinds: np.ndarray, free: int) -> DataFrame:
+    """``h, c``: the class to which each word goes.  ``kinds`` counts the words of a class."""
+    shared = contexts.sparkSession.sparkContext.broadcast((matrix, np.log(kinds + 1.0)))
+    width = free + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix, prior = shared.value
+        held = None  # the last word so far and its sums
+
+        def moved(words, before, after):
+            to = (gains(before, after, matrix, free) + prior).argmax(1)
+            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(to.astype(np.int32))], ["h", "c"])
+
+        for batch in batches:
+            h, cell, n = (batch.column(k).to_numpy() for k in range(3))
+            if not len(h):
+                continue
+            fresh = np.concatenate([[True], h[1:] != h[:-1]])
+            words, group = h[fresh], np.cumsum(fresh) - 1
+            sums = [
+                np.bincount(group * width + side, weights=n, minlength=len(words) * width).reshape(-1, width)
+                for side in (cell // width, cell % width)
+            ]
+            if held and held[0] == words[0]:
+                for own, old in zip(sums, held[1:], strict=True):
+                    own[0] += old
+            elif held:
+                yield moved(np.array([held[0]]), held[1][None], held[2][None])
+            if len(words) > 1:
+                yield moved(words[:-1], sums[0][:-1], sums[1][:-1])
+            held = words[-1], sums[0][-1].copy(), sums[1][-1].copy()
+        if held:
+            yield moved(np.array([held[0]]), held[1][None], held[2][None])
+
+    return contexts.repartition("h").sortWithinPartitions("h").mapInArrow(run, "h bigint, c int")
 
 
 @dataclass(frozen=True)
 class Model:
-    words: list[str]  # frequent words, by falling count
-    counts: np.ndarray
-    classes: np.ndarray  # of the first ``clustered`` words, then rare and end
-    matrix: np.ndarray  # class bigrams
+    words: DataFrame  # word, h, n, c: every training word, its count and class
+    free: int  # classes, the last of them open; the end is one more
     tokens: int  # training tokens, ends included
     kinds: int  # distinct training tokens, the end included
     ends: int
-    all_counts: DataFrame  # word, n
-    least: int  # words with fewer occurrences are not in ``words``
+    least: int  # words with fewer occurrences are not in the table of frequent words
+    sizes: np.ndarray  # training tokens per class
+    kinds_of: np.ndarray  # different words per class
 
 
 def train(
-    texts: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, rounds: int = ROUNDS, frequent: int = FREQUENT
-) -> Model:
-    """Learn from all rows of ``text``."""
+    texts: DataFrame, core: int = CORE, classes: int | None = None, rounds: int = ROUNDS, sweeps: int = SWEEPS,
+    frequent: int = FREQUENT,
+) -> Model:
+    """Learn from all rows of ``text``; the number of classes follows the vocabulary."""
     counts = stored(word_counts(texts), "word-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = texts.count()
+    free = max(2, classes or class_count(int(total[1])))
     least = _least_frequent(counts, frequent)
-    top = counts.filter(F.col("n") >= least).select("word", "n").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
-    words, n = top["word"].to_pylist(), top["n"].to_numpy().astype(np.int64)
-    clustered = min(clustered, len(words))
-    hashed = _hashes(words[:clustered])
+    spark = texts.sparkSession
+    top = counts.filter(F.col("n") >= least).select("h", "n").toArrow().sort_by([("n", "descending"), ("h", "ascending")])
+    names = top["h"].to_numpy().astype(np.int64)[:core]
+    order = np.argsort(names.view(np.uint64))
+    place = spark.sparkContext.broadcast((names.view(np.uint64)[order], order))
+    of, inner = _cluster(stored(_bigrams(texts, place, len(names)), "class-bigrams"), len(names), free, rounds)
+    settled = spark.createDataFrame(list(zip(names.tolist(), of.tolist(), strict=True)), "h long, c int")
+    known, words = (names, of), None
+    kinds = np.append(np.bincount(of, minlength=free - 1), int(total[1]) - len(names))
+    for turn in range(max(sweeps, 1)):
+        order = np.argsort(known[0].view(np.uint64))
+        hashed = known[0][order]
+        table = spark.sparkContext.broadcast((hashed.view(np.uint64), known[1][order], np.isin(hashed, names)))
+        matrix = _table_matrix(texts, table, free) if turn else inner
+        moves = stored(_moves(_contexts(texts, table, free), matrix, kinds, free), "class-moves")
+        words = stored(counts.join(moves.unionByName(settled), "h").select("word", "h", "n", "c"), "word-classes")
+        found = words.filter(F.col("n") >= least).select("h", "c").toArrow()
+        known = found["h"].to_numpy().astype(np.int64), found["c"].to_numpy().astype(np.int64)
+        sizes, kinds = np.zeros(free), np.zeros(free, dtype=np.int64)
+        for r in words.groupBy("c").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect():
+            sizes[r.c], kinds[r.c] = r.n, r.kinds
+    return Model(words, free, int(total[0]) + ends, int(total[1]) + (ends > 0), ends, least, sizes, kinds)
+
+
+def emission(model: Model, n: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """log10 P(word | class) of words that occur ``n`` times in training."""
+    is_open = classes == model.free - 1
+    size = model.sizes[classes] + np.where(is_open, SMOOTH * (model.kinds_of[-1] + 1), 0)
+    return np.log10(np.where(is_open, n + SMOOTH, n) / np.maximum(size, SMOOTH))
+
+
+def _chains(rows: DataFrame, model: Model) -> DataFrame:
+    """``id, held_out, n_tokens, n_known, base_score, emitted, chain``: the classes of each
+    text's words, and what they add to its scores before transitions."""
+    spark, kind = rows.sparkSession, rows.schema["id"].dataType.simpleString()
+    found = model.words.filter(F.col("n") >= model.least).select("h", "n", "c").toArrow()
+    hashed = found["h"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(hashed)
-    table = texts.sparkSession.sparkContext.broadcast((hashed[order], order))
-    of, matrix = _cluster(stored(_bigrams(texts, table, clustered), "class-bigrams"), clustered, classes, rounds)
-    return Model(words, n, of, matrix, int(total[0]) + ends, int(total[1]) + (ends > 0), ends, counts, least)
+    count, of = found["n"].to_numpy()[order], found["c"].to_numpy()[order].astype(np.int64)
+    table = spark.sparkContext.broadcast((hashed[order], of.astype(np.int16), np.log10(count + SMOOTH), emission(model, count, of)))
+    norm = float(np.log10(model.tokens + SMOOTH * (model.kinds + 1)))
+    end_log, end_known = float(np.log10(model.ends + SMOOTH)), int(model.ends > 0)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, word_class, logs, emits = table.value
+        find = Lookup(hashes).find
+        for batch in batches:
+            for first, last, data, starts, ends, row, own in _words_of(batch.column(3)):
+                count = last - first
+                which, at = find(own)
+                classes = np.full(len(own), -1, dtype=np.int16)
+                classes[which] = word_class[at]
+                sums = [np.bincount(row[which], weights=x, minlength=count).astype(float) for x in (logs[at], emits[at])]
+                left = np.flatnonzero(classes < 0)
+                bounds, rest = (np.searchsorted(x, np.arange(count + 1)).astype(np.int32) for x in (row, row[left]))
+                n = np.diff(bounds).astype(np.int64) + 1
+                part = batch.slice(first, count)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *part.columns[:3], pa.array(n), pa.array(np.bincount(row[which], minlength=count) + end_known),
+                        pa.array(sums[0] + end_log - n * norm), pa.array(sums[1]),
+                        pa.ListArray.from_arrays(pa.array(bounds), pa.array(classes)),
+                        pa.ListArray.from_arrays(pa.array(rest), _strings(data, starts[left], ends[left])),
+                    ],
+                    ["r", "id", "held_out", "n_tokens", "n_known", "base_score", "emitted", "chain", "rest"],
+                )
+
+    shown = f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, emitted double, chain array<smallint>"
+    parts = stored(rows.mapInArrow(read, f"r bigint, {shown}, rest array<string>"), "read-chains")
+    rest = parts.select("r", F.posexplode("rest").alias("at", "word"))
+    rest = rest.join(model.words.filter(F.col("n") < model.least).select("word", "n", "c"), "word", "left")
+    lists = rest.groupBy("r").agg(F.sort_array(F.collect_list(F.struct("at", "n", "c"))).alias("rest"))
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, chains = batch.column(8), batch.column(7)
+            size = np.asarray(lists.value_lengths().fill_null(0))
+            row = np.repeat(np.arange(len(size)), size)
+            entries = lists.flatten()
+            n = np.asarray(entries.field("n").fill_null(0))
+            classes = np.asarray(entries.field("c").fill_null(model.free - 1)).astype(np.int64)
+            flat = np.array(chains.flatten(), dtype=np.int16)
+            flat[flat < 0] = classes
+            sums = [np.bincount(row, weights=x, minlength=len(size)) for x in (n > 0, np.log10(n + SMOOTH), emission(model, n, classes))]
+            bounds = np.concatenate([[0], np.cumsum(np.asarray(chains.value_lengths()))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[1:4], pa.array(np.asarray(batch.column(4)) + sums[0].astype(np.int64)),
+                    pa.array(np.asarray(batch.column(5)) + sums[1]), pa.array(np.asarray(batch.column(6)) + sums[2]),
+                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
+                ],
+                ["id", "held_out", "n_tokens", "n_known", "base_score", "emitted", "chain"],
+            )
+
+    whole = parts.drop("rest").join(lists, "r", "left")
+    model = replace(model, words=None)  # what tasks need of it
+    return stored(whole.mapInArrow(fill, shown), "class-chains")
+
+
+def _steps_of(chains: pa.ListArray, free: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of the class matrix that the chains pass, and the row of each."""
+    size = np.asarray(chains.value_lengths())
+    row = np.repeat(np.arange(len(size)), size + 1)
+    chain = np.insert(np.asarray(chains.flatten()).astype(np.int64), np.cumsum(size) - size, free)
+    return chain * (free + 1) + np.append(chain[1:], free), row
+
+
+def transitions(chains: DataFrame, free: int) -> np.ndarray:
+    """Bigram counts of the classes and the end (the last), over all rows of ``chain``."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((free + 1) ** 2, dtype=np.int64)
+        for batch in batches:
+            total += np.bincount(_steps_of(batch.column(0), free)[0], minlength=len(total))
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
 
-def _hashes(words: list[str]) -> np.ndarray:
-    data, offsets = bytes_of(pa.array(words, pa.string()))
-    return word_hashes(data[offsets[0] : offsets[-1]], offsets[:-1] - offsets[0], offsets[1:] - offsets[0])
+    return _matrix(chains.select("chain").mapInArrow(run, "cell bigint, n bigint"), free)
 
 
 def score(
@@ -211,85 +448,29 @@ def score(
     if held_out is None:
         held_out = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 10 == 0
     rows = docs.select(
-        F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("text")
-    )
+        F.monotonically_increasing_id().alias("r"), F.col(id_col).alias("id"), held_out.alias("held_out"),
+        F.col(text_col).cast("string").alias("text"),
+    )
     model = train(rows.filter("not held_out").select("text"), **options)
-    clustered = len(model.classes) - 2
-    free = model.matrix.shape[0] - 2
-    rare, end = free, free + 1
-    hashed = _hashes(model.words)
-    order = np.argsort(hashed)
-    log_count = np.log10(model.counts + SMOOTH)
-    class_size = model.matrix.sum(0)
-    # Of each frequent word: class, log count, log10 P(word | class) without the rare class's count.
-    of = np.full(len(model.words), rare)
-    of[:clustered] = model.classes[:clustered]
-    emission = np.zeros(len(model.words))
-    emission[:clustered] = np.log10(model.counts[:clustered] / np.maximum(class_size[of[:clustered]], 1))
-    rare_tokens = model.tokens - model.ends - int(model.counts[:clustered].sum())
-    rare_kinds = model.kinds - (model.ends > 0) - clustered
-    rare_norm = float(np.log10(rare_tokens + SMOOTH * (rare_kinds + 1)))
-    norm = float(np.log10(model.tokens + SMOOTH * (model.kinds + 1)))
-    steps = np.log10((model.matrix + SMOOTH) / (model.matrix.sum(1, keepdims=True) + SMOOTH * (free + 2)))
-    end_log, end_known = float(np.log10(model.ends + SMOOTH)), int(model.ends > 0)
-    shared = docs.sparkSession.sparkContext.broadcast((hashed[order], of[order], log_count[order], emission[order], steps))
+    chains = _chains(rows, model)
+    free = model.free
+    matrix = transitions(chains.filter("not held_out"), free)
+    steps = np.log10((matrix + SMOOTH) / (matrix.sum(1, keepdims=True) + SMOOTH * (free + 1)))
+    shared = docs.sparkSession.sparkContext.broadcast(steps.ravel())
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, word_class, logs, emits, transitions = shared.value
-        find = Lookup(table).find
         for batch in batches:
-            for first, last, data, starts, ends, row, hashes in _words_of(batch.column(3)):
-                count = last - first
-                which, at = find(hashes)
-                classes = np.full(len(hashes), rare)
-                classes[which] = word_class[at]
-                known = np.bincount(row[which], minlength=count)
-                base = np.bincount(row[which], weights=logs[at], minlength=count).astype(float)
-                # Rare-class words of known count contribute that count; all others later.
-                as_rare = classes[which] == rare
-                gain = np.where(as_rare, logs[at], emits[at])
-                value = np.bincount(row[which], weights=gain, minlength=count).astype(float)
-                value -= rare_norm * np.bincount(row[classes == rare], minlength=count)
-                edge = np.searchsorted(row, np.arange(count))
-                chain = np.insert(classes, edge, end)
-                owner = np.insert(row, edge, np.arange(count))
-                value += np.bincount(owner, weights=transitions[chain, np.append(chain[1:], end)], minlength=count)
-                left = np.ones(len(hashes), dtype=bool)
-                left[which] = False
-                left = np.flatnonzero(left)
-                bounds = np.searchsorted(row[left], np.arange(count + 1)).astype(np.int32)
-                n = np.bincount(row, minlength=count) + 1
-                part = batch.slice(first, count)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), part.column(1), part.column(2), pa.array(n), pa.array(known + end_known),
-                        pa.array(base + end_log - n * norm), pa.array(value),
-                        pa.ListArray.from_arrays(pa.array(bounds), _strings(data, starts[left], ends[left])),
-                    ],
-                    ["r", "id", "held_out", "n_tokens", "known", "base", "value", "rest"],
-                )
-
-    numbered = rows.select(F.monotonically_increasing_id().alias("r"), "id", "held_out", "text")
-    parts = stored(
-        numbered.mapInArrow(
-            run,
-            f"r bigint, id {kind}, held_out boolean, n_tokens bigint, known bigint, base double, value double, rest array<string>",
-        ),
-        "scored-parts",
-    )
-    rest = parts.select("r", F.explode("rest").alias("word")).join(model.all_counts.filter(F.col("n") < model.least), "word", "left")
-    sums = rest.groupBy("r").agg(
-        F.sum(F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("_logs"), F.count("n").alias("_known")
+            cells, row = _steps_of(batch.column(6), free)
+            value = np.bincount(row, weights=shared.value[cells], minlength=batch.num_rows) + np.asarray(batch.column(5))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:5], pa.array(value)], ["id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+            )
+
+    scored = chains.mapInArrow(
+        run, f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     )
-    logs = F.coalesce("_logs", F.lit(0.0))
-    return (
-        parts.drop("rest").join(sums, "r", "left")
-        .select(
-            F.col("id").alias(id_col), "held_out", "n_tokens",
-            (F.col("known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
-            F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-            (F.col("base") + logs).alias("base_score"), (F.col("value") + logs).alias("score"),
-        )
-        .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+    return scored.select(
+        F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )
