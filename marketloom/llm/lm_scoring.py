@@ -41,6 +41,7 @@ from marketloom.llm.text_arrays import LOWER, Lookup, bytes_of, mixed, pieces, w
 CORE = 4096  # words that are exchanged one by one; the others follow in sweeps
 ROUNDS = 16  # at most; the likelihood decides
 SWEEPS = 2
+PIECE = 1_000_000  # bytes of text worked on at once
 FREQUENT = 1 << 18  # words whose counts and classes every task holds; the others are joined
 SMOOTH = 0.1
 RISE = 1e-4  # a round that raises the likelihood by less, relatively, counts as idle
@@ -48,7 +49,7 @@ RISE = 1e-4  # a round that raises the likelihood by less, relatively, counts as
 
 def _words_of(column):
     """Row numbers, bytes, and per piece the words' spans, rows and hashes, A-Z lower-cased."""
-    for first, last, data, offsets in pieces(*bytes_of(column)):
+    for first, last, data, offsets in pieces(*bytes_of(column), PIECE):
         data = LOWER[data]
         starts, ends, row = word_spans(data, offsets)
         yield first, last, data, starts, ends, row, word_hashes(data, starts, ends)

@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; a longer text is a piece of its own.
 PIECE = 2_000_000
+SLICE = 1 << 16  # bytes whose words are hashed at once
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -93,7 +94,15 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: in
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hashes(prefix_sums(data), starts, ends)
+    """Hashes of words in order of place, by slices, so that no sums of a whole long text are held."""
+    out, first = np.empty(len(starts), dtype=np.uint64), 0
+    while first < len(starts):
+        low = starts[first]
+        last = max(int(np.searchsorted(ends, low + SLICE, "right")), first + 1)
+        own = slice(first, last)
+        out[own] = span_hashes(prefix_sums(data[low : ends[last - 1]]), starts[own] - low, ends[own] - low)
+        first = last
+    return out
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
