@@ -42,6 +42,7 @@ CORE = 4096  # words that are exchanged one by one; the others follow in sweeps
 ROUNDS = 16  # at most; the likelihood decides
 SWEEPS = 2
 PIECE = 1_000_000  # bytes of text worked on at once
+HELD = 500_000  # words of pieces whose counts a task holds before it sends them
 FREQUENT = 1 << 18  # words whose counts and classes every task holds; the others are joined
 SMOOTH = 0.1
 RISE = 1e-4  # a round that raises the likelihood by less, relatively, counts as idle
@@ -73,16 +74,34 @@ def class_count(kinds: int) -> int:
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word, h, n`` over all rows of ``text``; ``h`` is the word's hash."""
 
+    def merged(held):
+        """Counts of several pieces as one batch; equal hashes are equal words."""
+        hashes, count = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+        _, sole, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        total = np.bincount(inverse.ravel(), weights=count, minlength=len(sole)).astype(np.int64)
+        words = pa.concat_arrays([h[2] for h in held]).take(pa.array(sole))
+        return pa.RecordBatch.from_arrays([words, pa.array(total)], ["word", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for batch in batches:
             for _, _, data, starts, ends, _, hashes in _words_of(batch.column(0)):
                 found, sole, count = np.unique(hashes, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [_strings(data, starts[sole], ends[sole]), pa.array(found.view(np.int64)), pa.array(count)], ["word", "h", "n"]
-                )
+                held.append((found, count, _strings(data, starts[sole], ends[sole])))
+                if sum(len(h[0]) for h in held) > HELD:
+                    yield merged(held)
+                    held = []
+        if held:
+            yield merged(held)
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = bytes_of(batch.column(0))
+            h = word_hashes(data, offsets[:-1], offsets[1:])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h.view(np.int64)), batch.column(1)], ["word", "h", "n"])
 
-    found = texts.mapInArrow(run, "word string, h bigint, n bigint")
-    return found.groupBy("word").agg(F.max("h").alias("h"), F.sum("n").alias("n"))
+    summed = texts.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return summed.mapInArrow(named, "word string, h bigint, n bigint")
 
 
 def _least_frequent(counts: DataFrame, most: int) -> int:
@@ -201,8 +220,8 @@ def _finder(table):
 
 
 def _contexts(texts: DataFrame, table, free: int) -> DataFrame:
-    """``h, cell, n`` of the words outside the core: how often a word stands between one class
-    (or the end, ``free``) and another."""
+    """``h, cell`` of the words outside the core: how often a word stands between one class
+    (or the end, ``free``) and another, the classes in the high 32 bits and the count in the low."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = _finder(table.value)
@@ -214,10 +233,10 @@ def _contexts(texts: DataFrame, table, free: int) -> DataFrame:
                 cell = chain[place - 1] * (free + 1) + np.append(chain, free)[place + 1]
                 _, sole, count = np.unique(mixed(own ^ mixed(cell.astype(np.uint64))), return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[sole].view(np.int64)), pa.array(cell[sole].astype(np.int32)), pa.array(count)], ["h", "cell", "n"]
+                    [pa.array(own[sole].view(np.int64)), pa.array((cell[sole] << 32) + count)], ["h", "cell"]
                 )
 
-    return texts.mapInArrow(run, "h bigint, cell int, n bigint")
+    return texts.mapInArrow(run, "h bigint, cell bigint")
 
 
 def _table_matrix(texts: DataFrame, table, free: int) -> np.ndarray:
@@ -265,7 +284,8 @@ def _moves(contexts: DataFrame, matrix: np.ndarray, kinds: np.ndarray, free: int
             return pa.RecordBatch.from_arrays([pa.array(words), pa.array(to.astype(np.int32))], ["h", "c"])
 
         for batch in batches:
-            h, cell, n = (batch.column(k).to_numpy() for k in range(3))
+            h, cell = (batch.column(k).to_numpy() for k in range(2))
+            cell, n = cell >> 32, cell & 0xFFFFFFFF
             if not len(h):
                 continue
             fresh = np.concatenate([[True], h[1:] != h[:-1]])
