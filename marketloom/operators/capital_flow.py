@@ -35,12 +35,14 @@ def price_ticks(
     thresholds: Sequence[float] = DEFAULT_THRESHOLDS,
     closed: str = "right",
     strict: bool = False,
+    zero_price: bool = False,
 ) -> DataFrame:
     """Keys and side of each tick with ``_units`` (amount) and ``_lots``, both NULL where
-    the tick is not usable, and its ``_tier`` (0 = smallest)."""
+    the tick is not usable, and its ``_tier`` (0 = smallest).  A price of 0 is not usable
+    unless ``zero_price``."""
     price, lots = finite_or_null("price"), finite_or_null("vol")
     shares_per_lot = volume_multiplier("market", "code", strict)
-    usable = F.col("side").isin(BUY, SELL, NEUTRAL) & (price > 0) & (lots > 0)
+    usable = F.col("side").isin(BUY, SELL, NEUTRAL) & (price >= 0 if zero_price else price > 0) & (lots > 0)
     # An amount beyond BIGINT makes a tick unusable, not the market's job fail.
     units = F.when(usable, F.round(price * lots * shares_per_lot * UNIT).try_cast("bigint"))
     amount = F.col("_units") / UNIT
@@ -59,6 +61,7 @@ def flow_sums(
     thresholds: Sequence[float] = DEFAULT_THRESHOLDS,
     closed: str = "right",
     strict: bool = False,
+    zero_price: bool = False,
 ) -> DataFrame:
     """One row per key with buy/sell units and lots of each tier and the totals.
 
@@ -76,7 +79,7 @@ def flow_sums(
             sums.append(when_sum(test, "_units").alias(f"{short}_{word}_units"))
             sums.append(when_sum(test, "_lots").cast("double").alias(f"{short}_{word}_lots"))
     return (
-        price_ticks(ticks, keys, thresholds, closed, strict)
+        price_ticks(ticks, keys, thresholds, closed, strict, zero_price)
         .groupBy(*keys)
         .agg(
             *sums,

@@ -82,7 +82,12 @@ def normalize_pages(
 
 
 def fallback_minutes(
-    ticks: DataFrame, start: str, end: str, frequency: int = 8, timezone: str = "Asia/Shanghai"
+    ticks: DataFrame,
+    start: str,
+    end: str,
+    frequency: int = 8,
+    timezone: str = "Asia/Shanghai",
+    zero_price: bool = False,
 ) -> DataFrame:
     """Approximate minute bars in [start, end) from tick days; Shanghai and Shenzhen,
     one-minute only.  Whole days are built, then cut, so carried prices are right."""
@@ -92,6 +97,6 @@ def fallback_minutes(
     upper_day = F.date_add(F.lit(end).cast("timestamp_ntz").cast("date"), 1)
     days = supported.where(within_days("date", F.lit(start).cast("timestamp_ntz").cast("date"), upper_day))
     ts = F.col("ts")
-    return ticks_to_minutes(days, timezone=timezone).where(
+    return ticks_to_minutes(days, timezone=timezone, zero_price=zero_price).where(
         (ts >= F.lit(start).cast("timestamp_ntz")) & (ts < F.lit(end).cast("timestamp_ntz"))
     )

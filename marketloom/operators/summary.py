@@ -31,11 +31,12 @@ def _one_per_key(frame: DataFrame, order: str | None, first: bool = True) -> Dat
     return keep_latest(frame, KEY, [ranking])
 
 
-def latest_auction(auctions: DataFrame) -> DataFrame:
-    """Opening amount of the last usable auction record (Shanghai and Shenzhen)."""
+def latest_auction(auctions: DataFrame, zero_price: bool = False) -> DataFrame:
+    """Opening amount of the last usable auction record (Shanghai and Shenzhen); a price of 0
+    is unusable unless ``zero_price``."""
     price, matched = finite_or_null("price"), finite_or_null("matched")
     return (
-        auctions.where(F.col("market").isin(0, 1) & (price > 0) & (matched >= 0))
+        auctions.where(F.col("market").isin(0, 1) & (price >= 0 if zero_price else price > 0) & (matched >= 0))
         .groupBy(*KEY)
         .agg(F.max_by(price * matched * 100.0, F.col("seq")).alias("open_amount_yuan"))
     )
@@ -49,6 +50,7 @@ def security_summary(
     finance: DataFrame,
     actions: DataFrame,
     auctions: DataFrame,
+    zero_price: bool = False,
 ) -> DataFrame:
     """One row per requested (pos, market, code), in request order with repeats.
 
@@ -91,7 +93,7 @@ def security_summary(
         .join(sectors, KEY, "left")
         .join(_prefixed(money, "_f_"), KEY, "left")
         .join(equity, KEY, "left")
-        .join(latest_auction(auctions), KEY, "left")
+        .join(latest_auction(auctions, zero_price), KEY, "left")
         .withColumn("_q", q)
     )
 

@@ -53,6 +53,7 @@ def stream_flow(
     ticks: DataFrame,
     watermark: str = "1 day",
     thresholds: Sequence[float] = DEFAULT_THRESHOLDS,
+    zero_price: bool = False,
 ) -> DataFrame:
     """Running flow summary per (market, code, day), for update mode; append mode gives
     each day once, when the watermark has passed it.
@@ -64,7 +65,7 @@ def stream_flow(
     zone = ticks.sparkSession.conf.get("spark.sql.session.timeZone")
     local = ticks.withColumn("_local", F.from_utc_timestamp(F.col("ts").cast("timestamp"), zone))
     timed = local.withWatermark("_local", watermark).withColumn("day", F.window("_local", "1 day"))
-    return flow_summary(flow_sums(timed, keys, thresholds), keys).withColumn(
+    return flow_summary(flow_sums(timed, keys, thresholds, zero_price=zero_price), keys).withColumn(
         "day", F.to_date(F.to_utc_timestamp("day.start", zone))
     )
 
