@@ -152,14 +152,16 @@ def incon(files: DataFrame) -> DataFrame:
     )
 
 
-def hspy(files: DataFrame) -> DataFrame:
+def hspy(files: DataFrame, longer_codes: bool = False) -> DataFrame:
     """Name/pinyin records of varying layout: the first six-digit field is the code, its
-    neighbours the market, name and pinyin; unmatched lines are kept."""
+    neighbours the market, name and pinyin; unmatched lines are kept.  With ``longer_codes``,
+    more than six digits are a code too."""
     lines = text_lines(files).where((F.col("line") != "") & ~F.col("line").startswith("#"))
     fields = F.when(F.col("line").contains("|"), _fields(F.col("line"))).otherwise(
         F.split("line", r"(?U)\s+")
     )
-    at = F.array_position(F.transform("raw_fields", lambda f: f.rlike("^[0-9]{6}$")), True).cast("int")
+    code = "^[0-9]{6,}$" if longer_codes else "^[0-9]{6}$"
+    at = F.array_position(F.transform("raw_fields", lambda f: f.rlike(code)), True).cast("int")
     found = F.col("_at") > 0
     return (
         lines.withColumn("raw_fields", fields)

@@ -48,3 +48,8 @@ def free_events(tmp_path_factory):
 )
 def test_events_worth_nothing_are_ticks(spark, free_events, name):
     assert difference(spark, free_events, name) == ""
+
+
+def test_names_with_codes_of_seven_digits(spark, tmp_path):
+    folder = tables(tmp_path, part="select * replace (p_partkey + 999900 as p_partkey) from '{old}'")
+    assert difference(spark, folder, "config_names") == ""
