@@ -16,7 +16,7 @@ from marketloom.functions.numbers import half_up
 from marketloom.functions.symbols import security_type
 from marketloom.operators.asof import FORWARD, asof_lookup, time_bucket
 from marketloom.operators.equity import normalize_actions
-from marketloom.operators.scan import add_following, add_previous, add_running_product, fill_forward, keep_latest
+from marketloom.operators.scan import add_running_product, before, fill_forward, keep_latest
 
 SERIES = ("market", "code")
 OHLC = ("open", "high", "low", "close")
@@ -414,8 +414,9 @@ def ratio_chain_adjust(
     ``until`` limits the events to that date.  One row per security and ``time``, a date or,
     for bars within the day, a timestamp; events count from the first moment of their date.
 
-    Carried closes, neighbours and products are two-level scans: windows stay inside
-    (security, chunk), and one row per chunk goes between them.
+    Carried closes and neighbours are one two-level scan, products a second: windows stay
+    inside (security, chunk), and one row per chunk goes between them.  Every such scan reads
+    what is below it twice, so they are few.
     """
     keys = list(keys)
     method = adjustment_method(method)
@@ -426,23 +427,52 @@ def ratio_chain_adjust(
     daily = events.groupBy(*keys, "date").agg(*[F.max_by(n, "seq").alias(f"_{n}") for n in fields])
     kind = bars.schema[time].dataType
     daily = daily.withColumn("_at", F.col("date").cast(kind)).drop("date").withColumnRenamed("_at", time)
-    starts = bars.groupBy(*keys).agg(F.min(time).alias("_start"))
-    daily = daily.join(starts, keys).where(F.col(time) >= F.col("_start")).drop("_start")
 
+    # Events before the first bar stay in: without a close their ratio is 1.
     part = time_bucket(F.col(time), chunk)
     timeline = (
         bars.withColumn("_traded", F.lit(True))
         .join(daily, [*keys, time], "full")
-        .withColumn("_close", F.col("close"))
         .withColumns({f"_{n}": F.coalesce(f"_{n}", F.lit(0.0)) for n in fields})
+        .withColumns(
+            {
+                "_chunk": part,
+                "_cash": F.col("_peigu") * F.col("_peigujia") - F.col("_fenhong"),
+                "_shares": F.lit(10) + F.col("_peigu") + F.col("_songzhuangu"),
+            }
+        )
     )
-    carried = fill_forward(timeline, keys, time, ["_close"], part)
-    cash_in = F.col("_peigu") * F.col("_peigujia") - F.col("_fenhong")
-    priced = add_previous(carried, keys, time, "_close", part, "_prior").withColumn(
-        "preclose", (F.col("_prior") * 10 + cash_in) / (F.lit(10) + F.col("_peigu") + F.col("_songzhuangu"))
+    # One row per chunk: the close carried into it, and the event that follows it.
+    by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
+    borders = (
+        timeline.groupBy(*keys, "_chunk")
+        .agg(
+            F.max_by("close", F.when(F.col("close").isNotNull(), F.col(time))).alias("_final"),
+            *[F.min_by(n, time).alias(f"{n}_first") for n in ("_cash", "_shares")],
+        )
+        .select(
+            *keys,
+            "_chunk",
+            F.last("_final", ignorenulls=True).over(before(keys, "_chunk")).alias("_carried"),
+            *[F.lead(f"{n}_first").over(by_chunk).alias(f"{n}_after") for n in ("_cash", "_shares")],
+        )
     )
-    chained = add_following(priced, keys, time, "preclose", part, "_next").withColumn(
-        "_ratio", F.coalesce(F.try_divide("_next", "_close"), F.lit(1.0))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(time)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last_close = F.coalesce(F.last("close", ignorenulls=True).over(so_far), F.col("_carried"))
+    chained = (
+        timeline.join(borders, [*keys, "_chunk"])
+        .withColumn("_close", last_close)
+        .withColumns(
+            {
+                "_prior": F.when(F.row_number().over(inside) == 1, F.col("_carried")).otherwise(F.lag("_close").over(inside)),
+                **{f"{n}_next": F.coalesce(F.lead(n).over(inside), F.col(f"{n}_after")) for n in ("_cash", "_shares")},
+            }
+        )
+        .withColumn("preclose", (F.col("_prior") * 10 + F.col("_cash")) / F.col("_shares"))
+        .withColumn("_next", (F.col("_close") * 10 + F.col("_cash_next")) / F.col("_shares_next"))
+        .withColumn("_ratio", F.coalesce(F.try_divide("_next", "_close"), F.lit(1.0)))
+        .select(*bars.columns, "preclose", "_ratio", "_traded")
     )
     adjusted = add_running_product(chained, keys, [time], "_ratio", part, "adj", reverse=method == "qfq").where(F.col("_traded"))
     scale = F.col("adj") if method == "qfq" else F.lit(1.0) / F.col("adj")

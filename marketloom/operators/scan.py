@@ -120,16 +120,19 @@ def add_running_product(
     that other chunks need of it.  A NULL value is left out."""
     keys = list(keys)
     chunked = df.withColumn("_chunk", chunk)
+    through = _chunk_window(keys, order, reverse).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = chunked.withColumn("_through", F.coalesce(F.product(value).over(through), F.lit(1.0)))
+    # A chunk's product is its last running one: the order of multiplication stays fixed.
+    furthest = F.min_by if reverse else F.max_by
     carried = (
-        chunked.groupBy(*keys, "_chunk")
-        .agg(F.product(value).alias("_whole"))
+        running.groupBy(*keys, "_chunk")
+        .agg(furthest("_through", F.struct(*order)).alias("_whole"))
         .select(*keys, "_chunk", F.coalesce(F.product("_whole").over(_chunk_order(keys, reverse)), F.lit(1.0)).alias("_carried"))
     )
-    through = _chunk_window(keys, order, reverse).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        chunked.join(carried, [*keys, "_chunk"])
-        .withColumn(name, F.coalesce(F.product(value).over(through), F.lit(1.0)) * F.col("_carried"))
-        .drop("_chunk", "_carried")
+        running.join(carried, [*keys, "_chunk"])
+        .withColumn(name, F.col("_through") * F.col("_carried"))
+        .drop("_chunk", "_through", "_carried")
     )
 
 

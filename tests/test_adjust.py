@@ -298,3 +298,21 @@ def test_ratio_chain(spark):
                     product *= x
                 want = closes[i] * product if method == "qfq" else closes[i] / product
                 assert r["close"] == pytest.approx(float(want))
+
+
+def test_ratio_chain_reads_its_bars_few_times(spark):
+    from marketloom.plans import load_queries
+
+    frame = load_queries()["ratio_chain_qfq"].run(spark, "/root/testdata/sf0.001")
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_extendedprice#") and sum("Relation" in line and "l_suppkey" in line for line in plan.splitlines()) <= 4
+
+
+def test_running_products_multiply_in_order(spark):
+    from marketloom.operators.scan import add_running_product
+
+    rows = [("a", i, v) for i, v in enumerate([2.0, 3.0, None, 5.0, 7.0])]
+    frame = spark.createDataFrame(rows, "k string, i int, v double")
+    for reverse, wanted in ((False, [2, 6, 6, 30, 210]), (True, [210, 105, 35, 35, 7])):
+        out = add_running_product(frame, ["k"], ["i"], "v", F.floor(F.col("i") / 2), "p", reverse)
+        assert [r["p"] for r in out.orderBy("i").collect()] == wanted
