@@ -241,8 +241,9 @@ def _linked_by_differences(
       holder of least s, which joins most of them; then, where holders of t are still in
       different components, those outside the largest against the others.  As s(y) >= s(m),
       x needs at least k = (s(x) + s(m)) / (2 (100 + percent)) common differences with any y.
-      Sets that have so many in common share one of the first |D(x)| - k + 1 differences of
-      each, in any fixed order, so only those are compared.
+      Of the differences that several members have, sets with so many in common share one of
+      the first n - k + 1 of n, in any fixed order, so only those are compared; the first that
+      a pair has in common is among them, and no more can be common than either has from there on.
 
     No shingle of the leader's own is in R, so it is not a difference that all others share.
     """
@@ -279,11 +280,18 @@ def _linked_by_differences(
         )
 
     least = found.groupBy("leader").agg(F.min_by("node", "s").alias("other"), F.min("s").alias("least"))
-    # Differences that must be compared: in the order of their values, all but need - 1.
+    # Differences that must be compared: of those that others have too, in the order of their
+    # values, all but need - 1.
+    single = found.select("leader", "node", F.explode("tokens").alias("token"))
+    several = single.groupBy("leader", "token").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("leader", "token")
+    common = single.join(several, ["leader", "token"], "left_semi").groupBy("leader", "node").agg(F.array_sort(F.collect_list("token")).alias("common"))
     need = F.greatest(F.lit(1), F.ceil((F.col("s") + F.col("least")) / (2 * weight)))
+    size_of = F.size("common").cast("bigint")
     held = (
-        found.join(least.select("leader", "least"), "leader").withColumn("_some", F.col("d") - need + 1).filter("_some > 0")
-        .select("leader", "node", "d", "s", F.explode(F.slice("tokens", F.lit(1), F.col("_some").cast("int"))).alias("token"))
+        found.drop("tokens").join(common, ["leader", "node"]).join(least.select("leader", "least"), "leader")
+        .withColumn("_some", size_of - need + 1).filter("_some > 0")
+        .select("leader", "node", "d", "s", size_of.alias("_size"), F.posexplode(F.slice("common", F.lit(1), F.col("_some").cast("int"))).alias("_at", "token"))
+        .withColumn("rest", F.col("_size") - F.col("_at")).drop("_at", "_size")
     )
     # One holder of least s per difference that several members share.
     holders = stored(
@@ -316,13 +324,13 @@ def _linked_by_differences(
     )
     placed = stored(compared.join(mixed, ["leader", "token"]), "shingle-apart")
     others = placed.select(
-        "leader", "token", F.col("node").alias("other"), F.col("label").alias("label2"), F.col("d").alias("d2"), F.col("s").alias("s2"),
+        "leader", "token", F.col("node").alias("other"), F.col("label").alias("label2"), F.col("rest").alias("rest2"), F.col("s").alias("s2"),
         (F.col("label") == F.col("main")).alias("is_main"),
     )
     apart = (
         placed.filter("label <> main").join(others, ["leader", "token"])
         .filter("label <> label2 and (is_main or node < other)")
-        .filter(F.col("s") + F.col("s2") <= 2 * weight * F.least("d", "d2"))
+        .filter(F.col("s") + F.col("s2") <= 2 * weight * F.least("rest", "rest2"))
         .select("leader", "node", "other").distinct()
     )
     return near.unionByName(linked(apart)).distinct()
@@ -412,7 +420,7 @@ def join(
         lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "shingle-placed"
     )
     per_list = placed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("_n"))
-    main = per_list.groupBy("token").agg(F.max(F.struct("_n", "label")).alias("_main"), F.count(F.lit(1)).alias("_labels"), F.sum("_n").alias("_nodes"))
+    main = per_list.groupBy("token").agg(F.max(F.struct("_n", "label")).alias("_main"), F.count(F.lit(1)).alias("_labels"))
     mixed = stored(
         placed.join(main.filter("_labels > 1").select("token", "_main.label").withColumnRenamed("label", "main"), "token"),
         "shingle-mixed",
@@ -420,20 +428,38 @@ def join(
     # Which sizes a node can link to at all: it must meet them in enough of its lists.  Sizes
     # are taken together in classes of five per cent, by the least that any of a class needs.
     mixed = mixed.withColumn("_size", _size_class("n"))
-    classes = mixed.groupBy("token", F.col("_size").alias("_to")).agg(F.min("n").alias("m_lo"), F.max("n").alias("m_hi"))
-    able = stored(
-        mixed.join(classes, "token").filter((100 * F.col("m_hi") >= percent * F.col("n")) & (percent * F.col("m_lo") <= 100 * F.col("n")))
-        .groupBy("node", "n", "p", "_to").agg(F.count(F.lit(1)).alias("_met"), F.min("m_lo").alias("m_lo"), F.max("m_hi").alias("m_hi"))
-        .filter(F.col("_met") >= _least_need(percent)).select("node", "_to"),
-        "shingle-able",
-    )
+    # Only sets of other components count, here and below: the least or greatest label differs.
+    apart = (F.col("label_lo") != F.col("label")) | (F.col("label_hi") != F.col("label"))
+    labelled = [F.min("label").alias("label_lo"), F.max("label").alias("label_hi")]
+    classes = mixed.groupBy("token", F.col("_size").alias("_to")).agg(F.min("n").alias("m_lo"), F.max("n").alias("m_hi"), *labelled)
+
+    def enough(met: DataFrame) -> DataFrame:
+        """``node, _to`` of nodes that meet a class of sizes in enough lists."""
+        return (
+            met.filter(apart & (100 * F.col("m_hi") >= percent * F.col("n")) & (percent * F.col("m_lo") <= 100 * F.col("n")))
+            .groupBy("node", "n", "p", "_to").agg(F.count(F.lit(1)).alias("_met"), F.min("m_lo").alias("m_lo"), F.max("m_hi").alias("m_hi"))
+            .filter(F.col("_met") >= _least_need(percent)).select("node", "_to")
+        )
+
+    able = stored(enough(mixed.join(classes, "token")), "shingle-able")
+    # Once more among those: both of a pair must be able to link to the other's sizes.
+    reach = stored(mixed.join(able, "node"), "shingle-reach")
+    back = reach.groupBy("token", F.col("_size").alias("_to"), F.col("_to").alias("_size")).agg(F.min("n").alias("m_lo"), F.max("n").alias("m_hi"), *labelled)
+    able = stored(enough(reach.join(back, ["token", "_size", "_to"])), "shingle-able")
+    reach = stored(reach.join(able, ["node", "_to"], "left_semi"), "shingle-reach")
     # Lists whose pairs are too many to write down.
-    cost = main.withColumn("_all", F.col("_nodes") * (F.col("_nodes") - F.col("_main._n")))
-    long = cost.filter(F.col("_all") > long_list).select("token")
-    short = mixed.join(long, "token", "left_anti")
-    outside = short.filter("label <> main").join(able, "node").select("token", "node", "label", "n", "_size", "_to")
-    others = short.join(able.withColumnRenamed("_to", "_from"), "node").select(
-        "token", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("n").alias("m"), F.col("_from").alias("_size"),
+    outsider = F.col("label") != F.col("main")
+    cost = reach.groupBy("token", "_size", "_to").agg(F.count(F.lit(1)).alias("_all"), F.count_if(outsider).alias("_outside"))
+    facing = cost.select("token", F.col("_to").alias("_size"), F.col("_size").alias("_to"), F.col("_outside").alias("_pairs"))
+    long = stored(
+        cost.join(facing, ["token", "_size", "_to"]).groupBy("token").agg(F.sum(F.col("_all") * F.col("_pairs")).alias("_pairs"))
+        .filter(F.col("_pairs") > long_list).select("token"),
+        "shingle-long",
+    )
+    short = reach.join(long, "token", "left_anti")
+    outside = short.filter(outsider).select("token", "node", "label", "n", "_size", "_to")
+    others = short.select(
+        "token", F.col("node").alias("node2"), F.col("label").alias("label2"), F.col("n").alias("m"), F.col("_to").alias("_size"),
         F.col("_size").alias("_to"), (F.col("label") == F.col("main")).alias("is_main"),
     )
     crossing = stored(
@@ -445,7 +471,7 @@ def join(
     )
     crossing = stored(_sharing_enough(crossing, nodes, percent), "shingle-pairs")
     around = stored(
-        mixed.join(long, "token").join(able.select("node").distinct(), "node", "left_semi")
+        reach.select("token", "node").distinct().join(long, "token")
         .join(leaders, "token").select(F.col("_top.b").alias("a"), F.col("node").alias("b")).filter("a <> b").distinct(),
         "shingle-around",
     )

@@ -100,6 +100,19 @@ def test_leader_with_shingles_of_its_own(spark):
         assert sorted(map(tuple, out.collect()), key=repr) == brute(rows, size, percent)
 
 
+def test_members_of_one_component_are_not_compared(spark, monkeypatch):
+    """Near copies that are linked already, beside texts of other sizes that hold all of their
+    shingles: nothing in their common lists can still link, however long the lists are."""
+    base = ["v%d" % k for k in range(100)]
+    rows = [(k, " ".join([*base[:-1], "e%d" % k])) for k in range(40)]
+    rows += [(100 + k, " ".join(base + ["o%d_%d" % (k, i) for i in range(150)])) for k in range(3)]
+    rows.append((50, rows[0][1]))  # most documents, so others are held against it
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "_linked_by_differences", lambda *a: pytest.fail("compared around a leader"))
+    out = jaccard.join(docs, size=3, percent=90, frequent=0, long_list=10)
+    assert sorted(map(tuple, out.collect()), key=repr) == brute(rows, 3, 90)
+
+
 def test_clashing_columns_pass_through(spark):
     docs = spark.createDataFrame([(2, "a b c d e f", "x"), (1, "a b c d e f", "y")], "doc_id long, text string, _gone string")
     clashing = docs.selectExpr("*", "_gone as id", "_gone as key", "_gone as component_id", "_gone as _row", "_gone as node")
