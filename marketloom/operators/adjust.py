@@ -204,13 +204,16 @@ def reference_preclose(bars: DataFrame, actions: DataFrame, keys: Sequence[str]
     """
     keys = list(keys)
     days = daily_maps(_preclose_events(actions), keys)
+    # Flat columns: Spark drops those that nobody asks for before they are sorted.
+    others = {n: f"_bar_{n}" for n in bars.columns if n not in (*keys, "date", "close")}
     bar_rows = bars.select(
         *keys,
         "date",
         F.lit(1).alias("_is_bar"),
         F.lit(None).cast("double").alias("day_mul"),
         F.lit(None).cast("double").alias("day_add"),
-        F.struct(*bars.columns).alias("_bar"),
+        F.col("close").alias("_own"),
+        *[F.col(n).alias(at) for n, at in others.items()],
     )
     event_rows = days.select(
         *keys,
@@ -218,26 +221,30 @@ def reference_preclose(bars: DataFrame, actions: DataFrame, keys: Sequence[str]
         F.lit(0).alias("_is_bar"),
         "day_mul",
         "day_add",
-        F.lit(None).cast(bar_rows.schema["_bar"].dataType).alias("_bar"),
+        *[F.lit(None).cast(bar_rows.schema[n].dataType).alias(n) for n in ("_own", *others.values())],
     )
     order = Window.partitionBy(*keys).orderBy("date", "_is_bar")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    is_event = F.col("_is_bar") == 0
     timeline = (
         bar_rows.unionByName(event_rows)
         .withColumn("_gap", F.coalesce(F.sum("_is_bar").over(earlier), F.lit(0)))
-        .withColumn("_close", F.last(F.col("_bar.close"), ignorenulls=True).over(earlier))
+        .withColumn("_close", F.last("_own", ignorenulls=True).over(earlier))
     )
-    is_event = F.col("_is_bar") == 0
     step = F.when(is_event, F.struct("date", "day_mul", "day_add"))
+    # Each gap ends in one bar at most, so its columns are the only values there.
+    shown = {n: others.get(n, "_own" if n == "close" else n) for n in bars.columns if n not in keys}
     gaps = timeline.groupBy(*keys, "_gap").agg(
         F.array_sort(F.collect_list(step)).alias("_steps"),
-        F.max(F.when(~is_event, F.col("_close"))).alias("_close"),
-        F.first("_bar", ignorenulls=True).alias("_bar"),
+        F.max("_is_bar").alias("_ended"),
+        *[F.first(F.when(~is_event, F.col(at)), ignorenulls=True).alias(f"_at_{n}") for n, at in {**shown, "before": "_close"}.items()],
     )
     folded = F.aggregate(
-        "_steps", F.col("_close").cast("double"), lambda price, e: price * e["day_mul"] + e["day_add"]
+        "_steps", F.col("_at_before").cast("double"), lambda price, e: price * e["day_mul"] + e["day_add"]
+    )
+    return gaps.where("_ended = 1").select(
+        *[F.col(n if n in keys else f"_at_{n}").alias(n) for n in bars.columns], folded.alias("preclose")
     )
-    return gaps.where(F.col("_bar").isNotNull()).select("_bar.*", folded.alias("preclose"))
 
 
 def _preclose_events(actions: DataFrame) -> DataFrame:

@@ -316,3 +316,12 @@ def test_running_products_multiply_in_order(spark):
     for reverse, wanted in ((False, [2, 6, 6, 30, 210]), (True, [210, 105, 35, 35, 7])):
         out = add_running_product(frame, ["k"], ["i"], "v", F.floor(F.col("i") / 2), "p", reverse)
         assert [r["p"] for r in out.orderBy("i").collect()] == wanted
+
+
+def test_preclose_carries_only_what_is_asked_for(spark):
+    """Other columns of the bars are not sorted along where only the reference is wanted."""
+    bars = spark.sql("select 0 as market, code, to_date(d) as date, close, volume from values ('1', '2024-01-02', 4.0D, 7.0D), ('1', '2024-01-03', 5.0D, null) as t(code, d, close, volume)")
+    actions = spark.sql("select 0 as market, '1' as code, date'2024-01-03' as date, 1L as seq, 1 as category, 10.0D as fenhong, 0.0D as peigujia, 0.0D as songzhuangu, 0.0D as peigu, 0.0D as suogu")
+    out = adjust.reference_preclose(bars, actions)
+    assert sorted((str(r["date"]), r["close"], r["volume"], r["preclose"]) for r in out.collect()) == [("2024-01-02", 4.0, 7.0, None), ("2024-01-03", 5.0, None, 3.0)]
+    assert "volume" not in out.select("code", "date", "preclose")._jdf.queryExecution().optimizedPlan().toString()
