@@ -1,8 +1,9 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
 Texts become sets of word-shingle hashes; equal sets are one *node*.  Shingles have one
-global order, rare ones first, frequent ones by an estimate; any fixed order gives the
-same links.  With similarity p, two sets that link share at least l of the first
+global order, rare ones first: those known to be frequent come last, by an estimate, the
+others by how frequent their words are, as shingles of rare words are seldom shared by
+chance, however large the corpus.  Any fixed order gives the same links.  With similarity p, two sets that link share at least l of the first
 n - ceil(p n) + l shingles of each, for any l.  A document takes the l whose estimated cost
 (postings read, plus candidates verified) is least: where its prefix holds frequent
 shingles it takes a longer prefix, and candidates must share more of it.  How much, follows
@@ -44,6 +45,8 @@ from marketloom.llm.text_arrays import LOWER, bytes_of, pieces, shingle_hashes,
 #: Frequent shingles that are ordered by frequency; all others count as rare.  The list
 #: only shapes the order (speed), never the result.
 FREQUENT = 100_000
+FREQUENT_WORDS = 100_000  # words whose counts order the other shingles; speed only
+PART = 1 << 20  # words counted at once
 LONGEST = 4  # largest l
 VERIFY_COST = 20.0  # of one candidate, in postings
 BROADCAST_IDS = 200_000
@@ -51,19 +54,42 @@ ROWS = 500  # pairs of sets worked on at once
 LONG = 2_000  # pairs of a list above which it is taken by differences
 
 
-def shingle_sets(column, size: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Row number and sorted distinct shingle hashes of every text, A-Z lower-cased."""
+def _words(column) -> Iterator[tuple[int, np.ndarray]]:
+    """Row number and hashes of the words, A-Z lower-cased, of every text."""
     for first, last, data, offsets in pieces(*bytes_of(column)):
         data = LOWER[data]
         starts, ends, row = word_spans(data, offsets)
         hashes = word_hashes(data, starts, ends)
         bound = np.searchsorted(row, np.arange(last - first + 1))
         for k in range(last - first):
-            own = hashes[bound[k] : bound[k + 1]]
-            if len(own):
-                yield first + k, np.unique(shingle_hashes(own, min(size, len(own))))
-            else:
-                yield first + k, own
+            yield first + k, hashes[bound[k] : bound[k + 1]]
+
+
+def shingle_sets(column, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Row number and sorted distinct shingle hashes of every text, A-Z lower-cased."""
+    for row, own in _words(column):
+        yield row, np.unique(shingle_hashes(own, min(size, len(own)))) if len(own) else own
+
+
+def _scored_sets(column, size: int, words: np.ndarray, weights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shingle sets with the score of each shingle: the sum of its words' weights (of the
+    sorted ``words``; others weigh 0).  The same words give the same score in every text."""
+    for _, own in _words(column):
+        if not len(own):
+            yield own, np.zeros(0, np.int64)
+            continue
+        width = min(size, len(own))
+        tokens, at = np.unique(shingle_hashes(own, width), return_index=True)
+        sums = np.cumsum(np.concatenate([np.zeros(1, np.int64), _looked_up(own, words, weights, 0)]))
+        yield tokens, (sums[width:] - sums[:-width])[at]
+
+
+def _looked_up(hashes: np.ndarray, names: np.ndarray, values: np.ndarray, otherwise: int) -> np.ndarray:
+    """The value of each hash by the sorted ``names``."""
+    if not len(names):
+        return np.full(len(hashes), otherwise, np.int64)
+    at = np.minimum(np.searchsorted(names, hashes), len(names) - 1)
+    return np.where(names[at] == hashes, values[at], otherwise)
 
 
 def required(n, percent: int):
@@ -72,27 +98,49 @@ def required(n, percent: int):
 
 
 def _frequent(docs: DataFrame, size: int, most: int) -> DataFrame:
-    """Estimated document counts of the most frequent shingles.  Each batch reports the
-    shingles that two of its documents share; what is frequent shows in many batches."""
+    """``word, token, n``: estimated document counts of the most frequent shingles, and counts
+    of the most frequent words.  Each batch reports the shingles that two of its documents
+    share, and the words found twice in about ``PART`` of its words; what is frequent shows
+    in many of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for _, s in shingle_sets(batch.column(0), size)]
-            found, count = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
-            keep = count > 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found[keep].view(np.int64)), pa.array(count[keep])], ["token", "n"]
-            )
-
-    found = docs.select("text").mapInArrow(run, "token bigint, n bigint")
-    return found.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(most)
-
-
-def prefix_of(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, percent: int) -> tuple[int, np.ndarray]:
-    """The adaptive l of a set and its prefix: ``tokens`` sorted, ``frequent`` sorted."""
-    at = np.minimum(np.searchsorted(frequent, tokens), max(len(frequent) - 1, 0))
-    weight = np.where(frequent[at] == tokens, counts[at], 1) if len(frequent) else np.ones(len(tokens), np.int64)
-    order = np.lexsort([tokens, weight])
+            sets, words, held = [], [], 0
+            for _, own in _words(batch.column(0)):
+                if len(own):
+                    sets.append(np.unique(shingle_hashes(own, min(size, len(own)))))
+                    words.append(own)
+                    held += len(own)
+                if held >= PART:
+                    yield _repeated(True, words)
+                    words, held = [], 0
+            yield _repeated(True, words)
+            yield _repeated(False, sets)
+
+    found = docs.select("text").mapInArrow(run, "word boolean, token bigint, n bigint")
+    found = stored(found.groupBy("word", "token").agg(F.sum("n").alias("n")), "shingle-counts")
+
+    def top(kind: str, most: int) -> DataFrame:
+        return found.filter(kind).orderBy(F.desc("n"), "token").limit(most)
+
+    return top("not word", most).unionByName(top("word", FREQUENT_WORDS))
+
+
+def _repeated(word: bool, hashes: list[np.ndarray]) -> pa.RecordBatch:
+    """Hashes found twice or more, and how often."""
+    found, count = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]), return_counts=True)
+    keep = count > 1
+    columns = [pa.repeat(word, int(keep.sum())), pa.array(found[keep].view(np.int64)), pa.array(count[keep])]
+    return pa.RecordBatch.from_arrays(columns, ["word", "token", "n"])
+
+
+def prefix_of(
+    tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, percent: int, score: np.ndarray | None = None
+) -> tuple[int, np.ndarray]:
+    """The adaptive l of a set and its prefix: ``tokens`` sorted, ``frequent`` sorted; among
+    equally frequent tokens those of low ``score`` come first."""
+    weight = _looked_up(tokens, frequent, counts, 1)
+    order = np.lexsort([tokens, weight] if score is None else [tokens, score, weight])
     base = len(tokens) - required(len(tokens), percent) + 1
     most = min(LONGEST, len(tokens) - base + 1)
     # Each frequent shingle meets its other documents; l shared ones make a candidate.
@@ -104,17 +152,25 @@ def prefix_of(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, perc
 
 def _keyed(docs: DataFrame, frequent: DataFrame, size: int, percent: int) -> DataFrame:
     """``id, key, n, level, tokens`` per row: key is a 128-bit hash of the set."""
-    table = np.array([(r.token, r.n) for r in frequent.collect()], dtype=np.int64).reshape(-1, 2)
-    token = table[:, 0].view(np.uint64) if len(table) else np.zeros(0, np.uint64)
-    order = np.argsort(token)
-    shared = docs.sparkSession.sparkContext.broadcast((token[order], table[order, 1]))
+    table = np.array([(r.word, r.token, r.n) for r in frequent.collect()], dtype=np.int64).reshape(-1, 3)
+
+    def sorted_counts(word: int) -> tuple[np.ndarray, np.ndarray]:
+        own = table[table[:, 0] == word, 1:]
+        token = own[:, 0].copy().view(np.uint64)
+        order = np.argsort(token)
+        return token[order], own[order, 1]
+
+    words, times = sorted_counts(1)
+    # Sums of logarithms order shingles as products of their words' counts would.
+    weights = np.round(16 * np.log2(times)).astype(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast((*sorted_counts(0), words, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, counts = shared.value
+        names, counts, words, weights = shared.value
         for batch in batches:
             keys, sizes, levels, lists = [], [], [], []
-            for _, tokens in shingle_sets(batch.column(1), size):
-                level, prefix = prefix_of(tokens, names, counts, percent) if len(tokens) else (0, tokens)
+            for tokens, score in _scored_sets(batch.column(1), size, words, weights):
+                level, prefix = prefix_of(tokens, names, counts, percent, score) if len(tokens) else (0, tokens)
                 keys.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                 sizes.append(len(tokens))
                 levels.append(level)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from marketloom.llm import jaccard
 from marketloom.llm.components import components
@@ -133,6 +134,36 @@ def test_prefix_takes_more_where_it_is_frequent():
     assert level == jaccard.LONGEST and len(prefix) == 11 + level - 1
 
 
+def test_prefixes_take_shingles_of_rare_words(spark):
+    """Texts of a few common words share some shingles by chance; where a tenth of their
+    shingles has a word of their own, prefixes hold no others, so no texts meet for nothing."""
+    rng = random.Random(5)
+    common = ["c%d" % k for k in range(12)]
+    rows = []
+    for k in range(200):
+        words = rng.choices(common, k=100)
+        for i, at in enumerate((9, 29, 49, 69, 89)):
+            words[at] = "own%d_%d" % (k, i)
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(8)
+    keyed = jaccard._keyed(docs, jaccard._frequent(docs, 3, 10), 3, 90)
+    taken = [token for row in keyed.collect() for token in row.tokens]
+    assert len(taken) == len(set(taken)) >= 200 * 9
+    out = jaccard.join(docs.withColumnRenamed("id", "doc_id"), size=3, percent=90, frequent=10)
+    assert sorted(map(tuple, out.collect()), key=repr) == brute(rows, 3, 90)
+
+
+def test_words_order_the_same_shingle_alike():
+    texts = pa.array(["a b c d", "x A b C", "b c", None, ""])
+    hashes = np.sort(np.unique(np.concatenate([own for _, own in jaccard._words(texts)])))
+    scored = list(jaccard._scored_sets(texts, 3, hashes, np.arange(len(hashes)) ** 2))
+    assert [len(tokens) for tokens, _ in scored] == [2, 2, 1, 0, 0]
+    assert [tokens.tolist() for tokens, _ in scored] == [tokens.tolist() for _, tokens in jaccard.shingle_sets(texts, 3)]
+    first, second = (dict(zip(*map(np.ndarray.tolist, pair), strict=True)) for pair in scored[:2])
+    both = first.keys() & second.keys()
+    assert len(both) == 1 and all(first[token] == second[token] for token in both)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 50), (51, 100), (7, 7)]
     found = components(spark.createDataFrame(edges, "a long, b long"))
