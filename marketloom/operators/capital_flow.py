@@ -175,15 +175,17 @@ def unknown_side_counts(ticks: DataFrame, keys: Sequence[str] = SERIES_DAY) -> D
 
 def recent_days(bars: DataFrame, days: int | None = 20, windows: Sequence[int] = (5, 20)) -> DataFrame:
     """One row per security and day that a history of ``days`` rows needs: the days, the
-    warm-up of their windows, and one more close.  ``_age`` counts from the newest.
+    warm-up of their windows, and one more close.  ``_age`` counts from the newest; a history
+    of all days (None) has no use for it, so nothing is ranked.
 
     The rank filter is a window group limit: each mapper ships only the newest rows.
     """
     keys = ["market", "code"]
     daily = bars.groupBy(*keys, "date").agg(F.max("close").alias("close"), F.count(F.lit(1)).alias("_copies"))
+    if days is None:
+        return daily
     newest = Window.partitionBy(*keys).orderBy(F.col("date").desc())
-    recent = daily.withColumn("_age", F.row_number().over(newest))
-    return recent if days is None else recent.where(F.col("_age") <= days + max(windows))
+    return daily.withColumn("_age", F.row_number().over(newest)).where(F.col("_age") <= days + max(windows))
 
 
 def flow_history(
@@ -255,11 +257,11 @@ def flow_history(
     ok = F.col("status") == "ok"
     for size in windows:
         frame = by_date.rowsBetween(-(size - 1), 0)
-        whole = ok & (F.count(F.lit(1)).over(frame) == size)
+        position = F.least(F.row_number().over(by_date), F.lit(size))
+        whole = ok & (position == size)
         # Rolling sums of exact units: no drift along the series.
         net = F.sum(F.round(F.col("main_net") * UNIT).cast("bigint")).over(frame)
         amount = F.sum(F.round(F.col("total_turnover") * UNIT).cast("bigint")).over(frame)
-        position = F.least(F.row_number().over(by_date), F.lit(size))
         out += [
             F.when(whole, _money(net)).alias(f"main_{size}d_net"),
             F.when(whole & (amount != 0), F.round(net / amount * 100, 2)).alias(f"main_{size}d_pct"),
@@ -286,7 +288,7 @@ def flow_history(
             "retail_net",
             F.col("retail_net_pct").alias("retail_pct"),
             "status",
-            "_age",
+            *([] if days is None else ["_age"]),
             *out,
         )
         .where(F.lit(True) if days is None else F.col("_age") <= days)

@@ -50,16 +50,17 @@ def flow_history(
 
     The newest bars of each security name the days; they are worked out once and written to
     the shared folder.  Their earliest date bounds the scan of the ticks, and a semi join
-    keeps other days from the aggregation.  With a table of ``kept`` daily flow, its closed
-    days are read from there, and ticks of the days after them only.
+    keeps other days from the aggregation.  Where all days are wanted (None), bars bound
+    nothing and meet the flow once, as they are.  With a table of ``kept`` daily flow, its
+    closed days are read from there, and ticks of the days after them only.
     """
     spark = bars.sparkSession
     recent = capital_flow.recent_days(bars, days, windows)
-    path = f"{shared_scratch(spark)}/days-{uuid.uuid4().hex}"
-    recent.write.parquet(path)
-    recent = spark.read.schema(recent.schema).parquet(path)
     closed = None if kept is None else kept.closed_until()
     if days is not None:
+        path = f"{shared_scratch(spark)}/days-{uuid.uuid4().hex}"
+        recent.write.parquet(path)
+        recent = spark.read.schema(recent.schema).parquet(path)
         first = recent.agg(F.min("date")).scalar()
         ticks = ticks.where(F.col("date") >= first).join(recent.select(*SERIES, "date"), [*SERIES, "date"], "left_semi")
     if closed is not None:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.trades import order_tier
 from marketloom.operators import capital_flow as flow
+from marketloom.plans import recipes
 
 DAY = dt.date(2026, 9, 18)
 TICKS = "market int, code string, date date, price double, vol double, side int"
@@ -223,3 +224,19 @@ def test_a_stream_closes_days(spark, tmp_path, rows):
     assert last >= day(3)
     want = flow_summary(flow_sums(ticks.where(F.col("date") <= F.lit(last))))
     assert rows(table.rows()) == rows(want.select(*table.rows().columns))
+
+
+def test_history_of_all_days_neither_ranks_nor_stores_them(spark, tmp_path, monkeypatch):
+    """The same rows as a history of more days than there are, without their folder."""
+    monkeypatch.setattr(recipes, "shared_scratch", lambda _: str(tmp_path))
+    days = spark.range(30).selectExpr("explode(array('000001', '000002')) as code", "date_add(date'2024-01-01', cast(id as int)) as date", "id")
+    bars = days.selectExpr("0 as market", "code", "date", "10.0 + id as close")
+    ticks = days.selectExpr("0 as market", "code", "date", "id as seq", "10.0 + id as price", "100.0D as vol", "cast(id % 3 as int) as side")
+    whole = recipes.flow_history(bars, ticks, None)
+    assert list(tmp_path.glob("days-*")) == []
+    assert "_age" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    many = recipes.flow_history(bars, ticks, 1000)
+    assert len(list(tmp_path.glob("days-*"))) == 1
+    assert whole.columns == many.columns
+    rows = sorted(map(tuple, whole.collect()))
+    assert len(rows) == 60 and rows == sorted(map(tuple, many.collect()))
