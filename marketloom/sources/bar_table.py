@@ -90,14 +90,17 @@ class Snapshot:
             rows = rows.where(F.col("period") <= F.lit(str(end)).substr(F.lit(1), size))
         return rows
 
-    def resolved(self, rows: DataFrame) -> DataFrame:
-        """The newest row of each key, less what a later commit cut off."""
+    def resolved(self, rows: DataFrame, ordered: bool = False) -> DataFrame:
+        """The newest row of each key, less what a later commit cut off.  ``ordered`` deals
+        rows by ranges of the key, so that sorting the result by it needs no second shuffle."""
         if len(self.live) < 2:  # one write holds each key once
             return rows
         cuts = self.marks("cut")
         per_series = cuts.groupBy(*IDENTITY).agg(F.collect_list(F.struct("version", "start")).alias("_cuts"))
         gone = F.exists("_cuts", lambda c: (c["version"] > F.col("version")) & (F.col("ts") >= c["start"]))
         rows = rows.join(per_series, IDENTITY, "left").where(~F.coalesce(gone, F.lit(False))).drop("_cuts")
+        if ordered:
+            rows = rows.repartitionByRange(*KEY)
         return keep_latest(rows, KEY, [F.col("version").desc(), F.col("write").desc()])
 
     def bars(self, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -159,7 +162,7 @@ class BarTable:
             rows = rows.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
         if end is not None:
             rows = rows.where(F.col("ts") <= F.lit(end).cast("timestamp_ntz"))
-        return now.resolved(rows).select(*STORED_BARS.names).orderBy(*KEY)
+        return now.resolved(rows, ordered=True).select(*STORED_BARS.names).orderBy(*KEY)
 
     # -- writing ----------------------------------------------------------------
     def upsert(

@@ -184,3 +184,25 @@ def test_merge_needs_a_catalog_that_has_it(spark, tmp_path):
         with pytest.raises(Exception, match="(?i)merge|row-level"):
             merge_into(bars(spark, ("a", "2026-01-01", 1.0)), "plain_bars", replace_from=cut)
     spark.sql("drop table plain_bars")
+
+
+def test_reading_in_order_shuffles_once(spark, tmp_path):
+    """Versions of a key meet in ranges of the key, which are the order of the result."""
+    table = BarTable(spark, str(tmp_path / "bars"))
+    days = spark.range(40).selectExpr(
+        "'0' as market", "array('000002', '000001')[id % 2] as code", "'day' as frequency", "'none' as adjustment",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id as int)) as ts", "double(id) as close", "id",
+    )
+    table.upsert(days.drop("id"))
+    table.upsert(days.where("id % 4 = 1").selectExpr("* except (close, id)", "-close as close"))
+    found = table.read_bars({"market": "0"}, "2024-01-03", "2024-02-05")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1
+    # The one by hash gathers what later commits cut off.
+    assert plan.count("Exchange hashpartitioning") == 1
+    read = [(r.code, r.ts.isoformat(), r.close) for r in found.collect()]
+    want = [
+        (r.code, r.ts.isoformat(), -r.close if r.id % 4 == 1 else r.close)
+        for r in days.where("id between 2 and 35").orderBy("code", "ts").collect()
+    ]
+    assert read == want
