@@ -183,6 +183,40 @@ def test_export_bundle(spark, tmp_path):
         sinks.export(frame, str(tmp_path / "x"), "xlsx")
 
 
+def test_text_bundles_equal_those_of_sparks_writer(spark, tmp_path, monkeypatch):
+    """Folders, escapes, quotes, NULL and empty keys; a file has its name only when whole."""
+    day = dt.date(2020, 1, 1)
+    values = [("a", 1, 1.5, 'x,"y"', day), ("a", 1, None, "", None), ("", 2, 2.0, "line\nbreak é", day), (None, 2, 1e-10, None, None), ("q/%=1 é{}^", 3, 1e20, "  s ", None)]
+    frame = spark.createDataFrame(values, "code string, n int, v double, `t,x` string, d date")
+
+    def state(folder):
+        found = {}
+        for file in folder.rglob("part-*"):
+            found.setdefault(str(file.parent.relative_to(folder)), []).append(sorted(file.read_bytes().splitlines()))
+        return found
+
+    for fmt, option in (("csv", ("header", "true")), ("json", ("ignoreNullFields", "false"))):
+        for by in (["code"], ["code", "n"]):
+            mine, sparks = (tmp_path / f"{who}-{fmt}-{len(by)}" for who in ("mine", "sparks"))
+            sinks.export(frame, str(mine), fmt, by)
+            frame.hint("rebalance", *by).write.partitionBy(*by).option(*option).format(fmt).save(str(sparks))
+            assert state(mine) == state(sparks) and (mine / "_SUCCESS").exists()
+            # No checksum file beside each file: the tasks wrote them, not Spark's local file system.
+            assert not list(mine.rglob("*=*/.*.crc"))
+            with pytest.raises(PySparkException, match="PATH_ALREADY_EXISTS"):
+                sinks.export(frame, str(mine), fmt, by)
+            sinks.export(frame, str(mine), fmt, by, mode="append")
+            assert sum(len(files) for files in state(mine).values()) == 2 * len(state(sparks))
+    failing = frame.withColumn("v", F.when(F.col("n") == 3, F.raise_error("boom")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="boom"):
+        sinks.export(failing, str(tmp_path / "broken"), "csv", ["code"])
+    assert not (tmp_path / "broken/_SUCCESS").exists()
+    # Where pyarrow does not know the file system, Spark writes.
+    monkeypatch.setattr(sinks, "_arrow_path", lambda frame, path: None)
+    sinks.export(frame, str(tmp_path / "elsewhere"), "csv", ["code"])
+    assert list((tmp_path / "elsewhere").rglob("*=*/.*.crc"))
+
+
 # -- split scan of fixed records ------------------------------------------------------------------
 def daily_content(first, count):
     import numpy as np
