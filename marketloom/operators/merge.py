@@ -29,12 +29,16 @@ def merge_bars(*frames: DataFrame, key: Sequence[str] = BAR_KEY, seq: str | None
     return keep_latest(stack(frames), key, order).drop("_priority")
 
 
+def approximate(fallback: DataFrame, source: str = "trade") -> DataFrame:
+    """Fallback rows, marked as such."""
+    return fallback.withColumn("source", F.lit(source)).withColumn("is_approximate", F.lit(True))
+
+
 def merge_fallback(
     primary: DataFrame, fallback: DataFrame, source: str = "trade", key: Sequence[str] = BAR_KEY
 ) -> DataFrame:
     """Fill the keys missing from ``primary`` with fallback rows marked approximate."""
-    marked = fallback.withColumn("source", F.lit(source)).withColumn("is_approximate", F.lit(True))
-    missing = marked.join(primary.select(*key), list(key), "left_anti")
+    missing = approximate(fallback, source).join(primary.select(*key), list(key), "left_anti")
     return primary.unionByName(missing, allowMissingColumns=True)
 
 

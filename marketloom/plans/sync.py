@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from marketloom.operators.asof import asof_lookup
 from marketloom.operators.intervals import merge_ranges, missing_ranges, plan_incremental
-from marketloom.operators.merge import merge_fallback
+from marketloom.operators.merge import approximate
+from marketloom.schemas import STORED_BARS
 from marketloom.session import shared_scratch
 from marketloom.sources.bar_table import IDENTITY, KEY, BarTable
 
@@ -17,11 +18,12 @@ from marketloom.sources.bar_table import IDENTITY, KEY, BarTable
 def planned_ranges(
     requested: DataFrame, covered: DataFrame, latest: DataFrame, overlap: str = "0 seconds"
 ) -> DataFrame:
-    """Gaps of the coverage plus the tail refresh of series already stored, merged."""
+    """Gaps of the coverage plus the tail refresh of series already stored, merged.  Requests
+    span years, so ranges are merged by years, not in a piece per month."""
     gaps = missing_ranges(requested, covered, IDENTITY)
     stored = requested.join(latest.select(*IDENTITY), IDENTITY, "left_semi")
     tails = plan_incremental(stored, latest, IDENTITY, overlap)
-    return merge_ranges(gaps.unionByName(tails), IDENTITY)
+    return merge_ranges(gaps.unionByName(tails), IDENTITY, "year")
 
 
 def rows_in_ranges(bars: DataFrame, ranges: DataFrame, bucket: str = "day") -> DataFrame:
@@ -43,9 +45,23 @@ def rows_in_ranges(bars: DataFrame, ranges: DataFrame, bucket: str = "day") -> D
     return found.where(F.col("ts") < F.col("range_end"))
 
 
-def _needed(feed: DataFrame, ranges: DataFrame, lo, hi) -> DataFrame:
+#: Ranges of one series up to which each bar is held against all of them.
+_FEW = 16
+
+
+def rows_in_few_ranges(bars: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The same by one join on the series, for few ranges each: nothing is filled in by month,
+    and bars of other series go at once."""
+    named = ranges.select(*IDENTITY, F.col("start").alias("range_start"), F.col("end").alias("range_end"))
+    inside = (F.col("ts") >= F.col("range_start")) & (F.col("ts") < F.col("range_end"))
+    return bars.join(named, IDENTITY).where(inside).select(*bars.columns, "range_start", "range_end")
+
+
+def _needed(feed: DataFrame, ranges: DataFrame, lo, hi, most) -> DataFrame:
     """Rows of a feed that the plan asks for; the outermost bounds reach its scan."""
     bounded = feed.where(F.col("ts").between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False))
+    if most is None or most <= _FEW:
+        return rows_in_few_ranges(bounded, ranges)
     return rows_in_ranges(bounded, ranges, "month")
 
 
@@ -78,16 +94,21 @@ def sync(
     plan = f"{shared_scratch(store.spark)}/plan-{uuid.uuid4().hex}"
     ranges.write.parquet(plan)
     ranges = store.spark.read.schema(ranges.schema).parquet(plan)
-    lo, hi = ranges.agg(F.min("start"), F.max("end")).first()
-    rows = _needed(source, ranges, lo, hi)
+    per_series = ranges.groupBy(*IDENTITY).agg(F.min("start").alias("lo"), F.max("end").alias("hi"), F.count(F.lit(1)).alias("n"))
+    lo, hi, most = per_series.agg(F.min("lo"), F.max("hi"), F.max("n")).first()
+    rows = _needed(source, ranges, lo, hi, most).withColumn("_feed", F.lit(1))
     if fallback is not None:
-        rows = merge_fallback(rows, _needed(fallback, ranges, lo, hi), key=KEY)
-    store.upsert(rows, answers=("range_start", "range_end"))
+        # The store keeps the row of the better feed anyway, so no join looks for missing keys.
+        spare = approximate(_needed(fallback, ranges, lo, hi, most)).withColumn("_feed", F.lit(0))
+        rows = rows.unionByName(spare, allowMissingColumns=True)
+    store.upsert(rows, answers=("range_start", "range_end"), seq="_feed")
+    # Bars that are not wanted go before the rest is put in order, which then takes one shuffle.
     wanted = requested.select(*IDENTITY, F.col("start").alias("_lo"), F.col("end").alias("_hi"))
-    return (
-        store.bars(first, last)
+    now = store.snapshot()
+    found = (
+        now.versions(first, last)
         .join(wanted, IDENTITY)
         .where((F.col("ts") >= F.col("_lo")) & (F.col("ts") < F.col("_hi")))
         .drop("_lo", "_hi")
-        .orderBy(*KEY)
     )
+    return now.resolved(found, ordered=True).select(*STORED_BARS.names).orderBy(*KEY)

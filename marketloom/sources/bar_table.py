@@ -121,7 +121,8 @@ class Snapshot:
         """Covered ranges, merged within equal provenance."""
         columns = COVERAGE.names
         keys = [c for c in columns if c not in ("start", "end")]
-        return merge_ranges(self.marks("range").select(*columns), keys).select(*columns)
+        # Ranges of stored series are long: pieces of a year, not of a month.
+        return merge_ranges(self.marks("range").select(*columns), keys, "year").select(*columns)
 
 
 class BarTable:
@@ -185,11 +186,12 @@ class BarTable:
         """
         write = uuid.uuid4().hex
         rows = _with_period(_normalize(bars, timezone, [*([seq] if seq else []), *(answers or [])]))
+        # Repeats inside one write need an order too: any row, but always the same.
+        same = F.xxhash64(*[c for c in STORED_BARS.names if c not in KEY]).desc()
         if seq:
-            rows = keep_latest(rows, KEY, [F.col(seq).desc()]).drop(seq)
+            rows = keep_latest(rows, KEY, [F.col(seq).desc(), same]).drop(seq)
         elif replace_from is None:
-            # Repeats inside one write need an order too: any row, but always the same.
-            rows = keep_latest(rows, KEY, [F.xxhash64(*[c for c in STORED_BARS.names if c not in KEY]).desc()])
+            rows = keep_latest(rows, KEY, [same])
         self._write_rows(rows, write)
         # From here on what was written is read, so the input is worked out once.
         covers = list(answers or [])
@@ -197,17 +199,22 @@ class BarTable:
         written = self.spark.read.schema(T.StructType([*_ROWS.fields, *stamp])).parquet(f"{self.path}/bars/write={write}")
         if replace_from is not None and (repeated := written.groupBy(*KEY).count().where("count > 1").first()):
             raise ValueError(f"repeated bar in replacement: {tuple(repeated)[:-1]}")
-        last = written.groupBy(*IDENTITY).agg(F.max("ts").alias("start"))
-        marks = _marks(last, "last")
+        if answers:
+            # One pass for both marks; readers take the last bar over the ranges of a series.
+            start, end = map(F.col, answers)
+            each = written.groupBy(*IDENTITY, start.alias("start"), end.alias("end")).agg(F.max("ts").alias("_last"))
+            ends = F.struct(F.lit("last").alias("kind"), F.col("_last").alias("start"), F.lit(None).cast("timestamp_ntz").alias("end"))
+            spans = F.struct(F.lit("range").alias("kind"), "start", "end")
+            answered = each.select(*IDENTITY, F.explode(F.array(ends, spans)).alias("_mark")).select(*IDENTITY, "_mark.*")
+            ranged = F.col("kind") == "range"
+            marks = _marks(answered.withColumns({"source": F.when(ranged, ""), "is_approximate": F.when(ranged, False)}))
+        else:
+            marks = _marks(written.groupBy(*IDENTITY).agg(F.max("ts").alias("start")), "last")
         if replace_from is not None:
-            marks = marks.unionByName(_marks(last.withColumn("start", F.lit(replace_from).cast("timestamp_ntz")), "cut"))
+            cut = written.select(*IDENTITY).distinct().withColumn("start", F.lit(replace_from).cast("timestamp_ntz"))
+            marks = marks.unionByName(_marks(cut, "cut"))
         if coverage is not None:
             marks = marks.unionByName(_marks(coverage, "range"))
-        if answers:
-            ranges = written.groupBy(*IDENTITY, F.col(answers[0]).alias("start"), F.col(answers[1]).alias("end")).agg(
-                F.lit("").alias("source"), F.lit(False).alias("is_approximate")
-            )
-            marks = marks.unionByName(_marks(ranges, "range"))
         self._write_marks(marks, write)
         if self.spark.read.schema(_MARKS).parquet(f"{self.path}/marks/write={write}").where("kind = 'last'").isEmpty():
             return
@@ -291,10 +298,10 @@ def merge_into(bars: DataFrame, table: str, *, replace_from: str | None = None,
     )
 
 
-def _marks(rows: DataFrame, kind: str) -> DataFrame:
-    """Marks of a kind, with all columns."""
+def _marks(rows: DataFrame, kind: str | None = None) -> DataFrame:
+    """Marks of a kind (else of that in the rows), with all columns."""
     fields = [f for f in _MARKS if f.name != "write"]
-    given = {f.name: F.lit(kind) if f.name == "kind" else F.col(f.name) if f.name in rows.columns else F.lit(None) for f in fields}
+    given = {f.name: F.lit(kind) if f.name == "kind" and kind else F.col(f.name) if f.name in rows.columns else F.lit(None) for f in fields}
     return rows.select(*[given[f.name].cast(f.dataType).alias(f.name) for f in fields])
 
 

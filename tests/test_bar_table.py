@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.plans.sync import sync
+from marketloom.plans.sync import rows_in_few_ranges, rows_in_ranges, sync
 from marketloom.sources.bar_table import BarTable
 
 BARS = "market string, code string, frequency string, ts timestamp_ntz, close double, volume double"
@@ -94,6 +94,47 @@ def test_sync_marks_fallback_rows(spark, tmp_path):
     assert [(r["close"], r["source"], r["is_approximate"]) for r in out] == [(1.0, "feed", False), (2.0, "trade", True), (3.0, "feed", False)]
 
 
+def test_sync_moves_bars_once_per_step(spark, tmp_path, monkeypatch):
+    """A fallback is not joined with the feed, marks come from one pass over what was written,
+    and reading in order shuffles the bars once."""
+    store = BarTable(spark, str(tmp_path))
+    feed = bars(spark, *[("a", f"2026-01-0{d}", float(d)) for d in (1, 3, 3, 5)]).withColumns({"source": F.lit("feed"), "is_approximate": F.lit(False)})
+    spare = bars(spark, *[("a", f"2026-01-0{d}", 10.0 * d) for d in range(1, 8)], ("b", "2026-01-02", 0.0))
+    plans = {}
+
+    def noted(name):
+        whole = getattr(BarTable, name)
+
+        def call(self, rows, write):
+            plans.setdefault(name, []).append(rows._jdf.queryExecution().optimizedPlan().toString())
+            return whole(self, rows, write)
+
+        monkeypatch.setattr(BarTable, name, call)
+
+    noted("_write_rows")
+    noted("_write_marks")
+    sync(store, feed, request(spark, "2026-01-01", "2026-01-04"))
+    out = sync(store, feed, request(spark, "2026-01-01", "2026-01-07"), fallback=spare)
+    assert [(p, a) for p, a in ((r["close"], r["is_approximate"]) for r in out.collect())] == [
+        (1.0, False), (3.0, False), (40.0, True), (5.0, False), (60.0, True),
+    ]
+    assert all("LeftAnti" not in p for p in plans["_write_rows"])
+    assert [p.count("Relation [") for p in plans["_write_marks"]] == [1, 1]
+    order = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert order.count("Exchange rangepartitioning") == 1
+    # What was noted down is what the rows say.
+    assert [(r["code"], str(r["last"])[:10]) for r in store.last_stamps().collect()] == [("a", "2026-01-06")]
+    assert [(str(r["start"])[:10], str(r["end"])[:10]) for r in store.coverage().collect()] == [("2026-01-01", "2026-01-07")]
+
+
+def test_few_and_many_ranges_find_the_same_rows(spark, rows):
+    feed = bars(spark, *[(c, f"2026-0{m}-{d:02d}", 1.0) for c in "abc" for m in (1, 2, 3) for d in range(1, 28)]).withColumn("adjustment", F.lit("none"))
+    wanted = [("a", f"2026-01-{d:02d}", f"2026-01-{d + 1:02d}") for d in range(2, 24, 4)] + [("a", "2026-02-20", "2026-03-05"), ("b", "2025-01-01", "2026-01-03"), ("d", "2026-01-01", "2026-02-01")]
+    ranges = spark.createDataFrame([("sh", c, "day", "none", at(lo), at(hi)) for c, lo, hi in wanted], RANGE)
+    few = rows_in_few_ranges(feed, ranges)
+    assert rows(few) == rows(rows_in_ranges(feed, ranges, "month")) and few.count() == 6 + 8 + 4 + 2
+
+
 @pytest.mark.parametrize("step", ["_write_rows", "_write_marks", "_commit"])
 def test_interrupted_upsert_shows_the_old_state(spark, tmp_path, monkeypatch, step):
     """A job that dies before or after any of its writes but the commit changes nothing:
